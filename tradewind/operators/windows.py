@@ -12,6 +12,13 @@ from tradewind.config import span
 from tradewind.functions import times
 
 
+def watermarked(df: DataFrame, time: str, delay: timedelta) -> DataFrame:
+    """Let ``time`` lag by ``delay``; a column that has its watermark already keeps it."""
+    if "spark.watermarkDelayMs" in df.schema[time].metadata:
+        return df
+    return df.withWatermark(time, span(delay))
+
+
 def tumbling(time: str, width: timedelta) -> Column:
     """Epoch-aligned ``[start, end)`` windows."""
     return F.window(time, span(width)).alias("window")

@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewind import schemas
-from tradewind.config import Settings, span
+from tradewind.config import Settings
 from tradewind.functions import json as J
 from tradewind.operators.parse import mark_json, parse_records
 from tradewind.operators.route import explode_displays, mark_log
 from tradewind.operators.visits import bounces, repair_new_visitor, unique_visits
+from tradewind.operators.windows import watermarked
 
 
 def parse_pages(
@@ -61,5 +62,5 @@ def unique_visit_detail(pages: DataFrame, settings: Settings, **columns) -> Data
 
 def bounce_detail(pages: DataFrame, settings: Settings, **columns) -> DataFrame:
     time = columns.get("time", "rowtime")
-    timed = pages.withWatermark(time, span(settings.bounce_delay))
+    timed = watermarked(pages, time, settings.bounce_delay)
     return bounces(timed, settings, **columns)

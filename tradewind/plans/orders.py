@@ -7,9 +7,10 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.config import Settings, span
+from tradewind.config import Settings
 from tradewind.functions import times
 from tradewind.operators.joins import flatten_sku, interval_join, lookup_join
+from tradewind.operators.windows import watermarked
 
 _FROM_ORDER = (
     "province_id order_status user_id total_amount activity_reduce_amount "
@@ -31,10 +32,9 @@ def join_orders(
     orders: DataFrame, details: DataFrame, settings: Settings
 ) -> DataFrame:
     """Orders with their details, close in time; one row per detail."""
-    delay = span(settings.order_delay)
     joined = interval_join(
-        orders.withWatermark("rowtime", delay),
-        details.withWatermark("rowtime", delay),
+        watermarked(orders, "rowtime", settings.order_delay),
+        watermarked(details, "rowtime", settings.order_delay),
         {"id": "order_id"},
         "rowtime", "rowtime",
         settings.order_lower, settings.order_upper,
@@ -117,10 +117,9 @@ def payment_wide(
     payments: DataFrame, wide_orders: DataFrame, settings: Settings
 ) -> DataFrame:
     """Payments with the order rows made up to a quarter of an hour before them."""
-    delay = span(settings.payment_delay)
     joined = interval_join(
-        payments.withWatermark("rowtime", delay),
-        wide_orders.withWatermark("rowtime", delay),
+        watermarked(payments, "rowtime", settings.payment_delay),
+        watermarked(wide_orders, "rowtime", settings.payment_delay),
         {"order_id": "order_id"},
         "rowtime", "rowtime",
         settings.payment_lower, settings.payment_upper,

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.config import KEYWORD_SOURCE, SEARCH_PAGE, Settings, span
+from tradewind.config import KEYWORD_SOURCE, SEARCH_PAGE, Settings
 from tradewind.functions import times
 from tradewind.functions.text import keyword_tokens
 from tradewind.operators import metrics as M
@@ -17,6 +17,7 @@ from tradewind.operators.windows import (
     tumbling,
     tumbling_distinct,
     tumbling_sum,
+    watermarked,
 )
 
 
@@ -25,21 +26,21 @@ def visitor_stats(
     visits: DataFrame,
     bounced: DataFrame,
     settings: Settings,
-    *,
-    keep_refining: bool = False,
 ) -> DataFrame:
     """Visits, page views, sessions, bounces and stay per visitor class and window.
 
     A window's row is final once the watermark (disorder plus lateness) has passed its
     end. For a sink that upserts by (stt, keys), run the same plan in update mode.
     """
-    parts = M.union_metrics(
+    lifted = M.union_metrics(
         [
             M.page_visit_metrics(pages),
             M.unique_visit_metrics(visits),
             M.bounce_metrics(bounced),
         ]
-    ).withWatermark("rowtime", span(settings.visitor_delay + settings.visitor_lateness))
+    )
+    delay = settings.visitor_delay + settings.visitor_lateness
+    parts = watermarked(lifted, "rowtime", delay)
     sums = tumbling_sum(parts, M.VISITOR_KEYS, M.VISITOR_SUMS, "rowtime", settings.window)
     return label_window(sums, settings.business_tz)
 
@@ -71,7 +72,7 @@ def product_stats(
 
     Attributes are joined after the aggregation, to one row per product and window.
     """
-    rows = product_metrics(sources).withWatermark("rowtime", span(settings.product_delay))
+    rows = watermarked(product_metrics(sources), "rowtime", settings.product_delay)
     sums = [*M.PRODUCT_COUNTS, *M.PRODUCT_AMOUNTS]
     stats = tumbling_distinct(
         rows,
@@ -116,9 +117,13 @@ def province_stats(
     ``total_amount`` is the whole order's amount and counts once per order row;
     ``measure="split_total_amount"`` sums each row's own share instead.
     """
-    rows = order_wide.select(
-        "rowtime", *PROVINCE_KEYS, "order_id", F.col(measure).alias("order_amount")
-    ).withWatermark("rowtime", span(settings.province_delay))
+    rows = watermarked(
+        order_wide.select(
+            "rowtime", *PROVINCE_KEYS, "order_id", F.col(measure).alias("order_amount")
+        ),
+        "rowtime",
+        settings.province_delay,
+    )
     stats = tumbling_distinct(
         rows, PROVINCE_KEYS, ["order_amount"], ["order_id"],
         {"order_count": F.col("order_id").isNotNull()}, "rowtime", settings.window,
@@ -136,7 +141,7 @@ def search_pages(pages: DataFrame) -> DataFrame:
 def keyword_stats(phrases: DataFrame, settings: Settings) -> DataFrame:
     """Keyword counts per window. The window is computed once per phrase, not per word."""
     words = (
-        phrases.withWatermark("rowtime", span(settings.keyword_delay))
+        watermarked(phrases, "rowtime", settings.keyword_delay)
         .select(tumbling("rowtime", settings.window), "fullword")
         .select(
             "window",

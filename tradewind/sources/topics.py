@@ -7,6 +7,8 @@ the query's checkpoint.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -41,12 +43,13 @@ class KafkaTopics:
         reader = self.spark.readStream.format("kafka")
         return self._text(reader.options(**self.read_options(topic, starting)).load())
 
-    def write(self, rows: DataFrame, topic: str | None = None) -> None:
+    def write(
+        self, rows: DataFrame, topic: str | None = None, batch_id: int = 0
+    ) -> None:
+        """Write to ``topic``, or to the topic each row's own column names."""
         rows.write.format("kafka").options(**self.write_options(topic)).save()
 
-    def write_stream(
-        self, rows: DataFrame, topic: str | None, checkpoint: str
-    ) -> DataStreamWriter:
+    def write_stream(self, rows: DataFrame, topic: str, checkpoint: str) -> DataStreamWriter:
         return (
             rows.writeStream.format("kafka")
             .options(**self.write_options(topic))
@@ -57,8 +60,10 @@ class KafkaTopics:
 class FolderTopics:
     """Topics as folders of text files, one record a line, under a shared root.
 
-    A row-chosen topic becomes the folder of that name. File sinks commit whole files,
-    so a restarted query neither loses nor repeats a record.
+    The topic is a partition of the root, so a row-chosen topic is a partitioned write.
+    A batch writes to its own ``batch_id`` folder in each topic it has rows for; run
+    again after a failure, it replaces those folders. Streaming writes use the file
+    sink, which commits whole files exactly once. A topic has one writing job.
     """
 
     def __init__(self, spark: SparkSession, root: str, max_files: int | None = None):
@@ -67,7 +72,7 @@ class FolderTopics:
         self.max_files = max_files
 
     def path(self, topic: str) -> str:
-        return f"{self.root}/{topic}"
+        return f"{self.root}/topic={topic}"
 
     def read(self, topic: str) -> DataFrame:
         reader = self.spark.read.option("recursiveFileLookup", "true")
@@ -78,37 +83,29 @@ class FolderTopics:
         if self.max_files:
             reader = reader.option("maxFilesPerTrigger", self.max_files)
         if starting == "latest":
-            reader = reader.option("latestFirst", "true").option("maxFileAge", "0s")
+            reader = reader.option("modifiedAfter", datetime.now().isoformat("T", "seconds"))
         return reader.text(self.path(topic)).select("value")
 
-    def write(self, rows: DataFrame, topic: str | None = None) -> None:
-        if topic:
-            rows.select("value").write.mode("append").text(self.path(topic))
-        else:
-            rows.select("topic", "value").write.mode("append").partitionBy(
-                "topic"
-            ).text(f"{self.root}/by_topic")
-
-    def write_stream(
-        self, rows: DataFrame, topic: str | None, checkpoint: str
-    ) -> DataStreamWriter:
-        if topic:
-            writer = rows.select("value").writeStream.format("text").option(
-                "path", self.path(topic)
-            )
-        else:
-            writer = (
-                rows.select("topic", "value")
-                .writeStream.format("text")
-                .partitionBy("topic")
-                .option("path", f"{self.root}/by_topic")
-            )
-        return writer.option("checkpointLocation", checkpoint)
-
-    def routed(self, topic: str) -> DataFrame:
-        """What row-chosen writes sent to ``topic``."""
-        everything = self.spark.read.text(f"{self.root}/by_topic")
-        return everything.filter(F.col("topic") == topic).select("value")
+    def write(
+        self, rows: DataFrame, topic: str | None = None, batch_id: int = 0
+    ) -> None:
+        """Write ``value`` rows to ``topic``, or to the topic each row's own column names."""
+        named = rows.withColumn("topic", F.lit(topic)) if topic else rows
+        (
+            named.select("value", "topic", F.lit(batch_id).alias("batch_id"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("topic", "batch_id")
+            .text(self.root)
+        )
+
+    def write_stream(self, rows: DataFrame, topic: str, checkpoint: str) -> DataStreamWriter:
+        return (
+            rows.select("value")
+            .writeStream.format("text")
+            .option("path", self.path(topic))
+            .option("checkpointLocation", checkpoint)
+        )
 
 
 def declare_table(
