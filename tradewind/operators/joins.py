@@ -35,6 +35,8 @@ def interval_join(
     Time tiles are part of the equi-key: a right row sits in one tile, a left row is
     copied to the one or two tiles its interval touches. A key with very many rows on
     both sides is thus spread over tasks and compared only with rows close in time.
+    Both sides are facts that grow without bound, so the join is a sort-merge join, which
+    spills and which the adaptive skew join can split; neither side is ever broadcast.
     Streams join on the bare key, where the watermark already bounds what is kept.
     """
     if upper < lower:
@@ -51,7 +53,8 @@ def interval_join(
         first = F.floor((lt + F.lit(micros(lower))) / size)
         last = F.floor((lt + F.lit(micros(upper))) / size)
         a = left.withColumn("_tile", F.explode(F.sequence(first, last))).alias("l")
-        b = right.withColumn("_tile", times.tile(F.col(right_time), width)).alias("r")
+        b = right.withColumn("_tile", times.tile(F.col(right_time), width))
+        b = b.hint("merge").alias("r")
         keys.append(F.col("l._tile") == F.col("r._tile"))
 
     lt, rt = F.col(f"l.{left_time}"), F.col(f"r.{right_time}")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tradewind.config import SEARCH_PAGE, TIME_FORMAT, Settings
 from tradewind.functions import text, times
 from tradewind.operators import metrics as M
-from tradewind.operators.changes import retract_stream, upserted
+from tradewind.operators.changes import current_state, retract_stream, upserted
 from tradewind.operators.joins import (
     flatten_sku,
     interval_join,
@@ -41,7 +41,6 @@ from tradewind.operators.route import (
     mark_log,
 )
 from tradewind.operators.visits import entry_page, repair_new_visitor
-from tradewind.operators.changes import current_state
 from tradewind.plans import changes as C
 from tradewind.plans import logs, orders, stats
 from tradewind.session import run_dir
@@ -110,6 +109,17 @@ def _paid(spark: SparkSession, sf: str) -> DataFrame:
     return orders.payment_wide(_payments(spark, sf), _wide(spark, sf), SETTINGS)
 
 
+def _joined(spark: SparkSession, sf: str) -> DataFrame:
+    """Order rows without attributes, for jobs that read none of them."""
+    return orders.join_orders(_orders(spark, sf), _details(spark, sf), SETTINGS)
+
+
+def _placed(spark: SparkSession, sf: str) -> DataFrame:
+    """Order rows with the province attributes only."""
+    province = shop.dim_province(shop.table(spark, sf, "nation"))
+    return orders.add_province(_joined(spark, sf), province, unique=True)
+
+
 def _visits(spark: SparkSession, sf: str) -> DataFrame:
     return logs.unique_visit_detail(_pages(spark, sf), SETTINGS, tiebreak=TIEBREAK)
 
@@ -130,9 +140,8 @@ def _as_stream(df: DataFrame, purpose: str) -> DataFrame:
 
 @_query
 def order_join(spark: SparkSession, sf: str) -> DataFrame:
-    joined = orders.join_orders(_orders(spark, sf), _details(spark, sf), SETTINGS)
     return _doubles(
-        joined.select(
+        _joined(spark, sf).select(
             "detail_id", "order_id", "sku_id", "order_price", "sku_num",
             "split_total_amount", "province_id", "order_status", "user_id",
             "total_amount", "create_time",
@@ -388,8 +397,10 @@ def _product_sources(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     events = shop.table(spark, sf, "events")
     return {
         "page": shop.page_log(events),
-        "order_wide": _wide(spark, sf),
-        "payment_wide": _paid(spark, sf),
+        "order_wide": _joined(spark, sf),
+        "payment_wide": orders.payment_wide(
+            _payments(spark, sf), _joined(spark, sf), SETTINGS
+        ),
         "cart": shop.cart_info(events),
         "favor": shop.favor_info(events),
         "refund": shop.refund_info(events),
@@ -434,20 +445,20 @@ def product_stats_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def province_stats(spark: SparkSession, sf: str) -> DataFrame:
-    return _doubles(stats.province_stats(_wide(spark, sf), SETTINGS), "order_amount")
+    return _doubles(stats.province_stats(_placed(spark, sf), SETTINGS), "order_amount")
 
 
 @_query
 def province_stats_split(spark: SparkSession, sf: str) -> DataFrame:
     found = stats.province_stats(
-        _wide(spark, sf), SETTINGS, measure="split_total_amount"
+        _placed(spark, sf), SETTINGS, measure="split_total_amount"
     )
     return _doubles(found, "order_amount")
 
 
 @_query
 def province_stats_stream(spark: SparkSession, sf: str) -> DataFrame:
-    wide = _as_stream(_wide(spark, sf), "order-wide")
+    wide = _as_stream(_placed(spark, sf), "order-wide")
     running = run_available(stats.province_stats(wide, SETTINGS), "province-stats")
     return _doubles(running, "order_amount")
 

@@ -49,35 +49,38 @@ def join_orders(
     )
 
 
-def enrich_orders(
-    wide: DataFrame,
-    dims: Mapping[str, DataFrame],
-    settings: Settings,
-    as_of: Column | None = None,
-    *,
-    unique_dims: bool = False,
+def add_user(
+    wide: DataFrame, user: DataFrame, settings: Settings, as_of: Column | None = None,
+    *, unique: bool = False,
 ) -> DataFrame:
-    """Add user, province and product attributes to order rows."""
+    """Gender, and age at ``as_of`` (by default now)."""
     at = F.current_timestamp() if as_of is None else as_of
-    user = dims["user"].select(
+    aged = user.select(
         "ID", "GENDER",
         times.age_years(F.col("BIRTHDAY"), at, settings.business_tz).alias("AGE"),
     )
-    wide = lookup_join(
-        wide, user, {"user_id": "ID"}, {"user_age": "AGE", "user_gender": "GENDER"},
-        unique=unique_dims,
+    return lookup_join(
+        wide, aged, {"user_id": "ID"}, {"user_age": "AGE", "user_gender": "GENDER"},
+        unique=unique,
     )
-    wide = lookup_join(
-        wide, dims["province"], {"province_id": "ID"},
+
+
+def add_province(wide: DataFrame, province: DataFrame, *, unique: bool = False) -> DataFrame:
+    return lookup_join(
+        wide, province, {"province_id": "ID"},
         {
             "province_name": "NAME", "province_area_code": "AREA_CODE",
             "province_iso_code": "ISO_CODE", "province_3166_2_code": "ISO_3166_2",
         },
-        unique=unique_dims,
+        unique=unique,
     )
+
+
+def add_product(
+    wide: DataFrame, dims: Mapping[str, DataFrame], *, unique: bool = False
+) -> DataFrame:
     sku = flatten_sku(
-        dims["sku"], dims["spu"], dims["trademark"], dims["category3"],
-        unique=unique_dims,
+        dims["sku"], dims["spu"], dims["trademark"], dims["category3"], unique=unique
     )
     return lookup_join(
         wide.drop("sku_name"), sku, {"sku_id": "ID"},
@@ -86,10 +89,24 @@ def enrich_orders(
             "tm_id": "TM_ID", "spu_name": "SPU_NAME", "tm_name": "TM_NAME",
             "category3_name": "CATEGORY3_NAME",
         },
-        unique=unique_dims,
+        unique=unique,
     )
 
 
+def enrich_orders(
+    wide: DataFrame,
+    dims: Mapping[str, DataFrame],
+    settings: Settings,
+    as_of: Column | None = None,
+    *,
+    unique_dims: bool = False,
+) -> DataFrame:
+    """Add user, province and product attributes to order rows."""
+    wide = add_user(wide, dims["user"], settings, as_of, unique=unique_dims)
+    wide = add_province(wide, dims["province"], unique=unique_dims)
+    return add_product(wide, dims, unique=unique_dims)
+
+
 def order_wide(
     orders: DataFrame,
     details: DataFrame,
