@@ -399,6 +399,7 @@ FROM lifted""",
     "product_stats": _product(),
     "product_stats_stream": _product(closed=_closed("lifted", "ts", 0, 30 * DAY)),
     "province_stats": _province("total_amount"),
+    "province_stats_sql": _province("total_amount"),
     "province_stats_split": _province("split_total_amount"),
     "province_stats_stream": _province(
         "total_amount", _closed("wide", "rowtime", 1_000_000, DAY)
@@ -463,6 +464,12 @@ WITH {CHANGES}, last AS (
     SELECT *, row_number() OVER (PARTITION BY k ORDER BY ts DESC) AS rn FROM changes)
 SELECT k AS o_orderkey, CASE WHEN n = 0 THEN c END AS o_custkey,
        CASE WHEN n = 1 THEN 'X' ELSE s END AS o_orderstatus
+FROM last WHERE rn = 1 AND type <> 'delete'""",
+    "cdc_table_sql": f"""
+WITH {CHANGES}, last AS (
+    SELECT *, row_number() OVER (PARTITION BY k ORDER BY ts DESC) AS rn FROM changes)
+SELECT k AS o_orderkey, CASE WHEN n = 0 THEN c END AS o_custkey,
+       CASE WHEN n = 1 THEN 'X' ELSE s END AS o_orderstatus
 FROM last WHERE rn = 1 AND type <> 'delete'""",
     "cdc_retract_rows": f"""
 WITH {CHANGES}

@@ -9,12 +9,12 @@ from datetime import datetime, timedelta, timezone
 import pytest
 
 from tradewind.config import TOPICS, Settings
-from tradewind.plans.changes import config_table
 from tradewind.operators.parse import parse_changes
+from tradewind.plans.changes import config_table, feed_as_table
 from tradewind.sources.dims import DimTable
 from tradewind.sources.topics import FolderTopics
 from tradewind.streaming import jobs
-from tradewind.streaming.sinks import finish
+from tradewind.streaming.sinks import finish, run_available
 
 BASE = datetime(2021, 1, 1, tzinfo=timezone.utc)
 
@@ -273,3 +273,32 @@ def test_feed_to_topic_job(bench):
     assert all(e["database"] == "shop" and e["table"] == "user_info"
                for e in bench.got("envelopes"))
     finish(jobs.print_feed(bench.w, source.select("op")))
+
+
+def test_feed_opened_by_a_snapshot_then_changes_only(bench):
+    present = bench.spark.createDataFrame([(1, "a")], "id int, name string")
+    jobs.seed_feed(bench.w, present, "shop", "user_info")
+    bench.send("raw_changes", {"database": "shop", "table": "user_info", "type": "update",
+                               "ts": 9, "before": {"id": 1}, "after": {"id": 1, "name": "b"}})
+    state, retract = feed_as_table(
+        bench.topics.read(TOPICS["raw_changes"]), {"id": "int", "name": "string"}, "id"
+    )
+    assert [tuple(r) for r in state.collect()] == [(1, "b")]
+    assert retract.filter("is_add").count() == 2
+    from_now = bench.topics.stream(TOPICS["raw_changes"], "latest")
+    assert run_available(from_now, "changes-only").count() == 0
+    from_then = bench.topics.stream(TOPICS["raw_changes"], "2001-01-01 00:00:00")
+    assert run_available(from_then, "changes-since").count() == 2
+
+
+def test_dimension_read_for_some_keys(spark, tmp_path):
+    table = DimTable(spark, str(tmp_path), "dim", ["id", "v"]).create()
+    assert table.read().count() == 0
+    rows = [({"id": str(i), "v": "x"}, i) for i in range(5)]
+    changes = spark.createDataFrame(rows, "after map<string,string>, ts bigint")
+    table.upsert(changes, 0, "ts")
+    table.upsert(changes.limit(0), 1, "ts")
+    keys = spark.createDataFrame([(3,), (9,)], "id bigint")
+    assert [r.id for r in table.read(only=keys).collect()] == ["3"]
+    with pytest.raises(ValueError, match="primary key"):
+        DimTable(spark, str(tmp_path), "dim", ["v"])

@@ -267,3 +267,32 @@ def test_hot_sku_is_spread_over_its_ids(spark):
     plan = found._jdf.queryExecution().executedPlan().toString()
     first = plan.rindex("Exchange hashpartitioning")
     assert "ref_id" in plan[first:plan.index("\n", first)]
+
+
+def test_failed_query_is_started_again(spark, tmp_path):
+    from pyspark.errors import StreamingQueryException
+
+    from tradewind.streaming.sinks import with_restarts
+
+    starts = []
+
+    def start(failures):
+        stream = chunks(spark, str(tmp_path / "in"), "n int", [(1,)])
+        starts.append(1)
+
+        def each(batch, batch_id):
+            if len(starts) <= failures:
+                raise RuntimeError("not yet")
+
+        return (
+            stream.writeStream.foreachBatch(each)
+            .option("checkpointLocation", str(tmp_path / f"ck{failures}"))
+            .trigger(availableNow=True).start()
+        )
+
+    with_restarts(lambda: start(2), restarts=3, pause=0)
+    assert len(starts) == 3
+    starts.clear()
+    with pytest.raises(StreamingQueryException):
+        with_restarts(lambda: start(9), restarts=1, pause=0)
+    assert len(starts) == 2

@@ -34,36 +34,33 @@ def interval_join(
 
     Time tiles are part of the equi-key: a right row sits in one tile, a left row is
     copied to the one or two tiles its interval touches. A key with very many rows on
-    both sides is thus spread over tasks and compared only with rows close in time.
-    Both sides are facts that grow without bound, so the join is a sort-merge join, which
-    spills and which the adaptive skew join can split; neither side is ever broadcast.
-    Streams join on the bare key, where the watermark already bounds what is kept.
+    both sides is thus spread over tasks and compared only with rows close in time; on a
+    stream the same holds for the join's state, which the watermark bounds in time.
+    Both sides are facts that grow without bound, so in batch the join is a sort-merge
+    join, which spills and which the adaptive skew join can split; neither side is ever
+    broadcast.
     """
     if upper < lower:
         raise ValueError("interval join: upper bound lies below the lower bound")
-    a, b = left.alias("l"), right.alias("r")
-    keys = [F.col(f"l.{x}") == F.col(f"r.{y}") for x, y in on.items()]
-
+    width = tile or max(4 * (upper - lower), timedelta(seconds=1))
+    if width < upper - lower:
+        raise ValueError("interval join: a tile must be at least one interval wide")
+    lt, size = F.unix_micros(left_time), F.lit(micros(width))
+    first = F.floor((lt + F.lit(micros(lower))) / size)
+    last = F.floor((lt + F.lit(micros(upper))) / size)
+    a = left.withColumn("_tile", F.explode(F.sequence(first, last))).alias("l")
+    b = right.withColumn("_tile", times.tile(F.col(right_time), width))
     if not (left.isStreaming or right.isStreaming):
-        width = tile or max(4 * (upper - lower), timedelta(seconds=1))
-        if width < upper - lower:
-            raise ValueError("interval join: a tile must be at least one interval wide")
-        lt = F.unix_micros(left_time)
-        size = F.lit(micros(width))
-        first = F.floor((lt + F.lit(micros(lower))) / size)
-        last = F.floor((lt + F.lit(micros(upper))) / size)
-        a = left.withColumn("_tile", F.explode(F.sequence(first, last))).alias("l")
-        b = right.withColumn("_tile", times.tile(F.col(right_time), width))
-        b = b.hint("merge").alias("r")
-        keys.append(F.col("l._tile") == F.col("r._tile"))
+        b = b.hint("merge")
+    b = b.alias("r")
 
     lt, rt = F.col(f"l.{left_time}"), F.col(f"r.{right_time}")
     low, high = lt + _shift(lower), lt + _shift(upper)
-    keys.append(rt >= low if lower_inclusive else rt > low)
-    keys.append(rt <= high if upper_inclusive else rt < high)
-    condition = keys[0]
-    for k in keys[1:]:
-        condition = condition & k
+    condition = F.col("l._tile") == F.col("r._tile")
+    for x, y in on.items():
+        condition &= F.col(f"l.{x}") == F.col(f"r.{y}")
+    condition &= rt >= low if lower_inclusive else rt > low
+    condition &= rt <= high if upper_inclusive else rt < high
     return a.join(b, condition, "inner")
 
 

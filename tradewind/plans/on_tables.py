@@ -393,14 +393,21 @@ def visitor_stats_stream(spark: SparkSession, sf: str) -> DataFrame:
     return run_available(running, "visitor-stats")
 
 
+def _kept(df: DataFrame, purpose: str) -> DataFrame:
+    """A job's output as later jobs receive it: written once to the shared folder."""
+    path = run_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _product_sources(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     events = shop.table(spark, sf, "events")
+    # Read twice below: as orders and, joined to payments, as paid orders.
+    joined = _kept(_joined(spark, sf), "order-join")
     return {
         "page": shop.page_log(events),
-        "order_wide": _joined(spark, sf),
-        "payment_wide": orders.payment_wide(
-            _payments(spark, sf), _joined(spark, sf), SETTINGS
-        ),
+        "order_wide": joined,
+        "payment_wide": orders.payment_wide(_payments(spark, sf), joined, SETTINGS),
         "cart": shop.cart_info(events),
         "favor": shop.favor_info(events),
         "refund": shop.refund_info(events),
@@ -463,6 +470,13 @@ def province_stats_stream(spark: SparkSession, sf: str) -> DataFrame:
     return _doubles(running, "order_amount")
 
 
+@_query
+def province_stats_sql(spark: SparkSession, sf: str) -> DataFrame:
+    """The province job as SQL over a table of order rows."""
+    _placed(spark, sf).createOrReplaceTempView("order_wide_rows")
+    return _doubles(stats.province_stats_sql(spark, "order_wide_rows", "1 day"), "order_amount")
+
+
 @_query
 def keyword_stats(spark: SparkSession, sf: str) -> DataFrame:
     phrases = shop.search_phrases(shop.table(spark, sf, "documents"))
@@ -629,6 +643,14 @@ def cdc_current_state(spark: SparkSession, sf: str) -> DataFrame:
     return current_state(_changes(spark, sf), "o_orderkey", _ORDER_COLUMNS)
 
 
+@_query
+def cdc_table_sql(spark: SparkSession, sf: str) -> DataFrame:
+    """A change feed queried as the table it describes."""
+    state = current_state(_changes(spark, sf), "o_orderkey", _ORDER_COLUMNS)
+    state.createOrReplaceTempView("orders_now")
+    return spark.sql("SELECT * FROM orders_now")
+
+
 @_query
 def cdc_retract_rows(spark: SparkSession, sf: str) -> DataFrame:
     return retract_stream(_changes(spark, sf), _ORDER_COLUMNS)

@@ -131,6 +131,17 @@ def province_stats(
     return label_window(stats, settings.business_tz)
 
 
+def province_stats_sql(spark: SparkSession, table: str, width: str) -> DataFrame:
+    """The province job as SQL over a batch table with ``rowtime``."""
+    keys = ", ".join(PROVINCE_KEYS)
+    return spark.sql(f"""
+        SELECT date_format(window.start, 'yyyy-MM-dd HH:mm:ss') AS stt,
+               date_format(window.end, 'yyyy-MM-dd HH:mm:ss') AS edt, {keys},
+               count(DISTINCT order_id) AS order_count, sum(total_amount) AS order_amount
+        FROM {table} GROUP BY window(rowtime, '{width}'), {keys}
+    """)
+
+
 def search_pages(pages: DataFrame) -> DataFrame:
     """Search phrases out of page records (``page`` is a struct or a text map)."""
     return pages.filter(

@@ -32,7 +32,7 @@ class DimTable:
         if pk not in columns:
             raise ValueError(f"primary key {pk} is not among the columns of {name}")
         self.spark = spark
-        self.path = f"{root.rstrip('/')}/{name}"
+        self.path = f"{root.rstrip('/')}/sink_table={name}"
         self.name = name
         self.columns = list(columns)
         self.pk = pk
@@ -54,19 +54,24 @@ class DimTable:
         self, changes: DataFrame, batch_id: int, order: str | None = None
     ) -> None:
         """Apply changes (``after`` map); ``order`` decides between changes of a key."""
-        seq = F.col(order).cast("bigint") if order else F.lit(0).cast("bigint")
-        as_text = F.transform_values("after", lambda _, v: v.cast("string"))
-        (
-            changes.select(as_text.alias("after"), seq.alias("seq"))
-            .write.mode("overwrite")
-            .parquet(f"{self.path}/batch_id={batch_id}")
-        )
+        root = self.path.rsplit("/", 1)[0]
+        upsert_all(changes.withColumn("sink_table", F.lit(self.name)), root, batch_id, order)
 
     def _log(self) -> DataFrame:
         return self.spark.read.schema(f"{_LOG}, batch_id bigint").parquet(self.path)
 
-    def read(self) -> DataFrame:
-        return upserted(self._log(), self.pk, self.columns, ("batch_id", "seq"))
+    def read(self, only: DataFrame | None = None) -> DataFrame:
+        """The present rows; ``only`` (one key column) limits them to the keys it holds.
+
+        With ``only``, changes of other keys are dropped before they are folded, which
+        is what a lookup for one micro-batch wants.
+        """
+        log = self._log()
+        if only is not None:
+            wanted = only.select(F.col(only.columns[0]).cast("string").alias("_wanted"))
+            key = F.try_element_at("after", F.lit(self.pk))
+            log = log.join(wanted, key == F.col("_wanted"), "left_semi")
+        return upserted(log, self.pk, self.columns, ("batch_id", "seq"))
 
     def compact(self, root: str) -> DimTable:
         """Write the current image as the only batch of a new table under ``root``."""
@@ -84,6 +89,24 @@ class DimTable:
         return fresh
 
 
+def upsert_all(
+    changes: DataFrame, root: str, batch_id: int, order: str | None = None
+) -> None:
+    """Apply one batch to every dimension its ``sink_table`` column names, in one write."""
+    seq = F.col(order).cast("bigint") if order else F.lit(0).cast("bigint")
+    as_text = F.transform_values("after", lambda _, v: v.cast("string"))
+    (
+        changes.select(
+            as_text.alias("after"), seq.alias("seq"), "sink_table",
+            F.lit(batch_id).alias("batch_id"),
+        )
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("sink_table", "batch_id")
+        .parquet(root)
+    )
+
+
 def read_jdbc(spark: SparkSession, options: dict[str, str], table: str) -> DataFrame:
     """A table over JDBC; filters and column choice are pushed to the server."""
     return spark.read.format("jdbc").options(**options, dbtable=table).load()

@@ -79,12 +79,20 @@ class FolderTopics:
         return reader.text(self.path(topic)).select("value")
 
     def stream(self, topic: str, starting: str = "earliest") -> DataFrame:
+        """``starting`` is ``earliest``, ``latest`` or a time such as ``2021-01-01 00:00:00``.
+
+        Only files written after that time are taken; ``latest`` means after this call,
+        so a query that is to be restarted names the time itself.
+        """
         reader = self.spark.readStream.option("recursiveFileLookup", "true")
         if self.max_files:
             reader = reader.option("maxFilesPerTrigger", self.max_files)
-        if starting == "latest":
-            reader = reader.option("modifiedAfter", datetime.now().isoformat("T", "seconds"))
-        return reader.text(self.path(topic)).select("value")
+        lines = reader.text(self.path(topic))
+        if starting != "earliest":
+            since = datetime.now().astimezone().isoformat() if starting == "latest" else starting
+            written = F.col("_metadata.file_modification_time")
+            lines = lines.filter(written > F.lit(since).cast("timestamp"))
+        return lines.select("value")
 
     def write(
         self, rows: DataFrame, topic: str | None = None, batch_id: int = 0

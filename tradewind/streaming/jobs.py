@@ -17,6 +17,7 @@ from tradewind.operators.parse import (
     mark_json,
     parse_changes,
     parse_records,
+    snapshot_changes,
     to_topic_rows,
     with_create_times,
 )
@@ -24,7 +25,7 @@ from tradewind.operators.route import explode_displays, fact_topic_rows, mark_lo
 from tradewind.operators.visits import first_new_visits, repair_new_visitor
 from tradewind.plans import changes as C
 from tradewind.plans import logs, orders, stats
-from tradewind.sources.dims import DimTable
+from tradewind.sources.dims import DimTable, upsert_all
 from tradewind.streaming.sinks import RefinedTable, console, table_writer, write_routes
 
 Dims = Callable[[], Mapping[str, DataFrame]]
@@ -154,6 +155,12 @@ def separate_logs(w: Warehouse) -> StreamingQuery:
     return w.each_batch(w.topics.stream(TOPICS["raw_log"]), "separate_logs", each)
 
 
+def compact_visitors(w: Warehouse, target: Warehouse) -> None:
+    """Fold the register of seen devices into one folder under another root."""
+    folded = w.spark.read.parquet(w.table("visitors")).select("mid").distinct()
+    folded.write.mode("overwrite").parquet(f"{target.table('visitors')}/batch_id=-1")
+
+
 def unique_visits(w: Warehouse) -> StreamingQuery:
     visits = logs.unique_visit_detail(w.pages(), w.settings)
     return w.to_topic(visits.drop("rowtime"), TOPICS["unique_visit"], "unique_visits")
@@ -190,8 +197,8 @@ def route_changes(
 
         def dims(df: DataFrame, b: int) -> None:
             for sink, columns, pk in dim_sinks(routes):
-                table = DimTable(w.spark, dims_root, sink, columns, pk).create()
-                table.upsert(df.filter(F.col("sink_table") == sink), b, "ts")
+                DimTable(w.spark, dims_root, sink, columns, pk).create()
+            upsert_all(df, dims_root, b, "ts")
 
         merged = routed.withColumn(
             "route",
@@ -204,6 +211,12 @@ def route_changes(
     return w.each_batch(w.topics.stream(TOPICS["raw_changes"]), "route_changes", each)
 
 
+def seed_feed(w: Warehouse, table: DataFrame, database: str, name: str) -> None:
+    """Open a change feed with the table's present rows, before its changes are read."""
+    first = snapshot_changes(table, database, name)
+    w.topics.write(to_topic_rows(first), TOPICS["raw_changes"], -1)
+
+
 def dim_sinks(routes: DataFrame) -> list[tuple[str, list[str], str]]:
     """The dimension tables a route table names: (name, columns, primary key).
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -106,8 +108,19 @@ def run_available(df: DataFrame, purpose: str, checkpoint: str | None = None) ->
 
 
 def finish(query: StreamingQuery) -> None:
-    """Wait for a bounded query and raise if it failed."""
+    """Wait for a bounded query; raises if it failed."""
     query.awaitTermination()
-    failure = query.exception()
-    if failure:
-        raise failure
+
+
+def with_restarts(
+    start: Callable[[], StreamingQuery], restarts: int = 3, pause: float = 5.0
+) -> None:
+    """Run a query to its end, starting it again from its checkpoint if it fails."""
+    for attempt in range(restarts + 1):
+        try:
+            finish(start())
+            return
+        except StreamingQueryException:
+            if attempt == restarts:
+                raise
+            time.sleep(pause)
