@@ -8,7 +8,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradewind.config import Settings, micros
+from tradewind.config import Settings, micros, span
 from tradewind.functions import times
 from tradewind.functions.text import is_blank
 
@@ -29,15 +29,15 @@ def first_new_visits(
     logs: DataFrame, mid: str, flag: str, time: str, tiebreak: Sequence[str]
 ) -> DataFrame:
     """Per device, the (time, tiebreak) of its first record flagged new."""
-    order = F.struct(F.col(time).alias("_t"), *(
-        F.col(c).alias(f"_t{i}") for i, c in enumerate(tiebreak)
-    ))
-    return (
-        logs.filter((F.col(flag) == "1") & F.col(mid).isNotNull())
-        .groupBy(F.col(mid).alias("_mid"))
-        .agg(F.min(order).alias("_first"))
-        .select("_mid", "_first.*")
+    flagged = logs.filter((F.col(flag) == "1") & F.col(mid).isNotNull())
+    by_device = flagged.groupBy(F.col(mid).alias("_mid"))
+    if not tiebreak:
+        return by_device.agg(F.min(time).alias("_t"))
+    order = F.struct(
+        F.col(time).alias("_t"),
+        *(F.col(c).alias(f"_t{i}") for i, c in enumerate(tiebreak)),
     )
+    return by_device.agg(F.min(order).alias("_first")).select("_mid", "_first.*")
 
 
 def repair_new_visitor(
@@ -106,8 +106,6 @@ def unique_visits(
             .filter("_rn = 1")
             .drop("_day", "_rn")
         )
-    from tradewind.config import span
-
     salt = F.pmod(F.xxhash64(time, *tiebreak, last_page), F.lit(settings.dedup_salts))
     day = times.local_day(F.col(time), settings.business_tz).cast("timestamp")
     return (

@@ -29,28 +29,41 @@ def parse_pages(
     ).withColumn("rowtime", F.timestamp_millis("ts"))
 
 
-def separate_logs(
-    raw: DataFrame,
+def repaired_logs(
+    valid: DataFrame,
     *,
     tiebreak: Sequence[str] = (),
     seen: DataFrame | None = None,
     schema: T.StructType = schemas.PAGE_LOG,
-) -> dict[str, DataFrame]:
+) -> DataFrame:
+    """Valid log text -> records with the new-visitor flag repaired, and their ``route``.
+
+    ``tiebreak`` names raw columns that order records of one device and time.
+    """
+    wanted = T.StructType([*schema.fields, T.StructField("start", T.StringType())])
+    records = parse_pages(valid, wanted, tiebreak)
+    return mark_log(repair_new_visitor(records, tiebreak=tiebreak, seen=seen))
+
+
+def page_records(routed: DataFrame) -> DataFrame:
+    return routed.filter("route = 'page'").drop("route", "start")
+
+
+def start_records(routed: DataFrame) -> DataFrame:
+    return routed.filter("route = 'start'").select("common", "start", "ts")
+
+
+def separate_logs(raw: DataFrame, **options) -> dict[str, DataFrame]:
     """Raw log text -> ``dirty``, ``start``, ``page`` and ``display`` rows (batch).
 
-    Start and page records have their new-visitor flag repaired first. ``tiebreak``
-    names raw columns that order records of one device and time.
+    Options are those of :func:`repaired_logs`.
     """
     marked = mark_json(raw)
-    wanted = T.StructType([*schema.fields, T.StructField("start", T.StringType())])
-    records = parse_pages(marked.filter("is_valid"), wanted, tiebreak)
-    fixed = mark_log(repair_new_visitor(records, tiebreak=tiebreak))
-    if seen is not None:
-        fixed = mark_log(repair_new_visitor(records, tiebreak=tiebreak, seen=seen))
-    page = fixed.filter("route = 'page'").drop("route", "start")
+    routed = repaired_logs(marked.filter("is_valid"), **options)
+    page = page_records(routed)
     return {
         "dirty": marked.filter("NOT is_valid").select("value"),
-        "start": fixed.filter("route = 'start'").select("common", "start", "ts"),
+        "start": start_records(routed),
         "page": page,
         "display": explode_displays(page),
     }

@@ -21,8 +21,8 @@ from tradewind.operators.parse import (
     to_topic_rows,
     with_create_times,
 )
-from tradewind.operators.route import explode_displays, fact_topic_rows, mark_log
-from tradewind.operators.visits import first_new_visits, repair_new_visitor
+from tradewind.operators.route import explode_displays, fact_topic_rows
+from tradewind.operators.visits import first_new_visits
 from tradewind.plans import changes as C
 from tradewind.plans import logs, orders, stats
 from tradewind.sources.dims import DimTable, upsert_all
@@ -104,9 +104,6 @@ def separate_logs(w: Warehouse) -> StreamingQuery:
     w.spark.createDataFrame([], "mid string").write.mode("ignore").parquet(
         f"{register}/batch_id=-1"
     )
-    wanted = T.StructType(
-        [*schemas.PAGE_LOG.fields, T.StructField("start", T.StringType())]
-    )
 
     def each(batch: DataFrame, batch_id: int) -> None:
         # Numbered in arrival order, so that no two records of a device tie.
@@ -116,33 +113,26 @@ def separate_logs(w: Warehouse) -> StreamingQuery:
             F.col("batch_id") < batch_id
         )
         try:
-            records = logs.parse_pages(marked.filter("is_valid"), wanted, ("_id",))
-            fixed = mark_log(
-                repair_new_visitor(records, tiebreak=("_id",), seen=known)
-            ).drop("_id", "rowtime")
+            valid = marked.filter("is_valid")
             dirty = marked.filter("NOT is_valid").select("value")
             w.topics.write(dirty, "dirty", batch_id)
 
-            def emit(topic: str, shape: Callable[[DataFrame], DataFrame]):
-                return lambda df, b: w.topics.write(
-                    to_topic_rows(shape(df)), TOPICS[topic], b
-                )
+            def starts(df: DataFrame, b: int) -> None:
+                rows = to_topic_rows(logs.start_records(df))
+                w.topics.write(rows, TOPICS["start_log"], b)
 
-            def page_and_displays(df: DataFrame, b: int) -> None:
-                page = df.drop("route", "start")
+            def pages(df: DataFrame, b: int) -> None:
+                page = logs.page_records(df)
                 w.topics.write(to_topic_rows(page), TOPICS["page_log"], b)
                 w.topics.write(
                     to_topic_rows(explode_displays(page)), TOPICS["display_log"], b
                 )
 
+            routed = logs.repaired_logs(valid, tiebreak=("_id",), seen=known)
             write_routes(
-                fixed,
-                batch_id,
-                {
-                    "start": emit("start_log", lambda df: df.select("common", "start", "ts")),
-                    "page": page_and_displays,
-                },
+                routed.drop("_id", "rowtime"), batch_id, {"start": starts, "page": pages}
             )
+            records = logs.parse_pages(valid)
             fresh = first_new_visits(
                 records, "common.mid", "common.is_new", "rowtime", ()
             ).select(F.col("_mid").alias("mid"))
