@@ -47,7 +47,7 @@ class Bench:
 
     def send(self, topic: str, *records):
         lines = [r if isinstance(r, str) else json.dumps(r) for r in records]
-        rows = self.spark.createDataFrame([(x,) for x in lines], "value string")
+        rows = self.spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1)
         self.sent += 1
         self.topics.write(rows, TOPICS.get(topic, topic), 10_000 + self.sent)
 
@@ -153,8 +153,10 @@ def test_change_routing_job(bench, tmp_path):
          "data": {"id": 2, "name": "bob", "phone": "2"}},
     )
     finish(jobs.route_changes(bench.w, routes, dims))
-    bench.send("raw_changes", change("user_info", "update", 6, {"id": 1, "name": "eve",
-                                                                 "phone": "9"}))
+    # Two updates in one millisecond: the later line stands.
+    bench.send("raw_changes",
+               change("user_info", "update", 6, {"id": 1, "name": "eva", "phone": "9"}),
+               change("user_info", "update", 6, {"id": 1, "name": "eve", "phone": "9"}))
     finish(jobs.route_changes(bench.w, routes, dims))
 
     assert bench.got("dwd_order_info") == [{"id": 5, "total_amount": 12.5}]
@@ -296,8 +298,8 @@ def test_dimension_read_for_some_keys(spark, tmp_path):
     assert table.read().count() == 0
     rows = [({"id": str(i), "v": "x"}, i) for i in range(5)]
     changes = spark.createDataFrame(rows, "after map<string,string>, ts bigint")
-    table.upsert(changes, 0, "ts")
-    table.upsert(changes.limit(0), 1, "ts")
+    table.upsert(changes, 0, ["ts"])
+    table.upsert(changes.limit(0), 1, ["ts"])
     keys = spark.createDataFrame([(3,), (9,)], "id bigint")
     assert [r.id for r in table.read(only=keys).collect()] == ["3"]
     with pytest.raises(ValueError, match="primary key"):

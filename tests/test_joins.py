@@ -198,3 +198,37 @@ def test_hot_payment_key_is_split_by_time(spark):
     tiles = joined.select(F.col("r._tile")).distinct().count()
     assert joined.count() == 200
     assert tiles > 50
+
+
+@pytest.fixture
+def eager_skew(spark):
+    """Adaptive skew handling with thresholds that small test data can reach."""
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in changed}
+    for k, v in changed.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_hot_lookup_key_is_split_by_adaptive_execution(spark, eager_skew):
+    n = 60_000
+    facts = spark.range(0, n, 1, 8).select(
+        "id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("key")
+    )
+    dim = spark.range(n).select(
+        F.col("id").alias("ID"), F.concat(F.lit("name-"), "id").alias("NAME")
+    )
+    found = lookup_join(facts, dim, {"key": "ID"}, {"name": "NAME"}, unique=True)
+    rows = found.collect()
+    assert len(rows) == n and all(r.name == f"name-{r.key}" for r in rows)
+    assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()

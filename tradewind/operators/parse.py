@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -81,16 +83,22 @@ _ENVELOPE = """
 """
 
 
-def parse_changes(raw: DataFrame, value: str = "value") -> DataFrame:
-    """Change envelope text -> ``database, table, type, before, after, ts``."""
+def parse_changes(
+    raw: DataFrame, value: str = "value", keep: Sequence[str] = ()
+) -> DataFrame:
+    """Change envelope text -> ``database, table, type, before, after, ts``.
+
+    ``keep`` names raw columns to carry, such as an arrival number.
+    """
     e = F.col("_e")
-    return raw.select(F.from_json(F.col(value), _ENVELOPE).alias("_e")).select(
+    return raw.select(F.from_json(F.col(value), _ENVELOPE).alias("_e"), *keep).select(
         e["database"].alias("database"),
         e["table"].alias("table"),
         _operation(F.coalesce(e["type"], e["operation"], e["op"])).alias("type"),
         e["before"].alias("before"),
         F.coalesce(e["after"], e["data"]).alias("after"),
         F.coalesce(e["ts"], e["ts_ms"]).alias("ts"),
+        *keep,
     )
 
 

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tradewind.operators.changes import upserted
 
-_LOG = "after map<string,string>, seq bigint"
+# A change's new image, and its place among the changes of its batch.
+_LOG = "after map<string,string>, seq array<bigint>"
 
 
 class DimTable:
@@ -51,7 +52,7 @@ class DimTable:
         return self
 
     def upsert(
-        self, changes: DataFrame, batch_id: int, order: str | None = None
+        self, changes: DataFrame, batch_id: int, order: Sequence[str] = ()
     ) -> None:
         """Apply changes (``after`` map); ``order`` decides between changes of a key."""
         root = self.path.rsplit("/", 1)[0]
@@ -82,7 +83,7 @@ class DimTable:
         )
         (
             self.read()
-            .select(image.alias("after"), F.lit(0).cast("bigint").alias("seq"))
+            .select(image.alias("after"), F.array().cast("array<bigint>").alias("seq"))
             .write.mode("overwrite")
             .parquet(f"{fresh.path}/batch_id=-1")
         )
@@ -90,10 +91,13 @@ class DimTable:
 
 
 def upsert_all(
-    changes: DataFrame, root: str, batch_id: int, order: str | None = None
+    changes: DataFrame, root: str, batch_id: int, order: Sequence[str] = ()
 ) -> None:
-    """Apply one batch to every dimension its ``sink_table`` column names, in one write."""
-    seq = F.col(order).cast("bigint") if order else F.lit(0).cast("bigint")
+    """Apply one batch to every dimension its ``sink_table`` column names, in one write.
+
+    ``order`` names integer columns, most significant first.
+    """
+    seq = F.array(*(F.col(c).cast("bigint") for c in order)).cast("array<bigint>")
     as_text = F.transform_values("after", lambda _, v: v.cast("string"))
     (
         changes.select(

@@ -175,20 +175,22 @@ def route_changes(
 
     def each(batch: DataFrame, batch_id: int) -> None:
         routes = config()
-        routed = C.routed_changes(parse_changes(batch), routes)
+        # Changes of one key in one millisecond are told apart by their arrival.
+        numbered = batch.withColumn("_id", F.monotonically_increasing_id())
+        routed = C.routed_changes(parse_changes(numbered, keep=["_id"]), routes)
 
         def facts(df: DataFrame, b: int) -> None:
             w.topics.write(fact_topic_rows(df), None, b)
 
         def unrouted(df: DataFrame, b: int) -> None:
             w.topics.write(
-                to_topic_rows(df.drop("route", "sink_table", "sink_pk")), "unrouted", b
+                to_topic_rows(df.drop("route", "sink_table", "sink_pk", "_id")), "unrouted", b
             )
 
         def dims(df: DataFrame, b: int) -> None:
             for sink, columns, pk in dim_sinks(routes):
                 DimTable(w.spark, dims_root, sink, columns, pk).create()
-            upsert_all(df, dims_root, b, "ts")
+            upsert_all(df, dims_root, b, ("ts", "_id"))
 
         merged = routed.withColumn(
             "route",
