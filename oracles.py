@@ -409,6 +409,30 @@ FROM lifted""",
         "WHERE w + 10000000 <= (SELECT epoch_us(TIMESTAMP '2024-01-01 00:00:00') "
         "+ max(doc_id) * 1000000 - 2000000 FROM documents)"
     ),
+    "keyword_vocabulary_stats": f"""
+WITH RECURSIVE pieces AS (
+    SELECT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS piece,
+           TIMESTAMP '2024-01-01 00:00:00' + doc_id * INTERVAL '1' SECOND AS rowtime
+    FROM documents),
+vocabulary AS (SELECT DISTINCT piece AS word FROM pieces WHERE length(piece) BETWEEN 2 AND 4),
+counted AS (
+    SELECT {_window('rowtime', DAY)} AS w, piece, count(*) AS n FROM pieces GROUP BY 1, 2),
+cut AS (
+    SELECT piece, 0 AS done, '' AS word FROM (SELECT DISTINCT piece FROM counted)
+    UNION ALL
+    SELECT piece, done + length(taken), taken FROM (
+        SELECT c.piece, c.done, CASE
+                   WHEN length(v4.word) = 4 THEN v4.word WHEN length(v3.word) = 3 THEN v3.word
+                   WHEN length(v2.word) = 2 THEN v2.word ELSE substr(c.piece, c.done + 1, 1)
+               END AS taken
+        FROM cut c
+        LEFT JOIN vocabulary v4 ON v4.word = substr(c.piece, c.done + 1, 4)
+        LEFT JOIN vocabulary v3 ON v3.word = substr(c.piece, c.done + 1, 3)
+        LEFT JOIN vocabulary v2 ON v2.word = substr(c.piece, c.done + 1, 2)
+        WHERE c.done < length(c.piece)))
+SELECT {_label("w")} AS stt, {_label(f"w + {DAY * 1_000_000}")} AS edt, word AS keyword,
+       CAST(sum(n) AS BIGINT) AS ct
+FROM counted JOIN cut USING (piece) WHERE word <> '' GROUP BY w, word""",
     "keyword_stats_sql": f"""
 WITH words AS (
     SELECT unnest(regexp_extract_all(lower(props), '[a-z0-9]+')) AS keyword, ts

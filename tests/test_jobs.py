@@ -304,3 +304,17 @@ def test_dimension_read_for_some_keys(spark, tmp_path):
     assert [r.id for r in table.read(only=keys).collect()] == ["3"]
     with pytest.raises(ValueError, match="primary key"):
         DimTable(spark, str(tmp_path), "dim", ["v"])
+
+
+def test_keyword_job_with_a_vocabulary_table(bench):
+    words = bench.spark.createDataFrame([("手机",), ("双卡",), ("双卡双待",)], "word string")
+    search = {"page_id": "good_list"}
+    bench.send("page_log", page("m", 1, item="Apple 手机双卡双待吗 256GB", **search),
+               page("m", 2, item="手机双卡双待吗", **search),
+               page("m", 3, item="双卡手机", **search), page("m", 100_000, item="x", **search))
+    finish(jobs.keyword_stats_by_vocabulary(bench.w, lambda: words, 4))
+    rows = bench.spark.read.parquet(bench.w.table("keyword_stats_by_vocabulary")).collect()
+    assert {(r.keyword, r.ct) for r in rows} == {
+        ("apple", 1), ("256gb", 1), ("手机", 3), ("双卡双待", 2), ("双卡", 1), ("吗", 2),
+    }
+    assert {r.stt for r in rows} == {when(0)}

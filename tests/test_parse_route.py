@@ -325,3 +325,20 @@ def test_kafka_options():
     }
     assert "topic" not in topics.write_options()
     assert topics.write_options("t")["topic"] == "t"
+
+
+def test_cutting_pieces_equals_the_pattern_with_the_same_vocabulary(spark):
+    import random
+
+    from tradewind.operators.keywords import cut_pieces
+
+    rnd = random.Random(5)
+    words = {"".join(rnd.choices("abc", k=rnd.randint(2, 4))) for _ in range(25)}
+    pieces = {"".join(rnd.choices("abcd", k=rnd.randint(1, 30))) for _ in range(80)}
+    df = spark.createDataFrame([(p,) for p in pieces], "piece string")
+    vocabulary = spark.createDataFrame([(w,) for w in words], "word string")
+    cut = {r.piece: r.words for r in cut_pieces(df, vocabulary, 4).collect()}
+    by_pattern = df.select(
+        "piece", text.keyword_tokens(F.col("piece"), "[a-z]", words).alias("words")
+    ).collect()
+    assert cut == {r.piece: r.words for r in by_pattern}

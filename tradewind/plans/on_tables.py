@@ -24,6 +24,7 @@ from tradewind.operators.joins import (
     lookup_join,
     merge_first_non_null,
 )
+from tradewind.operators.keywords import piece_counts, word_counts
 from tradewind.operators.parse import (
     mark_json,
     normalise_changes,
@@ -41,6 +42,7 @@ from tradewind.operators.route import (
     mark_log,
 )
 from tradewind.operators.visits import entry_page, repair_new_visitor
+from tradewind.operators.windows import label_window
 from tradewind.plans import changes as C
 from tradewind.plans import logs, orders, stats
 from tradewind.session import run_dir
@@ -489,6 +491,21 @@ def keyword_stats_stream(spark: SparkSession, sf: str) -> DataFrame:
     return run_available(stats.keyword_stats(phrases, SEARCH), "keyword-stats")
 
 
+@_query
+def keyword_vocabulary_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """Keywords through a vocabulary table: the short words of the texts themselves."""
+    documents = shop.table(spark, sf, "documents")
+    pieces = text.keyword_tokens(F.col("text"), "[a-z]+")
+    words = documents.select(F.explode(pieces).alias("word")).distinct()
+    vocabulary = words.filter(F.length("word").between(2, 4))
+    # Read twice below: to find the distinct pieces and to count their words.
+    counted = _kept(
+        piece_counts(shop.search_phrases(documents), SETTINGS, "[a-z]+"), "pieces"
+    )
+    found = word_counts(counted, vocabulary, 4)
+    return label_window(found, SETTINGS.business_tz)
+
+
 def _page_view(spark: SparkSession, sf: str) -> DataFrame:
     """Page records with a text map ``page``; a signup page is a search."""
     kind = F.col("event_type")

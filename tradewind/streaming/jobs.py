@@ -11,8 +11,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tradewind import schemas
-from tradewind.config import TOPICS, Settings
+from tradewind.config import KEYWORD_SOURCE, TOPICS, Settings
 from tradewind.functions import times
+from tradewind.operators.keywords import piece_counts, word_counts
 from tradewind.operators.parse import (
     mark_json,
     parse_changes,
@@ -23,11 +24,16 @@ from tradewind.operators.parse import (
 )
 from tradewind.operators.route import explode_displays, fact_topic_rows
 from tradewind.operators.visits import first_new_visits
+from tradewind.operators.windows import label_window
 from tradewind.plans import changes as C
 from tradewind.plans import logs, orders, stats
 from tradewind.sources.dims import DimTable, upsert_all
 from tradewind.streaming.sinks import RefinedTable, console, table_writer, write_routes
 
+# Pieces of a phrase, and those of them that a vocabulary cuts into words.
+VOCABULARY_PIECES = "[a-z0-9]+|[一-鿿]+"
+CUT_SCRIPT = "[一-鿿]"
+
 Dims = Callable[[], Mapping[str, DataFrame]]
 
 
@@ -336,3 +342,36 @@ def province_stats(w: Warehouse) -> StreamingQuery:
 def keyword_stats(w: Warehouse) -> StreamingQuery:
     rows = stats.keyword_stats(stats.search_pages(w.pages()), w.settings)
     return w.stats_table(rows, "keyword_stats", schemas.KEYWORD_STATS_COLUMNS)
+
+
+def keyword_stats_by_vocabulary(
+    w: Warehouse, vocabulary: Callable[[], DataFrame], longest: int
+) -> StreamingQuery:
+    """Keyword statistics with a vocabulary table (column ``word``), asked once per batch.
+
+    A window's piece counts all come in the batch that closes it, so its word counts
+    are complete there.
+    """
+    phrases = stats.search_pages(w.pages())
+    counted = piece_counts(phrases, w.settings, VOCABULARY_PIECES)
+    path = w.table("keyword_stats_by_vocabulary")
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            # Text outside the vocabulary's script stays whole.
+            plain = batch.filter(~F.col("piece").rlike(CUT_SCRIPT)).select(
+                "window", F.col("piece").alias("keyword"), F.col("n").alias("ct")
+            )
+            cut = word_counts(
+                batch.filter(F.col("piece").rlike(CUT_SCRIPT)), vocabulary(), longest
+            )
+            rows = label_window(plain.unionByName(cut), w.settings.business_tz)
+            final = stats.stamp(rows.withColumn("source", F.lit(KEYWORD_SOURCE)))
+            final.select(*schemas.KEYWORD_STATS_COLUMNS).write.mode("overwrite").parquet(
+                f"{path}/batch_id={batch_id}"
+            )
+        finally:
+            batch.unpersist()
+
+    return w.each_batch(counted, "keyword_stats_by_vocabulary", each)
