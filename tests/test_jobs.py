@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from dataclasses import replace
 from datetime import datetime, timedelta, timezone
+from pathlib import Path
 
 import pytest
 
@@ -318,3 +319,48 @@ def test_keyword_job_with_a_vocabulary_table(bench):
         ("apple", 1), ("256gb", 1), ("手机", 3), ("双卡双待", 2), ("双卡", 1), ("吗", 2),
     }
     assert {r.stt for r in rows} == {when(0)}
+
+
+def rerun_last_batch(w, job):
+    """Forget that the last batch was finished, as a crash before the commit would."""
+    commits = Path(w.checkpoint(job)) / "commits"
+    last = max(int(f.name) for f in commits.iterdir() if f.name.isdigit())
+    (commits / str(last)).unlink()
+    (commits / f".{last}.crc").unlink(missing_ok=True)
+
+
+def test_a_batch_run_again_changes_nothing(bench, tmp_path):
+    bench.send("raw_log", page("m1", 1, is_new="1"), page("m1", 2, is_new="1"), "{bad")
+    bench.send("raw_changes",
+               {"database": "shop", "table": "u", "type": "insert", "ts": 1,
+                "after": {"id": 1, "n": "a"}},
+               {"database": "shop", "table": "o", "type": "insert", "ts": 2, "after": {"id": 5}})
+    names = ["sourceTable", "operateType", "sinkType", "sinkTable", "sinkColumns", "sinkPk",
+             "sinkExtend"]
+    routes = bench.spark.createDataFrame(
+        [("u", "insert", "hbase", "dim_u", "id,n", None, None),
+         ("o", "insert", "kafka", "facts", "id", None, None)],
+        ", ".join(f"{n} string" for n in names),
+    )
+    dims = f"{tmp_path}/dims"
+    logs_job = lambda: finish(jobs.separate_logs(bench.w))
+    routes_job = lambda: finish(jobs.route_changes(bench.w, lambda: routes, dims))
+    table = DimTable(bench.spark, dims, "dim_u", ["id", "n"])
+
+    def outcome():
+        return (
+            sorted((p["ts"], p["common"]["is_new"]) for p in bench.got("page_log")),
+            sorted(r.value for r in bench.topics.read("dirty").collect()),
+            bench.got("facts"),
+            [tuple(r) for r in table.read().collect()],
+        )
+
+    logs_job()
+    routes_job()
+    first = outcome()
+    assert first == ([(ms(1), "1"), (ms(2), "0")], ["{bad"], [{"id": 5}], [("1", "a")])
+    rerun_last_batch(bench.w, "separate_logs")
+    rerun_last_batch(bench.w, "route_changes")
+    logs_job()
+    routes_job()
+    assert outcome() == first

@@ -678,7 +678,7 @@ def _connector_records(spark: SparkSession, sf: str) -> DataFrame:
     image = F.create_map(F.lit("o_orderkey"), key.cast("string"))
     turn = key % 4
     return shop.table(spark, sf, "orders").select(
-        F.lit("mysql_binlog_source.shop.order_info").alias("topic"),
+        F.lit("server.shop.order_info").alias("topic"),
         F.when(turn == 0, "DELETE").when(turn == 1, "UPDATE").when(turn == 2, "CREATE")
         .otherwise("READ").alias("op"),
         F.when(turn < 2, image).alias("before"),
