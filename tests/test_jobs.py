@@ -8,12 +8,16 @@ from datetime import datetime, timedelta, timezone
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from tradewind.config import TOPICS, Settings
+from tradewind.functions.text import register_keyword_split
 from tradewind.operators.parse import parse_changes
 from tradewind.plans.changes import config_table, feed_as_table
+from tradewind.plans.orders import enrich_orders
+from tradewind.plans.stats import keyword_stats_sql
 from tradewind.sources.dims import DimTable
-from tradewind.sources.topics import FolderTopics
+from tradewind.sources.topics import FolderTopics, declare_table
 from tradewind.streaming import jobs
 from tradewind.streaming.sinks import finish, run_available
 
@@ -364,3 +368,43 @@ def test_a_batch_run_again_changes_nothing(bench, tmp_path):
     logs_job()
     routes_job()
     assert outcome() == first
+
+
+def test_keyword_sql_over_a_declared_stream(bench):
+    register_keyword_split(bench.spark, bench.w.settings.keyword_pattern)
+    bench.send("page_log", page("m", 1, page_id="good_list", item="Red phone"),
+               page("m", 2, page_id="good_list", item="phone"),
+               page("m", 100_000, page_id="good_list", item="end"))
+    declare_table(
+        bench.topics.stream(TOPICS["page_log"]), "page_view_stream",
+        "common map<string,string>, page map<string,string>, ts bigint",
+        "timestamp_seconds(ts div 1000)", "2 seconds",
+    )
+    found = run_available(
+        keyword_stats_sql(bench.spark, "page_view_stream", "10 seconds"), "keyword-sql"
+    )
+    assert {(r.keyword, r.ct, r.stt) for r in found.collect()} == {
+        ("red", 1, when(0)), ("phone", 2, when(0)),
+    }
+
+
+def test_stored_dimensions_enrich_orders(bench, tmp_path):
+    """Dimension tables filled by the routing job serve the lookups as they are."""
+    dims = dict(_dims(bench.spark))
+    user = DimTable(bench.spark, str(tmp_path), "dim_user", ["id", "gender", "birthday"])
+    user.create()
+    feed = bench.spark.createDataFrame(
+        [({"id": "1", "gender": "F", "birthday": "2000-01-01"}, 1),
+         ({"id": "1", "gender": "M"}, 2)],
+        "after map<string,string>, ts bigint",
+    )
+    user.upsert(feed, 0, ["ts"])
+    dims["user"] = user.read()
+    facts = bench.spark.createDataFrame(
+        [(1, 3, 9, None), (2, 3, 9, None)],
+        "user_id bigint, province_id bigint, sku_id bigint, sku_name string",
+    )
+    at = F.lit("2020-12-31 00:00:00").cast("timestamp")
+    rows = enrich_orders(facts, dims, bench.w.settings, at).collect()
+    got = {r.user_id: (r.user_gender, r.user_age, r.spu_name) for r in rows}
+    assert got == {1: ("M", 21, "spu six"), 2: (None, None, "spu six")}
