@@ -514,6 +514,14 @@ SELECT concat('{"operation":"', CASE o_orderkey % 4 WHEN 0 THEN 'delete' WHEN 1
             WHEN 2 THEN 'create' ELSE 'read' END,
        '","data":{"o_orderkey":"', o_orderkey, '"},"database":"shop","table":"order_info"}')
        AS value
+FROM orders""",
+    "cdc_parse_text": """
+SELECT 'shop' AS database, 'order_info' AS table_name,
+       CASE o_orderkey % 3 WHEN 0 THEN 'insert' WHEN 1 THEN 'update' ELSE 'delete' END AS type,
+       o_orderkey AS ts,
+       CASE WHEN o_orderkey % 3 < 2 THEN o_orderkey END AS after_key,
+       CASE WHEN o_orderkey % 3 < 2 THEN o_orderstatus END AS after_status,
+       CASE WHEN o_orderkey % 3 = 2 THEN o_orderkey END AS before_key
 FROM orders""",
     "cdc_snapshot_and_changes": """
 SELECT 'insert' AS type, CAST(o_orderkey AS VARCHAR) AS o_orderkey,

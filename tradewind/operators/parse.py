@@ -13,15 +13,17 @@ from tradewind.functions import json as J
 from tradewind.functions import times
 
 
-def parse_records(raw: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
+def parse_records(
+    raw: DataFrame, schema: T.StructType, value: str = "value", keep: Sequence[str] = ()
+) -> DataFrame:
     """JSON text column -> one typed column per schema field.
 
     A number may be written bare or quoted. The text is parsed once: the parsed struct
-    is its own projection and the casts read from it.
+    is its own projection and the casts read from it. ``keep`` names raw columns to carry.
     """
-    parsed = raw.select(F.from_json(F.col(value), J.text_schema(schema)).alias("_r"))
-    return parsed.select(
-        *(J.typed(F.col("_r")[f.name], f.dataType).alias(f.name) for f in schema)
+    text = F.from_json(F.col(value), J.text_schema(schema))
+    return raw.select(text.alias("_r"), *keep).select(
+        *(J.typed(F.col("_r")[f.name], f.dataType).alias(f.name) for f in schema), *keep
     )
 
 

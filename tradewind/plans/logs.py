@@ -10,7 +10,6 @@ from pyspark.sql import types as T
 
 from tradewind import schemas
 from tradewind.config import Settings
-from tradewind.functions import json as J
 from tradewind.operators.parse import mark_json, parse_records
 from tradewind.operators.route import explode_displays, mark_log
 from tradewind.operators.visits import bounces, repair_new_visitor, unique_visits
@@ -21,12 +20,8 @@ def parse_pages(
     raw: DataFrame, schema: T.StructType = schemas.PAGE_LOG, keep: Sequence[str] = ()
 ) -> DataFrame:
     """Page-log text -> records with ``rowtime``; ``keep`` names raw columns to carry."""
-    parsed = raw.select(
-        F.from_json("value", J.text_schema(schema)).alias("_r"), *keep
-    )
-    return parsed.select(
-        *(J.typed(F.col("_r")[f.name], f.dataType).alias(f.name) for f in schema), *keep
-    ).withColumn("rowtime", F.timestamp_millis("ts"))
+    parsed = parse_records(raw, schema, keep=keep)
+    return parsed.withColumn("rowtime", F.timestamp_millis("ts"))
 
 
 def repaired_logs(

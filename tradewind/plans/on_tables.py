@@ -12,6 +12,7 @@ from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradewind.config import SEARCH_PAGE, TIME_FORMAT, Settings
 from tradewind.functions import text, times
@@ -28,6 +29,7 @@ from tradewind.operators.keywords import piece_counts, word_counts
 from tradewind.operators.parse import (
     mark_json,
     normalise_changes,
+    parse_changes,
     parse_records,
     snapshot_changes,
     split_lines,
@@ -560,8 +562,6 @@ def log_display_explode(spark: SparkSession, sf: str) -> DataFrame:
 @_query
 def json_records(spark: SparkSession, sf: str) -> DataFrame:
     """Text to record and back: rows are rendered as topic text, then parsed."""
-    from pyspark.sql import types as T
-
     inner = T.StructType([T.StructField("k", T.LongType())])
     outer = T.StructType(
         [T.StructField("event_id", T.LongType()), T.StructField("props", T.StringType())]
@@ -704,6 +704,30 @@ def cdc_envelope_text(spark: SparkSession, sf: str) -> DataFrame:
     return C.feed_to_topic(records)
 
 
+@_query
+def cdc_parse_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Envelope text in every producer's spelling -> the one canonical shape."""
+    turn = F.col("o_orderkey") % 3
+    image = F.struct("o_orderkey", "o_orderstatus")
+    envelope = F.struct(
+        F.lit("shop").alias("database"), F.lit("order_info").alias("table"),
+        F.when(turn == 0, "create").alias("operation"),
+        F.when(turn == 1, "UPDATE").alias("type"),
+        F.when(turn == 2, "d").alias("op"),
+        F.when(turn == 0, image).alias("after"),
+        F.when(turn == 1, image).alias("data"),
+        F.when(turn == 2, image).alias("before"),
+        F.col("o_orderkey").alias("ts_ms"),
+    )
+    raw = shop.table(spark, sf, "orders").select(F.to_json(envelope).alias("value"))
+    return parse_changes(raw).select(
+        "database", F.col("table").alias("table_name"), "type", "ts",
+        F.try_element_at("after", F.lit("o_orderkey")).cast("bigint").alias("after_key"),
+        F.try_element_at("after", F.lit("o_orderstatus")).cast("string").alias("after_status"),
+        F.try_element_at("before", F.lit("o_orderkey")).cast("bigint").alias("before_key"),
+    )
+
+
 @_query
 def cdc_snapshot_and_changes(spark: SparkSession, sf: str) -> DataFrame:
     """A feed that starts from the present rows and goes on with the changes."""

@@ -36,7 +36,7 @@ def _money(column: str) -> Column:
 def order_info(orders: DataFrame, customer: DataFrame) -> DataFrame:
     who = customer.select("c_custkey", "c_nationkey")
     none = F.lit(None).cast("decimal(16,2)")
-    return orders.join(who, orders.o_custkey == who.c_custkey, "left").select(
+    placed = orders.join(who, orders.o_custkey == who.c_custkey, "left").select(
         F.col("o_orderkey").alias("id"),
         F.col("c_nationkey").cast("bigint").alias("province_id"),
         F.col("o_orderstatus").alias("order_status"),
@@ -47,10 +47,14 @@ def order_info(orders: DataFrame, customer: DataFrame) -> DataFrame:
         none.alias("original_total_amount"),
         none.alias("feight_fee"),
         F.date_format("o_orderdate", TIME_FORMAT).alias("create_time"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("create_date"),
-        F.date_format("o_orderdate", "HH").alias("create_hour"),
         _ts("o_orderdate").alias("rowtime"),
     )
+    return placed.withColumns(
+        {
+            "create_date": F.substring("create_time", 1, 10),
+            "create_hour": F.substring("create_time", 12, 2),
+        }
+    )
 
 
 def order_detail(lineitem: DataFrame) -> DataFrame:
