@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tradewind.llm.common import table
 from tradewind.llm.exact_dedup import exact_duplicates
+from tradewind.llm.near_dedup import near_duplicates
+from tradewind.llm.quality import score_quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -21,6 +23,35 @@ def _query(fn: Query) -> Query:
     return fn
 
 
+@_query
+def op2_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return near_duplicates(table(spark, sf, "documents"))
+
+
+ORACLE["op2_near_dedup"] = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+                                    '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+mutual AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS m
+         FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+link AS (SELECT a, b FROM mutual JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+         WHERE 100 * m >= 75 * (x.n + y.n - m)),
+reach AS (SELECT doc_id, doc_id AS node FROM documents
+          UNION SELECT reach.doc_id, link.b FROM reach JOIN link ON link.a = reach.node),
+low AS (SELECT doc_id, min(node) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM low LEFT JOIN n USING (doc_id)
+"""
+
+
+@_query
+def op6_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return score_quality(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 @_query
 def op3_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_duplicates(table(spark, sf, "documents"))
