@@ -113,7 +113,7 @@ def document_statistics(docs: DataFrame) -> DataFrame:
 
 
 def held_out(column: str = "doc_id") -> Column:
-    return F.crc32(id_out(column).cast("string").cast("binary")) % 3 == 1
+    return F.coalesce(F.crc32(id_out(column).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
 @dataclass(frozen=True)
@@ -223,3 +223,20 @@ def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+def keep_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of docs that are predicted 1, with all their columns, in one pass."""
+    model = fit_quality(document_statistics(docs), labels)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            at = whole.schema.get_field_index("text")
+            text = pa.RecordBatch.from_arrays([whole.column(at).fill_null("")], ["text"])
+            begin = 0
+            for batch in W.slices(text):
+                keep = model.scores(statistics(batch)) >= 0.5
+                yield whole.slice(begin, batch.num_rows).filter(pa.array(keep))
+                begin += batch.num_rows
+
+    return docs.mapInArrow(run, docs.schema)

@@ -4,12 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tradewind.llm.common import table
+from tradewind.llm.context_tree import score_texts
 from tradewind.llm.exact_dedup import exact_duplicates
+from tradewind.llm.fingerprints import as_text, fingerprints
+from tradewind.llm.mixing import mix_sources
 from tradewind.llm.near_dedup import near_duplicates
+from tradewind.llm.packing import pack
 from tradewind.llm.quality import score_quality
+from tradewind.llm.secrets import BASE_KINDS, find_secrets
+from tradewind.llm.token_files import read_token_files, write_token_files
+from tradewind.llm.url_filter import judge_urls
+from tradewind.session import run_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -23,6 +33,15 @@ def _query(fn: Query) -> Query:
     return fn
 
 
+@_query
+def op1_pack(spark: SparkSession, sf: str) -> DataFrame:
+    pieces = pack(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens", "sequence_id", "offset",
+    )
+
+
 @_query
 def op2_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(table(spark, sf, "documents"))
@@ -47,6 +66,20 @@ FROM low LEFT JOIN n USING (doc_id)
 """
 
 
+@_query
+def op4_context_tree(spark: SparkSession, sf: str) -> DataFrame:
+    return score_texts(table(spark, sf, "documents"))
+
+
+@_query
+def op5_syncmers(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprints(table(spark, sf, "documents")).select(
+        "doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"),
+        as_text("sketch").alias("fingerprint"), as_text("edited_sketch").alias("edited_fingerprint"),
+        "near_edited", "near_next",
+    )
+
+
 @_query
 def op6_quality(spark: SparkSession, sf: str) -> DataFrame:
     return score_quality(table(spark, sf, "documents"), table(spark, sf, "labels"))
@@ -63,3 +96,55 @@ g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t
 SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, sha256(d.t) AS text_sha256
 FROM d JOIN g USING (t)
 """
+
+
+@_query
+def op7_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    def joined(spans):
+        named = F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end))
+        return F.array_join(named, ",")
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s.kind.isin(*BASE_KINDS))
+    return find_secrets(table(spark, sf, "documents")).select(
+        "doc_id", *(count(k) for k in BASE_KINDS),
+        F.sha2(joined(base), 256).alias("base_sha256"), joined("spans").alias("spans"),
+    )
+
+
+#: (action, host, path)
+URL_RULES = (
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+)
+
+
+@_query
+def op8_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    rows = F.array(*(
+        F.struct(F.lit(a).alias("action"), F.lit(h).alias("host"), F.lit(p).alias("path"))
+        for a, h, p in URL_RULES
+    ))
+    rules = spark.range(1).select(F.inline(rows))
+    return judge_urls(table(spark, sf, "pages"), rules)
+
+
+@_query
+def op9_mix(spark: SparkSession, sf: str) -> DataFrame:
+    return mix_sources(table(spark, sf, "documents"))
+
+
+@_query
+def op10_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    path = run_dir(spark, "token-files")
+    write_token_files(
+        table(spark, sf, "documents"), path, public_tokenizers.path("word_bpe_49k.json")
+    )
+    return read_token_files(spark, path).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )

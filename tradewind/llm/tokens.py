@@ -56,8 +56,9 @@ class PieceCache:
         self.clear()
 
     def clear(self) -> None:
-        self.keys = np.zeros(self.most * 4, np.uint64)
-        self.slot_piece = np.zeros(self.most * 4, np.int32)
+        size = 1 << (self.most * 4 - 1).bit_length()  # steps wrap by a mask
+        self.keys = np.zeros(size, np.uint64)
+        self.slot_piece = np.zeros(size, np.int32)
         self.begins = np.zeros(self.most, np.int64)
         self.counts = np.zeros(self.most, np.int32)
         self.ids = np.zeros(self.most * 4, np.uint32)

@@ -106,7 +106,7 @@ def shingle_hashes(words: np.ndarray, first: np.ndarray, width: int = 5) -> tupl
     counts = np.diff(first)
     many = np.where(counts >= width, counts - width + 1, (counts > 0).astype(np.int64))
     total = np.zeros(n, np.uint64)
-    for t in range(width):
+    for t in range(min(width, n)):
         total[: n - t] += words[t:] * SHINGLE[t]
     out_first = np.concatenate(([0], np.cumsum(many)))
     text = np.repeat(np.arange(len(counts)), many)
