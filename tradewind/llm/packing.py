@@ -76,7 +76,7 @@ def _cut(length: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in W.slices(whole, "ids", 8_000_000):
+            for batch in W.slices(whole, "ids", 4_000_000):
                 doc, begin, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
                 total = int(n.sum())
                 ids = ids_of(W.flat(batch.column(3))[0], n, total)
