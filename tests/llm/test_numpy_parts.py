@@ -6,6 +6,7 @@ import base64
 import json
 import math
 import random
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -218,40 +219,82 @@ def test_spans_of_all_kinds():
     assert [s[2] for s in find_spans("\u017fecret=abcdefg to\u212aen=abcdefg")] == []
 
 
-def plain_tree(counts, prefix, depth):
-    """(log weighted probability, P(next one) by context) of the bit tree, recursively."""
-    zeros = sum(n0 for c, (n0, _) in counts.items() if c.startswith(prefix))
-    ones = sum(n1 for c, (_, n1) in counts.items() if c.startswith(prefix))
+def plain_tree(counts, context, node, depth):
+    """(log weighted probability, next-one probability for every longer context), recursively.
+
+    counts: {(bytes, nearest first), node: [zeros, ones]}.
+    """
+    below = {c[: len(context) + 1] for c, t in counts if t == node and c[: len(context)] == context}
+    zeros, ones = (sum(v[i] for (c, t), v in counts.items() if t == node and c[: len(context)] == context) for i in (0, 1))
     own, n = 0.0, 0
-    for i in range(int(zeros)):
-        own, n = own + math.log((i + 0.5) / (n + 1)), n + 1
-    for i in range(int(ones)):
-        own, n = own + math.log((i + 0.5) / (n + 1)), n + 1
+    for many in (zeros, ones):
+        for i in range(int(many)):
+            own, n = own + math.log((i + 0.5) / (n + 1)), n + 1
     one = (ones + 0.5) / (zeros + ones + 1)
-    if len(prefix) == depth:
-        return own, {prefix: one}
-    (w0, p0), (w1, p1) = (plain_tree(counts, prefix + b, depth) for b in "01")
-    weighted = math.log(0.5 * math.exp(own) + 0.5 * math.exp(w0 + w1))
+    seen = zeros + ones > 0
+    if len(context) == depth:
+        return own, {context: one if seen else None}
+    deeper = [plain_tree(counts, c, node, depth) for c in sorted(below)]
+    weighted = math.log(0.5 * math.exp(own) + 0.5 * math.exp(sum(w for w, _ in deeper)))
     weight = 0.5 * math.exp(own - weighted)
-    return weighted, {c: weight * one + (1 - weight) * p for c, p in {**p0, **p1}.items()}
+    mixed = lambda p: None if not seen else one if p is None else weight * one + (1 - weight) * p
+    return weighted, {c: mixed(p) for _, each in deeper for c, p in each.items()}
+
+
+def plain_values(counted):
+    """{run: log10 probability of its last byte} of runs with their training counts."""
+    counts = defaultdict(lambda: [0, 0])
+    for run, n in counted.items():
+        for bit in range(8):
+            counts[run[:-1], (1 << bit) | (run[-1] >> (8 - bit))][(run[-1] >> (7 - bit)) & 1] += n
+    trees = {t: plain_tree(counts, b"", t, C.DEPTH)[1] for t in {t for _, t in counts}}
+    out = {}
+    for run in counted:
+        out[run] = 0.0
+        for bit in range(8):
+            p = trees[(1 << bit) | (run[-1] >> (8 - bit))][run[:-1]]
+            p = 0.5 if p is None else p
+            out[run] += math.log10(p if (run[-1] >> (7 - bit)) & 1 else 1 - p)
+    return out
+
+
+def numpy_values(counted):
+    runs = np.array(sorted(int.from_bytes(r, "big") for r in counted), np.uint64)
+    n = np.array([counted[int(r).to_bytes(C.DEPTH + 1, "big")] for r in runs])
+    value, rows = np.zeros(len(runs)), []
+    parts = runs >> np.uint64(32)
+    for part in np.unique(parts):
+        rows += [C.subtree(runs[parts == part], n[parts == part], bit)[1] for bit in range(8)]
+    sums = defaultdict(lambda: np.zeros(3))
+    for names, *numbers in rows:
+        for name, *x in zip(names.tolist(), *numbers, strict=True):
+            sums[name >> 16, name & 255] += x
+    keys = np.array(list(sums))
+    top = C.Top(keys[:, 0], keys[:, 1], *np.array(list(sums.values())).T)
+    for part in np.unique(parts):
+        own = parts == part
+        for bit in range(8):
+            node, one = C.decisions(runs[own], bit)
+            p = top.finish(C.subtree(runs[own], n[own], bit)[0], (runs[own] >> np.uint64(40)).astype(np.int64), node)
+            value[own] += np.log10(np.where(one == 1, p, 1 - p))
+    return {int(r).to_bytes(C.DEPTH + 1, "big"): v for r, v in zip(runs, value, strict=True)}
 
 
 def test_tree_against_the_recursion():
-    rng = np.random.default_rng(8)
-    counts = rng.integers(0, 3, (8, 256)) * (rng.random((8, 256)) < 0.05)
-    p, weighted = C.subtree(counts)
-    for node in (0, 1, 2, 5, 254):
-        zeros, ones = C.node_counts(counts)
-        by = {format(c, "03b"): (zeros[c, node], ones[c, node]) for c in range(8)}
-        want, each = plain_tree(by, "", 3)
-        assert weighted[node] == pytest.approx(want, abs=1e-7)
-        assert p[:, node] == pytest.approx([each[format(c, "03b")] for c in range(8)])
-    # Levels above the parts, joined, are the same tree.
-    halves = [C.subtree(counts[:4]), C.subtree(counts[4:])]
-    a, b = np.moveaxis(C.above(np.stack([counts[:4].sum(0), counts[4:].sum(0)]), np.stack([h[1] for h in halves])), 1, 0)
-    joined = np.concatenate([a[i] + b[i] * halves[i][0] for i in (0, 1)])
-    assert joined == pytest.approx(p)
-    assert 10 ** C.byte_log10(p) @ np.ones(256) == pytest.approx(np.ones(8))
+    rng = random.Random(8)
+    counted = {bytes(rng.choice(b"ab c") for _ in range(C.DEPTH + 1)): rng.randint(0, 3) for _ in range(150)}
+    want, got = plain_values(counted), numpy_values(counted)
+    assert got == pytest.approx(want, rel=1e-6)
+    assert {0} < set(counted.values())
+
+
+def test_values_table():
+    rng = np.random.default_rng(2)
+    keys = np.unique(rng.integers(1, 2**63, 5000, dtype=np.uint64))
+    table = C.Values(keys[::2], np.arange(len(keys[::2])) + 1.0)
+    want = np.zeros(len(keys))
+    want[::2] = np.arange(len(keys[::2])) + 1
+    assert (table[keys] == want).all()
 
 
 def test_log_gamma():
@@ -259,15 +302,11 @@ def test_log_gamma():
     assert C.log_gamma(x) == pytest.approx([math.lgamma(v) for v in x], rel=1e-9, abs=1e-9)
 
 
-@given(st.lists(TEXT, min_size=1, max_size=5))
-@settings(deadline=None, max_examples=60)
-def test_cells_look_back_inside_their_text(texts):
+def test_runs_look_back_inside_their_text():
+    texts = ["", "ab", "é x" * 3, "", "z"]
     data, offsets = W.flat(batch_of(texts).column(1))
-    cells, first = C.cells_of(data, offsets)
+    runs, first = C.runs_of(data, offsets)
     for i, text in enumerate(texts):
-        seen = bytes([10] * 3) + text.encode() + b"\xff"
-        want = [
-            (int(C.NEAR[seen[j - 1]]) << 10 | int(C.FAR[seen[j - 2]]) << 5 | int(C.FAR[seen[j - 3]])) << 8 | seen[j]
-            for j in range(3, len(seen))
-        ]
-        assert cells[first[i] : first[i + 1]].tolist() == want
+        seen = bytes([C.START_BYTE] * C.DEPTH) + text.encode() + bytes([C.END_BYTE])
+        want = [seen[j - C.DEPTH : j][::-1] + seen[j : j + 1] for j in range(C.DEPTH, len(seen))]
+        assert [int(r).to_bytes(C.DEPTH + 1, "big") for r in runs[first[i] : first[i + 1]]] == want

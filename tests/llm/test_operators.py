@@ -11,7 +11,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
-from test_numpy_parts import plain_words
+from test_numpy_parts import numpy_values, plain_words
 from tokenizers import Tokenizer
 
 from tradewind.llm import context_tree as C
@@ -186,6 +186,11 @@ def test_token_files(spark, rows, tmp_path):
         at += len(ids)
 
 
+def plain_runs(text):
+    seen = bytes([C.START_BYTE] * C.DEPTH) + ascii_lower(text).encode() + bytes([C.END_BYTE])
+    return [seen[j - C.DEPTH : j][::-1] + seen[j : j + 1] for j in range(C.DEPTH, len(seen))]
+
+
 def test_scores_of_texts(spark, rows):
     got = score_by_id = defaultdict(list)
     for r in C.score_texts(frame(spark, rows)).collect():
@@ -195,25 +200,19 @@ def test_scores_of_texts(spark, rows):
     counts = Counter(w for t in train for w in plain_words(t))
     counts["\0end"] = len(train)
     total, distinct = sum(counts.values()), len(counts)
-    cells = np.zeros(C.CELLS, np.int64)
-    for t in train:
-        raw = ascii_lower(t).encode()
-        cell, _ = C.cells_of(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
-        np.add.at(cells, cell, 1)
-    part = cells.reshape(C.PARTS, -1, 256)
-    trees = [C.subtree(p) for p in part]
-    factors = C.above(part.sum(1), np.array([w for _, w in trees]))
-    logs = np.concatenate([C.byte_log10(a + b * p).ravel() for (a, b), (p, _) in zip(factors, trees, strict=True)])
+    counted = Counter()
+    for doc, text in rows:
+        for run in plain_runs(text):
+            counted[run] += not held[doc]
+    logs = numpy_values(counted)
     for doc, text in rows:
         words = [*plain_words(text or ""), "\0end"]
         base = sum(math.log10((counts[w] + 1) / (total + distinct + 1)) for w in words)
-        raw = ascii_lower(text).encode()
-        cell, _ = C.cells_of(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
         r = got[doc][0]
         assert (r["held_out"], r["n_tokens"], r["train_tokens"]) == (held[doc], len(words), total)
         assert r["n_known"] == sum(counts[w] > 0 for w in words)
         assert r["base_score"] == pytest.approx(base)
-        assert r["score"] == pytest.approx(float(logs[cell].sum()), rel=1e-5)
+        assert r["score"] == pytest.approx(sum(logs[run] for run in plain_runs(text)), rel=1e-5)
     assert len(got) == len({d for d, _ in rows})
 
 
@@ -222,7 +221,7 @@ def test_tree_learns_more_than_single_words(spark):
     parts = ["".join(rng.choice("abcdefghijklmnop") for _ in range(2)) for _ in range(12)]
     make = lambda: " ".join("".join(rng.choice(parts) for _ in range(3)) for _ in range(60))
     out = C.score_texts(frame(spark, [(i, make()) for i in range(400)])).where("held_out").collect()
-    assert sum(r["score"] for r in out) > 0.8 * sum(r["base_score"] for r in out)
+    assert sum(r["score"] for r in out) > sum(r["base_score"] for r in out)
 
 
 def test_fingerprints(spark, rows):

@@ -1,26 +1,23 @@
 """Language-model scoring by context-tree weighting over binary decisions.
 
-A byte is coded as eight binary decisions, and its context as 16 bits: six for the class of
-the byte before it, then five each for the two before that. At every decision the tree of
-context bits mixes, over all depths from 0 to 16, the Krichevsky-Trofimov estimates of its
-nodes with the weights of context-tree weighting: a node's weighted probability is half its
-own estimate and half the product of its two children's. A text's code length is the sum
-over its bytes and an end mark; texts are lower-cased (A-Z).
-
-- Counts of (context, byte) are summed over all training texts. There are 2**24 cells at
-  most, so the finished table of log-probabilities has a fixed size (64 MB) whatever the
-  corpus, and can be broadcast.
-- The tree is weighted in 64 parts by the first six context bits; only one node of each
-  (a few KB) meets the others, to form the six levels above them.
-- The word counts of the base score grow with the corpus and are never broadcast: texts go
-  to chunks of bounded size, a chunk asks for the counts of its distinct words in a join,
-  and scores its texts with the answers.
+A byte is coded as eight binary decisions, each in the context of the five bytes before it.
+At every decision the tree of contexts mixes, over all depths from 0 to 5 bytes, the
+Krichevsky-Trofimov estimates of its nodes with the weights of context-tree weighting: a
+node's weighted probability is half its own estimate and half the product of its
+children's. Where training never saw a deeper node, the mix ends above it. A text's code
+length is the sum over its bytes and an end mark; texts are lower-cased (A-Z).
+
+Neither the counts of the tree nor those of words are ever broadcast or gathered. Texts go
+to chunks of bounded size. A chunk reports the distinct words and six-byte runs of its
+texts with their training counts; those are summed for the corpus; the tree is weighted in
+parts that share the two nearest context bytes, of which only sums by the nearest byte
+(65,536 rows at most) reach the driver to form the two levels above; and every chunk gets
+back, by a join, the values of just the words and runs it holds.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,56 +25,36 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm import words as W
-from tradewind.llm.common import id_out, partitions, stored, texts
-
-DEPTH, TOP, PARTS = 16, 6, 64
-CELLS = 1 << (DEPTH + 8)
-END_BYTE, START_BYTE, BEFORE = 255, 10, 3
-END_WORD = np.uint64(0x5EED_0F_E4D)
-CHUNK_BYTES = 32_000_000
-FLUSH_SLICES = 64
-
-
-def _codes() -> tuple[np.ndarray, np.ndarray]:
-    """Byte to its 6-bit and 5-bit class; letters that are alike share leading bits."""
-    letters = b"eaoiuynrlmhwtscdgzpbfvkjqx"
-    near, far = np.full(256, 63, np.int64), np.full(256, 28, np.int64)
-    for code, byte in enumerate(letters):
-        near[byte] = far[byte] = code
-    for code, group in enumerate((b" ", b"\n", b"\t\r\v\f", b".", b",", b"!?", b";:", b"'\"", b"-", b"()[]{}", b"|", b"*#", b"%$&@", b"/\\_=+<>~^`")):
-        near[list(group)] = 26 + code
-        far[list(group)] = 26 if code == 0 else 27 if code < 3 else 28
-    near[list(b"0123456789")], far[list(b"0123456789")] = 40, 29
-    for byte in range(0x80, 0xC0):
-        near[byte], far[byte] = 41 + (byte & 15), 31
-    for byte in range(0xC0, 256):
-        near[byte] = {0xC2: 57, 0xC3: 58}.get(byte, 59 + (byte > 0xDF) + (byte > 0xEF))
-        far[byte] = 30
-    return near, far
-
-
-NEAR, FAR = _codes()
-
-
-def cells_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(cells, offsets): the (context, byte) cell of every byte and of every text's end."""
+from tradewind.llm.common import id_out, stored, texts
+
+DEPTH = 5
+END_BYTE, START_BYTE = 255, 10
+#: Keys with this bit are word hashes, the others runs of DEPTH + 1 bytes, nearest first.
+WORD_BIT = np.uint64(1 << 63)
+END_WORD = np.uint64(1 << 63 | 1)
+CHUNK_BYTES = 64_000_000
+SLICE_BYTES = 1_000_000
+
+
+def runs_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(runs, offsets): for every byte and every text's end, the nearest context byte first
+    and the byte itself last, as one number."""
     n_texts, sizes = len(offsets) - 1, np.diff(offsets)
-    step = BEFORE + 1
+    step = DEPTH + 1
     laid = np.full(len(data) + n_texts * step, START_BYTE, np.uint8)
     text = np.repeat(np.arange(n_texts), sizes)
-    laid[np.arange(len(data)) + step * text + BEFORE] = data
+    laid[np.arange(len(data)) + step * text + DEPTH] = data
     laid[offsets[1:] + step * np.arange(1, n_texts + 1) - 1] = END_BYTE
-    cell = (NEAR << 10)[laid[2:-1]]
-    cell |= (FAR << 5)[laid[1:-2]]
-    cell |= FAR[laid[:-3]]
-    cell = (cell << 8) | laid[3:]
-    # Places that lie before a text's first byte are no cells.
-    keep = np.ones(len(cell), bool)
+    n = len(laid) - DEPTH
+    run = np.zeros(n, np.uint64)
+    for back in range(1, DEPTH + 1):
+        run = (run << np.uint64(8)) | laid[DEPTH - back : DEPTH - back + n]
+    run = (run << np.uint64(8)) | laid[DEPTH:]
+    keep = np.ones(n, bool)
     begins = offsets[1:-1] + step * np.arange(1, n_texts)
-    for i in range(BEFORE):
-        keep[begins + i - BEFORE] = False
-    first = offsets + np.arange(n_texts + 1)
-    return cell[keep], first
+    for i in range(DEPTH):  # places before a text's first byte
+        keep[begins + i - DEPTH] = False
+    return run[keep], offsets + np.arange(n_texts + 1)
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -90,17 +67,6 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     return (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + series - np.log(steps)
 
 
-def node_counts(by_byte: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Zeros and ones seen at the 255 decisions (heap order) of rows of 256 byte counts."""
-    levels, sums = [], by_byte
-    for _ in range(8):
-        pairs = sums.reshape(len(sums), -1, 2)
-        levels.append(pairs)
-        sums = pairs.sum(axis=2)
-    both = np.concatenate(levels[::-1], axis=1)
-    return both[:, :, 0].astype(float), both[:, :, 1].astype(float)
-
-
 def estimate(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """Logarithm of the Krichevsky-Trofimov block probability."""
     half = 0.5 * math.log(math.pi)
@@ -111,191 +77,211 @@ def next_one(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return (ones + 0.5) / (zeros + ones + 1)
 
 
-def weigh(by_byte: np.ndarray, below: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(log weighted probability, weight of the own estimate, its next-one probability) of
-    nodes whose children's log weighted probabilities have the sum ``below``."""
-    zeros, ones = node_counts(by_byte)
-    own, one = estimate(zeros, ones), next_one(zeros, ones)
-    if below is None:
-        return own, np.ones_like(own), one
-    weighted = np.logaddexp(own, below) - math.log(2)
-    return weighted, np.exp(own - math.log(2) - weighted), one
-
-
-def subtree(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(next-one probabilities of the leaves, log weighted probability of the root), for the
-    2**m leaves (rows of byte counts) below one node."""
-    rows = len(counts)
-    weighted, _, p = weigh(counts, None)
-    while len(counts) > 1:
-        counts = counts.reshape(-1, 2, 256).sum(axis=1)
-        weighted, weight, one = weigh(counts, weighted.reshape(-1, 2, 255).sum(axis=1))
-        each = rows // len(counts)
-        p = np.repeat(weight * one, each, axis=0) + np.repeat(1 - weight, each, axis=0) * p
-    return p, weighted[0]
-
-
-def above(counts: np.ndarray, weighted: np.ndarray) -> np.ndarray:
-    """For the levels above the parts: (parts, 2, 255) factors a, b with p -> a + b * p."""
-    n = len(counts)
-    a, b = np.zeros((n, 255)), np.ones((n, 255))
-    while len(counts) > 1:
-        counts = counts.reshape(-1, 2, 256).sum(axis=1)
-        weighted, weight, one = weigh(counts, weighted.reshape(-1, 2, 255).sum(axis=1))
-        each = n // len(counts)
-        own, rest = np.repeat(weight * one, each, axis=0), np.repeat(1 - weight, each, axis=0)
-        a, b = own + rest * a, rest * b
-    return np.stack([a, b], axis=1)
-
-
-def byte_log10(p: np.ndarray) -> np.ndarray:
-    """Rows of 255 next-one probabilities to log10 of 256 byte probabilities."""
-    out = np.zeros((len(p), 1))
-    for level in range(8):
-        own = p[:, (1 << level) - 1 : (2 << level) - 1]
-        out = np.stack([out + np.log10(1 - own), out + np.log10(own)], axis=2).reshape(len(p), -1)
-    return out
-
-
-def _dense(part: pa.Table) -> tuple[int, np.ndarray]:
-    cell = part["key"].to_numpy()
-    number = int(cell[0]) >> 18
-    counts = np.zeros(CELLS // PARTS, np.int64)
-    np.add.at(counts, cell - (number << 18), part["n"].to_numpy())
-    return number, counts.reshape(-1, 256)
-
-
-def fit_table(cells: DataFrame) -> np.ndarray:
-    """log10 of the probability of every cell, from its counts (key, n)."""
-    spark = cells.sparkSession
-    empty = spark.range(PARTS).select((F.col("id") * (1 << 18)).alias("key"), F.lit(0).cast("long").alias("n"))
-    parts = cells.unionByName(empty).groupBy(F.shiftright("key", 18).alias("part"))
-
-    def roots(part: pa.Table) -> pa.Table:
-        number, counts = _dense(part)
-        _, weighted = subtree(counts)
-        return pa.table({"part": [number], "counts": [counts.sum(0).tolist()], "weighted": [weighted.tolist()]})
-
-    rows = sorted(parts.applyInArrow(roots, "part long, counts array<long>, weighted array<double>").collect())
-    factors = above(np.array([r["counts"] for r in rows]), np.array([r["weighted"] for r in rows]))
-
-    def leaves(part: pa.Table) -> pa.Table:
-        number, counts = _dense(part)
-        p, _ = subtree(counts)
-        a, b = factors[number]
-        return pa.table({"part": [number], "logs": [byte_log10(a + b * p).astype("<f4").tobytes()]})
-
-    table = np.empty((PARTS, CELLS // PARTS), np.float32)
-    for row in parts.applyInArrow(leaves, "part long, logs binary").toLocalIterator():
-        table[row["part"]] = np.frombuffer(row["logs"], "<f4")
-    return table.ravel()
+def weigh(zeros: np.ndarray, ones: np.ndarray, below: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(log weighted probability, weight of the own estimate) of nodes whose children's log
+    weighted probabilities have the sum ``below``."""
+    own = estimate(zeros, ones) - math.log(2)
+    weighted = np.logaddexp(own, below - math.log(2))
+    return weighted, np.exp(own - weighted)
 
 
-def held_out(column: str = "doc_id") -> Column:
-    return F.coalesce(F.crc32(id_out(column).cast("string").cast("binary")) % 7 == 2, F.lit(False))
+def mix(p: np.ndarray, zeros: np.ndarray, ones: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Next-one probabilities with one more level above; nan where nothing was seen."""
+    one = next_one(zeros, ones)
+    return np.where(zeros + ones > 0, np.where(np.isnan(p), one, weight * one + (1 - weight) * p), np.nan)
 
 
-def _word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    starts, ends, first = W.word_spans(data, offsets)
-    return W.spans_hash(data, starts, ends), first
-
-
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Training texts to rows (kind, key, n): kind 0 word hashes, kind 1 cells."""
-    cells, pending, done = np.zeros(CELLS, np.int64), [], 0
-
-    def words() -> Iterator[pa.RecordBatch]:
-        keys = np.concatenate([k for k, _ in pending])
-        keys, place = np.unique(keys, return_inverse=True)
-        n = np.bincount(place, np.concatenate([c for _, c in pending])).astype(np.int64)
-        for at in range(0, len(keys), 200_000):
-            own = slice(at, at + 200_000)
-            yield _count_rows(0, keys[own].view(np.int64), n[own])
-
-    for whole in batches:
-        for batch in W.slices(whole):
-            data, offsets = W.flat(batch.column(1))
-            data = W.lowered(data)
-            hashes, _ = _word_hashes(data, offsets)
-            pending.append(np.unique(hashes, return_counts=True))
-            pending.append((np.array([END_WORD]), np.array([batch.num_rows])))
-            cell, _ = cells_of(data, offsets)
-            seen, n = np.unique(cell.astype(np.uint32), return_counts=True)
-            cells[seen] += n
-            done += 1
-            if done % FLUSH_SLICES == 0:
-                yield from words()
-                pending = []
-    if pending:
-        yield from words()
-    seen = np.flatnonzero(cells)
-    for at in range(0, len(seen), 200_000):
-        yield _count_rows(1, seen[at : at + 200_000], cells[seen[at : at + 200_000]])
-
-
-def _count_rows(kind: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys, pa.int64()), pa.array(n, pa.int64())],
-        ["kind", "key", "n"],
+def decisions(runs: np.ndarray, bit: int) -> tuple[np.ndarray, np.ndarray]:
+    """(node of the decision by the byte's leading bits, whether it is a one)."""
+    byte = (runs & np.uint64(255)).astype(np.int64)
+    return (1 << bit) | (byte >> (8 - bit)), (byte >> (7 - bit)) & 1
+
+
+def subtree(runs: np.ndarray, n: np.ndarray, bit: int, least: int = 2) -> tuple[np.ndarray, tuple]:
+    """The levels from DEPTH up to ``least`` of one of the eight decisions.
+
+    Gives each run's next-one probability, and for the nodes of level ``least`` (context and
+    decision, zeros, ones, log weighted probability).
+    """
+    node, one = decisions(runs, bit)
+    context = runs >> np.uint64(8)
+    p = np.full(len(runs), np.nan)
+    weighted = first = None
+    for level in range(DEPTH, least - 1, -1):
+        names = ((context >> np.uint64(8 * (DEPTH - level))) << np.uint64(8)) | node.astype(np.uint64)
+        names, here, of = np.unique(names, return_index=True, return_inverse=True)
+        ones = np.bincount(of, n * one, len(names))
+        zeros = np.bincount(of, n * (1 - one), len(names))
+        if weighted is None:
+            weighted, weight = estimate(zeros, ones), np.ones(len(names))
+        else:
+            weighted, weight = weigh(zeros, ones, np.bincount(of[first], weighted, len(names)))
+        first = here
+        p = mix(p, zeros[of], ones[of], weight[of])
+    return p, (names, zeros, ones, weighted)
+
+
+class Top:
+    """The two uppermost levels: by the nearest byte, and without context."""
+
+    def __init__(self, nearest: np.ndarray, node: np.ndarray, zeros: np.ndarray, ones: np.ndarray, below: np.ndarray):
+        shape = (2, 256, 256)  # zeros and ones by nearest byte and decision
+        self.seen = np.zeros(shape)
+        self.seen[0, nearest, node], self.seen[1, nearest, node] = zeros, ones
+        sums = np.zeros(shape[1:])
+        sums[nearest, node] = below
+        weighted, self.weight = weigh(*self.seen, sums)
+        self.root = self.seen.sum(axis=1)
+        _, self.root_weight = weigh(*self.root, weighted.sum(axis=0))
+
+    def finish(self, p: np.ndarray, nearest: np.ndarray, node: np.ndarray) -> np.ndarray:
+        p = mix(p, *self.seen[:, nearest, node], self.weight[nearest, node])
+        p = mix(p, *self.root[:, node], self.root_weight[node])
+        return np.where(np.isnan(p), 0.5, p)
+
+
+def run_values(counts: DataFrame) -> DataFrame:
+    """(key, value): log10 of the probability of the last byte of each run (key, n)."""
+    parts = counts.groupBy(F.shiftright("key", 32).alias("part"))
+
+    def sums(part: pa.Table) -> pa.Table:
+        runs, n = part["key"].to_numpy().view(np.uint64), part["n"].to_numpy()
+        rows = [subtree(runs, n, bit)[1] for bit in range(8)]
+        names = np.concatenate([r[0] for r in rows])
+        return pa.table(
+            {
+                "nearest": (names >> np.uint64(16)).astype(np.int32), "node": (names & np.uint64(255)).astype(np.int32),
+                **{k: np.concatenate([r[i] for r in rows]) for i, k in ((1, "zeros"), (2, "ones"), (3, "below"))},
+            }
+        )
+
+    level = (
+        parts.applyInArrow(sums, "nearest int, node int, zeros double, ones double, below double")
+        .groupBy("nearest", "node").agg(*(F.sum(c).alias(c) for c in ("zeros", "ones", "below")))
+        .toPandas()
     )
+    top = Top(*(level[c].to_numpy() for c in ("nearest", "node", "zeros", "ones", "below")))
 
+    def values(part: pa.Table) -> pa.Table:
+        runs, n = part["key"].to_numpy().view(np.uint64), part["n"].to_numpy()
+        nearest = (runs >> np.uint64(40)).astype(np.int64)
+        value = np.zeros(len(runs))
+        for bit in range(8):
+            node, one = decisions(runs, bit)
+            p = top.finish(subtree(runs, n, bit)[0], nearest, node)
+            value += np.log10(np.where(one == 1, p, 1 - p))
+        return pa.table({"key": part["key"], "value": value})
+
+    return parts.applyInArrow(values, "key long, value double")
+
+
+def held_out(column: str = "doc_id") -> Column:
+    return F.coalesce(F.crc32(id_out(column).cast("string").cast("binary")) % 7 == 2, F.lit(False))
 
-def _asked(chunk: pa.Table) -> pa.Table:
-    """The distinct words of a chunk."""
-    found = [np.array([END_WORD])]
-    for whole in chunk.to_batches():
-        for batch in W.slices(whole):
-            data, offsets = W.flat(batch.column(batch.schema.get_field_index("text")))
-            found.append(np.unique(_word_hashes(W.lowered(data), offsets)[0]))
-    keys = np.unique(np.concatenate(found)).view(np.int64)
-    number = chunk["chunk"][0].as_py()
-    return pa.table({"chunk": pa.array(np.full(len(keys), number), pa.int64()), "key": keys})
+
+def _keys(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(word keys, first word of each text, runs, first run of each text)."""
+    data, offsets = W.flat(batch.column(batch.schema.get_field_index("text")))
+    data = W.lowered(data)
+    starts, ends, first = W.word_spans(data, offsets)
+    return W.spans_hash(data, starts, ends) | WORD_BIT, first, *runs_of(data, offsets)
 
 
-SCORED = "doc_id long, n_tokens long, n_known long, base double, score double"
+def _counted(chunk: pa.Table) -> pa.Table:
+    """The distinct keys of a chunk's texts, each with its number in training texts."""
+    held: list[tuple[np.ndarray, np.ndarray]] = [(np.array([END_WORD]), np.array([0]))]
 
+    def fold() -> None:
+        keys, place = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
+        held[:] = [(keys, np.bincount(place, np.concatenate([c for _, c in held])).astype(np.int64))]
 
-def _scorer(table, total: int, distinct: int):
-    """Texts of a chunk and the counts of its words to scores; table: broadcast logs."""
+    for whole in chunk.to_batches():
+        for batch in W.slices(whole, most=SLICE_BYTES):
+            train = ~batch.column(batch.schema.get_field_index("held_out")).to_numpy(zero_copy_only=False)
+            words, first, runs, run_first = _keys(batch)
+            held.append((np.array([END_WORD]), np.array([train.sum()])))
+            for keys, begin in ((words, first), (runs, run_first)):
+                learned = np.repeat(train, np.diff(begin))
+                held.append(np.unique(keys[learned], return_counts=True))
+                other = np.unique(keys[~learned])
+                held.append((other, np.zeros(len(other), np.int64)))
+            if sum(len(k) for k, _ in held) > 8_000_000:
+                fold()
+    fold()
+    keys, n = held[0]
+    number = np.full(len(keys), chunk["chunk"][0].as_py(), np.int32)
+    return pa.table({"chunk": number, "key": keys.view(np.int64), "n": n})
+
+
+class Values:
+    """Key to value, by an open-addressing table; 0 where the key is missing."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        size = 1 << max(4, int(3 * len(keys)).bit_length())
+        self.mask = size - 1
+        self.keys = np.zeros(size, np.uint64)
+        self.values = np.zeros(size, np.float32)
+        slots = self._slots(keys)
+        while len(keys):
+            free = self.keys[slots] == 0
+            self.keys[slots[free]] = keys[free]
+            placed = self.keys[slots] == keys
+            self.values[slots[placed]] = values[placed]
+            keys, values, slots = keys[~placed], values[~placed], (slots[~placed] + 1) & self.mask
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * W.BASE) >> np.uint64(24)).astype(np.int64) & self.mask
+
+    def __getitem__(self, keys: np.ndarray) -> np.ndarray:
+        slots = self._slots(keys)
+        found = self.keys[slots]
+        out = self.values[slots].astype(float)
+        left = np.flatnonzero(found != keys)
+        out[left] = 0
+        left = left[found[left] != 0]
+        slots = (slots[left] + 1) & self.mask
+        while len(left):
+            found = self.keys[slots]
+            hit = found == keys[left]
+            out[left[hit]] = self.values[slots[hit]]
+            going = ~hit & (found != 0)
+            left, slots = left[going], (slots[going] + 1) & self.mask
+        return out
+
+
+SCORED = pa.schema(
+    [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())]
+)
+SCORED_DDL = "doc_id long, n_tokens long, n_known long, base double, score double"
+
+
+def _scorer(total: int, distinct: int):
+    """Texts of a chunk and the values of its keys to scores."""
     log_all = math.log10(total + distinct + 1)
 
-    def run(chunk: pa.Table, counts: pa.Table) -> pa.Table:
-        keys = counts["key"].to_numpy().view(np.uint64)
-        order = np.argsort(keys)
-        keys, known = keys[order], counts["n"].to_numpy()[order]
-        logs = np.append(np.log10(known + 1.0), 0.0)
-        keys = np.append(keys, np.uint64(2**64 - 1))
-        end_at = int(np.searchsorted(keys[:-1], END_WORD))
-        end_known = end_at < len(known) and keys[end_at] == END_WORD
-        end_log = logs[end_at] if end_known else 0.0
+    def run(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+        table = Values(answers["key"].to_numpy().view(np.uint64), answers["value"].to_numpy())
+        end = float(table[np.array([END_WORD])][0])
         out = []
         for whole in chunk.to_batches():
-            for batch in W.slices(whole):
-                data, offsets = W.flat(batch.column(batch.schema.get_field_index("text")))
-                data = W.lowered(data)
-                n_texts = batch.num_rows
-                hashes, first = _word_hashes(data, offsets)
-                at = np.searchsorted(keys[:-1], hashes)
-                hit = keys[at] == hashes
-                hit &= at < len(known)
-                of = np.repeat(np.arange(n_texts), np.diff(first))
-                sums = np.bincount(of, np.where(hit, logs[at], 0.0), n_texts) + end_log
+            for batch in W.slices(whole, most=SLICE_BYTES):
+                words, first, runs, run_first = _keys(batch)
+                logs = table[words]
+                of = np.repeat(np.arange(batch.num_rows), np.diff(first))
                 n_tokens = np.diff(first) + 1
-                n_known = np.bincount(of, hit, n_texts).astype(np.int64) + int(end_known)
-                cell, cell_first = cells_of(data, offsets)
-                score = np.add.reduceat(table.value[cell].astype(float), cell_first[:-1])
                 out.append(
-                    pa.table(
-                        {
-                            "doc_id": batch.column(batch.schema.get_field_index("doc_id")),
-                            "n_tokens": n_tokens, "n_known": n_known,
-                            "base": sums - n_tokens * log_all, "score": score,
-                        }
+                    pa.RecordBatch.from_arrays(
+                        [
+                            batch.column(batch.schema.get_field_index("doc_id")),
+                            pa.array(n_tokens),
+                            pa.array(np.bincount(of, logs > 0, batch.num_rows).astype(np.int64) + int(end > 0)),
+                            pa.array(np.bincount(of, logs, batch.num_rows) + end - n_tokens * log_all),
+                            pa.array(np.add.reduceat(table[runs], run_first[:-1])),
+                        ],
+                        schema=SCORED,
                     )
                 )
-        schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
-                            ("base", pa.float64()), ("score", pa.float64())])
-        return pa.concat_tables([t.cast(schema) for t in out]) if out else schema.empty_table()
+        return pa.Table.from_batches(out, SCORED)
 
     return run
 
@@ -307,27 +293,23 @@ def score_texts(docs: DataFrame) -> DataFrame:
     model's probability of the text and its end; ``base_score`` is the add-one unigram
     score of its words and an end token. A null or empty text has its end alone. Without
     training rows the base score is 0 and every decision has probability one half.
-    Words are told apart by 64-bit hashes.
+    Words are told apart by 63-bit hashes.
     """
-    spark = docs.sparkSession
-    rows = texts(docs)
-    counts = stored(
-        rows.where(~held_out()).mapInArrow(_counted, "kind int, key long, n long")
-        .groupBy("kind", "key").agg(F.sum("n").alias("n")),
-        "lm-counts",
-    )
-    vocabulary = counts.where("kind = 0").select("key", "n")
-    total, distinct = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    table = spark.sparkContext.broadcast(fit_table(counts.where("kind = 1").select("key", "n")))
-
+    rows = texts(docs).withColumn("held_out", held_out())
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    chunks = max(partitions(spark), -(-size // CHUNK_BYTES)) if size > CHUNK_BYTES else partitions(spark)
-    chunked = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.lit(chunks)))
-    asked = chunked.groupBy("chunk").applyInArrow(_asked, "chunk long, key long")
-    answers = asked.join(vocabulary, "key").select("chunk", "key", "n")
+    chunk = F.pmod(F.xxhash64("doc_id"), F.lit(-(-size // CHUNK_BYTES) + 1)).cast("int")
+    chunked = rows.withColumn("chunk", chunk)
+    held = stored(chunked.groupBy("chunk").applyInArrow(_counted, "chunk int, key long, n long"), "lm-held")
+    counts = stored(held.groupBy("key").agg(F.sum("n").alias("n")), "lm-counts")
+    known = counts.where("key < 0 AND n > 0")
+    total, distinct = known.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    values = run_values(counts.where("key >= 0")).unionByName(
+        known.select("key", F.log10(F.col("n") + 1.0).alias("value"))
+    )
+    answers = held.join(values, "key").select("chunk", "key", "value")
     scored = (
-        chunked.groupBy("chunk").cogroup(answers.groupBy("chunk"))
-        .applyInArrow(_scorer(table, total, distinct), SCORED)
+        chunked.select("doc_id", "text", "chunk").groupBy("chunk").cogroup(answers.groupBy("chunk"))
+        .applyInArrow(_scorer(total, distinct), SCORED_DDL)
     )
     return scored.select(
         id_out("doc_id").alias("doc_id"),

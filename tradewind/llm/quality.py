@@ -43,6 +43,9 @@ for _i, _bytes in enumerate(KINDS):
 ALNUM = np.zeros(256, bool)
 ALNUM[[*KINDS[0], *KINDS[1], *KINDS[2], *range(0x80, 256)]] = True
 
+#: Added to the sizes that shares are taken of, so that very short texts are no outliers.
+FEW_CHARS, FEW_WORDS = 30, 10
+
 FEATURES = (
     "log_chars log_words upper digit newline stop pipe symbol quote wide "
     "word_mean word_spread distinct symbol_end short_word top_word line_mean repeated_line"
@@ -58,7 +61,7 @@ def statistics(batch: pa.RecordBatch) -> np.ndarray:
     kinds = np.bincount(text * N_KINDS + KIND[data], minlength=n_texts * N_KINDS)
     kinds = kinds.reshape(n_texts, N_KINDS).astype(float)
     chars = sizes - kinds[:, N_KINDS - 2]
-    share = np.sqrt(kinds / np.maximum(chars, 1)[:, None])
+    share = np.sqrt(kinds / (chars + FEW_CHARS)[:, None])
 
     starts, ends, first = W.word_spans(data, offsets)
     n_words = np.diff(first).astype(float)
@@ -86,11 +89,12 @@ def statistics(batch: pa.RecordBatch) -> np.ndarray:
         own = line_hash[line_first[i] : line_first[i + 1]]
         repeated[i] = 1 - len(np.unique(own)) / len(own)
 
+    odd_end, short, top = (x / (n_words + FEW_WORDS) for x in (odd_end * per, short * per, top))
     out = np.column_stack(
         [
             np.log1p(chars), np.log1p(n_words), share[:, 1], share[:, 2], share[:, 4], share[:, 5],
-            share[:, 6], share[:, 7], share[:, 8], share[:, 9], np.log1p(mean), np.log1p(spread),
-            distinct / per**0.85, np.sqrt(odd_end), np.sqrt(short), np.sqrt(top / per),
+            share[:, 6], share[:, 7], share[:, 8], share[:, 9], np.log1p((mean * n_words + 6 * FEW_WORDS) / (n_words + FEW_WORDS)), np.log1p(spread),
+            (distinct + FEW_WORDS) / (per + FEW_WORDS) ** 0.85, np.sqrt(odd_end), np.sqrt(short), np.sqrt(top),
             np.log1p(chars / np.maximum(np.diff(line_first), 1)), np.sqrt(repeated),
         ]
     )
