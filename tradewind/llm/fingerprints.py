@@ -22,14 +22,21 @@ from pyspark.sql import functions as F
 from tradewind.llm.common import id_out, stored, texts
 
 K, S, SKETCH = 5, 2, 64
-_UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
-WORD = rf"[{_UNSPACED}]|[^\s{_UNSPACED}]+"
+#: Blocks of scripts that are written without spaces: Thai and Lao, Myanmar, Khmer, kana, Han.
+UNSPACED = "\\u0E00-\\u0EFF\\u1000-\\u109F\\u1780-\\u17FF\\u3040-\\u30FF\\u3400-\\u9FFF\\uF900-\\uFAFF"
+
+
+def word_hashes(text: str) -> Column:
+    """Hashes of the lower-cased words, each character of an unspaced script being one."""
+    spaced = F.when(
+        F.col(text).rlike(f"[{UNSPACED}]"), F.regexp_replace(text, f"([{UNSPACED}])", " $1 ")
+    ).otherwise(F.col(text))
+    return F.transform(F.array_remove(F.split(F.lower(spaced), r"\s+"), ""), lambda w: F.xxhash64(w))
 
 
 def _with_runs(df: DataFrame, text: str) -> DataFrame:
     """Add ``_w``, the word hashes, and ``_s``, the hashes of all runs of s words."""
-    found = F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
-    df = df.withColumn("_w", F.transform(found, lambda w: F.xxhash64(w)))
+    df = df.withColumn("_w", word_hashes(text))
     runs = F.zip_with("_w", F.slice("_w", F.lit(S), F.size("_w")), lambda a, b: F.xxhash64(a, b))
     return df.withColumn("_s", F.slice(runs, F.lit(1), F.greatest(F.size("_w") - (S - 1), F.lit(0))))
 
