@@ -101,8 +101,8 @@ def components(edges: DataFrame, purpose: str) -> DataFrame:
 
     Alternating large-star and small-star steps: each step is a map-side combined minimum
     per node and a join back, so a node with very many edges is never gathered anywhere.
-    Every step is cut by a stored table; the number of steps grows with the logarithm of
-    the longest path.
+    Every round of two steps is cut by a stored table; the number of rounds grows with the
+    logarithm of the longest path.
     """
     def stars(both: DataFrame) -> DataFrame:
         lowest = both.groupBy("a").agg(F.min("b").alias("m"))
@@ -120,12 +120,11 @@ def components(edges: DataFrame, purpose: str) -> DataFrame:
             break
         before = state
         flipped = pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))
-        large = stars(pairs.unionByName(flipped)).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = stored(large.where("a <> b").distinct(), f"{purpose}-large")
-        starred = stars(large)
-        small = starred.select("b", "m").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = stars(pairs.unionByName(flipped)).where("b > a AND b <> m")
+        starred = stars(large.select(F.col("b").alias("a"), F.col("m").alias("b")))
+        small = starred.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         small = small.unionByName(starred.select("a", F.col("m").alias("b")))
-        pairs = stored(small.where("a <> b").distinct(), f"{purpose}-small")
+        pairs = stored(small.where("a <> b").distinct(), f"{purpose}-links")
     heads = pairs.select(F.col("b").alias("node"), F.col("b").alias("component"))
     return (
         pairs.select(F.col("a").alias("node"), F.col("b").alias("component"))

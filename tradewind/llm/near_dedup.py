@@ -11,11 +11,13 @@ similarity of at least 0.75 are linked; groups are the connected components.
 - **Classes**: documents with one and the same set are one node from here on, whatever
   their number, so copies are never compared.
 - **Banding**: 32 bands of 4 slots. A pair at 0.75 shares no band with a chance below 1e-5.
-- **Candidates** without all pairs of a bucket: first every node meets the smallest node of
-  its buckets; then, in buckets whose members are not yet one component, one random pivot
-  meets the members of the other components, for some rounds; what is left open is closed
-  exactly, by pairing the nodes outside a bucket's largest component with the members of
-  other components. A pair of one bucket thus ends up in one component or is compared.
+- **Candidates** without all pairs of a bucket: buckets of two are one pair; elsewhere every
+  node first meets the smallest node of its buckets; then, in buckets whose members are not
+  yet one component, one random pivot meets the members of the other components, for some
+  rounds. What is still open is closed exactly: the nodes outside a bucket's largest
+  component are compared with its other members in blocks of bounded size on both sides,
+  which report one link to each component and no other pairs. A pair of one bucket thus ends
+  up in one component or is compared.
 - **Verification**: pairs whose signatures agree in under half of the slots are dropped
   (more than six standard deviations below 0.75), the others are confirmed on the full sets.
 - **Grouping**: union-find inside each partition of links, then star steps between them.
@@ -37,7 +39,9 @@ from tradewind.llm import words as W
 from tradewind.llm.common import components, id_out, maybe_in, stored, texts
 
 SLOTS, ROWS, WIDTH = 128, 4, 5
-PIVOT_ROUNDS = 3
+PIVOT_ROUNDS = 2
+#: Most outer nodes and members (on average) that a closing block compares.
+BLOCK_OUTER, BLOCK_MEMBERS = 1024, 4096
 AGREE = SLOTS // 2
 EMPTY = np.uint64(2**64 - 1)
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -191,11 +195,10 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     )
     heads = stored(heads, "near-heads")
     bands = heads.select("node", "n", F.explode("bands").alias("band"))
-    buckets = bands.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-    members = stored(
-        bands.join(buckets.where("low < high"), "band").select("band", "node", "n", "low"),
-        "near-members",
-    )
+    buckets = bands.groupBy("band").agg(
+        F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("m")
+    ).where("low < high")
+    members = stored(bands.join(buckets, "band").select("band", "node", "n", "low", "m"), "near-members")
     in_buckets = members.select("node").distinct()
     sets = stored(
         maybe_in(rows, F.col("doc_id"), in_buckets, F.col("node")).mapInArrow(
@@ -211,15 +214,17 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
             "near-links",
         )
 
+    twos = members.where("m = 2 AND node > low").select(F.col("node").alias("a"), F.col("low").alias("b"))
+    members = members.where("m > 2")
     first = members.groupBy("node").agg(F.min("low").alias("b")).where("b < node")
-    links = confirmed(first.select(F.col("node").alias("a"), "b"))
+    pairs = first.select(F.col("node").alias("a"), "b").unionByName(twos).distinct()
+    links = confirmed(pairs)
     for turn in range(PIVOT_ROUNDS + 1):
         groups = components(links.mapInArrow(_forests, "a long, b long"), "near")
-        groups = stored(groups, "near-groups")
-        if turn == PIVOT_ROUNDS:
-            pairs = _closing_pairs(_open_members(members, groups), percent)
-        else:
-            pairs = _pivot_pairs(_open_members(members, groups), turn, percent)
+        left = _open_members(members, stored(groups, "near-groups"))
+        if left.isEmpty():
+            break
+        pairs = _pivot_pairs(left, turn, percent) if turn < PIVOT_ROUNDS else _closing_pairs(left, sets, percent)
         links = links.unionByName(confirmed(pairs))
     groups = components(links.mapInArrow(_forests, "a long, b long"), "near")
 
@@ -268,19 +273,80 @@ def _pivot_pairs(members: DataFrame, turn: int, percent: int) -> DataFrame:
     )
 
 
-def _closing_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """All pairs of one bucket and two components, but none inside its largest component."""
+def _shortened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sets of the upper 32 bits of their elements: enough to find the likely links."""
+    for batch in batches:
+        short = [
+            (np.frombuffer(x.as_buffer(), np.uint64) >> np.uint64(32)).astype(np.uint32).tobytes()
+            for x in batch.column(1)
+        ]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(short, pa.binary())], ["node", "short"])
+
+
+def _closing_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """For the nodes outside a bucket's largest component: a likely link to each component
+    of the bucket that they have one to."""
     shares = members.groupBy("band", "c").agg(F.count("*").alias("m"))
-    largest = shares.groupBy("band").agg(F.max(F.struct("m", "c")).alias("most"))
-    marked = members.join(
-        largest.select("band", F.col("most.c").alias("main")), "band"
+    bands = shares.groupBy("band").agg(F.max(F.struct("m", "c")).alias("most"), F.sum("m").alias("m")).select(
+        "band", F.col("most.c").alias("main"),
+        F.ceil((F.col("m") - F.col("most.m")) / BLOCK_OUTER).cast("int").alias("outer_blocks"),
+        F.ceil(F.col("m") / BLOCK_MEMBERS).cast("int").alias("member_blocks"),
     )
-    outer = marked.where("c <> main").select(
-        "band", F.col("node").alias("x"), F.col("n").alias("x_n"), F.col("c").alias("x_c")
+    marked = members.join(bands, "band").withColumn("h", F.xxhash64("node"))
+    here = F.pmod("h", F.col("outer_blocks")), F.pmod("h", F.col("member_blocks"))
+    every = tuple(F.explode(F.sequence(F.lit(0), F.col(c) - 1)) for c in ("outer_blocks", "member_blocks"))
+    outer = marked.where("c <> main").withColumn("i", here[0].cast("int")).withColumn("j", every[1])
+    member = marked.withColumn("j", here[1].cast("int")).withColumn("i", every[0])
+    rows = outer.select("band", "i", "j", "node", "n", "c", F.lit(True).alias("is_outer")).unionByName(
+        member.select("band", "i", "j", "node", "n", "c", F.lit(False).alias("is_outer"))
     )
+    short = sets.mapInArrow(_shortened, "node long, short binary")
     return (
-        marked.join(outer, "band")
-        .where("c <> x_c AND (c = main OR node < x) AND " + _fits("n", "x_n", percent))
-        .select(F.greatest("node", "x").alias("a"), F.least("node", "x").alias("b"))
-        .distinct()
+        rows.join(short, "node").groupBy("band", "i", "j").applyInArrow(_block_links(percent), "a long, b long").distinct()
     )
+
+
+def _block_links(percent: int, most: int = 4_000_000):
+    """One block's outer nodes against its members, in slices of at most so many matches."""
+
+    def run(block: pa.Table) -> pa.Table:
+        is_outer = block["is_outer"].to_numpy()
+        node, size, c = (block[k].to_numpy() for k in ("node", "n", "c"))
+        held = [np.frombuffer(x.as_buffer(), np.uint32) for x in block["short"]]
+        x, m = np.flatnonzero(is_outer), np.flatnonzero(~is_outer)
+        pairs = []
+        if len(x) and len(m):
+            elements = np.concatenate([held[i] for i in x])
+            owner = np.repeat(np.arange(len(x)), [len(held[i]) for i in x])
+            order = np.argsort(elements, kind="stable")
+            elements, owner = elements[order], owner[order]
+            at = 0
+            while at < len(m):
+                end, matches, hits = at, 0, []
+                while end < len(m) and (end == at or (matches < most and (end - at) * len(x) < most)):
+                    low = np.searchsorted(elements, held[m[end]], "left")
+                    many = np.searchsorted(elements, held[m[end]], "right") - low
+                    total = int(many.sum())
+                    place = np.repeat(low - (np.cumsum(many) - many), many) + np.arange(total)
+                    hits.append(owner[place] + (end - at) * len(x))
+                    matches, end = matches + total, end + 1
+                own = m[at:end]
+                both = np.bincount(np.concatenate(hits), minlength=len(own) * len(x)).reshape(len(own), len(x))
+                union = size[own][:, None] + size[x][None, :] - both
+                good = (100 * both >= percent * union) & (c[own][:, None] != c[x][None, :])
+                i, j = np.nonzero(good)
+                ratio = both[i, j] / union[i, j]
+                best = np.lexsort((-ratio, c[own[i]], j))  # one for each outer node and component
+                i, j = i[best], j[best]
+                new = np.ones(len(i), bool)
+                new[1:] = (j[1:] != j[:-1]) | (c[own[i[1:]]] != c[own[i[:-1]]])
+                pairs += zip(node[own[i[new]]].tolist(), node[x[j[new]]].tolist(), strict=True)
+                at = end
+        return pa.table(
+            {
+                "a": pa.array([max(p) for p in pairs], pa.int64()),
+                "b": pa.array([min(p) for p in pairs], pa.int64()),
+            }
+        )
+
+    return run
