@@ -81,13 +81,13 @@ def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
     own = F.when(F.size("_a") > 0, F.col("_a")).when(
         F.size("_w") > 0, F.array(F.shiftrightunsigned(F.xxhash64("_w"), 32))
     ).otherwise(F.array().cast("array<long>"))
-    df = df.withColumn(name, F.slice(F.array_sort(F.array_distinct(own)), 1, SKETCH))
+    df = df.withColumn(name, F.slice(F.sort_array(F.array_distinct(own)), 1, SKETCH))
     return df.drop("_w", "_s", "_a")
 
 
 def likeness(a: str, b: str) -> Column:
     """From 0 to 1; two empty fingerprints are alike, an empty and another are not."""
-    both = F.slice(F.array_sort(F.array_union(a, b)), 1, SKETCH)
+    both = F.slice(F.sort_array(F.array_union(a, b)), 1, SKETCH)
     shared = F.size(F.array_intersect(F.array_intersect(a, b), both))
     return F.when(F.size(both) == 0, F.lit(1.0)).otherwise(shared / F.size(both))
 
