@@ -150,7 +150,7 @@ bounced AS (
 )"""
 
 
-def _visitor(where: str = "") -> str:
+def _visitor() -> str:
     w = _window("ts", DAY)
     return f"""
 WITH {PAGES},{VISITS},{BOUNCES},
@@ -167,15 +167,7 @@ SELECT {_label("w")} AS stt, {_label(f"w + {DAY * 1_000_000}")} AS edt, vc, ch,
        CAST(sum(uv) AS BIGINT) AS uv_ct, CAST(sum(pv) AS BIGINT) AS pv_ct,
        CAST(sum(sv) AS BIGINT) AS sv_ct, CAST(sum(uj) AS BIGINT) AS uj_ct,
        CAST(sum(dur) AS BIGINT) AS dur_sum
-FROM windowed {where} GROUP BY w, vc, ch, ar, is_new"""
-
-
-def _closed(source: str, ts: str, delay_us: int, width: int) -> str:
-    """Only windows whose end the watermark of a finished stream has passed."""
-    return (
-        f"WHERE w + {width * 1_000_000} <= "
-        f"(SELECT (epoch_us(max({ts})) - {delay_us}) // 1000 * 1000 FROM {source})"
-    )
+FROM windowed GROUP BY w, vc, ch, ar, is_new"""
 
 
 PRODUCT_ROWS = f"""{WIDE},{PAYMENT},{_paid('wide')},{PAGES},{DISPLAYS},
@@ -203,7 +195,7 @@ lifted AS (
 )"""
 
 
-def _product(rows: str = PRODUCT_ROWS, closed: str = "") -> str:
+def _product(rows: str = PRODUCT_ROWS) -> str:
     w = _window("ts", 30 * DAY)
     count = "CAST(coalesce(sum(CASE WHEN metric = '{0}' THEN n END), 0) AS BIGINT)"
     amount = (
@@ -225,40 +217,44 @@ stats AS (
            {amount.format('refund')} AS refund_amount,
            {count.format('comment_ct')} AS comment_ct,
            count(CASE WHEN kind = 'good' THEN 1 END) AS good_comment_ct
-    FROM windowed {closed} GROUP BY w, sku_id
+    FROM windowed GROUP BY w, sku_id
 )
 SELECT stats.*, sku_name, CAST(sku_price AS DOUBLE) AS sku_price, spu_id, spu_name, tm_id,
        tm_name, category3_id, category3_name
 FROM stats LEFT JOIN sku ON stats.sku_id = sku.id"""
 
 
-def _province(measure: str, closed: str = "") -> str:
+def _province(measure: str, zone_hours: int = 0) -> str:
     w = _window("rowtime", DAY)
+    zone = f"{zone_hours} * 3600000000"
     return f"""
 WITH {WIDE}, windowed AS (SELECT *, {w} AS w FROM wide)
-SELECT {_label("w")} AS stt, {_label(f"w + {DAY * 1_000_000}")} AS edt, province_id,
+SELECT {_label(f"w + {zone}")} AS stt, {_label(f"w + {DAY * 1_000_000} + {zone}")} AS edt, province_id,
        province_name, province_area_code, province_iso_code, province_3166_2_code,
        count(DISTINCT order_id) AS order_count, CAST(sum({measure}) AS DOUBLE) AS order_amount
-FROM windowed {closed}
+FROM windowed
 GROUP BY w, province_id, province_name, province_area_code, province_iso_code,
          province_3166_2_code"""
 
 
-WORDS = """
+# Runs of letters, marks and digits in any script; the texts hold no Han.
+TOKEN = r"[\p{L}\p{M}\p{N}]+"
+
+WORDS = f"""
 words AS (
-    SELECT unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS keyword,
+    SELECT unnest(regexp_extract_all(lower(text), '{TOKEN}')) AS keyword,
            TIMESTAMP '2024-01-01 00:00:00' + doc_id * INTERVAL '1' SECOND AS rowtime
     FROM documents
 )"""
 
 
-def _keyword(closed: str = "") -> str:
+def _keyword() -> str:
     w = _window("rowtime", 10)
     return f"""
 WITH {WORDS}, windowed AS (SELECT *, {w} AS w FROM words)
 SELECT keyword, count(*) AS ct, 'SEARCH' AS source, {_label("w")} AS stt,
        {_label("w + 10000000")} AS edt
-FROM windowed {closed} GROUP BY w, keyword"""
+FROM windowed GROUP BY w, keyword"""
 
 
 CHANGES = """
@@ -279,7 +275,6 @@ ORDER_WIDE_COLUMNS = """
     province_3166_2_code, user_age, user_gender, spu_id, tm_id, category3_id, spu_name,
     tm_name, category3_name"""
 
-_BOUNCE_WATERMARK = "(SELECT (epoch_us(max(ts)) - 2000000) // 1000 * 1000 FROM events)"
 
 PAGE_COLUMNS = "event_id, mid, page_id, vc, ch, ar, is_new"
 
@@ -355,9 +350,7 @@ WITH {PAGES},{VISITS} SELECT mid, CAST(CAST(ts AS DATE) AS VARCHAR) AS day FROM
     "bounce_detail": f"WITH {PAGES},{BOUNCES} SELECT {PAGE_COLUMNS}, reason FROM bounced",
     "bounce_detail_stream": f"""
 WITH {PAGES},{BOUNCES}
-SELECT {PAGE_COLUMNS}, reason FROM bounced
-WHERE (reason = 'matched' AND epoch_us(next_ts) <= {_BOUNCE_WATERMARK})
-   OR (reason = 'timeout' AND epoch_us(ts + INTERVAL '6' HOUR) <= {_BOUNCE_WATERMARK})""",
+SELECT {PAGE_COLUMNS}, reason FROM bounced""",
     "new_visitor_repair": f"""
 WITH {PAGES}
 SELECT event_id, mid, is_new AS was_new,
@@ -379,7 +372,7 @@ FROM pages_log WHERE last_page_id IS NULL
 UNION ALL SELECT 'bounce', vc, ch, ar, is_new, strftime(ts, {TIME}), 0, 0, 0, 1, 0
 FROM bounced""",
     "visitor_stats": _visitor(),
-    "visitor_stats_stream": _visitor(_closed("events", "ts", 3_000_000, DAY)),
+    "visitor_stats_stream": _visitor(),
     "product_metric_rows": f"""
 WITH {PRODUCT_ROWS}
 SELECT strftime(ts, {TIME}) AS at, sku_id,
@@ -397,21 +390,17 @@ SELECT strftime(ts, {TIME}) AS at, sku_id,
        CASE WHEN kind <> 'good' THEN kind END AS ref_kind, ref AS ref_id
 FROM lifted""",
     "product_stats": _product(),
-    "product_stats_stream": _product(closed=_closed("lifted", "ts", 0, 30 * DAY)),
+    "product_stats_stream": _product(),
     "province_stats": _province("total_amount"),
     "province_stats_sql": _province("total_amount"),
     "province_stats_split": _province("split_total_amount"),
-    "province_stats_stream": _province(
-        "total_amount", _closed("wide", "rowtime", 1_000_000, DAY)
-    ),
+    "province_stats_stream": _province("total_amount"),
+    "province_stats_sql_stream": _province("total_amount", zone_hours=8),
     "keyword_stats": _keyword(),
-    "keyword_stats_stream": _keyword(
-        "WHERE w + 10000000 <= (SELECT epoch_us(TIMESTAMP '2024-01-01 00:00:00') "
-        "+ max(doc_id) * 1000000 - 2000000 FROM documents)"
-    ),
+    "keyword_stats_stream": _keyword(),
     "keyword_vocabulary_stats": f"""
 WITH RECURSIVE pieces AS (
-    SELECT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS piece,
+    SELECT unnest(regexp_extract_all(lower(text), '{TOKEN}')) AS piece,
            TIMESTAMP '2024-01-01 00:00:00' + doc_id * INTERVAL '1' SECOND AS rowtime
     FROM documents),
 vocabulary AS (SELECT DISTINCT piece AS word FROM pieces WHERE length(piece) BETWEEN 2 AND 4),
@@ -435,7 +424,7 @@ SELECT {_label("w")} AS stt, {_label(f"w + {DAY * 1_000_000}")} AS edt, word AS
 FROM counted JOIN cut USING (piece) WHERE word <> '' GROUP BY w, word""",
     "keyword_stats_sql": f"""
 WITH words AS (
-    SELECT unnest(regexp_extract_all(lower(props), '[a-z0-9]+')) AS keyword, ts
+    SELECT unnest(regexp_extract_all(lower(props), '{TOKEN}')) AS keyword, ts
     FROM events WHERE event_type = 'signup'),
 windowed AS (SELECT *, {_window('ts', DAY)} AS w FROM words)
 SELECT keyword, count(*) AS ct, 'SEARCH' AS source, {_label("w")} AS stt,

@@ -11,7 +11,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    from tradewind.session import build_session
+    from tradewind.session import build_session, clear_run_dirs
 
     session = build_session(
         "tests",
@@ -25,4 +25,5 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("OFF")
     yield session
+    clear_run_dirs(session)
     session.stop()

@@ -271,18 +271,21 @@ def test_keywords(spark):
     ]
     assert words[0][:4] == ["apple", "iphonexsmax", "a2104", "256gb"]
     assert words[0][4:8] == list("深空灰色") and words[1] == [] and words[2] is None
-    vocabulary = ["移动", "移动联通", "电信", "手机", "双卡", "双卡双待", "4g"]
-    best = df.select(text.keyword_tokens(F.col("t"), pattern, vocabulary)).first()[0]
-    assert best[8:] == ["移动联通", "电信", "4g", "手机", "双卡双待"]
+    mixed = spark.createDataFrame([("Apple über Café КАША 手机x ñandú かな e\u0301t",)], "t string")
+    assert mixed.select(text.keyword_tokens(F.col("t"), pattern)).first()[0] == [
+        "apple", "über", "café", "каша", "手", "机", "x", "ñandú", "かな", "e\u0301t"
+    ]
 
 
 def test_keyword_table_function_in_sql(spark):
-    text.register_keyword_split(spark, Settings().keyword_pattern, ["it's", "手机"])
+    text.register_keyword_split(spark, Settings().keyword_pattern)
     rows = spark.sql("""
         SELECT id, word FROM (SELECT 1 AS id, 'IT''s 手机 4G' AS t UNION ALL SELECT 2, ''),
         LATERAL keyword_split(t) AS k(word)
     """).collect()
-    assert [(r.id, r.word) for r in rows] == [(1, "it's"), (1, "手机"), (1, "4g")]
+    assert [(r.id, r.word) for r in rows] == [
+        (1, "it"), (1, "s"), (1, "手"), (1, "机"), (1, "4g")
+    ]
     same = spark.sql("SELECT * FROM ik_analyze('a b')").collect()
     assert [r[0] for r in same] == ["a", "b"]
 
@@ -305,6 +308,28 @@ def test_declared_table(spark):
     assert tuple(row) == ("x", 1609430400000)
 
 
+@pytest.mark.parametrize(("value", "valid"), [
+    ('\n\t{"a": 1}\r\n', True), ('{"a": 1, "a": 2}', True), ("{}", True), ('{"a": {"b": [1, {}]}}', True),
+    ('{"a": 1} x', False), ('{"a": 1},{"b": 2}', False), ("{}],[{}", False), ('{},"w":{}', False),
+    ("{'a': 1}", False), ('{"a": NaN}', False), ('{"a": {"b": [1,}}', False), ("[{}]", False), (None, False),
+])
+def test_json_objects_of_odd_shape(spark, value, valid):
+    from tradewind.functions.json import is_json_object
+
+    df = spark.createDataFrame([(value,)], "v string")
+    assert df.select(is_json_object(F.col("v"))).first()[0] is valid
+
+
+def test_changes_without_a_key_make_no_row(spark):
+    from tradewind.operators.changes import current_state
+
+    feed = spark.createDataFrame(
+        [("insert", {"id": "1"}, 1), ("insert", {"name": "x"}, 2), ("insert", None, 3)],
+        "type string, after map<string,string>, ts bigint",
+    ).withColumn("before", F.lit(None).cast("map<string,string>"))
+    assert [r.id for r in current_state(feed, "id", {"id": "int"}).collect()] == [1]
+
+
 def test_folder_topics_by_row_and_replay(spark, tmp_path):
     topics = FolderTopics(spark, str(tmp_path))
     rows = spark.createDataFrame(
@@ -327,8 +352,9 @@ def test_kafka_options():
     assert topics.write_options("t")["topic"] == "t"
 
 
-def test_cutting_pieces_equals_the_pattern_with_the_same_vocabulary(spark):
+def test_cutting_pieces_takes_the_longest_word_first(spark):
     import random
+    import re
 
     from tradewind.operators.keywords import cut_pieces
 
@@ -337,8 +363,10 @@ def test_cutting_pieces_equals_the_pattern_with_the_same_vocabulary(spark):
     pieces = {"".join(rnd.choices("abcd", k=rnd.randint(1, 30))) for _ in range(80)}
     df = spark.createDataFrame([(p,) for p in pieces], "piece string")
     vocabulary = spark.createDataFrame([(w,) for w in words], "word string")
-    cut = {r.piece: r.words for r in cut_pieces(df, vocabulary, 4).collect()}
-    by_pattern = df.select(
-        "piece", text.keyword_tokens(F.col("piece"), "[a-z]", words).alias("words")
-    ).collect()
-    assert cut == {r.piece: r.words for r in by_pattern}
+    cut = {r.piece: r.words for r in cut_pieces(df, vocabulary).collect()}
+    pattern = "|".join([*sorted(words, key=len, reverse=True), "[a-z]"])
+    assert cut == {p: re.findall(pattern, p) for p in pieces}
+    long = spark.createDataFrame([("手机壳手机",)], "piece string")
+    known = spark.createDataFrame([("手机",), ("手机壳",), ("",)], "word string")
+    assert cut_pieces(long, known).first().words == ["手机壳", "手机"]
+    assert cut_pieces(long, known.filter("false")).first().words == list("手机壳手机")

@@ -21,7 +21,7 @@ def at(seconds: float) -> datetime:
 
 def pages(spark, rows):
     return spark.createDataFrame(
-        [(i, mid, flag, last, at(s)) for i, (mid, s, last, flag) in enumerate(rows)], COLUMNS
+        [(i, mid, flag, last, None if s is None else at(s)) for i, (mid, s, last, flag) in enumerate(rows)], COLUMNS
     )
 
 
@@ -162,6 +162,13 @@ def test_new_visitor_keeps_records_without_device_and_known_devices_old(spark):
     assert found == {0: "1", 1: "1", 2: "1", 3: "0"}
 
 
+def test_new_visitor_with_records_without_time(spark):
+    rows = [("m", None, None, "1"), ("m", 5, None, "1"), ("m", 3, None, "1"),
+            ("n", None, None, "1"), ("n", None, None, "1"), ("m", 9, None, None)]
+    found = flags(repair_new_visitor(pages(spark, rows), **NEW))
+    assert found == {0: "0", 1: "0", 2: "1", 3: "1", 4: "0", 5: None}
+
+
 def test_new_visitor_against_brute_force_with_one_hot_device(spark):
     rnd = random.Random(11)
     rows = [

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import timedelta
 
 # Topic names shared by the jobs that write and read them.
@@ -23,7 +23,6 @@ TOPICS = {
     "bounce": "dwm_user_jump_detail",
     "order_wide": "dwm_order_wide",
     "payment_wide": "dwm_payment_wide",
-    "default": "dwd_default_topic",
 }
 
 # Codes the metrics test for.
@@ -72,9 +71,9 @@ class Settings:
     # How many ways a hot device is split before the streaming de-duplication.
     dedup_salts: int = 8
 
-    # The tokens of a search phrase; one alternative per token class.
-    keyword_pattern: str = r"[a-z0-9]+|[一-鿿]"
-    keyword_vocabulary: tuple[str, ...] = field(default=())
+    # The tokens of a search phrase, in any script: runs of letters, marks and digits;
+    # Han, which is written without spaces, character by character.
+    keyword_pattern: str = r"\p{IsHan}|[\p{L}\p{M}\p{N}&&[^\p{IsHan}]]+"
 
 
 def span(value: timedelta) -> str:

@@ -10,13 +10,20 @@ from pyspark.sql import types as T
 def is_json_object(text: Column) -> Column:
     """True for exactly one well-formed JSON object.
 
-    The parser ignores what follows the first value, so the text is parsed as the only
-    element of an array: trailing text then breaks the array.
+    White space around it and repeated keys are well-formed. The parser ignores what
+    follows the first value, so the text is parsed as the only element of an array and
+    as the only field of an object: no trailing text fits both.
     """
-    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    alone = F.try_variant_get(wrapped, "$[1]", "variant").isNull()
-    braces = F.trim(text).rlike(r"(?s)^\{.*\}$")
-    return F.coalesce(wrapped.isNotNull() & alone & braces, F.lit(False))
+    strict = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+    listed = F.from_json(
+        F.concat(F.lit("["), text, F.lit("]")), "array<map<string,string>>", strict
+    )
+    named = F.from_json(
+        F.concat(F.lit('{"v":'), text, F.lit("}")), "map<string,string>", strict
+    )
+    alone = (F.size(listed) == 1) & listed[0].isNotNull() & named.isNotNull()
+    braces = text.rlike(r"(?s)^[ \t\r\n]*\{.*\}[ \t\r\n]*$")
+    return F.coalesce(alone & braces, F.lit(False))
 
 
 def text_schema(kind: T.DataType) -> T.DataType:

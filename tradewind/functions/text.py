@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterable
-
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,37 +11,21 @@ def is_blank(text: Column) -> Column:
     return F.coalesce(text.rlike(r"^\s*$"), F.lit(True))
 
 
-def token_pattern(pattern: str, vocabulary: Iterable[str] = ()) -> str:
-    """One regular expression that takes the longest vocabulary word first.
-
-    Alternatives are tried left to right at each position, so words sorted by falling
-    length give forward maximum matching; text outside the vocabulary falls back to
-    ``pattern``.
-    """
-    words = sorted({w.lower() for w in vocabulary if w}, key=lambda w: (-len(w), w))
-    return "|".join([*map(re.escape, words), pattern])
-
-
-def keyword_tokens(
-    text: Column, pattern: str, vocabulary: Iterable[str] = ()
-) -> Column:
+def keyword_tokens(text: Column, pattern: str) -> Column:
     """The keywords of a phrase, in order, repeats kept."""
-    return F.regexp_extract_all(
-        F.lower(text), F.lit(token_pattern(pattern, vocabulary)), F.lit(0)
-    )
+    return F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(0))
 
 
 def register_keyword_split(
     spark: SparkSession,
     pattern: str,
-    vocabulary: Iterable[str] = (),
     names: tuple[str, ...] = ("keyword_split", "ik_analyze"),
 ) -> None:
     """Make ``LATERAL keyword_split(text) AS T(word)`` available to SQL users.
 
     A SQL table function is inlined by Catalyst: rows never leave the JVM.
     """
-    literal = token_pattern(pattern, vocabulary).replace("\\", "\\\\").replace("'", "\\'")
+    literal = pattern.replace("\\", "\\\\").replace("'", "\\'")
     for name in names:
         spark.sql(f"""
             CREATE OR REPLACE TEMPORARY FUNCTION {name}(phrase STRING)

@@ -30,7 +30,11 @@ def millis_to_time(ms: Column) -> Column:
 
 
 def local_time(ts: Column, tz: str) -> Column:
-    """The wall clock of an instant in zone ``tz``, as a zone-free timestamp."""
+    """The wall clock of an instant in zone ``tz``, as a zone-free timestamp.
+
+    Goes through the session's wall clock: in a session zone with summer time, the two
+    instants of its repeated hour cannot be told apart. Sessions built here are in UTC.
+    """
     return F.convert_timezone(
         F.current_timezone(), F.lit(tz), ts.cast("timestamp_ntz")
     )

@@ -24,8 +24,10 @@ def current_state(
 ) -> DataFrame:
     """The table a change feed describes: last image per key, deleted keys gone.
 
-    The rank filter is applied inside each map task too, so a key with many changes
-    sends one row per task to the shuffle.
+    ``order`` must tell all changes of a key apart (add an arrival number to ``ts`` where
+    times repeat). Changes without a key describe no row and are left out. The rank filter
+    is applied inside each map task too, so a key with many changes sends one row per task
+    to the shuffle.
     """
     image = F.coalesce("after", "before")
     last = Window.partitionBy("_key").orderBy(*(F.desc(c) for c in order))
@@ -33,6 +35,7 @@ def current_state(
         changes.withColumn(
             "_key", F.try_element_at(image, F.lit(key)).cast("string")
         )
+        .filter("_key IS NOT NULL")
         .withColumn("_rn", F.row_number().over(last))
         .filter((F.col("_rn") == 1) & ~F.col("type").eqNullSafe("delete"))
         .select(*image_columns("after", columns))

@@ -26,22 +26,24 @@ def piece_counts(phrases: DataFrame, settings: Settings, pieces: str) -> DataFra
     return found.groupBy("window", "piece").agg(F.count("*").alias("n"))
 
 
-def cut_pieces(pieces: DataFrame, vocabulary: DataFrame, longest: int) -> DataFrame:
+def cut_pieces(pieces: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """Cut each distinct ``piece`` into ``words`` by forward maximum matching.
 
     From each place the longest vocabulary word is taken, or a single character where
-    none fits. Candidate substrings meet the vocabulary (column ``word``) in a join, so
-    neither side has to fit in memory; what is gathered per piece is at most one length
-    per character of it.
+    none fits. Candidate substrings, of the lengths that vocabulary words have, meet the
+    vocabulary (column ``word``) in a join, so neither side has to fit in memory; what is
+    gathered per piece is at most one length per character of it. The walk over a piece
+    carries places only.
     """
+    words = vocabulary.select(F.lower("word").alias("_word")).filter("_word <> ''").distinct()
+    lengths = words.agg(F.collect_set(F.length("_word"))).scalar()
     distinct = pieces.select("piece").distinct()
     places = distinct.select(
         "piece", F.explode(F.sequence(F.lit(1), F.length("piece"))).alias("at")
     )
     candidates = places.select(
-        "piece", "at", F.explode(F.sequence(F.lit(1), F.lit(longest))).alias("size")
+        "piece", "at", F.explode(lengths).alias("size")
     ).filter(F.col("at") + F.col("size") - 1 <= F.length("piece"))
-    words = vocabulary.select(F.lower("word").alias("_word"))
     matched = candidates.join(
         words, F.col("piece").substr(F.col("at"), F.col("size")) == F.col("_word"), "left_semi"
     )
@@ -50,37 +52,30 @@ def cut_pieces(pieces: DataFrame, vocabulary: DataFrame, longest: int) -> DataFr
         F.map_from_entries(F.collect_list(F.struct("at", "size"))).alias("sizes")
     )
 
+    def size_at(at):
+        return F.coalesce(F.try_element_at("sizes", at), F.lit(1))
+
     def step(done, at):
-        size = F.coalesce(F.try_element_at(done["sizes"], at), F.lit(1))
         taken = F.struct(
-            (at + size).alias("next"),
-            F.concat(
-                done["words"], F.array(done["piece"].substr(at, size))
-            ).alias("words"),
-            done["sizes"].alias("sizes"),
-            done["piece"].alias("piece"),
+            (at + size_at(at)).alias("next"), F.concat(done["places"], F.array(at)).alias("places")
         )
         return F.when(at == done["next"], taken).otherwise(done)
 
     start = F.struct(
-        F.lit(1).alias("next"),
-        F.array().cast("array<string>").alias("words"),
-        F.coalesce("sizes", F.map_from_arrays(
-            F.array().cast("array<int>"), F.array().cast("array<int>")
-        )).alias("sizes"),
-        F.col("piece").alias("piece"),
+        F.lit(1).alias("next"), F.array().cast("array<int>").alias("places")
     )
     walk = F.aggregate(
-        F.sequence(F.lit(1), F.length("piece")), start, step, lambda done: done["words"]
+        F.sequence(F.lit(1), F.length("piece")), start, step, lambda done: done["places"]
     )
-    return distinct.join(sizes, "piece", "left").select("piece", walk.alias("words"))
+    taken = F.transform(walk, lambda at: F.col("piece").substr(at, size_at(at)))
+    return distinct.join(sizes, "piece", "left").select("piece", taken.alias("words"))
 
 
 def word_counts(
-    counted: DataFrame, vocabulary: DataFrame, longest: int, keys: Sequence[str] = ("window",)
+    counted: DataFrame, vocabulary: DataFrame, keys: Sequence[str] = ("window",)
 ) -> DataFrame:
     """Piece counts -> keyword counts (``ct``) per window, through the vocabulary."""
-    cut = cut_pieces(counted, vocabulary, longest)
+    cut = cut_pieces(counted, vocabulary)
     return (
         counted.join(cut, "piece")
         .select(*keys, "n", F.explode("words").alias("keyword"))

@@ -96,6 +96,27 @@ def display_metrics(pages: DataFrame, time: str = "rowtime") -> DataFrame:
     return _product(shown, time, F.col("_d.item"), display_ct=F.lit(1))
 
 
+def page_product_metrics(pages: DataFrame, time: str = "rowtime") -> DataFrame:
+    """The rows of :func:`click_metrics` and :func:`display_metrics` in one pass."""
+
+    def row(item: Column, click: int | None, display: int | None) -> Column:
+        return F.struct(
+            item.cast("string").alias("item"), F.lit(click).cast("int").alias("click_ct"),
+            F.lit(display).cast("int").alias("display_ct"),
+        )
+
+    clicked = (F.col("page.page_id") == CLICK_PAGE) & (F.col("page.item_type") == SKU_ITEM)
+    click = F.when(clicked, F.array(row(F.col("page.item"), 1, None))).otherwise(F.array())
+    shown = F.transform(
+        F.filter(F.coalesce("displays", F.array()), lambda d: d.item_type == SKU_ITEM),
+        lambda d: row(d.item, None, 1),
+    )
+    found = pages.select(time, F.inline(F.concat(click, shown)))
+    return _product(
+        found, time, F.col("item"), click_ct=F.col("click_ct"), display_ct=F.col("display_ct")
+    )
+
+
 def order_metrics(order_wide: DataFrame, time: str = "rowtime") -> DataFrame:
     return _product(
         order_wide, time, F.col("sku_id"),

@@ -28,16 +28,26 @@ def _replace(df: DataFrame, path: str, value: Column) -> DataFrame:
 def first_new_visits(
     logs: DataFrame, mid: str, flag: str, time: str, tiebreak: Sequence[str]
 ) -> DataFrame:
-    """Per device, the (time, tiebreak) of its first record flagged new."""
-    flagged = logs.filter((F.col(flag) == "1") & F.col(mid).isNotNull())
+    """Per device, the (time, tiebreak) of its first record flagged new.
+
+    Records without a time come after those with one.
+    """
+    flagged = logs.filter(_flagged(mid, flag))
     by_device = flagged.groupBy(F.col(mid).alias("_mid"))
     if not tiebreak:
         return by_device.agg(F.min(time).alias("_t"))
     order = F.struct(
+        F.col(time).isNull().alias("_timeless"),
         F.col(time).alias("_t"),
         *(F.col(c).alias(f"_t{i}") for i, c in enumerate(tiebreak)),
     )
-    return by_device.agg(F.min(order).alias("_first")).select("_mid", "_first.*")
+    return by_device.agg(F.min(order).alias("_first")).select(
+        "_mid", "_first.*"
+    ).drop("_timeless")
+
+
+def _flagged(mid: str, flag: str) -> Column:
+    return F.coalesce((F.col(flag) == "1") & F.col(mid).isNotNull(), F.lit(False))
 
 
 def repair_new_visitor(
@@ -55,26 +65,23 @@ def repair_new_visitor(
     ``tiebreak`` must identify a record within its device. ``seen`` (column ``mid``)
     names devices already known from earlier data; none of their records stays new.
 
-    Firsts are found by an aggregation that combines on the map side, and are joined
-    back on device, time and tiebreak together, so the rows of one busy device spread
-    over all tasks instead of meeting in one.
+    Only flagged records can change: the others pass by without a shuffle. Firsts are
+    found by an aggregation that combines on the map side, and are joined back on device,
+    time and tiebreak together, so the rows of one busy device spread over all tasks
+    instead of meeting in one.
     """
     firsts = first_new_visits(logs, mid, flag, time, tiebreak)
     if seen is not None:
         known = seen.select(F.col("mid").alias("_mid"))
         firsts = firsts.join(known, "_mid", "left_anti")
     firsts = firsts.withColumn("_is_first", F.lit(True))
-    condition = (F.col(mid) == F.col("_mid")) & (F.col(time) == F.col("_t"))
+    condition = (F.col(mid) == F.col("_mid")) & F.col(time).eqNullSafe(F.col("_t"))
     for i, c in enumerate(tiebreak):
-        condition = condition & (F.col(c) == F.col(f"_t{i}"))
-    joined = logs.join(firsts, condition, "left")
-    repeated = (
-        (F.col(flag) == "1") & F.col(mid).isNotNull() & F.col("_is_first").isNull()
-    )
-    fixed = F.when(repeated, F.lit("0")).otherwise(F.col(flag))
-    return _replace(joined, flag, fixed).drop(
-        "_mid", "_t", *(f"_t{i}" for i in range(len(tiebreak))), "_is_first"
-    )
+        condition = condition & F.col(c).eqNullSafe(F.col(f"_t{i}"))
+    joined = logs.filter(_flagged(mid, flag)).join(firsts, condition, "left")
+    fixed = F.when(F.col("_is_first").isNull(), F.lit("0")).otherwise(F.col(flag))
+    repaired = _replace(joined, flag, fixed).select(*logs.columns)
+    return logs.filter(~_flagged(mid, flag)).unionByName(repaired)
 
 
 def unique_visits(

@@ -57,8 +57,9 @@ SETTINGS = Settings(
     order_lower=timedelta(days=-5),
     order_upper=timedelta(days=5),
     bounce_within=timedelta(hours=6),
-    keyword_pattern="[a-z0-9]+",
 )
+# The pieces that a vocabulary cuts.
+PIECES = r"[\p{L}\p{M}\p{N}]+"
 MONTHLY = replace(SETTINGS, window=timedelta(days=30))
 SEARCH = replace(SETTINGS, window=timedelta(seconds=10))
 TIEBREAK = ["event_id"]
@@ -139,6 +140,28 @@ def _as_stream(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.readStream.schema(df.schema).parquet(path)
 
 
+def _ended(stream: DataFrame, **values: str) -> DataFrame:
+    """A stream and one last record far in the future, which carries its watermark past
+    everything before it; what it adds itself stays in a window that never closes.
+
+    ``values`` are columns of the last record as text or JSON; the others are null. Filters may
+    run before the watermark is taken, so it has to pass those of the job.
+    """
+    spark, path = stream.sparkSession, run_dir(stream.sparkSession, "end")
+
+    def value(f: T.StructField):
+        if f.name == "rowtime":
+            return F.lit("2100-01-01").cast(f.dataType)
+        given = F.lit(values.get(f.name))
+        if f.name in values and isinstance(f.dataType, T.StructType):
+            return F.from_json(given, f.dataType)
+        return given.cast(f.dataType)
+
+    spark.range(1).select(*(value(f).alias(f.name) for f in stream.schema)).write.parquet(path)
+    nullable = T.StructType([T.StructField(f.name, f.dataType) for f in stream.schema])
+    return stream.unionByName(spark.readStream.schema(nullable).parquet(path))
+
+
 # ---- orders and payments ---------------------------------------------------------
 
 
@@ -330,10 +353,10 @@ def unique_visit(spark: SparkSession, sf: str) -> DataFrame:
 @_query
 def unique_visit_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Device-days only: which of a day's entries arrives first is not fixed."""
-    pages = shop.page_log(shop.stream_table(spark, sf, "events"))
+    pages = _ended(shop.page_log(shop.stream_table(spark, sf, "events")))
     visits = logs.unique_visit_detail(pages, SETTINGS, tiebreak=TIEBREAK)
     done = run_available(visits, "unique-visit")
-    return done.select(
+    return done.filter("common IS NOT NULL").select(
         "common.mid", F.date_format("rowtime", "yyyy-MM-dd").alias("day")
     )
 
@@ -346,6 +369,7 @@ def bounce_detail(spark: SparkSession, sf: str) -> DataFrame:
 @_query
 def bounce_detail_stream(spark: SparkSession, sf: str) -> DataFrame:
     pages = shop.page_log(shop.stream_table(spark, sf, "events"))
+    pages = _ended(pages, common='{"mid": "end"}', event_id="-1")
     found = logs.bounce_detail(pages, SETTINGS, tiebreak=TIEBREAK)
     return _page_report(run_available(found, "bounce"), "reason")
 
@@ -389,9 +413,9 @@ def visitor_stats(spark: SparkSession, sf: str) -> DataFrame:
 @_query
 def visitor_stats_stream(spark: SparkSession, sf: str) -> DataFrame:
     running = stats.visitor_stats(
-        shop.page_log(shop.stream_table(spark, sf, "events")),
-        _as_stream(_visits(spark, sf), "visits"),
-        _as_stream(_bounced(spark, sf), "bounces"),
+        _ended(shop.page_log(shop.stream_table(spark, sf, "events"))),
+        _ended(_as_stream(_visits(spark, sf), "visits")),
+        _ended(_as_stream(_bounced(spark, sf), "bounces")),
         SETTINGS,
     )
     return run_available(running, "visitor-stats")
@@ -449,7 +473,8 @@ def product_stats_stream(spark: SparkSession, sf: str) -> DataFrame:
         "comment": shop.comment_info(events),
     }
     running = stats.product_stats(
-        sources, shop.dims(spark, sf), MONTHLY, unique_dims=True
+        {name: _ended(df) for name, df in sources.items()},
+        shop.dims(spark, sf), MONTHLY, unique_dims=True,
     )
     return _doubles(run_available(running, "product-stats"), *_AMOUNTS, "sku_price")
 
@@ -469,7 +494,7 @@ def province_stats_split(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def province_stats_stream(spark: SparkSession, sf: str) -> DataFrame:
-    wide = _as_stream(_placed(spark, sf), "order-wide")
+    wide = _ended(_as_stream(_placed(spark, sf), "order-wide"))
     running = run_available(stats.province_stats(wide, SETTINGS), "province-stats")
     return _doubles(running, "order_amount")
 
@@ -478,7 +503,17 @@ def province_stats_stream(spark: SparkSession, sf: str) -> DataFrame:
 def province_stats_sql(spark: SparkSession, sf: str) -> DataFrame:
     """The province job as SQL over a table of order rows."""
     _placed(spark, sf).createOrReplaceTempView("order_wide_rows")
-    return _doubles(stats.province_stats_sql(spark, "order_wide_rows", "1 day"), "order_amount")
+    found = stats.province_stats_sql(spark, "order_wide_rows", "1 day", SETTINGS.business_tz)
+    return _doubles(found, "order_amount")
+
+
+@_query
+def province_stats_sql_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The same SQL over a stream of order rows, in a business zone east of the session's."""
+    wide = _ended(_as_stream(_placed(spark, sf), "order-wide")).withWatermark("rowtime", "1 second")
+    wide.createOrReplaceTempView("order_wide_stream_rows")
+    found = stats.province_stats_sql(spark, "order_wide_stream_rows", "1 day", "+08:00")
+    return _doubles(run_available(found, "province-sql"), "order_amount")
 
 
 @_query
@@ -489,7 +524,7 @@ def keyword_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def keyword_stats_stream(spark: SparkSession, sf: str) -> DataFrame:
-    phrases = shop.search_phrases(shop.stream_table(spark, sf, "documents"))
+    phrases = _ended(shop.search_phrases(shop.stream_table(spark, sf, "documents")))
     return run_available(stats.keyword_stats(phrases, SEARCH), "keyword-stats")
 
 
@@ -497,14 +532,14 @@ def keyword_stats_stream(spark: SparkSession, sf: str) -> DataFrame:
 def keyword_vocabulary_stats(spark: SparkSession, sf: str) -> DataFrame:
     """Keywords through a vocabulary table: the short words of the texts themselves."""
     documents = shop.table(spark, sf, "documents")
-    pieces = text.keyword_tokens(F.col("text"), "[a-z]+")
+    pieces = text.keyword_tokens(F.col("text"), PIECES)
     words = documents.select(F.explode(pieces).alias("word")).distinct()
     vocabulary = words.filter(F.length("word").between(2, 4))
     # Read twice below: to find the distinct pieces and to count their words.
     counted = _kept(
-        piece_counts(shop.search_phrases(documents), SETTINGS, "[a-z]+"), "pieces"
+        piece_counts(shop.search_phrases(documents), SETTINGS, PIECES), "pieces"
     )
-    found = word_counts(counted, vocabulary, 4)
+    found = word_counts(counted, vocabulary)
     return label_window(found, SETTINGS.business_tz)
 
 
@@ -524,7 +559,7 @@ def _page_view(spark: SparkSession, sf: str) -> DataFrame:
 def keyword_stats_sql(spark: SparkSession, sf: str) -> DataFrame:
     text.register_keyword_split(spark, SETTINGS.keyword_pattern)
     _page_view(spark, sf).createOrReplaceTempView("page_view")
-    return stats.keyword_stats_sql(spark, "page_view", "1 day")
+    return stats.keyword_stats_sql(spark, "page_view", "1 day", SETTINGS.business_tz)
 
 
 @_query

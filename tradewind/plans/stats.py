@@ -29,18 +29,22 @@ def visitor_stats(
 ) -> DataFrame:
     """Visits, page views, sessions, bounces and stay per visitor class and window.
 
-    A window's row is final once the watermark (disorder plus lateness) has passed its
-    end. For a sink that upserts by (stt, keys), run the same plan in update mode.
+    Visits and bounces reach their topics later than the pages they are derived from, so
+    each source has its own watermark (disorder plus lateness) and a window's row is final
+    once the slowest source has passed its end; a source without any record holds all
+    windows open. For a sink that upserts by (stt, keys), run the same plan in update mode.
     """
-    lifted = M.union_metrics(
+    delay = settings.visitor_delay + settings.visitor_lateness
+    pages, visits, bounced = (
+        watermarked(df, "rowtime", delay) for df in (pages, visits, bounced)
+    )
+    parts = M.union_metrics(
         [
             M.page_visit_metrics(pages),
             M.unique_visit_metrics(visits),
             M.bounce_metrics(bounced),
         ]
     )
-    delay = settings.visitor_delay + settings.visitor_lateness
-    parts = watermarked(lifted, "rowtime", delay)
     sums = tumbling_sum(parts, M.VISITOR_KEYS, M.VISITOR_SUMS, "rowtime", settings.window)
     return label_window(sums, settings.business_tz)
 
@@ -48,7 +52,7 @@ def visitor_stats(
 def product_metrics(sources: Mapping[str, DataFrame]) -> DataFrame:
     """All product metric rows of the seven sources, one shape."""
     lifts = {
-        "page": (M.click_metrics, M.display_metrics),
+        "page": (M.page_product_metrics,),
         "order_wide": (M.order_metrics,),
         "cart": (M.cart_metrics,),
         "payment_wide": (M.payment_metrics,),
@@ -70,9 +74,19 @@ def product_stats(
 ) -> DataFrame:
     """Exposure to comment metrics per product and window, then product attributes.
 
-    Attributes are joined after the aggregation, to one row per product and window.
+    Each source has its own watermark, as orders and payments trail the page log; the
+    slowest decides when a window is final. Attributes are joined after the aggregation,
+    to one row per product and window.
     """
-    rows = watermarked(product_metrics(sources), "rowtime", settings.product_delay)
+    stats = product_sums(sources, settings)
+    return with_products(stats, dims, unique_dims=unique_dims)
+
+
+def product_sums(sources: Mapping[str, DataFrame], settings: Settings) -> DataFrame:
+    """The windowed metrics of :func:`product_stats`, without attributes."""
+    rows = product_metrics(
+        {k: watermarked(df, "rowtime", settings.product_delay) for k, df in sources.items()}
+    )
     sums = [*M.PRODUCT_COUNTS, *M.PRODUCT_AMOUNTS]
     stats = tumbling_distinct(
         rows,
@@ -87,7 +101,13 @@ def product_stats(
         "rowtime",
         settings.window,
     )
-    stats = label_window(M.zero_fill(stats, sums), settings.business_tz)
+    return label_window(M.zero_fill(stats, sums), settings.business_tz)
+
+
+def with_products(
+    stats: DataFrame, dims: Mapping[str, DataFrame], *, unique_dims: bool = False
+) -> DataFrame:
+    """Product attributes for the rows of :func:`product_sums`."""
     sku = flatten_sku(
         dims["sku"], dims["spu"], dims["trademark"], dims["category3"],
         unique=unique_dims,
@@ -131,15 +151,22 @@ def province_stats(
     return label_window(stats, settings.business_tz)
 
 
-def province_stats_sql(spark: SparkSession, table: str, width: str) -> DataFrame:
-    """The province job as SQL over a batch table with ``rowtime``."""
+def province_stats_sql(spark: SparkSession, table: str, width: str, tz: str) -> DataFrame:
+    """The province job as SQL over a table with ``rowtime``, batch or stream.
+
+    Orders are reduced to one row each first: a stream has no distinct aggregate. Window
+    bounds are printed in the zone ``tz``.
+    """
     keys = ", ".join(PROVINCE_KEYS)
-    return spark.sql(f"""
-        SELECT date_format(window.start, 'yyyy-MM-dd HH:mm:ss') AS stt,
-               date_format(window.end, 'yyyy-MM-dd HH:mm:ss') AS edt, {keys},
-               count(DISTINCT order_id) AS order_count, sum(total_amount) AS order_amount
-        FROM {table} GROUP BY window(rowtime, '{width}'), {keys}
-    """)
+    return label_window(spark.sql(f"""
+        SELECT window, {keys}, count(order_id) AS order_count,
+               sum(order_amount) AS order_amount
+        FROM (
+            SELECT window(rowtime, '{width}') AS window, {keys}, order_id,
+                   sum(total_amount) AS order_amount
+            FROM {table} GROUP BY window(rowtime, '{width}'), {keys}, order_id
+        ) GROUP BY window, {keys}
+    """), tz)
 
 
 def search_pages(pages: DataFrame) -> DataFrame:
@@ -157,11 +184,7 @@ def keyword_stats(phrases: DataFrame, settings: Settings) -> DataFrame:
         .select(
             "window",
             F.explode(
-                keyword_tokens(
-                    F.col("fullword"),
-                    settings.keyword_pattern,
-                    settings.keyword_vocabulary,
-                )
+                keyword_tokens(F.col("fullword"), settings.keyword_pattern)
             ).alias("keyword"),
         )
     )
@@ -171,15 +194,15 @@ def keyword_stats(phrases: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def keyword_stats_sql(spark: SparkSession, table: str, width: str) -> DataFrame:
+def keyword_stats_sql(spark: SparkSession, table: str, width: str, tz: str) -> DataFrame:
     """The keyword job as SQL over a declared table with ``page`` and ``rowtime``.
 
-    Needs :func:`tradewind.functions.text.register_keyword_split`.
+    Needs :func:`tradewind.functions.text.register_keyword_split`. Window bounds are
+    printed in the zone ``tz``.
     """
-    return spark.sql(f"""
-        SELECT keyword, count(*) AS ct, '{KEYWORD_SOURCE}' AS source,
-               date_format(window.start, 'yyyy-MM-dd HH:mm:ss') AS stt,
-               date_format(window.end, 'yyyy-MM-dd HH:mm:ss') AS edt
+    return label_window(spark.sql(f"""
+        SELECT window(rowtime, '{width}') AS window, keyword, count(*) AS ct,
+               '{KEYWORD_SOURCE}' AS source
         FROM (
             SELECT word AS keyword, rowtime
             FROM (
@@ -188,7 +211,7 @@ def keyword_stats_sql(spark: SparkSession, table: str, width: str) -> DataFrame:
             ), LATERAL keyword_split(fullword) AS t(word)
         )
         GROUP BY window(rowtime, '{width}'), keyword
-    """)
+    """), tz)
 
 
 def stamp(stats: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+_run_dirs: list[str] = []
+
 ENGINE_CONF = {
     # Adaptive execution sizes the reducers, splits skewed join partitions and turns a
     # join into a broadcast only when the measured side is below the threshold.
@@ -35,15 +37,30 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only where the cluster names none (a single-machine test) a local one is set.
+    Only a local session that names none gets a temporary one; on a cluster each machine
+    would write to its own disk, so there the setting is required.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="tradewind-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
 def run_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh sub-folder of the shared folder for one run's checkpoint or output."""
-    return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+    """A fresh sub-folder of the shared folder for one run's checkpoint or output.
+
+    It stays until :func:`clear_run_dirs`, as results may be read from it at any time.
+    """
+    path = f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+    _run_dirs.append(path)
+    return path
+
+
+def clear_run_dirs(spark: SparkSession) -> None:
+    """Remove the folders of this session's runs, once their results are no longer read."""
+    while _run_dirs:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_run_dirs.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -44,12 +44,14 @@ class KafkaTopics:
         return self._text(reader.options(**self.read_options(topic, starting)).load())
 
     def write(
-        self, rows: DataFrame, topic: str | None = None, batch_id: int = 0
+        self, rows: DataFrame, topic: str | None = None, batch_id: int = 0, job: str = ""
     ) -> None:
         """Write to ``topic``, or to the topic each row's own column names."""
         rows.write.format("kafka").options(**self.write_options(topic)).save()
 
-    def write_stream(self, rows: DataFrame, topic: str, checkpoint: str) -> DataStreamWriter:
+    def write_stream(
+        self, rows: DataFrame, topic: str, checkpoint: str, job: str = ""
+    ) -> DataStreamWriter:
         return (
             rows.writeStream.format("kafka")
             .options(**self.write_options(topic))
@@ -61,9 +63,10 @@ class FolderTopics:
     """Topics as folders of text files, one record a line, under a shared root.
 
     The topic is a partition of the root, so a row-chosen topic is a partitioned write.
-    A batch writes to its own ``batch_id`` folder in each topic it has rows for; run
-    again after a failure, it replaces those folders. Streaming writes use the file
-    sink, which commits whole files exactly once. A topic has one writing job.
+    A batch of a job writes to its own ``job`` and ``batch_id`` folder in each topic it has
+    rows for; run again after a failure, it replaces those folders. Batch and streaming
+    jobs write the same way, so any number of them may share a topic. The file sink is not
+    used: its log of committed files hides all that others have written.
     """
 
     def __init__(self, spark: SparkSession, root: str, max_files: int | None = None):
@@ -72,7 +75,11 @@ class FolderTopics:
         self.max_files = max_files
 
     def path(self, topic: str) -> str:
-        return f"{self.root}/topic={topic}"
+        """The topic's folder, made if no job has written to it yet."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/topic={topic}")
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        path.getFileSystem(conf).mkdirs(path)
+        return path.toString()
 
     def read(self, topic: str) -> DataFrame:
         reader = self.spark.read.option("recursiveFileLookup", "true")
@@ -95,23 +102,27 @@ class FolderTopics:
         return lines.select("value")
 
     def write(
-        self, rows: DataFrame, topic: str | None = None, batch_id: int = 0
+        self, rows: DataFrame, topic: str | None = None, batch_id: int = 0, job: str = "batch"
     ) -> None:
         """Write ``value`` rows to ``topic``, or to the topic each row's own column names."""
         named = rows.withColumn("topic", F.lit(topic)) if topic else rows
         (
-            named.select("value", "topic", F.lit(batch_id).alias("batch_id"))
+            named.select("value", "topic", F.lit(job).alias("job"), F.lit(batch_id).alias("batch_id"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("topic", "batch_id")
+            .partitionBy("topic", "job", "batch_id")
             .text(self.root)
         )
 
-    def write_stream(self, rows: DataFrame, topic: str, checkpoint: str) -> DataStreamWriter:
+    def write_stream(
+        self, rows: DataFrame, topic: str, checkpoint: str, job: str = "stream"
+    ) -> DataStreamWriter:
+        def each(batch: DataFrame, batch_id: int) -> None:
+            self.write(batch, topic, batch_id, job)
+
         return (
             rows.select("value")
-            .writeStream.format("text")
-            .option("path", self.path(topic))
+            .writeStream.foreachBatch(each)
             .option("checkpointLocation", checkpoint)
         )
 

@@ -31,8 +31,8 @@ from tradewind.sources.dims import DimTable, upsert_all
 from tradewind.streaming.sinks import RefinedTable, console, table_writer, write_routes
 
 # Pieces of a phrase, and those of them that a vocabulary cuts into words.
-VOCABULARY_PIECES = "[a-z0-9]+|[一-鿿]+"
-CUT_SCRIPT = "[一-鿿]"
+CUT_SCRIPT = r"\p{IsHan}"
+VOCABULARY_PIECES = rf"{CUT_SCRIPT}+|[\p{{L}}\p{{M}}\p{{N}}&&[^{CUT_SCRIPT}]]+"
 
 Dims = Callable[[], Mapping[str, DataFrame]]
 
@@ -64,10 +64,11 @@ class Warehouse:
         return writer.start()
 
     def to_topic(self, rows: DataFrame, topic: str, job: str) -> StreamingQuery:
-        text = to_topic_rows(rows)
-        return self.start(
-            self.topics.write_stream(text, topic, self.checkpoint(job)).queryName(job)
-        )
+        return self.text_to_topic(to_topic_rows(rows), topic, job)
+
+    def text_to_topic(self, text: DataFrame, topic: str, job: str) -> StreamingQuery:
+        writer = self.topics.write_stream(text, topic, self.checkpoint(job), job)
+        return self.start(writer.queryName(job))
 
     def each_batch(
         self, source: DataFrame, job: str, fn: Callable[[DataFrame, int], None]
@@ -121,17 +122,18 @@ def separate_logs(w: Warehouse) -> StreamingQuery:
         try:
             valid = marked.filter("is_valid")
             dirty = marked.filter("NOT is_valid").select("value")
-            w.topics.write(dirty, "dirty", batch_id)
+            w.topics.write(dirty, "dirty", batch_id, "separate_logs")
 
             def starts(df: DataFrame, b: int) -> None:
                 rows = to_topic_rows(logs.start_records(df))
-                w.topics.write(rows, TOPICS["start_log"], b)
+                w.topics.write(rows, TOPICS["start_log"], b, "separate_logs")
 
             def pages(df: DataFrame, b: int) -> None:
                 page = logs.page_records(df)
-                w.topics.write(to_topic_rows(page), TOPICS["page_log"], b)
+                w.topics.write(to_topic_rows(page), TOPICS["page_log"], b, "separate_logs")
                 w.topics.write(
-                    to_topic_rows(explode_displays(page)), TOPICS["display_log"], b
+                    to_topic_rows(explode_displays(page)), TOPICS["display_log"], b,
+                    "separate_logs",
                 )
 
             routed = logs.repaired_logs(valid, tiebreak=("_id",), seen=known)
@@ -186,11 +188,12 @@ def route_changes(
         routed = C.routed_changes(parse_changes(numbered, keep=["_id"]), routes)
 
         def facts(df: DataFrame, b: int) -> None:
-            w.topics.write(fact_topic_rows(df), None, b)
+            w.topics.write(fact_topic_rows(df), None, b, "route_changes")
 
         def unrouted(df: DataFrame, b: int) -> None:
             w.topics.write(
-                to_topic_rows(df.drop("route", "sink_table", "sink_pk", "_id")), "unrouted", b
+                to_topic_rows(df.drop("route", "sink_table", "sink_pk", "_id")), "unrouted", b,
+                "route_changes",
             )
 
         def dims(df: DataFrame, b: int) -> None:
@@ -212,7 +215,7 @@ def route_changes(
 def seed_feed(w: Warehouse, table: DataFrame, database: str, name: str) -> None:
     """Open a change feed with the table's present rows, before its changes are read."""
     first = snapshot_changes(table, database, name)
-    w.topics.write(to_topic_rows(first), TOPICS["raw_changes"], -1)
+    w.topics.write(to_topic_rows(first), TOPICS["raw_changes"], -1, f"seed_{database}_{name}")
 
 
 def dim_sinks(routes: DataFrame) -> list[tuple[str, list[str], str]]:
@@ -239,10 +242,7 @@ def dim_sinks(routes: DataFrame) -> list[tuple[str, list[str], str]]:
 
 def feed_to_topic(w: Warehouse, records: DataFrame, topic: str) -> StreamingQuery:
     """Connector records (``topic, op, after``) -> a topic of envelopes."""
-    text = C.feed_to_topic(records)
-    return w.start(
-        w.topics.write_stream(text, topic, w.checkpoint("feed_to_topic"))
-    )
+    return w.text_to_topic(C.feed_to_topic(records), topic, f"feed_to_{topic}")
 
 
 def print_feed(w: Warehouse, rows: DataFrame) -> StreamingQuery:
@@ -267,7 +267,7 @@ def order_wide(w: Warehouse, dims: Dims) -> StreamingQuery:
     def each(batch: DataFrame, batch_id: int) -> None:
         wide = orders.enrich_orders(batch, dims(), w.settings)
         w.topics.write(
-            to_topic_rows(wide.drop("rowtime")), TOPICS["order_wide"], batch_id
+            to_topic_rows(wide.drop("rowtime")), TOPICS["order_wide"], batch_id, "order_wide"
         )
 
     return w.each_batch(joined, "order_wide", each)
@@ -316,9 +316,11 @@ def visitor_stats_refined(w: Warehouse) -> tuple[StreamingQuery, RefinedTable]:
 
 
 def product_stats(w: Warehouse, dims: Dims) -> StreamingQuery:
+    """Product metrics per window; attributes are looked up per batch of final windows, so
+    they are those of the dimension tables at that time."""
     paid = parse_records(w.topics.stream(TOPICS["payment_wide"]), schemas.PAYMENT_WIDE)
     paid_at = times.parse_time(F.col("payment_create_time"), w.settings.business_tz)
-    rows = stats.product_stats(
+    rows = stats.product_sums(
         {
             "page": w.pages(),
             "order_wide": w.records("order_wide", schemas.ORDER_WIDE),
@@ -328,10 +330,16 @@ def product_stats(w: Warehouse, dims: Dims) -> StreamingQuery:
             "refund": w.records("refund_info", schemas.REFUND_INFO),
             "comment": w.records("comment_info", schemas.COMMENT_INFO),
         },
-        dims(),
         w.settings,
     )
-    return w.stats_table(rows, "product_stats", schemas.PRODUCT_STATS_COLUMNS)
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        final = stats.stamp(stats.with_products(batch, dims()))
+        final.select(*schemas.PRODUCT_STATS_COLUMNS).write.mode("overwrite").parquet(
+            f"{w.table('product_stats')}/batch_id={batch_id}"
+        )
+
+    return w.each_batch(rows, "product_stats", each)
 
 
 def province_stats(w: Warehouse) -> StreamingQuery:
@@ -345,7 +353,7 @@ def keyword_stats(w: Warehouse) -> StreamingQuery:
 
 
 def keyword_stats_by_vocabulary(
-    w: Warehouse, vocabulary: Callable[[], DataFrame], longest: int
+    w: Warehouse, vocabulary: Callable[[], DataFrame]
 ) -> StreamingQuery:
     """Keyword statistics with a vocabulary table (column ``word``), asked once per batch.
 
@@ -364,7 +372,7 @@ def keyword_stats_by_vocabulary(
                 "window", F.col("piece").alias("keyword"), F.col("n").alias("ct")
             )
             cut = word_counts(
-                batch.filter(F.col("piece").rlike(CUT_SCRIPT)), vocabulary(), longest
+                batch.filter(F.col("piece").rlike(CUT_SCRIPT)), vocabulary()
             )
             rows = label_window(plain.unionByName(cut), w.settings.business_tz)
             final = stats.stamp(rows.withColumn("source", F.lit(KEYWORD_SOURCE)))
