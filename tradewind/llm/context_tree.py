@@ -205,7 +205,7 @@ def _counted(chunk: pa.Table) -> pa.Table:
                 held.append(np.unique(keys[learned], return_counts=True))
                 other = np.unique(keys[~learned])
                 held.append((other, np.zeros(len(other), np.int64)))
-            if sum(len(k) for k, _ in held) > 8_000_000:
+            if sum(len(k) for k, _ in held) > 4_000_000:
                 fold()
     fold()
     keys, n = held[0]
