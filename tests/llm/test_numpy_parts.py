@@ -159,6 +159,9 @@ def test_pfair_stays_within_one_block():
     for _ in range(30):
         weights = {f"s{i}": rng.random() + 0.01 for i in range(rng.randint(1, 12))}
         share = shares(weights, 64)
+        assert sum(share.values()) == 64
+        for s, w in weights.items():
+            assert abs(share[s] - 64 * w / sum(weights.values())) < 1 or share[s] == 1 or len(weights) > 8
         places = period(share, 64)
         assert sorted(p for own in places.values() for p in own) == list(range(64))
         for s, own in places.items():

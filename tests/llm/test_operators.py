@@ -18,7 +18,7 @@ from tradewind.llm import context_tree as C
 from tradewind.llm.common import components, running_starts
 from tradewind.llm.exact_dedup import exact_duplicates
 from tradewind.llm.fingerprints import K, S, fingerprints, with_anchors
-from tradewind.llm.mixing import mix_sources
+from tradewind.llm.mixing import mix_sources, shares
 from tradewind.llm.near_dedup import near_duplicates
 from tradewind.llm.packing import pack
 from tradewind.llm.quality import keep_quality, score_quality
@@ -321,13 +321,13 @@ def test_mix(spark):
         by_slot[r["slot"]].add((r["source"], r["block"]))
     assert sorted(by_slot) == list(range(len(by_slot)))
     assert all(len(x) == 1 for x in by_slot.values())
-    share = {"big": 1.0, "small": 2.0, None: 1.0, "-": 4 / 3, "": 4 / 3}
-    total, done = sum(share.values()), Counter()
+    share = shares({"big": 1.0, "small": 2.0, "none": 1.0, "-": 4 / 3, "": 4 / 3}, 32)
+    share[None], done = share.pop("none"), Counter()
     left = Counter(s for s, _ in {b for x in by_slot.values() for b in x})
     for slot in range(len(by_slot)):
         source = next(iter(by_slot[slot]))[0]
         done[source] += 1
-        assert all(abs(done[s] - (slot + 1) * w / total) < 2 for s, w in share.items())
+        assert all(abs(done[s] - (slot + 1) * w / 32) < 1 for s, w in share.items())
         if done[source] == left[source]:
             break  # the first source is used up
     assert slot > 20

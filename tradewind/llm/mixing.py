@@ -30,12 +30,14 @@ def shares(weights: dict[str, float], slots: int) -> dict[str, int]:
     """Whole shares of ``slots``, at least one each, by largest remainder."""
     if len(weights) > slots:
         raise ValueError(f"{len(weights)} sources need at least as many slots, not {slots}")
-    total, free = sum(weights.values()), slots - len(weights)
-    exact = {s: w / total * free for s, w in weights.items()}
-    out = {s: 1 + math.floor(x) for s, x in exact.items()}
-    rest = sorted(exact, key=lambda s: (math.floor(exact[s]) - exact[s], s))
-    for s in rest[: slots - sum(out.values())]:
+    total = sum(weights.values())
+    exact = {s: w / total * slots for s, w in weights.items()}
+    out = {s: max(1, math.floor(x)) for s, x in exact.items()}
+    rest = sorted(exact, key=lambda s: (out[s] - exact[s], s))
+    for s in rest[: max(0, slots - sum(out.values()))]:
         out[s] += 1
+    while sum(out.values()) > slots:  # many sources of less than one share each
+        out[max(out, key=lambda s: (out[s] - exact[s], out[s], s) if out[s] > 1 else (-slots, 0, s))] -= 1
     return out
 
 

@@ -22,7 +22,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 def _rest(url: Column) -> Column:
     """What follows the first ://, or the empty string."""
-    at = F.locate("://", url) if isinstance(url, str) else F.position(F.lit("://"), url)
+    at = F.position(F.lit("://"), url)
     return F.coalesce(F.when(at > 0, F.substr(url, at + 3)), F.lit(""))
 
 
