@@ -237,7 +237,7 @@ def test_scores_of_texts(spark, rows):
 def test_tree_learns_more_than_single_words(spark):
     rng = random.Random(6)
     parts = ["".join(rng.choice("abcdefghijklmnop") for _ in range(2)) for _ in range(12)]
-    make = lambda: " ".join("".join(rng.choice(parts) for _ in range(3)) for _ in range(60))
+    make = lambda: " ".join("".join(rng.choice(parts) for _ in range(4)) for _ in range(60))
     out = C.score_texts(frame(spark, [(i, make()) for i in range(400)])).where("held_out").collect()
     assert sum(r["score"] for r in out) > sum(r["base_score"] for r in out)
 
