@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm import words as W
-from tradewind.llm.common import id_out, stored, texts
+from tradewind.llm.common import id_out, partitions, stored, texts
 
 DEPTH = 5
 END_BYTE, START_BYTE = 255, 10
@@ -142,7 +142,9 @@ class Top:
 
 def run_values(counts: DataFrame) -> DataFrame:
     """(key, value): log10 of the probability of the last byte of each run (key, n)."""
-    parts = counts.groupBy(F.shiftright("key", 32).alias("part"))
+    # Runs that share their two nearest bytes stay together; a task takes several such sets.
+    dealt = F.pmod(F.xxhash64(F.shiftright("key", 32)), F.lit(2 * partitions(counts.sparkSession)))
+    parts = counts.groupBy(dealt.alias("part"))
 
     def sums(part: pa.Table) -> pa.Table:
         runs, n = part["key"].to_numpy().view(np.uint64), part["n"].to_numpy()
