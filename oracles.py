@@ -290,6 +290,9 @@ FROM joined""",
     "order_wide_stream": f"WITH {WIDE} SELECT {ORDER_WIDE_COLUMNS} FROM wide",
     "interval_join_exclusive": f"""
 WITH {ORDER_INFO},{ORDER_DETAIL},{_joined('>', '<')}
+SELECT order_id, detail_id, sku_id FROM joined""",
+    "interval_join_exclusive_stream": f"""
+WITH {ORDER_INFO},{ORDER_DETAIL},{_joined('>', '<')}
 SELECT order_id, detail_id, sku_id FROM joined""",
     "line_interval_join": """
 WITH l AS (SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderstatus AS name,
@@ -300,6 +303,14 @@ SELECT l.id, l.name, r.sex, l.ts AS left_ts, r.ts AS right_ts
 FROM l JOIN r ON l.id = r.id AND r.ts > l.ts - 432000 AND r.ts < l.ts + 432000""",
     "payment_wide": f"""
 WITH {WIDE},{PAYMENT},{_paid('wide')}
+SELECT payment_id, payment_type, strftime(payment_time, {TIME}) AS payment_create_time,
+       order_id, user_id, CAST(total_amount AS DOUBLE) AS total_amount, detail_id, sku_id,
+       sku_num, CAST(split_total_amount AS DOUBLE) AS split_total_amount, province_name,
+       user_age, user_gender, sku_name, spu_name, tm_name, category3_name,
+       strftime(order_time, {TIME}) AS order_create_time
+FROM paid""",
+    "payment_wide_stream": f"""
+WITH {WIDE},{PAYMENT},{_paid('wide')}
 SELECT payment_id, payment_type, strftime(payment_time, {TIME}) AS payment_create_time,
        order_id, user_id, CAST(total_amount AS DOUBLE) AS total_amount, detail_id, sku_id,
        sku_num, CAST(split_total_amount AS DOUBLE) AS split_total_amount, province_name,

@@ -220,6 +220,21 @@ def interval_join_exclusive(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@_query
+def interval_join_exclusive_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The same join with both sides as streams."""
+    source = shop.stream_table
+    orders_in = shop.order_info(source(spark, sf, "orders"), shop.table(spark, sf, "customer"))
+    details_in = shop.order_detail(source(spark, sf, "lineitem"))
+    joined = interval_join(
+        orders_in.withWatermark("rowtime", "0 seconds"),
+        details_in.withWatermark("rowtime", "0 seconds"),
+        {"id": "order_id"}, "rowtime", "rowtime", SETTINGS.order_lower, SETTINGS.order_upper,
+        lower_inclusive=False, upper_inclusive=False,
+    ).select(F.col("l.id").alias("order_id"), F.col("r.id").alias("detail_id"), "r.sku_id")
+    return run_available(joined, "exclusive")
+
+
 @_query
 def line_interval_join(spark: SparkSession, sf: str) -> DataFrame:
     """Two delimited-text sources joined strictly inside an interval."""
@@ -250,8 +265,20 @@ def line_interval_join(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def payment_wide(spark: SparkSession, sf: str) -> DataFrame:
+    return _payment_wide_report(_paid(spark, sf))
+
+
+@_query
+def payment_wide_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The payment job on streams of payments and of the order job's output."""
+    payments = shop.payment_info(shop.stream_table(spark, sf, "orders"))
+    wide = _as_stream(_wide(spark, sf), "order-wide")
+    return _payment_wide_report(run_available(orders.payment_wide(payments, wide, SETTINGS), "paid"))
+
+
+def _payment_wide_report(paid: DataFrame) -> DataFrame:
     return _doubles(
-        _paid(spark, sf).select(
+        paid.select(
             "payment_id", "payment_type", "payment_create_time", "order_id", "user_id",
             "total_amount", "detail_id", "sku_id", "sku_num", "split_total_amount",
             "province_name", "user_age", "user_gender", "sku_name", "spu_name", "tm_name",
