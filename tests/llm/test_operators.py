@@ -379,3 +379,15 @@ def test_empty_tables(spark, tmp_path):
         judge_urls(spark.createDataFrame([], "page_id long, url string, html string"), spark.createDataFrame(RULES, "action string, host string, path string")),
     ):
         assert out.count() == 0 and len(out.columns) > 1
+
+
+def test_near_duplicates_of_ids_with_several_texts(spark):
+    rng = random.Random(41)
+    base = [sentence(rng, 60) for _ in range(7)]
+    near = [t + " " + sentence(rng, 1) for t in base]
+    # (null: base 0 and 1) - 10, 11 and 12; 20: base 2 and 3, near to 21 and 22; 30 and 31 apart.
+    rows = [(None, base[0]), (None, base[1]), (10, base[0]), (11, near[0]), (12, near[1]), (20, base[2]), (20, base[3])]
+    rows += [(21, near[2]), (22, near[3]), (20, ""), (30, base[4]), (31, base[5]), (25, base[6]), (25, base[4]), (None, None)]
+    got = [(r["doc_id"], r["component_id"]) for r in near_duplicates(frame(spark, rows)).collect()]
+    want = {None: None, 10: None, 11: None, 12: None, 20: 20, 21: 20, 22: 20, 30: 25, 25: 25, 31: 31}
+    assert sorted(got, key=str) == sorted(((d, want[d]) for d, _ in rows), key=str)

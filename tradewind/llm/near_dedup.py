@@ -8,8 +8,9 @@ similarity of at least 0.75 are linked; groups are the connected components.
   j + r. Ranks of one element are thus correlated (each slot gets exactly one of them),
   which lowers the variance. A document stops after the first round in which all its slots
   are filled, since later rounds can only bring larger values.
-- **Classes**: documents with one and the same set are one node from here on, whatever
-  their number, so copies are never compared.
+- **Classes**: texts with one and the same set are one node from here on, whatever their
+  number, so copies are never compared. Nodes are numbers of sets, not doc_ids: a doc_id
+  with several texts belongs to several nodes, which only the last step ties together.
 - **Banding**: 32 bands of 4 slots. A pair at 0.75 shares no band with a chance below 1e-5.
 - **Candidates** without all pairs of a bucket: buckets of two are one pair; elsewhere every
   node first meets the smallest node of its buckets; then, in buckets whose members are not
@@ -28,10 +29,12 @@ map side and the joins split where one key holds much of the rows.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -79,7 +82,16 @@ def shingle_sets(batch: pa.RecordBatch) -> list[np.ndarray]:
     return [np.unique(hashes[a:b]) for a, b in zip(begin[:-1], begin[1:], strict=True)]
 
 
-SIGNED = "doc_id long, n int, key binary, bands array<long>, signature binary"
+def _keys(sets: list[np.ndarray]) -> pa.Array:
+    """128-bit hashes of whole sets."""
+    keys = [
+        np.array([W.mixed(s).sum(dtype=np.uint64), W.mixed(s ^ STEP).sum(dtype=np.uint64)]).tobytes()
+        for s in sets
+    ]
+    return pa.array(keys, pa.binary())
+
+
+SIGNED = "doc_id long, h long, sha string, n int, key binary, bands array<long>, signature binary"
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,29 +106,28 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             bands = salt + np.zeros((len(sets), 1), np.uint64)
             for r in range(ROWS):
                 bands = W.mixed(bands * STEP + signs[:, r::ROWS])
-            keys = [
-                np.array([W.mixed(s).sum(dtype=np.uint64), W.mixed(s ^ STEP).sum(dtype=np.uint64)]).tobytes()
-                for s in sets
-            ]
+            shas = [hashlib.sha256(t.as_buffer()).hexdigest() for t in pc.ascii_lower(batch.column(1))]
             short = (W.mixed(signs) >> np.uint64(48)).astype("<u2")
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(2),
+                    pa.array(shas, pa.string()),
                     pa.array(sizes, pa.int32()),
-                    pa.array(keys, pa.binary()),
+                    _keys(sets),
                     pa.array(list(bands.view(np.int64)), pa.list_(pa.int64())),
                     pa.array([s.tobytes() for s in short], pa.binary()),
                 ],
-                ["doc_id", "n", "key", "bands", "signature"],
+                ["doc_id", "h", "sha", "n", "key", "bands", "signature"],
             )
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in W.slices(whole):
-            sets = [s.tobytes() for s in shingle_sets(batch)]
+            sets = shingle_sets(batch)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sets, pa.binary())], ["node", "elements"]
+                [_keys(sets), pa.array([s.tobytes() for s in sets], pa.binary())], ["key", "elements"]
             )
 
 
@@ -176,21 +187,22 @@ def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
-def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row of docs.
+def text_groups(docs: DataFrame, percent: int = 75) -> DataFrame:
+    """Stored rows (doc_id, sha, n, group): the group of each row's text, null without words.
 
-    A text of fewer than five words has its whole word sequence as its only shingle; a text
-    without words (or null) has an empty set, is linked with nothing and is kept. Equal
-    sets are one class; ``component_id`` is the smallest doc_id reachable. Rows that repeat
-    a doc_id are one node: all their texts' links count for it, and each row is returned.
+    Texts are grouped by what they hold alone, whatever their doc_id. ``sha`` is the SHA-256
+    of the text with A-Z lower-cased, so (doc_id, sha) tells an id's texts apart.
     """
-    rows = texts(docs)
+    rows = texts(docs, F.xxhash64("text").alias("h"))
     signed = stored(rows.mapInArrow(_signed, SIGNED), "near-signed")
     full = signed.where("n > 0")
-    classes = stored(full.groupBy("key").agg(F.min("doc_id").alias("rep")), "near-classes")
+    classes = full.groupBy("key").agg(F.min(F.struct("doc_id", "h")).alias("row"))
+    # Numbered once and stored, so a number stands for one set in all that follows.
+    classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "near-classes")
+    named_row = classes.select("key", "node", F.col("row.doc_id").alias("doc_id"), F.col("row.h").alias("h"))
     heads = (
-        full.join(classes.withColumnRenamed("rep", "doc_id"), ["key", "doc_id"])
-        .select(F.col("doc_id").alias("node"), "n", "bands", "signature")
+        full.join(named_row, ["key", "doc_id", "h"])
+        .select("node", "n", "bands", "signature")
         .dropDuplicates(["node"])
     )
     heads = stored(heads, "near-heads")
@@ -199,11 +211,13 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
         F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("m")
     ).where("low < high")
     members = stored(bands.join(buckets, "band").select("band", "node", "n", "low", "m"), "near-members")
-    in_buckets = members.select("node").distinct()
+    wanted = named_row.join(members.select("node").distinct(), "node")
     sets = stored(
-        maybe_in(rows, F.col("doc_id"), in_buckets, F.col("node")).mapInArrow(
-            _sets, "node long, elements binary"
-        ).dropDuplicates(["node"]),
+        maybe_in(rows, F.xxhash64("doc_id", "h"), wanted, F.xxhash64("doc_id", "h"))
+        .mapInArrow(_sets, "key binary, elements binary")
+        .join(wanted.select("key", "node"), "key")
+        .select("node", "elements")
+        .dropDuplicates(["node"]),
         "near-sets",
     )
 
@@ -228,13 +242,32 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
         links = links.unionByName(confirmed(pairs))
     groups = components(links.mapInArrow(_forests, "a long, b long"), "near")
 
-    named = classes.join(groups.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "key", F.coalesce("component", "rep").alias("component")
+    named = classes.select("key", "node").join(groups, "node", "left").select(
+        "key", F.coalesce("component", "node").alias("group")
     )
-    named = stored(named, "near-named")
+    own = signed.select("doc_id", "sha", "n", F.when(F.col("n") > 0, F.col("key")).alias("key"))
+    return stored(own.join(named, "key", "left").select("doc_id", "sha", "n", "group"), "near-named")
+
+
+def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for every row of docs.
+
+    A text of fewer than five words has its whole word sequence as its only shingle; a text
+    without words (or null) has an empty set, is linked with nothing and is kept. Equal
+    sets are one class; ``component_id`` is the smallest doc_id reachable. Rows that repeat
+    a doc_id (null is one, too) are one node: all their texts' links count for it, and each
+    row is returned.
+    """
+    rows = text_groups(docs, percent)
+    ids = stored(rows.where("n > 0").select("doc_id", "group").distinct(), "near-ids")
+    ties = ids.groupBy("doc_id").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low < high")
+    ties = ids.join(ties, "doc_id").where("group > low").select(F.col("group").alias("a"), F.col("low").alias("b"))
+    tied = ids.join(components(ties, "near-ties").withColumnRenamed("node", "group"), "group", "left")
+    tied = tied.select("doc_id", F.coalesce("component", "group").alias("tied"))
+    lows = tied.groupBy("tied").agg(F.min("doc_id").alias("component"))
+    by_id = stored(tied.distinct().join(lows, "tied").select("doc_id", "component"), "near-by-id")
     return (
-        signed.select("doc_id", "n", F.when(F.col("n") > 0, F.col("key")).alias("key"))
-        .join(named, "key", "left")
+        rows.join(by_id, "doc_id", "left")
         .withColumn("component", F.coalesce("component", "doc_id"))
         .select(
             id_out("doc_id").alias("doc_id"),
