@@ -3,26 +3,43 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet
 and read again as the next stage's documents. All but the last return the columns of docs;
 the last returns the packed pieces. A document with a null or empty text passes every stage
-on the same terms as the others; rows that repeat a doc_id share its fate.
+on the same terms as the others. The dedup stages judge every text for itself: rows that
+share a doc_id (or have none) stay or go one by one, and of equal texts one row stays.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import id_in, stored, table
+from tradewind.llm.common import id_in, maybe_in, stored, table
 from tradewind.llm.exact_dedup import exact_duplicates
 from tradewind.llm.mixing import mix_sources
-from tradewind.llm.near_dedup import near_duplicates
+from tradewind.llm.near_dedup import text_groups
 from tradewind.llm.packing import pack
 from tradewind.llm.quality import keep_quality
 
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
-def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    dropped = dropped.select(id_in().alias("_dropped"))
-    return docs.join(dropped, id_in() == F.col("_dropped"), "left_anti")
+
+def _text_hash() -> Column:
+    """SHA-256 of the text with A-Z lower-cased."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    ascii_only = F.length(text) == F.octet_length(text)  # for these the quicker full lower-casing is the same
+    return F.sha2(F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower())), 256)
+
+
+def _judged(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """docs without the texts that rows (_id, _sha, kept) drop; a repeated (_id, _sha) stays once."""
+    keys = ["_id", "_sha"]
+    fates = rows.groupBy(*keys).agg(F.min("kept").alias("kept"), F.count("*").alias("m"))
+    fates = stored(fates.where("NOT kept OR m > 1"), "pipeline-fates")
+    keyed = docs.withColumns({"_id": id_in(), "_sha": _text_hash()})
+    repeated = fates.where("kept").select(*keys)
+    single = keyed.join(fates.select(*keys), keys, "left_anti")
+    several = maybe_in(keyed, F.xxhash64(*keys), repeated, F.xxhash64(*keys)).join(repeated, keys)
+    return single.unionByName(several.dropDuplicates(keys)).select(*docs.columns)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,12 +49,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the one with the largest doc_id stays."""
-    return _without(docs, exact_duplicates(docs).where("NOT kept"))
+    rows = exact_duplicates(docs).where("group_size > 1")
+    return _judged(docs, rows.select(id_in().alias("_id"), F.col("text_sha256").alias("_sha"), "kept"))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates, the one with the smallest doc_id stays."""
-    return _without(docs, near_duplicates(docs).where("NOT kept"))
+    rows = text_groups(docs)
+    best = rows.where("n > 0").groupBy("group").agg(F.min(F.struct("doc_id", "sha")).alias("best"))
+    kept = F.coalesce(F.struct("doc_id", "sha") == F.col("best"), F.lit(True))  # no group: nothing is near
+    rows = rows.join(best, "group", "left").withColumn("kept", kept)
+    return _judged(docs, rows.select(F.col("doc_id").alias("_id"), F.col("sha").alias("_sha"), "kept"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
