@@ -391,3 +391,23 @@ def test_near_duplicates_of_ids_with_several_texts(spark):
     got = [(r["doc_id"], r["component_id"]) for r in near_duplicates(frame(spark, rows)).collect()]
     want = {None: None, 10: None, 11: None, 12: None, 20: 20, 21: 20, 22: 20, 30: 25, 25: 25, 31: 31}
     assert sorted(got, key=str) == sorted(((d, want[d]) for d, _ in rows), key=str)
+
+
+def test_mix_keeps_exact_weights(spark):
+    sizes = {"a": 3000, "b": 2000, "c": 3000, "d": 900, "e": 40}
+    weights = {"a": 1.0, "b": 0.7, "c": 2**0.5, "d": 1 / 3, "e": 1e-5}
+    names = [s for s in sizes for _ in range(sizes[s])]
+    rows = [(i, "t", s) for i, s in enumerate(names)]
+    got = mix_sources(frame(spark, rows), weights, block_docs=1).select("slot", "source", "release", "deadline").collect()
+    assert sorted(r["slot"] for r in got) == list(range(len(rows)))
+    assert all(r["release"] <= r["slot"] < r["deadline"] for r in got)
+    total, done = sum(weights.values()), Counter()
+    for r in sorted(got):
+        done[r["source"]] += 1
+        assert all(abs(done[s] - (r["slot"] + 1) * w / total) < 1 for s, w in weights.items())
+        if done[r["source"]] == sizes[r["source"]]:
+            break
+    assert r["slot"] > 5000
+    many = [(i, "t", f"s{i % 4500}") for i in range(5000)]
+    got = mix_sources(frame(spark, many), block_docs=1).collect()
+    assert sorted(r["slot"] for r in got) == list(range(len(many)))

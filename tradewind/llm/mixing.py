@@ -1,15 +1,17 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-A source's documents are dealt into blocks. With weight w, block j of a source (from 0) is
-released at slot floor(j / w) and due by slot ceil((j + 1) / w); in every slot the released
-block with the earliest deadline goes. No source is ever a whole block ahead of or behind
-its weight. When a source has no blocks left, a new phase begins in which the others share
-its weight in proportion.
-
-Weights are rounded to ``slots`` shares, so a phase repeats one period of ``slots`` slots.
-Only such a period is scheduled step by step, once for each phase; its size does not depend
-on the number of documents. The slot of every document follows from its place in its source
-by arithmetic, wherever it is; places come from a range sort by (source, hash), so a source
+A source's documents are dealt into blocks. In the ideal mix all sources that have blocks
+left flow at once, each at its exact weight among them, one block a slot together: when the
+flow V has passed, source s has given min(w V, n) of its n blocks, and the slot is the sum of
+these over all sources. Block j may not go before the slot in which it begins to flow and is
+due by the slot in which it has flowed; of the blocks that may go, the one with the earliest
+deadline goes. So no source is ever a whole block ahead of or behind its exact weight, for
+however long; when it has no blocks left, the others share its weight in proportion.
+
+The bounds are exact (whole numbers, no rounding). One task deals the blocks, of which there
+is one to ``block_docs`` documents, from a heap with one entry a source, and writes them to
+a stored table as it goes; documents never pass it. Every document then finds its
+slot by a join on its block; places come from a range sort by (source, hash), so a source
 that holds most rows is spread over many tasks.
 """
 
@@ -17,13 +19,19 @@ from __future__ import annotations
 
 import heapq
 import math
+from bisect import bisect_right
+from collections.abc import Iterator
+from fractions import Fraction
+from itertools import accumulate, islice
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import id_in, id_out, running_starts
+from tradewind.llm.common import id_in, id_out, running_starts, stored
 
 NO_SOURCE = "-"
+BATCH = 50_000
 
 
 def shares(weights: dict[str, float], slots: int) -> dict[str, int]:
@@ -82,12 +90,59 @@ def phases(blocks: dict[str, int], weights: dict[str, float], slots: int) -> lis
     return out
 
 
+def rounded(blocks: dict[str, int], weights: dict[str, float], slots: int) -> Iterator[tuple[str, int, int, int, int]]:
+    """As :func:`schedule`, but by weights in whole shares of ``slots``, phase by phase."""
+    for s, first, many, share, base, places in phases(blocks, weights, slots):
+        for k in range(many):
+            slot = base + k // share * slots + places[k % share]
+            yield s, first + k, slot, base + k * slots // share, base - (-(k + 1) * slots // share)
+
+
+def schedule(blocks: dict[str, int], weights: dict[str, float]) -> Iterator[tuple[str, int, int, int, int]]:
+    """(source, block, slot, release, deadline) of all blocks in the order of their slots."""
+    exact = {s: Fraction(weights[s]) for s, n in blocks.items() if n}
+    scale = math.lcm(*(w.denominator for w in exact.values()))
+    names = sorted(exact, key=lambda s: (Fraction(blocks[s]) / exact[s], s))  # in the order they end
+    weight, many = [int(exact[s] * scale) for s in names], [blocks[s] for s in names]
+    ends = [n / w for n, w in zip(many, weight, strict=True)]
+    ended = [0, *accumulate(many)]
+    flowing = [*reversed([0, *accumulate(reversed(weight))])]
+
+    def slot_of(j: int, w: int) -> tuple[int, int]:
+        """Floor and ceiling of the ideal slot at which the flow is j / w."""
+        i = bisect_right(ends, j / w)  # rounded; what is rounded away is made good exactly
+        while i < len(ends) and many[i] * w <= j * weight[i]:
+            i += 1
+        while i and many[i - 1] * w > j * weight[i - 1]:
+            i -= 1
+        whole, rest = divmod(j * flowing[i], w)
+        return ended[i] + whole, ended[i] + whole + bool(rest)
+
+    dealt, release = [0] * len(names), [0] * len(names)
+    waiting, ready = [(0, i) for i in range(len(names))], []
+    for slot in range(ended[-1]):
+        while waiting and waiting[0][0] <= slot:
+            _, i = heapq.heappop(waiting)
+            heapq.heappush(ready, (slot_of(dealt[i] + 1, weight[i])[1], i))
+        due, i = heapq.heappop(ready)
+        yield names[i], dealt[i], slot, release[i], due
+        dealt[i] += 1
+        if dealt[i] < many[i]:
+            release[i] = slot_of(dealt[i], weight[i])[0]
+            heapq.heappush(waiting, (release[i], i))
+
+
+PLAN = pa.schema([("_source", pa.string()), *((c, pa.int64()) for c in ("block", "slot", "release", "deadline"))])
+PLAN_DDL = "_source string, block long, slot long, release long, deadline long"
+
+
 def mix_sources(
     docs: DataFrame,
     weights: dict[str | None, float] | None = None,
     power: float = 0.5,
     block_docs: int = 32,
-    slots: int = 4096,
+    slots: int | None = None,
+    row: Column | None = None,
 ) -> DataFrame:
     """(doc_id, source, block, place, slot, release, deadline) for every row of docs.
 
@@ -96,43 +151,50 @@ def mix_sources(
     weights a source has its number of documents to the given power; a source that the
     weights leave out has their mean. A null source is a source of its own. Documents of a
     source come in hashed order, repeated rows side by side; none is left out or repeated.
-    At most ``slots`` sources can be mixed.
+    With ``slots`` the weights are first rounded to whole shares of so many slots, and at
+    most so many sources can be mixed; without, they are kept exactly. ``row``, a column
+    that tells rows of one doc_id apart, is returned as ``row``.
     """
-    spark = docs.sparkSession
     keyed = docs.select(
         id_in().alias("doc_id"),
         F.when(F.col("source").isNull(), NO_SOURCE)
         .otherwise(F.concat(F.lit("+"), F.col("source").cast("string")))
         .alias("_source"),
         F.lit(1).cast("long").alias("one"),
-    ).withColumn("h", F.xxhash64("doc_id"))
-    placed = running_starts(keyed, ["_source", "h", "doc_id"], "one", "mix-order")
-    sources = placed.groupBy("_source").agg(F.count("*").alias("n"), F.min("start").alias("base"))
-    sizes = sources.limit(slots + 1).collect()
+        *([] if row is None else [row.alias("row")]),
+    )
+    own = ["doc_id"] if row is None else ["doc_id", "row"]
+    keyed = keyed.withColumn("h", F.xxhash64(*own))
+    placed = running_starts(keyed, ["_source", "h", *own], "one", "mix-order")
+    sources = stored(
+        placed.groupBy("_source").agg(F.count("*").alias("n"), F.min("start").alias("base")), "mix-sources"
+    )
     named = {NO_SOURCE if k is None else f"+{k}": v for k, v in (weights or {}).items()}
     mean = sum(named.values()) / len(named) if named else None
-    target = {r["_source"]: named.get(r["_source"], mean) or r["n"] ** power for r in sizes}
-    blocks = {r["_source"]: -(-r["n"] // block_docs) for r in sizes}
-    plan = spark.createDataFrame(
-        phases(blocks, target, slots),
-        "_source string, first long, many long, share long, slot_base long, places array<long>",
-    )
-    bases = spark.createDataFrame([(r["_source"], r["base"]) for r in sizes], "_source string, base long")
-    turn = F.col("block") - F.col("first")
-    cycle = F.expr("(block - first) div share")
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sizes = {s: n for b in batches for s, n in zip(*(c.to_pylist() for c in b.columns), strict=True)}
+        target = {s: named.get(s, mean) or n**power for s, n in sizes.items()}
+        blocks = {s: -(-n // block_docs) for s, n in sizes.items()}
+        plan = rounded(blocks, target, slots) if slots else schedule(blocks, target)
+        while rows := list(islice(plan, BATCH)):
+            columns = zip(PLAN, zip(*rows, strict=True), strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for f, c in columns], schema=PLAN)
+
+    plan = stored(sources.select("_source", "n").coalesce(1).mapInArrow(dealt, PLAN_DDL), "mix-plan")
     return (
-        placed.join(F.broadcast(bases), "_source")
+        placed.join(sources.select("_source", "base"), "_source")
         .withColumn("rank", F.col("start") - F.col("base"))
-        .select("doc_id", "_source", F.expr(f"rank div {block_docs}").alias("block"), (F.col("rank") % block_docs).alias("place"))
-        .join(F.broadcast(plan), "_source")
-        .where("block >= first AND block < first + many")
+        .withColumns({"block": F.expr(f"rank div {block_docs}"), "place": F.col("rank") % block_docs})
+        .join(plan, ["_source", "block"])
         .select(
             id_out("doc_id").alias("doc_id"),
             F.expr(f"CASE WHEN _source <> '{NO_SOURCE}' THEN substring(_source, 2) END").alias("source"),
             "block",
             "place",
-            (F.col("slot_base") + cycle * slots + F.get("places", (turn % F.col("share")).cast("int"))).alias("slot"),
-            (F.col("slot_base") + F.expr(f"(block - first) * {slots} div share")).alias("release"),
-            (F.col("slot_base") + F.expr(f"((block - first + 1) * {slots} + share - 1) div share")).alias("deadline"),
+            "slot",
+            "release",
+            "deadline",
+            *own[1:],
         )
     )
