@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet
 and read again as the next stage's documents. All but the last return the columns of docs;
-the last returns the packed pieces. A document with a null or empty text passes every stage
+the mixing stage adds ``mix_slot``, by which the last stage packs, and the last returns the
+packed pieces. A document with a null or empty text passes every stage
 on the same terms as the others. The dedup stages judge every text for itself: rows that
 share a doc_id (or have none) stay or go one by one, and of equal texts one row stays.
 """
@@ -21,6 +22,8 @@ from tradewind.llm.packing import pack
 from tradewind.llm.quality import keep_quality
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: Slots of the mix (of 32 documents each) that are packed together.
+WINDOW = 32
 
 
 def _text_hash() -> Column:
@@ -63,15 +66,25 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, written in the order of the mix."""
-    slots = mix_sources(docs).groupBy(id_in().alias("_mixed")).agg(F.min(F.struct("slot", "place")).alias("_slot"))
-    placed = docs.join(slots, id_in() == F.col("_mixed")).orderBy("_slot", "_mixed")
-    return placed.drop("_mixed", "_slot")
+    """All documents, written in the order of the mix, each with its slot as ``mix_slot``."""
+    slots = mix_sources(docs, row=_text_hash())
+    slots = slots.groupBy(id_in().alias("_id"), F.col("row").alias("_sha"), F.col("source").alias("_from")).agg(
+        F.min(F.struct("slot", "place")).alias("_slot")
+    )
+    keyed = docs.withColumns({"_id": id_in(), "_sha": _text_hash()})
+    placed = keyed.join(
+        slots.withColumnsRenamed({"_id": "_id2", "_sha": "_sha2"}),
+        (F.col("_id") == F.col("_id2")) & (F.col("_sha") == F.col("_sha2"))
+        & F.col("source").cast("string").eqNullSafe(F.col("_from")),
+    )
+    return placed.orderBy("_slot", "_id", "_sha").select(*docs.columns, F.col("_slot.slot").alias("mix_slot"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences of 2048 ids along the space-filling curve."""
-    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    """Pieces of sequences of 2048 ids: windows of ``WINDOW`` slots of the mix in their order,
+    inside a window along the space-filling curve. Unmixed documents are one window."""
+    window = F.floor(F.col("mix_slot") / WINDOW) if "mix_slot" in docs.columns else None
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), group=window)
 
 
 STAGES = [

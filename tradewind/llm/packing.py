@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm import words as W
@@ -103,18 +103,20 @@ def _cut(length: int):
     return run
 
 
-def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, length: int = 2048) -> DataFrame:
+def pack(
+    docs: DataFrame, tokenizer: str, end_id: int = 1, length: int = 2048, group: Column | None = None
+) -> DataFrame:
     """Pieces (doc_id, start, length, doc_tokens, sequence_id, offset, ids) of all documents.
 
     ``ids`` are the piece's ids as little-endian 4-byte numbers, ``start`` its place in its
     document, ``offset`` its place in the sequence. A null or empty text has its end id
     alone. Documents of one key follow by doc_id; repeated rows are packed each. Only the
-    last sequence can be short; its rest is padding.
+    last sequence can be short; its rest is padding. ``group``, a whole number of each row,
+    leads the order: the curve is followed inside each group, and groups follow each other.
     """
-    rows = token_rows(docs, tokenizer, end_id, "pack-ids", curve_keys)
-    starts = running_starts(
-        rows.select("key", "doc_id", "uid", "n"), ["key", "doc_id", "uid"], "n", "pack-order"
-    )
+    rows = token_rows(docs, tokenizer, end_id, "pack-ids", curve_keys, group)
+    order = ["group", "key", "doc_id", "uid"]
+    starts = running_starts(rows.select(*order, "n"), order, "n", "pack-order")
     return (
         rows.select("uid", "doc_id", "n", "ids")
         .join(starts.select("uid", "start"), "uid")

@@ -17,7 +17,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -247,11 +247,14 @@ def piece_tokenizer(path: str) -> PieceTokenizer:
     return PieceTokenizer(path)
 
 
-def token_rows(docs: DataFrame, path: str, end_id: int, purpose: str, vector=None) -> DataFrame:
-    """Stored rows (uid, doc_id, n, ids[, key]): the ids of every whole text, then the end id.
+def token_rows(
+    docs: DataFrame, path: str, end_id: int, purpose: str, vector=None, group: Column | None = None
+) -> DataFrame:
+    """Stored rows (uid, doc_id, n, ids, key, group): the ids of every whole text, then the end id.
 
     ``ids`` are little-endian numbers of 2 bytes where the vocabulary allows, else 4.
-    ``vector`` maps (ids, offsets) to one long for each text, returned as ``key``.
+    ``vector`` maps (ids, offsets) to one long for each text, returned as ``key``; ``group``
+    is a whole number of the row, passed on (0 where null or not given).
     """
     kind = "<u2" if Tokenizer.from_file(path).get_vocab_size() < 2**16 and end_id < 2**16 else "<u4"
 
@@ -274,11 +277,15 @@ def token_rows(docs: DataFrame, path: str, end_id: int, purpose: str, vector=Non
                         pa.array(np.diff(first), pa.int64()),
                         column.cast(pa.binary()),
                         pa.array(keys, pa.int64()),
+                        batch.column(2),
                     ],
-                    ["doc_id", "n", "ids", "key"],
+                    ["doc_id", "n", "ids", "key", "group"],
                 )
 
-    rows = texts(docs).mapInArrow(run, "doc_id long, n long, ids binary, key long")
+    group = F.lit(0) if group is None else F.coalesce(group, F.lit(0))
+    rows = texts(docs, group.cast("long").alias("group")).mapInArrow(
+        run, "doc_id long, n long, ids binary, key long, group long"
+    )
     return stored(rows.withColumn("uid", F.monotonically_increasing_id()), purpose)
 
 
