@@ -411,3 +411,19 @@ def test_mix_keeps_exact_weights(spark):
     many = [(i, "t", f"s{i % 4500}") for i in range(5000)]
     got = mix_sources(frame(spark, many), block_docs=1).collect()
     assert sorted(r["slot"] for r in got) == list(range(len(many)))
+
+
+def test_fingerprints_hold_all_anchors_of_long_texts(spark):
+    rng = random.Random(43)
+    shared = sentence(rng, 60)
+    a, b = (f"{sentence(rng, 3000)} {shared} {sentence(rng, 3000)}" for _ in range(2))
+    docs = frame(spark, [(2, a), (1, b)])
+    full = {r["doc_id"]: [(x["hash"] >> 32, x["at"]) for x in r["x"]] for r in with_anchors(docs, "text", "x").collect()}
+    got = {r["doc_id"]: r for r in fingerprints(docs).collect()}
+    for d in (1, 2):
+        assert [(x["hash"], x["at"]) for x in got[d]["sketch"]] == full[d]
+        assert len(full[d]) > 2000
+    one, two = ({h for h, _ in full[d]} for d in (1, 2))
+    edited = {x["hash"] for x in got[2]["edited_sketch"]}
+    assert got[2]["near_next"] == len(one & two) / len(one | two) > 0
+    assert got[2]["near_edited"] == len(two & edited) / len(two | edited)

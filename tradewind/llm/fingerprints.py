@@ -6,12 +6,12 @@ smallest of these hashes belongs to the first or the last run. Whether k words a
 anchor depends on them alone, so an edit moves no anchor elsewhere: what two texts share
 keeps its anchors in both.
 
-A fingerprint keeps the smallest ``SKETCH`` anchor hashes of a text; the likeness of two
-fingerprints is the share of the smallest of both that both hold, an estimate of the
-Jaccard similarity of the anchor sets.
+A fingerprint holds all anchors of a text, each with its place; the likeness of two
+fingerprints is the Jaccard similarity of their sets of distinct anchor hashes.
 
 DataFrame operations only. A text is shuffled once (by doc_id); its neighbour receives the
-part it needs and its fingerprint, not the whole text.
+part it needs and its distinct anchor hashes, not the whole text; anchors of the other two
+texts are made after the shuffle.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tradewind.llm.common import id_out, stored, texts
 
-K, S, SKETCH = 5, 2, 64
+K, S = 5, 2
 #: Blocks of scripts that are written without spaces: Thai and Lao, Myanmar, Khmer, kana, Han.
 UNSPACED = "\\u0E00-\\u0EFF\\u1000-\\u109F\\u1780-\\u17FF\\u3040-\\u30FF\\u3400-\\u9FFF\\uF900-\\uFAFF"
 
@@ -54,10 +54,7 @@ def _is_anchor(x: Column, names: list[str]) -> Column:
 
 
 def with_anchors(df: DataFrame, text: str, name: str) -> DataFrame:
-    """Add the anchors of a text column: an array of (hash, at), ``at`` a word number from 0.
-
-    Unlike the fingerprint it grows with the text: it serves positional matching.
-    """
+    """Add the anchors of a text column: an array of (hash, at), ``at`` a word number from 0."""
     windows, names = _windows()
     marked = F.transform(
         windows,
@@ -69,31 +66,50 @@ def with_anchors(df: DataFrame, text: str, name: str) -> DataFrame:
 
 
 def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
-    """Add the sorted smallest anchor hashes (of 32 bits) of a text column.
+    """Add all anchors of a text column in order: an array of (hash, at), hashes of 32 bits.
 
     A text with words but without anchors has one hash of all its words; a text without
     words has none.
     """
     windows, names = _windows()
-    kept = F.filter(windows, lambda x: _is_anchor(x, names))
-    hashes = F.transform(kept, lambda x: F.shiftrightunsigned(F.xxhash64(*(x[n] for n in names)), 32))
-    df = _with_runs(df, text).withColumn("_a", hashes)
-    own = F.when(F.size("_a") > 0, F.col("_a")).when(
-        F.size("_w") > 0, F.array(F.shiftrightunsigned(F.xxhash64("_w"), 32))
-    ).otherwise(F.array().cast("array<long>"))
-    df = df.withColumn(name, F.slice(F.sort_array(F.array_distinct(own)), 1, SKETCH))
-    return df.drop("_w", "_s", "_a")
+    marked = F.transform(
+        windows,
+        lambda x, i: F.when(
+            _is_anchor(x, names), F.struct(_short(*(x[n] for n in names)).alias("hash"), i.alias("at"))
+        ),
+    )
+    df = _with_runs(df, text).withColumn("_a", F.filter(marked, lambda x: x.isNotNull()))
+    whole = F.array(F.struct(_short("_w").alias("hash"), F.lit(0).alias("at")))
+    own = F.when((F.size("_a") == 0) & (F.size("_w") > 0), whole).otherwise(F.col("_a"))
+    return df.withColumn(name, own).drop("_w", "_s", "_a")
 
 
-def likeness(a: str, b: str) -> Column:
-    """From 0 to 1; two empty fingerprints are alike, an empty and another are not."""
-    both = F.slice(F.sort_array(F.array_union(a, b)), 1, SKETCH)
-    shared = F.size(F.array_intersect(F.array_intersect(a, b), both))
-    return F.when(F.size(both) == 0, F.lit(1.0)).otherwise(shared / F.size(both))
+def _short(*columns: Column | str) -> Column:
+    """The upper 32 bits of the columns' hash."""
+    return F.shiftright(F.xxhash64(*columns), 32).cast("int")
+
+
+def hashes(sketch: str) -> Column:
+    """The distinct anchor hashes of a fingerprint."""
+    return F.array_distinct(F.col(f"{sketch}.hash"))
+
+
+def likeness(a: Column, b: Column) -> Column:
+    """Of two arrays of distinct hashes, from 0 to 1; two empty ones are alike, an empty and another are not."""
+    shared = F.size(F.array_intersect(a, b))
+    union = F.size(a) + F.size(b) - shared
+    return F.when(union == 0, F.lit(1.0)).otherwise(shared / union)
 
 
 def as_text(sketch: str) -> Column:
-    return F.array_join(F.transform(sketch, lambda h: F.lpad(F.lower(F.hex(h)), 8, "0")), "")
+    """Every anchor as 8 hexadecimal digits, a colon and its place."""
+    digits = F.transform(
+        sketch,
+        lambda x: F.concat(
+            F.lpad(F.lower(F.hex(x["hash"].cast("long").bitwiseAND(F.lit(2**32 - 1)))), 8, "0"), F.lit(":"), x["at"].cast("string")
+        ),
+    )
+    return F.array_join(digits, " ")
 
 
 def _ring(docs: DataFrame) -> DataFrame:
@@ -129,16 +145,16 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     text counts as empty. Rows that repeat a doc_id have one and the same next document; as
     a next document the id stands for one of its texts. A lone document follows itself.
     """
-    rows = with_fingerprint(texts(docs), "text", "sketch")
+    rows = texts(docs)
     ring = _ring(texts(docs))
+    # No equality of two sides: as a join key it would keep the texts from being shared.
+    chosen = rows.join(ring, "doc_id").where(F.xxhash64("text").bitwiseXOR(F.col("chosen")) == 0)
     parcels = (
-        rows.join(ring, "doc_id")
-        # No equality of two sides: as a join key it would keep the texts from being shared.
-        .where(F.xxhash64("text").bitwiseXOR(F.col("chosen")) == 0)
+        with_fingerprint(chosen, "text", "sketch")
         .select(
             F.col("before_id").alias("doc_id"),
             F.substring("text", F.lit(1), F.col("need")).alias("head"),
-            F.col("sketch").alias("next_sketch"),
+            hashes("sketch").alias("next_hashes"),
         )
         .dropDuplicates(["doc_id"])
     )
@@ -147,12 +163,14 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         F.substring("text", F.lit(1), F.length("text") - moved), F.substring("head", F.lit(1), moved)
     )
     out = rows.join(parcels, "doc_id").withColumn("edited_text", edited)
-    return with_fingerprint(out, "edited_text", "edited_sketch").select(
+    out = with_fingerprint(with_fingerprint(out, "text", "sketch"), "edited_text", "edited_sketch")
+    out = out.withColumns({"_own": hashes("sketch"), "_edited": hashes("edited_sketch")})
+    return out.select(
         id_out("doc_id").alias("doc_id"),
         F.length("text").cast("long").alias("n_chars"),
         "edited_text",
         "sketch",
         "edited_sketch",
-        likeness("sketch", "edited_sketch").alias("near_edited"),
-        likeness("sketch", "next_sketch").alias("near_next"),
+        likeness(F.col("_own"), F.col("_edited")).alias("near_edited"),
+        likeness(F.col("_own"), F.col("next_hashes")).alias("near_next"),
     )
