@@ -427,3 +427,17 @@ def test_fingerprints_hold_all_anchors_of_long_texts(spark):
     edited = {x["hash"] for x in got[2]["edited_sketch"]}
     assert got[2]["near_next"] == len(one & two) / len(one | two) > 0
     assert got[2]["near_edited"] == len(two & edited) / len(two | edited)
+
+
+def test_no_id_or_text_fills_a_chunk_of_the_tree(spark, monkeypatch):
+    monkeypatch.setattr(C, "CHUNK_BYTES", 2000)
+    counted = C._counted
+
+    def watched(chunk):
+        assert chunk.num_rows <= 150
+        return counted(chunk)
+
+    monkeypatch.setattr(C, "_counted", watched)
+    rows = [(None, "one hot text of a null id")] * 400 + [(i, f"text {i} of its own") for i in range(50)]
+    got = C.score_texts(frame(spark, rows)).collect()
+    assert len(got) == 450 and len({r["score"] for r in got if r["doc_id"] is None}) == 1

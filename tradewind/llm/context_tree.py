@@ -7,8 +7,9 @@ node's weighted probability is half its own estimate and half the product of its
 children's. Where training never saw a deeper node, the mix ends above it. A text's code
 length is the sum over its bytes and an end mark; texts are lower-cased (A-Z).
 
-Neither the counts of the tree nor those of words are ever broadcast or gathered. Texts go
-to chunks of bounded size. A chunk reports the distinct words and six-byte runs of its
+Neither the counts of the tree nor those of words are ever broadcast or gathered. Rows go
+to chunks by a stored row number, so that no doc_id and no text, however often it occurs,
+fills one: a chunk holds ``CHUNK_BYTES`` on average. A chunk reports the distinct words and six-byte runs of its
 texts with their training counts; those are summed for the corpus; the tree is weighted in
 parts that share the two nearest context bytes, of which only sums by the nearest byte
 (65,536 rows at most) reach the driver to form the two levels above; and every chunk gets
@@ -297,10 +298,11 @@ def score_texts(docs: DataFrame) -> DataFrame:
     training rows the base score is 0 and every decision has probability one half.
     Words are told apart by 63-bit hashes.
     """
-    rows = texts(docs).withColumn("held_out", held_out())
+    rows = texts(docs).withColumns({"held_out": held_out(), "uid": F.monotonically_increasing_id()})
+    rows = stored(rows, "lm-rows")  # both passes must deal a row to the same chunk
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    chunk = F.pmod(F.xxhash64("doc_id"), F.lit(-(-size // CHUNK_BYTES) + 1)).cast("int")
-    chunked = rows.withColumn("chunk", chunk)
+    chunk = F.pmod(F.xxhash64("uid"), F.lit(-(-size // CHUNK_BYTES) + 1)).cast("int")
+    chunked = rows.withColumn("chunk", chunk).drop("uid")
     held = stored(chunked.groupBy("chunk").applyInArrow(_counted, "chunk int, key long, n long"), "lm-held")
     counts = stored(held.groupBy("key").agg(F.sum("n").alias("n")), "lm-counts")
     known = counts.where("key < 0 AND n > 0")
