@@ -441,3 +441,41 @@ def test_no_id_or_text_fills_a_chunk_of_the_tree(spark, monkeypatch):
     rows = [(None, "one hot text of a null id")] * 400 + [(i, f"text {i} of its own") for i in range(50)]
     got = C.score_texts(frame(spark, rows)).collect()
     assert len(got) == 450 and len({r["score"] for r in got if r["doc_id"] is None}) == 1
+
+
+def test_forms_of_private_keys():
+    import base64
+
+    rng = random.Random(44)
+
+    def item(tag, body):
+        size = len(body)
+        head = bytes([size]) if size < 128 else bytes([0x82]) + size.to_bytes(2, "big")
+        return bytes([tag]) + head + body
+
+    def key(n, width=60):
+        numbers = [item(2, bytes([1]) + rng.randbytes(width)) for _ in range(n)]
+        return item(0x30, item(2, b"\0") + b"".join(numbers))
+
+    def spans(text):
+        return [(text[a:b]) for a, b, k in find_spans(text) if k == "key"]
+
+    rsa, dsa = key(8), key(5)
+    code = base64.b64encode(rsa).decode()
+    lines = [code[i : i + 64] for i in range(0, len(code), 64)]
+    for gap in ("\\n", "\\r\\n", "\\\\n"):
+        pem = gap.join(["-----BEGIN RSA PRIVATE KEY-----", *lines, "-----END RSA PRIVATE KEY-----"])
+        assert spans(f'{{"private_key": "{pem}{gap}"}}') == [pem]
+        assert spans(f'é KEY="{gap}{gap.join(lines)}"') == [gap.join(lines)]
+        assert spans(f'é KEY="{gap}{code}"') == [code]
+    assert spans("key = 0x" + rsa.hex() + ";") == ["0x" + rsa.hex()]
+    assert spans("key = " + base64.b64encode(dsa).decode()) == [base64.b64encode(dsa).decode()]
+    for gap in ("\n", "\r\n", "\n    "):
+        assert spans(f"a key:\n\n{gap.join(lines)}\nend of it") == [gap.join(lines)]
+        assert spans(f"Aword{gap}{gap.join(lines)}{gap}{gap.join(lines)}") == [gap.join(lines)] * 2
+    field = lambda x: len(x).to_bytes(4, "big") + x
+    box = b"openssh-key-v1\0" + field(b"none") * 2 + field(b"") + b"\0\0\0\1" + field(rng.randbytes(51)) + field(rng.randbytes(136))
+    code = base64.b64encode(box).decode()
+    wrapped = "\n".join(code[i : i + 70] for i in range(0, len(code), 70))
+    assert spans(f"ssh:\n{wrapped}\nend") == [wrapped]
+    assert spans("\n".join(lines[:-1])) == [] and spans("x\n".join(lines)) == []

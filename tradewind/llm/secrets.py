@@ -7,8 +7,9 @@ reported only if what they hold has the structure of one:
 - ``jwt``: three dot-separated parts whose first decodes to a JSON object with an ``alg``
   and whose second decodes to a JSON object;
 - ``key``: base64 (in PEM armour or bare) or hex that decodes to a private key: DER whose
-  nested lengths fill the bytes exactly (PKCS#1, PKCS#8, SEC1), or the OpenSSH container
-  whose length-prefixed fields do.
+  nested lengths fill the bytes exactly (PKCS#1, DSA, PKCS#8, SEC1), or the OpenSSH container
+  whose length-prefixed fields do. Line breaks may be escaped (as in JSON and .env files),
+  hex may have a 0x prefix, and bare base64 may be wrapped over lines.
 
 Texts are independent of each other, so this is one pass without a shuffle.
 """
@@ -38,8 +39,17 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 
 TOKEN = re.compile(r"(?<![A-Za-z0-9_-])e[wy][A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
-ARMOUR = re.compile(r"-----BEGIN ([A-Z ]*)PRIVATE KEY-----([A-Za-z0-9+/=\s]+)-----END \1PRIVATE KEY-----")
+ARMOUR = re.compile(r"-----BEGIN ([A-Z ]*)PRIVATE KEY-----((?:[A-Za-z0-9+/=\s]|\\+[nrt])+)-----END \1PRIVATE KEY-----")
 BARE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}")
+#: Line breaks, real or escaped.
+BREAK = re.compile(r"(?:\\+[nrt]|\s)+")
+#: Bare base64 over at least two lines; a line is one run, and the last may be short.
+WRAPPED = re.compile(
+    r"(?:(?<![A-Za-z0-9+/_\\-])|(?<=\\[nrt]))[A-Za-z0-9+/_-]{16,}(?:(?:\\+r)?(?:\\+n|\r?\n)[\x20\t]*[A-Za-z0-9+/_-]+)+={0,2}"
+)
+LINE = re.compile(r"(?:\\+r)?(?:\\+n|\r?\n)[\x20\t]*")
+#: Fixed value: base64 of the first bytes of the OpenSSH container.
+OPENSSH, MAGIC = "b3BlbnNzaC1rZXktdjEA", b"openssh-key-v1\0"
 
 Span = tuple[int, int, str]
 
@@ -99,9 +109,8 @@ def is_private_key(data: bytes | None) -> bool:
     """Whether the bytes are a private key in DER or in the OpenSSH container."""
     if not data or len(data) < 30:
         return False
-    magic = b"openssh-key-v1\0"
-    if data.startswith(magic):
-        fields, at = 0, len(magic)
+    if data.startswith(MAGIC):
+        fields, at = 0, len(MAGIC)
         while at + 4 <= len(data):
             size = int.from_bytes(data[at : at + 4], "big")
             if fields == 3:  # a number of keys, not a length
@@ -119,6 +128,8 @@ def is_private_key(data: bytes | None) -> bool:
     tags = [tag for tag, _ in inner]
     if len(tags) >= 9 and set(tags[:9]) == {INTEGER}:
         return True
+    if tags == [INTEGER] * 6 and inner[0][1] == b"\0":  # DSA: version, p, q, g, public, private
+        return True
     if len(tags) >= 2 and tags[1] == OCTETS and inner[0][1] == b"\1":
         return len(inner[1][1]) in range(20, 73)
     if len(tags) >= 3 and tags[1] == SEQUENCE and tags[2] == OCTETS:
@@ -127,6 +138,73 @@ def is_private_key(data: bytes | None) -> bool:
     return False
 
 
+def _is_encoded_key(run: str) -> bool:
+    """Whether an unbroken run is base64 or hex (0x before it or not) of a private key."""
+    if is_private_key(_decoded(run)):
+        return True
+    digits = run[2:] if run[:2] in ("0x", "0X") else run
+    try:
+        return len(digits) % 2 == 0 and is_private_key(bytes.fromhex(digits))
+    except ValueError:
+        return False
+
+
+def _size_of(data: bytes) -> int:
+    """Bytes that the key which begins here says it has, 0 where none begins."""
+    if data.startswith(MAGIC):
+        at, left, fields = len(MAGIC), 4, 0
+        while fields < left and at + 4 <= len(data):
+            size = int.from_bytes(data[at : at + 4], "big")
+            if fields == 3:  # a number of public keys; one block of private keys follows them
+                left, size = left + size + 1, 0
+            at, fields = at + 4 + size, fields + 1
+        return at if fields == left else 0
+    if len(data) < 6 or data[0] != SEQUENCE:
+        return 0
+    if data[1] < 0x80:
+        return 2 + data[1]
+    width = data[1] & 0x7F
+    return 2 + width + int.from_bytes(data[2 : 2 + width], "big") if width <= 4 else 0
+
+
+def _wrapped_keys(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of keys whose base64 goes over several lines without armour.
+
+    A key may begin at any line; its own length says how many lines it takes.
+    """
+    for m in WRAPPED.finditer(text):
+        lines, at = [], m.start()
+        for gap in LINE.finditer(text, m.start(), m.end()):
+            lines.append((at, gap.start()))
+            at = gap.end()
+        lines.append((at, m.end()))
+        i = 0
+        while i < len(lines) - 1:
+            end = _key_end(text, lines, i)
+            if end is None:
+                i += 1
+            else:
+                yield lines[i][0], lines[end][1]
+                i = end + 1
+
+
+def _key_end(text: str, lines: list[tuple[int, int]], i: int) -> int | None:
+    """The line that ends the key beginning with line i, if one does and takes several."""
+    first = text[slice(*lines[i])]
+    start = first[:16]
+    if OPENSSH.startswith(start):
+        start = "".join(text[a:b] for a, b in lines[i:]).rstrip("=")
+        start = start[: len(start) // 4 * 4]
+    elif not first.startswith("M"):
+        return None
+    need = -(-_size_of(_decoded(start) or b"") * 4 // 3)
+    joined, size, k = [], 0, i
+    while need and k < len(lines) and size < need:
+        joined.append(text[slice(*lines[k])])
+        size, k = size + len(joined[-1].rstrip("=")), k + 1
+    return k - 1 if len(joined) > 1 and is_private_key(_decoded("".join(joined))) else None
+
+
 def find_spans(text: str) -> list[Span]:
     """(start, end, kind) in code points, ordered by start, then kind."""
     spans: list[Span] = []
@@ -139,20 +217,21 @@ def find_spans(text: str) -> list[Span]:
     armoured: list[Span] = []
     if "-----BEGIN" in text:
         for m in ARMOUR.finditer(text):
-            if is_private_key(_decoded("".join(m[2].split()))):
+            if is_private_key(_decoded(BREAK.sub("", m[2]))):
                 armoured.append((*m.span(), "key"))
     spans += armoured
+    held = list(armoured)
+    for begin, end in _wrapped_keys(text):
+        if not any(a < end and begin < b for a, b, _ in held):
+            held.append((begin, end, "key"))
+            spans.append(held[-1])
     for m in BARE.finditer(text):
-        if any(a <= m.start() and m.end() <= b for a, b, _ in armoured):
+        # An escaped line break ends in a letter that is not the run's.
+        escaped = m[0][0] in "nrt" and text[max(0, m.start() - 1)] == "\\"
+        begins = [m.start() + 1, m.start()] if escaped else [m.start()]
+        if any(a <= begins[0] and m.end() <= b for a, b, _ in held):
             continue
-        found = is_private_key(_decoded(m[0]))
-        if not found and len(m[0]) % 2 == 0:
-            try:
-                found = is_private_key(bytes.fromhex(m[0]))
-            except ValueError:
-                found = False
-        if found:
-            spans.append((*m.span(), "key"))
+        spans += [(at, m.end(), "key") for at in begins if _is_encoded_key(text[at : m.end()])][:1]
     return sorted(spans, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
