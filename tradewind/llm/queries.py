@@ -12,6 +12,7 @@ from tradewind.llm.common import table
 from tradewind.llm.context_tree import score_texts
 from tradewind.llm.exact_dedup import exact_duplicates
 from tradewind.llm.fingerprints import as_text, fingerprints
+from tradewind.llm.manifest import verify
 from tradewind.llm.mixing import mix_sources
 from tradewind.llm.near_dedup import near_duplicates
 from tradewind.llm.packing import pack
@@ -148,3 +149,63 @@ def op10_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return read_token_files(spark, path).select(
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
     )
+
+
+@_query
+def op13_merkle(spark: SparkSession, sf: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    return verify(table(spark, sf, "documents"), tampered)
+
+
+#: CRC-32 of a short text, bit by bit.
+SQL_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({0}, ''), lambda c: ord(c)::BIGINT)),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                        lambda x, _: xor(x >> 1, 3988292384::BIGINT * (x & 1)))))"""
+ORACLE["op13_merkle"] = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, lang, source, n_chars, text, {SQL_CRC32.format("doc_id::VARCHAR")} % 7 = 0 AS hit FROM documents),
+f AS (
+  SELECT doc_id, lang, coalesce(hit, false) AS hit,
+         coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+         || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+         coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS n,
+         coalesce(strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1), '-') AS n1,
+         coalesce(strlen(text) || ':' || text, '-') AS body FROM d),
+leaf AS (
+  SELECT doc_id, lang, sha256(head || n || body) AS leaf,
+         sha256(head || CASE WHEN hit THEN n1 ELSE n END || body) AS climbing FROM f),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM leaf),
+tree(lang, level, nodes) AS (
+  SELECT lang, 0, list(leaf ORDER BY place) FROM ranked GROUP BY lang
+  UNION ALL
+  SELECT lang, level + 1, list_transform(range(0, len(nodes), 2), lambda i: sha256(nodes[i + 1] || coalesce(nodes[i + 2], '')))
+  FROM tree WHERE len(nodes) > 1),
+subs AS (
+  SELECT lang, level AS height, nodes[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS rank
+  FROM tree WHERE len(nodes) = 1),
+top(level, nodes) AS (
+  SELECT 0, list(subroot ORDER BY rank) FROM subs
+  UNION ALL
+  SELECT level + 1, list_transform(range(0, len(nodes), 2), lambda i: sha256(nodes[i + 1] || coalesce(nodes[i + 2], '')))
+  FROM top WHERE len(nodes) > 1),
+climb(lang, leaf_place, first, level, place, folded, proof, upper) AS (
+  SELECT lang, place, place, 0, place, climbing, '', false FROM ranked
+  UNION ALL
+  SELECT c.lang, c.leaf_place, c.first, CASE WHEN go THEN c.level + 1 ELSE 0 END, CASE WHEN go THEN c.place // 2 ELSE s.rank END,
+         CASE WHEN NOT go THEN c.folded WHEN c.place % 2 = 0 THEN sha256(c.folded || coalesce(sib, '')) ELSE sha256(sib || c.folded) END,
+         CASE WHEN go THEN c.proof || coalesce(sib, '') ELSE c.proof END, c.upper OR NOT go
+  FROM (SELECT c.*, CASE WHEN c.upper THEN u.nodes ELSE t.nodes END AS nodes,
+               len(CASE WHEN c.upper THEN u.nodes ELSE t.nodes END) > 1 AS go,
+               (CASE WHEN c.upper THEN u.nodes ELSE t.nodes END)[xor(c.place, 1) + 1] AS sib
+        FROM climb c LEFT JOIN tree t ON NOT c.upper AND t.lang IS NOT DISTINCT FROM c.lang AND t.level = c.level
+        LEFT JOIN top u ON c.upper AND u.level = c.level) c
+  JOIN subs s ON s.lang IS NOT DISTINCT FROM c.lang WHERE go OR NOT c.upper),
+ends AS (
+  SELECT lang, leaf_place, folded, proof FROM climb c JOIN (SELECT max(level) AS m FROM top) ON c.upper AND c.level = m)
+SELECT r.doc_id, r.leaf, s.subroot, (SELECT nodes[1] FROM top WHERE len(nodes) = 1) AS root,
+       sha256(e.proof) AS proof_sha256, e.folded AS folded_root,
+       e.folded = (SELECT nodes[1] FROM top WHERE len(nodes) = 1) AS verified
+FROM ranked r JOIN ends e ON e.lang IS NOT DISTINCT FROM r.lang AND e.leaf_place = r.place
+JOIN subs s ON s.lang IS NOT DISTINCT FROM r.lang
+"""
