@@ -18,6 +18,7 @@ from tradewind.llm.near_dedup import near_duplicates
 from tradewind.llm.packing import pack
 from tradewind.llm.quality import score_quality
 from tradewind.llm.secrets import BASE_KINDS, find_secrets
+from tradewind.llm.sharding import assign_shards, topology
 from tradewind.llm.token_files import read_token_files, write_token_files
 from tradewind.llm.url_filter import judge_urls
 from tradewind.session import run_dir
@@ -151,19 +152,45 @@ def op10_token_files(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@_query
+def op12_shards(spark: SparkSession, sf: str) -> DataFrame:
+    return assign_shards(table(spark, sf, "documents"), topology(16), topology(17))
+
+
+#: CRC-32 of a list of bytes, bit by bit.
+SQL_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, {0}),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                           lambda x, _: xor(x >> 1, 3988292384::BIGINT * (x & 1)))))"""
+TEXT_BYTES = "list_transform(regexp_extract_all(hex(coalesce(text, '')), '..'), lambda h: ('0x' || h)::BIGINT)"
+
+
+ORACLE["op12_shards"] = f"""
+WITH ids AS (SELECT DISTINCT doc_id FROM documents),
+draws AS (
+  SELECT doc_id, s::INT AS shard, -ln((('0x' || substr(md5(coalesce(doc_id::VARCHAR, '-') || ':' || (s // 8) || '/'
+         || (s % 8 // 4) || '/' || s), 1, 12))::BIGINT + 0.5) / 281474976710656) AS draw
+  FROM ids, range(17) t(s)),
+placed AS (
+  SELECT doc_id, arg_min(shard, draw) FILTER (shard < 16) AS shard, arg_min(shard, draw) AS grown_shard
+  FROM draws GROUP BY doc_id),
+rows AS (
+  SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size, {SQL_CRC32.format(TEXT_BYTES)} AS text_crc32 FROM documents)
+SELECT r.doc_id, r.size, r.text_crc32, 'key' AS law, p.shard,
+       row_number() OVER (PARTITION BY p.shard ORDER BY r.doc_id NULLS FIRST, r.text_crc32, r.size) - 1 AS slot, p.grown_shard
+FROM rows r JOIN placed p ON p.doc_id IS NOT DISTINCT FROM r.doc_id
+"""
+
+
 @_query
 def op13_merkle(spark: SparkSession, sf: str) -> DataFrame:
     tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
     return verify(table(spark, sf, "documents"), tampered)
 
 
-#: CRC-32 of a short text, bit by bit.
-SQL_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({0}, ''), lambda c: ord(c)::BIGINT)),
-  lambda c, b: list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
-                        lambda x, _: xor(x >> 1, 3988292384::BIGINT * (x & 1)))))"""
+ID_BYTES = "list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)"
 ORACLE["op13_merkle"] = f"""
 WITH RECURSIVE d AS (
-  SELECT doc_id, lang, source, n_chars, text, {SQL_CRC32.format("doc_id::VARCHAR")} % 7 = 0 AS hit FROM documents),
+  SELECT doc_id, lang, source, n_chars, text, {SQL_CRC32.format(ID_BYTES)} % 7 = 0 AS hit FROM documents),
 f AS (
   SELECT doc_id, lang, coalesce(hit, false) AS hit,
          coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
