@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tradewind.llm.common import table
 from tradewind.llm.context_tree import score_texts
+from tradewind.llm.conversations import damaged, repair
 from tradewind.llm.exact_dedup import exact_duplicates
 from tradewind.llm.fingerprints import as_text, fingerprints
 from tradewind.llm.manifest import verify
@@ -152,6 +153,11 @@ def op10_token_files(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@_query
+def op11_conversations(spark: SparkSession, sf: str) -> DataFrame:
+    return repair(damaged(table(spark, sf, "conversations")))
+
+
 @_query
 def op12_shards(spark: SparkSession, sf: str) -> DataFrame:
     return assign_shards(table(spark, sf, "documents"), topology(16), topology(17))
