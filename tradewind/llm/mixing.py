@@ -34,73 +34,17 @@ NO_SOURCE = "-"
 BATCH = 50_000
 
 
-def shares(weights: dict[str, float], slots: int) -> dict[str, int]:
-    """Whole shares of ``slots``, at least one each, by largest remainder."""
-    if len(weights) > slots:
-        raise ValueError(f"{len(weights)} sources need at least as many slots, not {slots}")
-    total = sum(weights.values())
-    exact = {s: w / total * slots for s, w in weights.items()}
-    out = {s: max(1, math.floor(x)) for s, x in exact.items()}
-    rest = sorted(exact, key=lambda s: (out[s] - exact[s], s))
-    for s in rest[: max(0, slots - sum(out.values()))]:
-        out[s] += 1
-    while sum(out.values()) > slots:  # many sources of less than one share each
-        out[max(out, key=lambda s: (out[s] - exact[s], out[s], s) if out[s] > 1 else (-slots, 0, s))] -= 1
-    return out
-
-
-def period(share: dict[str, int], slots: int) -> dict[str, list[int]]:
-    """Earliest-deadline-first over one period: the slots of each source's blocks."""
-    places: dict[str, list[int]] = {s: [] for s in share}
-    released: list[tuple[int, str]] = []
-    waiting = [(0, s) for s in share]
-    heapq.heapify(waiting)
-    for slot in range(slots):
-        while waiting and waiting[0][0] <= slot:
-            _, s = heapq.heappop(waiting)
-            due = -(-(len(places[s]) + 1) * slots // share[s])
-            heapq.heappush(released, (due, s))
-        _, s = heapq.heappop(released)
-        places[s].append(slot)
-        if len(places[s]) < share[s]:
-            heapq.heappush(waiting, (len(places[s]) * slots // share[s], s))
-    return places
-
-
-def phases(blocks: dict[str, int], weights: dict[str, float], slots: int) -> list[tuple]:
-    """(source, first block, blocks, share, first slot, places) for every phase and source."""
-    left, out, base = {s: n for s, n in blocks.items() if n}, [], 0
-    done = dict.fromkeys(blocks, 0)
-    while left:
-        share = shares({s: weights[s] for s in left}, slots)
-        places = period(share, slots)
-        last = min(
-            (n - 1) // share[s] * slots + places[s][(n - 1) % share[s]] for s, n in left.items()
-        )
-        whole, rest = divmod(last + 1, slots)
-        for s in list(left):
-            used = whole * share[s] + sum(p < rest for p in places[s])
-            if used:
-                out.append((s, done[s], used, share[s], base, places[s]))
-            done[s] += used
-            left[s] -= used
-            if not left[s]:
-                del left[s]
-        base += last + 1
-    return out
-
-
-def rounded(blocks: dict[str, int], weights: dict[str, float], slots: int) -> Iterator[tuple[str, int, int, int, int]]:
-    """As :func:`schedule`, but by weights in whole shares of ``slots``, phase by phase."""
-    for s, first, many, share, base, places in phases(blocks, weights, slots):
-        for k in range(many):
-            slot = base + k // share * slots + places[k % share]
-            yield s, first + k, slot, base + k * slots // share, base - (-(k + 1) * slots // share)
-
-
 def schedule(blocks: dict[str, int], weights: dict[str, float]) -> Iterator[tuple[str, int, int, int, int]]:
-    """(source, block, slot, release, deadline) of all blocks in the order of their slots."""
-    exact = {s: Fraction(weights[s]) for s, n in blocks.items() if n}
+    """(source, block, slot, release, deadline) of all blocks in the order of their slots.
+
+    Sources of weight zero come when all others are used up, in equal parts.
+    """
+    exact = {s: Fraction(weights[s]) for s, n in blocks.items() if n and weights[s]}
+    if not exact:
+        rest = {s: n for s, n in blocks.items() if n}
+        if rest:
+            yield from schedule(rest, dict.fromkeys(rest, 1))
+        return
     scale = math.lcm(*(w.denominator for w in exact.values()))
     names = sorted(exact, key=lambda s: (Fraction(blocks[s]) / exact[s], s))  # in the order they end
     weight, many = [int(exact[s] * scale) for s in names], [blocks[s] for s in names]
@@ -130,6 +74,9 @@ def schedule(blocks: dict[str, int], weights: dict[str, float]) -> Iterator[tupl
         if dealt[i] < many[i]:
             release[i] = slot_of(dealt[i], weight[i])[0]
             heapq.heappush(waiting, (release[i], i))
+    last = {s: n for s, n in blocks.items() if s not in exact}
+    for s, block, slot, first, due in schedule(last, dict.fromkeys(last, 1)):
+        yield s, block, ended[-1] + slot, ended[-1] + first, ended[-1] + due
 
 
 PLAN = pa.schema([("_source", pa.string()), *((c, pa.int64()) for c in ("block", "slot", "release", "deadline"))])
@@ -141,7 +88,6 @@ def mix_sources(
     weights: dict[str | None, float] | None = None,
     power: float = 0.5,
     block_docs: int = 32,
-    slots: int | None = None,
     row: Column | None = None,
 ) -> DataFrame:
     """(doc_id, source, block, place, slot, release, deadline) for every row of docs.
@@ -151,10 +97,13 @@ def mix_sources(
     weights a source has its number of documents to the given power; a source that the
     weights leave out has their mean. A null source is a source of its own. Documents of a
     source come in hashed order, repeated rows side by side; none is left out or repeated.
-    With ``slots`` the weights are first rounded to whole shares of so many slots, and at
-    most so many sources can be mixed; without, they are kept exactly. ``row``, a column
-    that tells rows of one doc_id apart, is returned as ``row``.
+    A source of weight zero comes after all others; a weight below zero, or one that is no
+    finite number, is an error. ``row``, a column that tells rows of one doc_id apart, is
+    returned as ``row``. Texts are not read; an empty table has no rows.
     """
+    bad = {k: v for k, v in (weights or {}).items() if not 0 <= v < math.inf}
+    if bad:
+        raise ValueError(f"weights must be finite and not below zero: {bad}")
     keyed = docs.select(
         id_in().alias("doc_id"),
         F.when(F.col("source").isNull(), NO_SOURCE)
@@ -174,9 +123,8 @@ def mix_sources(
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = {s: n for b in batches for s, n in zip(*(c.to_pylist() for c in b.columns), strict=True)}
-        target = {s: named.get(s, mean) or n**power for s, n in sizes.items()}
-        blocks = {s: -(-n // block_docs) for s, n in sizes.items()}
-        plan = rounded(blocks, target, slots) if slots else schedule(blocks, target)
+        target = {s: named.get(s, n**power if mean is None else mean) for s, n in sizes.items()}
+        plan = schedule({s: -(-n // block_docs) for s, n in sizes.items()}, target)
         while rows := list(islice(plan, BATCH)):
             columns = zip(PLAN, zip(*rows, strict=True), strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for f, c in columns], schema=PLAN)
