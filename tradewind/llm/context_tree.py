@@ -219,11 +219,11 @@ def _counted(chunk: pa.Table) -> pa.Table:
 class Values:
     """Key to value, by an open-addressing table; 0 where the key is missing."""
 
-    def __init__(self, keys: np.ndarray, values: np.ndarray):
+    def __init__(self, keys: np.ndarray, values: np.ndarray, kind: type = np.float64):
         size = 1 << max(4, int(3 * len(keys)).bit_length())
         self.mask = size - 1
         self.keys = np.zeros(size, np.uint64)
-        self.values = np.zeros(size, np.float32)
+        self.values = np.zeros(size, kind)
         slots = self._slots(keys)
         while len(keys):
             free = self.keys[slots] == 0
@@ -263,13 +263,16 @@ def _scorer(total: int, distinct: int):
     log_all = math.log10(total + distinct + 1)
 
     def run(chunk: pa.Table, answers: pa.Table) -> pa.Table:
-        table = Values(answers["key"].to_numpy().view(np.uint64), answers["value"].to_numpy())
-        end = float(table[np.array([END_WORD])][0])
+        keys, values = answers["key"].to_numpy().view(np.uint64), answers["value"].to_numpy()
+        is_word = keys >= WORD_BIT
+        of_word = Values(keys[is_word], values[is_word])  # the base score is exact to a double's digits
+        of_run = Values(keys[~is_word], values[~is_word], np.float32)
+        end = float(of_word[np.array([END_WORD])][0])
         out = []
         for whole in chunk.to_batches():
             for batch in W.slices(whole, most=SLICE_BYTES):
                 words, first, runs, run_first = _keys(batch)
-                logs = table[words]
+                logs = of_word[words]
                 of = np.repeat(np.arange(batch.num_rows), np.diff(first))
                 n_tokens = np.diff(first) + 1
                 out.append(
@@ -279,7 +282,7 @@ def _scorer(total: int, distinct: int):
                             pa.array(n_tokens),
                             pa.array(np.bincount(of, logs > 0, batch.num_rows).astype(np.int64) + int(end > 0)),
                             pa.array(np.bincount(of, logs, batch.num_rows) + end - n_tokens * log_all),
-                            pa.array(np.add.reduceat(table[runs], run_first[:-1])),
+                            pa.array(np.add.reduceat(of_run[runs], run_first[:-1])),
                         ],
                         schema=SCORED,
                     )
