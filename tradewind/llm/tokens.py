@@ -48,22 +48,38 @@ VALUE = np.random.default_rng(7041).integers(1, 2**63, LIMIT + 1, dtype=np.uint6
 class PieceCache:
     """Piece hash to the piece's ids: an open-addressing table over numpy arrays.
 
-    Holds at most ``most`` pieces and starts afresh beyond them, so its memory is bounded.
+    Starts small, doubles as pieces come, and starts afresh beyond ``most`` pieces (or the
+    pieces of one slice, if they are more), so its memory follows the text and is bounded.
     """
 
-    def __init__(self, most: int = 1 << 20):
-        self.most = most
+    def __init__(self, most: int = 1 << 20, first: int = 1 << 14):
+        self.most, self.first = most, first
         self.clear()
 
     def clear(self) -> None:
-        size = 1 << (self.most * 4 - 1).bit_length()  # steps wrap by a mask
-        self.keys = np.zeros(size, np.uint64)
-        self.slot_piece = np.zeros(size, np.int32)
-        self.begins = np.zeros(self.most, np.int64)
-        self.counts = np.zeros(self.most, np.int32)
-        self.ids = np.zeros(self.most * 4, np.uint32)
+        self.keys = np.zeros(4 * self.first, np.uint64)  # steps wrap by a mask
+        self.slot_piece = np.zeros(4 * self.first, np.int32)
+        self.begins = np.zeros(self.first, np.int64)
+        self.counts = np.zeros(self.first, np.int32)
+        self.ids = np.zeros(4 * self.first, np.uint32)
         self.n_pieces = self.n_ids = 0
 
+    def _grow(self, pieces: int) -> None:
+        """Room for so many pieces, with at most half of the table in use."""
+        size = len(self.begins)
+        while size < pieces:
+            size *= 2
+        if size == len(self.begins):
+            return
+        used = np.flatnonzero(self.keys)
+        keys, own = self.keys[used], self.slot_piece[used]
+        more = size - len(self.begins)
+        self.begins = np.concatenate([self.begins, np.zeros(more, np.int64)])
+        self.counts = np.concatenate([self.counts, np.zeros(more, np.int32)])
+        self.keys = np.zeros(2 * size, np.uint64)
+        self.slot_piece = np.zeros(2 * size, np.int32)
+        self._place(keys, own)
+
     def _slots(self, hashes: np.ndarray) -> np.ndarray:
         return (hashes >> np.uint64(20)).astype(np.int64) & (len(self.keys) - 1)
 
@@ -81,6 +97,7 @@ class PieceCache:
 
     def add(self, hashes: np.ndarray, ids: list[list[int]]) -> None:
         """New distinct pieces with their ids."""
+        self._grow(self.n_pieces + len(ids))
         counts = np.array([len(x) for x in ids], np.int64)
         total = int(counts.sum())
         while self.n_ids + total > len(self.ids):
@@ -93,6 +110,9 @@ class PieceCache:
         self.counts[own] = counts
         self.n_pieces += len(ids)
         self.n_ids += total
+        self._place(hashes, own)
+
+    def _place(self, hashes: np.ndarray, own: np.ndarray) -> None:
         slots = self._slots(hashes)
         while len(own):
             free = self.keys[slots] == 0
@@ -168,8 +188,6 @@ class PieceTokenizer:
                 self.cache.clear()
                 fresh, first = np.unique(hashes, return_index=True)
                 new = np.arange(len(hashes))
-                if len(fresh) > self.cache.most:
-                    self.cache = PieceCache(1 << int(len(fresh)).bit_length())
             text = code.astype("<u4").tobytes().decode("utf-32-le")
             places = new[first]
             strings = [text[a:b] for a, b in zip(begins[places].tolist(), ends[places].tolist(), strict=True)]
