@@ -6,6 +6,7 @@ import base64
 import json
 import math
 import random
+from collections import Counter
 from collections import defaultdict
 
 import numpy as np
@@ -18,7 +19,7 @@ from hypothesis import strategies as st
 from tradewind.llm import context_tree as C
 from tradewind.llm import words as W
 from tradewind.llm.exact_dedup import golomb_decode, golomb_encode
-from tradewind.llm.mixing import period, phases, shares
+from tradewind.llm.mixing import schedule
 from tradewind.llm.near_dedup import shingle_sets, superminhash
 from tradewind.llm.packing import hilbert_key
 from tradewind.llm.secrets import find_spans, is_private_key
@@ -157,31 +158,29 @@ def test_piece_cache_starts_afresh_when_full():
 def test_pfair_stays_within_one_block():
     rng = random.Random(5)
     for _ in range(30):
-        weights = {f"s{i}": rng.random() + 0.01 for i in range(rng.randint(1, 12))}
-        share = shares(weights, 64)
-        assert sum(share.values()) == 64
-        for s, w in weights.items():
-            assert abs(share[s] - 64 * w / sum(weights.values())) < 1 or share[s] == 1 or len(weights) > 8
-        places = period(share, 64)
-        assert sorted(p for own in places.values() for p in own) == list(range(64))
-        for s, own in places.items():
-            for j, slot in enumerate(own):
-                assert j * 64 // share[s] <= slot < -(-(j + 1) * 64 // share[s])
-            done = 0
-            for t in range(64):
-                done += t in own
-                assert abs(done - share[s] * (t + 1) / 64) < 1
-
-
-def test_phases_use_every_block_once():
-    blocks = {"a": 500, "b": 3, "c": 40, "d": 1}
-    slots = []
-    for s, first, many, share, base, places in phases(blocks, {"a": 1, "b": 2, "c": 3, "d": 1}, 16):
-        for block in range(first, first + many):
-            turn, own = divmod(block - first, share)
-            slots.append((base + turn * 16 + places[own], s, block))
-    assert sorted((s, b) for _, s, b in slots) == sorted((s, b) for s, n in blocks.items() for b in range(n))
-    assert sorted(x for x, _, _ in slots) == list(range(544))
+        names = [f"s{i}" for i in range(rng.randint(1, 12))]
+        weights = {s: rng.choice([rng.random() + 0.01, 1, 0.25]) for s in names}
+        blocks = {s: rng.randint(0, 60) for s in names}
+        plan = list(schedule(blocks, weights))
+        assert sorted((s, b) for s, b, *_ in plan) == sorted((s, b) for s, n in blocks.items() for b in range(n))
+        assert [slot for _, _, slot, _, _ in plan] == list(range(len(plan)))
+        assert all(release <= slot < due for _, _, slot, release, due in plan)
+        done, total = dict.fromkeys(names, 0), sum(w for s, w in weights.items() if blocks[s])
+        for s, _, slot, _, _ in plan:
+            done[s] += 1
+            assert all(abs(done[x] - (slot + 1) * weights[x] / total) < 1 for x in names if blocks[x])
+            if done[s] == blocks[s]:
+                break  # from here the others flow faster
+
+
+def test_weight_zero_comes_last():
+    plan = list(schedule({"a": 3, "b": 5, "c": 4, "d": 0}, {"a": 0, "b": 1, "c": 0, "d": 1}))
+    assert [s for s, *_ in plan[:5]] == ["b"] * 5
+    assert Counter(s for s, *_ in plan[5:]) == {"a": 3, "c": 4}
+    assert [slot for _, _, slot, _, _ in plan] == list(range(12))
+    assert all(release <= slot < due for _, _, slot, release, due in plan)
+    assert len(list(schedule({"a": 2, "b": 1}, {"a": 0, "b": 0}))) == 3
+    assert list(schedule({}, {})) == []
 
 
 def der(tag, *parts):
