@@ -66,7 +66,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, written in the order of the mix, each with its slot as ``mix_slot``."""
+    """All documents, each with its slot in the mix as ``mix_slot``, by which packing sorts."""
     slots = mix_sources(docs, row=_text_hash())
     slots = slots.groupBy(id_in().alias("_id"), F.col("row").alias("_sha"), F.col("source").alias("_from")).agg(
         F.min(F.struct("slot", "place")).alias("_slot")
@@ -77,7 +77,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         (F.col("_id") == F.col("_id2")) & (F.col("_sha") == F.col("_sha2"))
         & F.col("source").cast("string").eqNullSafe(F.col("_from")),
     )
-    return placed.orderBy("_slot", "_id", "_sha").select(*docs.columns, F.col("_slot.slot").alias("mix_slot"))
+    return placed.select(*docs.columns, F.col("_slot.slot").alias("mix_slot"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
