@@ -402,6 +402,19 @@ SELECT strftime(ts, {TIME}) AS at, sku_id,
 FROM lifted""",
     "product_stats": _product(),
     "product_stats_stream": _product(),
+    "product_stats_silent_stream": _product(PRODUCT_ROWS.replace("event_type = 'error'", "false")),
+    "late_rows_stream": f"""
+WITH first AS (
+    SELECT max(ts) - INTERVAL '1' SECOND AS seen FROM events WHERE event_id % 3 <> 0),
+grouped AS (
+    SELECT CAST(ts AS DATE) AS day, CAST(user_id AS VARCHAR) AS mid, event_id % 3 = 0 AS second,
+           CAST(ts AS DATE) + INTERVAL '1' DAY <= seen AS closed, ts, seen
+    FROM events, first),
+last AS (SELECT greatest(max(ts) - INTERVAL '1' SECOND, any_value(seen)) AS seen FROM grouped WHERE second)
+SELECT strftime(day, '%Y-%m-%d') AS day, mid, count(*) AS n FROM grouped
+WHERE NOT (second AND closed) AND day + INTERVAL '1' DAY <= (SELECT seen FROM last) GROUP BY day, mid
+UNION ALL
+SELECT 'late', NULL, CAST(count(*) AS BIGINT) FROM (SELECT DISTINCT day, mid FROM grouped WHERE second AND closed)""",
     "province_stats": _province("total_amount"),
     "province_stats_sql": _province("total_amount"),
     "province_stats_split": _province("split_total_amount"),

@@ -23,6 +23,7 @@ TOPICS = {
     "bounce": "dwm_user_jump_detail",
     "order_wide": "dwm_order_wide",
     "payment_wide": "dwm_payment_wide",
+    "heartbeat": "heartbeat",
 }
 
 # Codes the metrics test for.
@@ -68,6 +69,9 @@ class Settings:
     keyword_delay: timedelta = timedelta(seconds=2)
     visit_delay: timedelta = timedelta(days=1)
 
+    # How far a source may lag behind the others before heartbeats pass it by.
+    heartbeat_allowance: timedelta = timedelta(minutes=1)
+
     # How many ways a hot device is split before the streaming de-duplication.
     dedup_salts: int = 8
 

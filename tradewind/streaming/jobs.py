@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +30,7 @@ from tradewind.operators.windows import label_window
 from tradewind.plans import changes as C
 from tradewind.plans import logs, orders, stats
 from tradewind.sources.dims import DimTable, upsert_all
+from tradewind.streaming.heartbeats import newest_times, parse_heartbeats, with_heartbeat
 from tradewind.streaming.sinks import RefinedTable, console, table_writer, write_routes
 
 # Pieces of a phrase, and those of them that a vocabulary cuts into words.
@@ -51,6 +54,8 @@ class Warehouse:
     root: str
     settings: Settings = field(default_factory=Settings)
     once: bool = False
+    #: Let heartbeats advance sources that are silent (see :func:`heartbeats`).
+    heartbeats: bool = False
 
     def checkpoint(self, job: str) -> str:
         return f"{self.root.rstrip('/')}/checkpoints/{job}"
@@ -90,6 +95,13 @@ class Warehouse:
     def page_like(self, topic: str) -> DataFrame:
         return logs.parse_pages(self.topics.stream(TOPICS[topic]))
 
+    def watched(self, df: DataFrame, source: str, delay: timedelta) -> DataFrame:
+        """A source with its watermark; with heartbeats, those of its name advance it, too."""
+        if not self.heartbeats:
+            return df
+        beats = parse_heartbeats(self.topics.stream(TOPICS["heartbeat"]))
+        return with_heartbeat(df, beats, source, delay)
+
     def stats_table(self, rows: DataFrame, name: str, columns: Sequence[str]) -> StreamingQuery:
         final = stats.stamp(rows).select(*columns)
         return self.start(
@@ -258,9 +270,10 @@ def order_wide(w: Warehouse, dims: Dims) -> StreamingQuery:
     The join is the stream; attributes are looked up per batch, so each batch sees the
     dimension tables as they are then.
     """
+    delay = w.settings.order_delay
     joined = orders.join_orders(
-        w.records("order_info", schemas.ORDER_INFO),
-        w.records("order_detail", schemas.ORDER_DETAIL),
+        w.watched(w.records("order_info", schemas.ORDER_INFO), "order_info", delay),
+        w.watched(w.records("order_detail", schemas.ORDER_DETAIL), "order_detail", delay),
         w.settings,
     )
 
@@ -274,9 +287,10 @@ def order_wide(w: Warehouse, dims: Dims) -> StreamingQuery:
 
 
 def payment_wide(w: Warehouse) -> StreamingQuery:
+    delay = w.settings.payment_delay
     wide = orders.payment_wide(
-        w.records("payment_info", schemas.PAYMENT_INFO),
-        w.records("order_wide", schemas.ORDER_WIDE),
+        w.watched(w.records("payment_info", schemas.PAYMENT_INFO), "payment_info", delay),
+        w.watched(w.records("order_wide", schemas.ORDER_WIDE), "order_wide", delay),
         w.settings,
     )
     return w.to_topic(wide.drop("rowtime"), TOPICS["payment_wide"], "payment_wide")
@@ -286,9 +300,9 @@ def payment_wide(w: Warehouse) -> StreamingQuery:
 
 
 def visitor_rows(w: Warehouse) -> DataFrame:
-    return stats.visitor_stats(
-        w.pages(), w.page_like("unique_visit"), w.page_like("bounce"), w.settings
-    )
+    delay = w.settings.visitor_delay + w.settings.visitor_lateness
+    sources = (w.watched(w.page_like(name), name, delay) for name in ("page_log", "unique_visit", "bounce"))
+    return stats.visitor_stats(*sources, w.settings)
 
 
 def visitor_stats(w: Warehouse) -> StreamingQuery:
@@ -315,22 +329,43 @@ def visitor_stats_refined(w: Warehouse) -> tuple[StreamingQuery, RefinedTable]:
     return query, table
 
 
+def product_sources(w: Warehouse) -> dict[str, DataFrame]:
+    """The seven topics that product statistics are made of."""
+    paid = parse_records(w.topics.stream(TOPICS["payment_wide"]), schemas.PAYMENT_WIDE)
+    paid_at = times.parse_time(F.col("payment_create_time"), w.settings.business_tz)
+    return {
+        "page": w.pages(),
+        "order_wide": w.records("order_wide", schemas.ORDER_WIDE),
+        "payment_wide": paid.withColumn("rowtime", paid_at),
+        "cart": w.records("cart_info", schemas.CART_INFO),
+        "favor": w.records("favor_info", schemas.FAVOR_INFO),
+        "refund": w.records("refund_info", schemas.REFUND_INFO),
+        "comment": w.records("comment_info", schemas.COMMENT_INFO),
+    }
+
+
+def heartbeats(w: Warehouse, sources: Mapping[str, DataFrame]) -> StreamingQuery:
+    """Heartbeats for all sources out of those that have records.
+
+    Each batch writes one: the newest time of any source, less ``heartbeat_allowance``. A
+    silent source is then waited for no longer than that, in event time. A query that is
+    started again hears of a silent source with the first heartbeat after that.
+    """
+    both = [df.select("rowtime") for df in sources.values()]
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        beat = newest_times({"all": batch}, w.settings.heartbeat_allowance)
+        w.topics.write(beat, TOPICS["heartbeat"], batch_id, "heartbeats")
+
+    return w.each_batch(reduce(DataFrame.unionByName, both), "heartbeats", each)
+
+
 def product_stats(w: Warehouse, dims: Dims) -> StreamingQuery:
     """Product metrics per window; attributes are looked up per batch of final windows, so
     they are those of the dimension tables at that time."""
-    paid = parse_records(w.topics.stream(TOPICS["payment_wide"]), schemas.PAYMENT_WIDE)
-    paid_at = times.parse_time(F.col("payment_create_time"), w.settings.business_tz)
+    delay = w.settings.product_delay
     rows = stats.product_sums(
-        {
-            "page": w.pages(),
-            "order_wide": w.records("order_wide", schemas.ORDER_WIDE),
-            "payment_wide": paid.withColumn("rowtime", paid_at),
-            "cart": w.records("cart_info", schemas.CART_INFO),
-            "favor": w.records("favor_info", schemas.FAVOR_INFO),
-            "refund": w.records("refund_info", schemas.REFUND_INFO),
-            "comment": w.records("comment_info", schemas.COMMENT_INFO),
-        },
-        w.settings,
+        {name: w.watched(df, name, delay) for name, df in product_sources(w).items()}, w.settings
     )
 
     def each(batch: DataFrame, batch_id: int) -> None:
