@@ -7,6 +7,7 @@ import math
 import random
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -333,15 +334,12 @@ def test_mix(spark):
         by_slot[r["slot"]].add((r["source"], r["block"]))
     assert sorted(by_slot) == list(range(len(by_slot)))
     assert all(len(x) == 1 for x in by_slot.values())
-    share, done = {"big": 1.0, "small": 2.0, None: 1.0, "-": 4 / 3, "": 4 / 3}, Counter()
+    share, done = {k: Fraction(v) for k, v in {**weights, "-": 4 / 3, "": 4 / 3}.items()}, Counter()
     total = sum(share.values())
     left = Counter(s for s, _ in {b for x in by_slot.values() for b in x})
-    for slot in range(len(by_slot)):
-        source = next(iter(by_slot[slot]))[0]
-        done[source] += 1
+    for slot in range(int(min(left[s] * total / w for s, w in share.items()))):  # until one has flowed
+        done[next(iter(by_slot[slot]))[0]] += 1
         assert all(abs(done[s] - (slot + 1) * w / total) < 1 for s, w in share.items())
-        if done[source] == left[source]:
-            break  # the first source is used up
     assert slot > 20
     got = mix_sources(frame(spark, rows), {"big": 0, "small": 1}, block_docs=4).collect()
     last = {s: max(r["slot"] for r in got if r["source"] == s) for s in ("small", None, "-", "")}
