@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.session import run_dir
@@ -109,22 +109,23 @@ def components(edges: DataFrame, purpose: str) -> DataFrame:
         lowest = lowest.select("a", F.least("a", "m").alias("m"))
         return both.join(lowest, "a")
 
-    pairs = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    pairs = stored(pairs.where("a <> b").distinct(), f"{purpose}-links")
+    def kept(links: DataFrame) -> tuple[DataFrame, dict]:
+        """Distinct links, stored, with what tells one state from another."""
+        seen = Observation()
+        hashed = F.xxhash64("a", "b").cast("decimal(38,0)")
+        links = links.where("a <> b").distinct().observe(seen, F.count("*").alias("n"), F.sum(hashed).alias("h"))
+        return stored(links, f"{purpose}-links"), seen.get
+
+    pairs, state = kept(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
     before = None
-    while True:
-        state = pairs.agg(
-            F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))
-        ).first()
-        if state == before or state[0] == 0:
-            break
+    while state != before and state["n"]:
         before = state
         flipped = pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))
         large = stars(pairs.unionByName(flipped)).where("b > a AND b <> m")
         starred = stars(large.select(F.col("b").alias("a"), F.col("m").alias("b")))
         small = starred.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         small = small.unionByName(starred.select("a", F.col("m").alias("b")))
-        pairs = stored(small.where("a <> b").distinct(), f"{purpose}-links")
+        pairs, state = kept(small)
     heads = pairs.select(F.col("b").alias("node"), F.col("b").alias("component"))
     return (
         pairs.select(F.col("a").alias("node"), F.col("b").alias("component"))

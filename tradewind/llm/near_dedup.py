@@ -21,7 +21,8 @@ similarity of at least 0.75 are linked; groups are the connected components.
   up in one component or is compared.
 - **Verification**: pairs whose signatures agree in under half of the slots are dropped
   (more than six standard deviations below 0.75), the others are confirmed on the full sets.
-- **Grouping**: union-find inside each partition of links, then star steps between them.
+- **Grouping**: union-find inside each partition of links, then star steps between them;
+  later rounds see only the components that new links join, not the links found before.
 
 No step gathers a bucket, a class or a component in one task: minima are combined on the
 map side and the joins split where one key holds much of the rows.
@@ -207,9 +208,13 @@ def text_groups(docs: DataFrame, percent: int = 75) -> DataFrame:
     )
     heads = stored(heads, "near-heads")
     bands = heads.select("node", "n", F.explode("bands").alias("band"))
-    buckets = bands.groupBy("band").agg(
-        F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("m")
-    ).where("low < high")
+    # Stored, so that the join has two plain shuffles and a hot bucket's members can be split.
+    buckets = stored(
+        bands.groupBy("band")
+        .agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("m"))
+        .where("low < high"),
+        "near-buckets",
+    )
     members = stored(bands.join(buckets, "band").select("band", "node", "n", "low", "m"), "near-members")
     wanted = named_row.join(members.select("node").distinct(), "node")
     sets = stored(
@@ -232,15 +237,20 @@ def text_groups(docs: DataFrame, percent: int = 75) -> DataFrame:
     members = members.where("m > 2")
     first = members.groupBy("node").agg(F.min("low").alias("b")).where("b < node")
     pairs = first.select(F.col("node").alias("a"), "b").unionByName(twos).distinct()
-    links = confirmed(pairs)
+    groups = stored(components(confirmed(pairs).mapInArrow(_forests, "a long, b long"), "near"), "near-groups")
+    left = _open_members(members, groups)
     for turn in range(PIVOT_ROUNDS + 1):
-        groups = components(links.mapInArrow(_forests, "a long, b long"), "near")
-        left = _open_members(members, stored(groups, "near-groups"))
         if left.isEmpty():
             break
         pairs = _pivot_pairs(left, turn, percent) if turn < PIVOT_ROUNDS else _closing_pairs(left, sets, percent)
-        links = links.unionByName(confirmed(pairs))
-    groups = components(links.mapInArrow(_forests, "a long, b long"), "near")
+        links = _between_groups(confirmed(pairs), left).mapInArrow(_forests, "a long, b long")
+        joined = components(links, "near")
+        if joined.isEmpty():
+            continue  # nothing new: the same buckets stay open
+        joined = stored(joined, "near-joined")
+        groups = _regrouped(groups, joined)
+        if turn < PIVOT_ROUNDS:
+            left = _open_members(members, groups)
 
     named = classes.select("key", "node").join(groups, "node", "left").select(
         "key", F.coalesce("component", "node").alias("group")
@@ -278,15 +288,33 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     )
 
 
+def _between_groups(links: DataFrame, left: DataFrame) -> DataFrame:
+    """Links of nodes as links (a, b) of the components of those nodes."""
+    own = left.select("node", "c").distinct()
+    return (
+        links.join(own.withColumnsRenamed({"node": "a", "c": "x"}), "a")
+        .join(own.withColumnsRenamed({"node": "b", "c": "y"}), "b")
+        .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))
+        .where("a <> b")
+        .distinct()
+    )
+
+
+def _regrouped(groups: DataFrame, joined: DataFrame) -> DataFrame:
+    """Groups (node, component) after their components were joined."""
+    moved = joined.select(F.col("node").alias("component"), F.col("component").alias("into"))
+    old = groups.join(moved, "component", "left").select("node", F.coalesce("into", "component").alias("component"))
+    return stored(old.unionByName(joined.join(groups, "node", "left_anti")), "near-groups")
+
+
 def _open_members(members: DataFrame, groups: DataFrame) -> DataFrame:
     """Members (band, node, n, c) of buckets that hold more than one component."""
     labelled = members.join(groups, "node", "left").select(
         "band", "node", "n", F.coalesce("component", "node").alias("c")
     )
     several = labelled.groupBy("band").agg(F.min("c").alias("low"), F.max("c").alias("high"))
-    return stored(
-        labelled.join(several.where("low < high").select("band"), "band"), "near-open"
-    )
+    several = stored(several.where("low < high").select("band"), "near-several")
+    return stored(labelled.join(several, "band"), "near-open")
 
 
 def _fits(left: str, right: str, percent: int) -> str:
@@ -298,6 +326,7 @@ def _pivot_pairs(members: DataFrame, turn: int, percent: int) -> DataFrame:
     pivots = members.groupBy("band").agg(
         F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("h"), "node", "n", "c")).alias("p")
     )
+    pivots = stored(pivots, "near-pivots")
     return (
         members.join(pivots, "band")
         .where((F.col("c") != F.col("p.c")) & F.expr(_fits("n", "p.n", percent)))
