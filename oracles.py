@@ -278,6 +278,14 @@ ORDER_WIDE_COLUMNS = """
 
 PAGE_COLUMNS = "event_id, mid, page_id, vc, ch, ar, is_new"
 
+NEW_VISITORS = f"""
+WITH {PAGES}
+SELECT event_id, mid, is_new AS was_new,
+       CASE WHEN is_new = '1' AND row_number() OVER (
+                PARTITION BY mid, is_new ORDER BY ts, event_id) > 1
+            THEN '0' ELSE is_new END AS is_new
+FROM pages_log"""
+
 ORACLE: dict[str, str] = {
     "order_join": f"""
 WITH {JOINED}
@@ -362,13 +370,8 @@ WITH {PAGES},{VISITS} SELECT mid, CAST(CAST(ts AS DATE) AS VARCHAR) AS day FROM
     "bounce_detail_stream": f"""
 WITH {PAGES},{BOUNCES}
 SELECT {PAGE_COLUMNS}, reason FROM bounced""",
-    "new_visitor_repair": f"""
-WITH {PAGES}
-SELECT event_id, mid, is_new AS was_new,
-       CASE WHEN is_new = '1' AND row_number() OVER (
-                PARTITION BY mid, is_new ORDER BY ts, event_id) > 1
-            THEN '0' ELSE is_new END AS is_new
-FROM pages_log""",
+    "new_visitor_repair": NEW_VISITORS,
+    "new_visitor_repair_stream": NEW_VISITORS,
     "page_entries": f"""
 WITH {PAGES} SELECT event_id, mid, vc, ch, ar, is_new FROM pages_log
 WHERE last_page_id IS NULL""",

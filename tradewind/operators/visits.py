@@ -18,7 +18,7 @@ def entry_page(last_page: str = "page.last_page_id") -> Column:
     return is_blank(F.col(last_page))
 
 
-def _replace(df: DataFrame, path: str, value: Column) -> DataFrame:
+def replaced(df: DataFrame, path: str, value: Column) -> DataFrame:
     if "." not in path:
         return df.withColumn(path, value)
     parent, child = path.split(".", 1)
@@ -32,7 +32,7 @@ def first_new_visits(
 
     Records without a time come after those with one.
     """
-    flagged = logs.filter(_flagged(mid, flag))
+    flagged = logs.filter(flagged_new(mid, flag))
     by_device = flagged.groupBy(F.col(mid).alias("_mid"))
     if not tiebreak:
         return by_device.agg(F.min(time).alias("_t"))
@@ -46,7 +46,7 @@ def first_new_visits(
     ).drop("_timeless")
 
 
-def _flagged(mid: str, flag: str) -> Column:
+def flagged_new(mid: str, flag: str) -> Column:
     return F.coalesce((F.col(flag) == "1") & F.col(mid).isNotNull(), F.lit(False))
 
 
@@ -65,11 +65,18 @@ def repair_new_visitor(
     ``tiebreak`` must identify a record within its device. ``seen`` (column ``mid``)
     names devices already known from earlier data; none of their records stays new.
 
+    On a stream, ``seen`` is where the state of seen devices starts, and of one device the
+    first record to arrive (the earliest of a batch) stays new.
+
     Only flagged records can change: the others pass by without a shuffle. Firsts are
     found by an aggregation that combines on the map side, and are joined back on device,
     time and tiebreak together, so the rows of one busy device spread over all tasks
     instead of meeting in one.
     """
+    if logs.isStreaming:
+        from tradewind.streaming.stateful import streaming_new_visitors
+
+        return streaming_new_visitors(logs, mid=mid, flag=flag, time=time, tiebreak=tiebreak, seen=seen)
     firsts = first_new_visits(logs, mid, flag, time, tiebreak)
     if seen is not None:
         known = seen.select(F.col("mid").alias("_mid"))
@@ -78,10 +85,10 @@ def repair_new_visitor(
     condition = (F.col(mid) == F.col("_mid")) & F.col(time).eqNullSafe(F.col("_t"))
     for i, c in enumerate(tiebreak):
         condition = condition & F.col(c).eqNullSafe(F.col(f"_t{i}"))
-    joined = logs.filter(_flagged(mid, flag)).join(firsts, condition, "left")
+    joined = logs.filter(flagged_new(mid, flag)).join(firsts, condition, "left")
     fixed = F.when(F.col("_is_first").isNull(), F.lit("0")).otherwise(F.col(flag))
-    repaired = _replace(joined, flag, fixed).select(*logs.columns)
-    return logs.filter(~_flagged(mid, flag)).unionByName(repaired)
+    repaired = replaced(joined, flag, fixed).select(*logs.columns)
+    return logs.filter(~flagged_new(mid, flag)).unionByName(repaired)
 
 
 def unique_visits(

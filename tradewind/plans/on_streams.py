@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.config import span
+from tradewind.operators.visits import repair_new_visitor
 from tradewind.operators.windows import tumbling
 from tradewind.plans import stats
 from tradewind.plans import on_tables as B
@@ -73,3 +74,15 @@ def late_rows_stream(spark: SparkSession, sf: str) -> DataFrame:
     kept = spark.read.schema(rows.schema).parquet(f"{base}/out")
     dropped = late.read().agg(F.sum("dropped").alias("n"))
     return kept.unionByName(dropped.select(F.lit("late").alias("day"), F.lit(None).cast("string").alias("mid"), "n"))
+
+
+# ---- visits ----------------------------------------------------------------------
+
+
+@_query
+def new_visitor_repair_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The repair as a stream, with one value of state for each device."""
+    pages = shop.page_log(shop.stream_table(spark, sf, "events"))
+    fixed = repair_new_visitor(pages.withColumn("was_new", F.col("common.is_new")), tiebreak=B.TIEBREAK)
+    done = run_available(fixed, "new-visitor")
+    return done.select("event_id", "common.mid", "was_new", "common.is_new")

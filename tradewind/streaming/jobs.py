@@ -25,7 +25,6 @@ from tradewind.operators.parse import (
     with_create_times,
 )
 from tradewind.operators.route import explode_displays, fact_topic_rows
-from tradewind.operators.visits import first_new_visits
 from tradewind.operators.windows import label_window
 from tradewind.plans import changes as C
 from tradewind.plans import logs, orders, stats
@@ -112,63 +111,43 @@ class Warehouse:
 # ---- logs ------------------------------------------------------------------------
 
 
-def separate_logs(w: Warehouse) -> StreamingQuery:
+def separate_logs(w: Warehouse, seen: DataFrame | None = None) -> StreamingQuery:
     """Raw log -> start, page and display topics, and dirty lines.
 
-    Devices seen in earlier batches are kept in a register table, one folder a batch. A
-    batch reads only the folders before its own, so running it again gives the same.
+    Whether a device was seen before is keyed state of the query, so a batch costs what it
+    holds, however many devices there have been. ``seen`` (column ``mid``) names devices
+    known when the job first starts, such as those of :func:`seen_visitors`.
     """
-    register = w.table("visitors")
-    schema = "mid string, batch_id bigint"
-    w.spark.createDataFrame([], "mid string").write.mode("ignore").parquet(
-        f"{register}/batch_id=-1"
-    )
+    marked = mark_json(w.topics.stream(TOPICS["raw_log"]))
+    routed = logs.repaired_logs(marked.filter("is_valid"), seen=seen).drop("rowtime")
+    dirty = marked.filter("NOT is_valid").select("value", F.lit("dirty").alias("route"))
+    both = routed.unionByName(dirty, allowMissingColumns=True)
 
-    def each(batch: DataFrame, batch_id: int) -> None:
-        # Numbered in arrival order, so that no two records of a device tie.
-        numbered = batch.withColumn("_id", F.monotonically_increasing_id())
-        marked = mark_json(numbered).persist()
-        known = w.spark.read.schema(schema).parquet(register).filter(
-            F.col("batch_id") < batch_id
+    def bad(df: DataFrame, b: int) -> None:
+        w.topics.write(df.select("value"), "dirty", b, "separate_logs")
+
+    def starts(df: DataFrame, b: int) -> None:
+        rows = to_topic_rows(logs.start_records(df))
+        w.topics.write(rows, TOPICS["start_log"], b, "separate_logs")
+
+    def pages(df: DataFrame, b: int) -> None:
+        page = logs.page_records(df.drop("value"))
+        w.topics.write(to_topic_rows(page), TOPICS["page_log"], b, "separate_logs")
+        w.topics.write(
+            to_topic_rows(explode_displays(page)), TOPICS["display_log"], b, "separate_logs"
         )
-        try:
-            valid = marked.filter("is_valid")
-            dirty = marked.filter("NOT is_valid").select("value")
-            w.topics.write(dirty, "dirty", batch_id, "separate_logs")
-
-            def starts(df: DataFrame, b: int) -> None:
-                rows = to_topic_rows(logs.start_records(df))
-                w.topics.write(rows, TOPICS["start_log"], b, "separate_logs")
-
-            def pages(df: DataFrame, b: int) -> None:
-                page = logs.page_records(df)
-                w.topics.write(to_topic_rows(page), TOPICS["page_log"], b, "separate_logs")
-                w.topics.write(
-                    to_topic_rows(explode_displays(page)), TOPICS["display_log"], b,
-                    "separate_logs",
-                )
-
-            routed = logs.repaired_logs(valid, tiebreak=("_id",), seen=known)
-            write_routes(
-                routed.drop("_id", "rowtime"), batch_id, {"start": starts, "page": pages}
-            )
-            records = logs.parse_pages(valid)
-            fresh = first_new_visits(
-                records, "common.mid", "common.is_new", "rowtime", ()
-            ).select(F.col("_mid").alias("mid"))
-            fresh.join(known, "mid", "left_anti").write.mode("overwrite").parquet(
-                f"{register}/batch_id={batch_id}"
-            )
-        finally:
-            marked.unpersist()
 
-    return w.each_batch(w.topics.stream(TOPICS["raw_log"]), "separate_logs", each)
+    def each(batch: DataFrame, batch_id: int) -> None:
+        write_routes(batch, batch_id, {"dirty": bad, "start": starts, "page": pages})
+
+    return w.each_batch(both, "separate_logs", each)
 
 
-def compact_visitors(w: Warehouse, target: Warehouse) -> None:
-    """Fold the register of seen devices into one folder under another root."""
-    folded = w.spark.read.parquet(w.table("visitors")).select("mid").distinct()
-    folded.write.mode("overwrite").parquet(f"{target.table('visitors')}/batch_id=-1")
+def seen_visitors(w: Warehouse) -> DataFrame:
+    """The devices (``mid``) that the log job of a warehouse has seen, out of its state; with
+    them a job under another root goes on where this one stopped."""
+    state = w.spark.read.format("statestore").option("stateVarName", "seen")
+    return state.load(w.checkpoint("separate_logs")).select(F.col("key._mid").alias("mid"))
 
 
 def unique_visits(w: Warehouse) -> StreamingQuery:

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.config import Settings, micros
-from tradewind.operators.visits import entry_page, tiled_events
+from tradewind.operators.visits import entry_page, flagged_new, replaced, tiled_events
 
 # Keeps microseconds when a row is carried through state as JSON text.
 _JSON_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
@@ -107,3 +107,74 @@ def streaming_bounces(
     return decided.select(
         F.from_json("row", pages.schema, _JSON_TIMES).alias("_r"), "reason"
     ).select("_r.*", "reason")
+
+
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def need_rocksdb(spark: SparkSession) -> None:
+    """Queries started from here on keep their state in RocksDB, which keyed state of several
+    kinds needs; queries that run, or are started again, keep the store they have."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+
+
+def _first_seen():
+    """The processor that tells a device's first row; self-contained, so it ships by value."""
+    from pyspark.sql.streaming import StatefulProcessor
+
+    class FirstSeen(StatefulProcessor):
+        def init(self, handle):
+            self.seen = handle.getValueState("seen", "seen boolean")
+
+        def handleInitialState(self, key, initialState, timerValues):
+            self.seen.update((True,))
+
+        def handleInputRows(self, key, rows, timerValues):
+            import pandas as pd
+
+            known, best = self.seen.exists(), None
+            for pdf in rows:
+                later = []
+                for t, k, row in zip(pdf["t"], pdf["k"], pdf["row"], strict=True):
+                    # A row without a time comes after those with one.
+                    own = ((pd.isna(t), 0 if pd.isna(t) else t, [int(i) for i in k]), row)
+                    if not known and (best is None or own[0] < best[0]):
+                        best, own = own, best
+                    if own is not None:
+                        later.append(own[1])
+                if later:
+                    yield pd.DataFrame({"row": later, "is_first": False})
+            if best is not None:
+                self.seen.update((True,))
+                yield pd.DataFrame({"row": [best[1]], "is_first": [True]})
+
+        def close(self):
+            pass
+
+    return FirstSeen()
+
+
+def streaming_new_visitors(
+    logs: DataFrame, *, mid: str, flag: str, time: str, tiebreak: Sequence[str], seen: DataFrame | None
+) -> DataFrame:
+    """New-visitor repair on a stream, one value of keyed state for each device.
+
+    A batch looks up the devices it holds and no others. Records not flagged new pass
+    without touching the state. Of a device's first batch the earliest record stays new.
+    ``seen`` (column ``mid``) fills the state when the query first starts. ``tiebreak``
+    columns must be integers.
+    """
+    need_rocksdb(logs.sparkSession)
+    ids = F.array(*(F.col(c).cast("bigint") for c in tiebreak)).cast("array<bigint>")
+    keyed = logs.filter(flagged_new(mid, flag)).select(
+        F.col(mid).alias("_mid"), F.unix_micros(time).alias("t"), ids.alias("k"),
+        F.to_json(F.struct(*logs.columns), _JSON_TIMES).alias("row"),
+    )
+    known = None if seen is None else seen.select(F.col("mid").alias("_mid")).filter("_mid IS NOT NULL").distinct().groupBy("_mid")
+    told = keyed.groupBy("_mid").transformWithStateInPandas(
+        _first_seen(), "row string, is_first boolean", "Append", "None", known
+    )
+    found = told.select(F.from_json("row", logs.schema, _JSON_TIMES).alias("_r"), "is_first").select("_r.*", "is_first")
+    fixed = F.when(F.col("is_first"), F.col(flag)).otherwise(F.lit("0"))
+    repaired = replaced(found, flag, fixed).select(*logs.columns)
+    return logs.filter(~flagged_new(mid, flag)).unionByName(repaired)
