@@ -47,12 +47,28 @@ PIVOT_ROUNDS = 2
 #: Most outer nodes and members (on average) that a closing block compares.
 BLOCK_OUTER, BLOCK_MEMBERS = 1024, 4096
 AGREE = SLOTS // 2
+#: Elements whose permutations are held at a time.
+RUN = 1 << 16
 EMPTY = np.uint64(2**64 - 1)
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def superminhash(elements: np.ndarray, text: np.ndarray, n_texts: int, slots: int = SLOTS) -> np.ndarray:
-    """Signatures (n_texts, slots) of distinct element hashes, each with the index of its text."""
+    """Signatures (n_texts, slots) of distinct element hashes, each with the index of its text.
+
+    Elements go in runs of a bounded number; the least value of a slot over the runs is its
+    value over all elements.
+    """
+    out = np.full((n_texts, slots), EMPTY, np.uint64)
+    for at in range(0, len(elements), RUN):
+        some = slice(at, at + RUN)
+        first, last = int(text[some][0]), int(text[some][-1]) + 1
+        own = _superminhash(elements[some], text[some] - first, last - first, slots)
+        np.minimum(out[first:last], own, out=out[first:last])
+    return out
+
+
+def _superminhash(elements: np.ndarray, text: np.ndarray, n_texts: int, slots: int) -> np.ndarray:
     out = np.full(n_texts * slots, EMPTY, np.uint64)
     free = np.tile(np.arange(slots, dtype=np.uint8), (len(elements), 1))
     for j in range(slots):
@@ -95,6 +111,7 @@ def _keys(sets: list[np.ndarray]) -> pa.Array:
 SIGNED = "doc_id long, h long, sha string, n int, key binary, bands array<long>, signature binary"
 
 
+@W.steady
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     salt = W.mixed(np.arange(1, SLOTS // ROWS + 1, dtype=np.uint64))
     for whole in batches:
@@ -123,6 +140,7 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+@W.steady
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in W.slices(whole):
@@ -132,6 +150,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+@W.steady
 def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Keep pairs (a, b, x, y) whose signatures x and y agree in enough slots."""
     for batch in batches:
@@ -155,7 +174,7 @@ def _confirmed(percent: int):
                 linked.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select([0, 1]).filter(pa.array(linked, pa.bool_()))
 
-    return run
+    return W.steady(run)
 
 
 def _joined(pairs: DataFrame, values: DataFrame, value: str) -> DataFrame:
@@ -165,6 +184,7 @@ def _joined(pairs: DataFrame, values: DataFrame, value: str) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
 
 
+@W.steady
 def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Union-find over the links of one partition: one edge from each node to its root."""
     root: dict[int, int] = {}

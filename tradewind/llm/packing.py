@@ -100,7 +100,7 @@ def _cut(length: int):
                     ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"],
                 )
 
-    return run
+    return W.steady(run)
 
 
 def pack(

@@ -42,6 +42,8 @@ for _c in range(LIMIT):
         LOWER[_c] = ord(chr(_c).lower()[0])
     elif chr(_c).lower() != chr(_c):
         SIMPLE[_c] = False
+#: Pieces given to the library at once.
+ENCODE = 4096
 VALUE = np.random.default_rng(7041).integers(1, 2**63, LIMIT + 1, dtype=np.uint64)
 
 
@@ -52,7 +54,7 @@ class PieceCache:
     pieces of one slice, if they are more), so its memory follows the text and is bounded.
     """
 
-    def __init__(self, most: int = 1 << 20, first: int = 1 << 14):
+    def __init__(self, most: int = 1 << 19, first: int = 1 << 14):
         self.most, self.first = most, first
         self.clear()
 
@@ -191,8 +193,11 @@ class PieceTokenizer:
             text = code.astype("<u4").tobytes().decode("utf-32-le")
             places = new[first]
             strings = [text[a:b] for a, b in zip(begins[places].tolist(), ends[places].tolist(), strict=True)]
-            encoded = self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)
-            self.cache.add(fresh, [e.ids for e in encoded])
+            ids: list[list[int]] = []
+            for at_once in range(0, len(strings), ENCODE):  # an encoding holds much besides its ids
+                some = strings[at_once : at_once + ENCODE]
+                ids += (e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False))
+            self.cache.add(fresh, ids)
             found = self.cache.find(hashes)
         counts = self.cache.counts[found].astype(np.int64)
         stops = np.cumsum(counts)
@@ -302,7 +307,7 @@ def token_rows(
 
     group = F.lit(0) if group is None else F.coalesce(group, F.lit(0))
     rows = texts(docs, group.cast("long").alias("group")).mapInArrow(
-        run, "doc_id long, n long, ids binary, key long, group long"
+        W.steady(run), "doc_id long, n long, ids binary, key long, group long"
     )
     return stored(rows.withColumn("uid", F.monotonically_increasing_id()), purpose)
 

@@ -7,7 +7,9 @@ sequence equals, so bytes can be searched in place of characters.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +27,37 @@ SHINGLE = _RANDOM.integers(1, 2**63, 16, dtype=np.uint64) | np.uint64(1)
 _powers: list[np.ndarray] = []
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def release() -> None:
+    """Give memory that this worker has freed back to the machine.
+
+    Workers live on between tasks and stages; what they keep stands beside the next ones.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def steady(fn: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """A function over batches that releases memory after each and at its end."""
+
+    @wraps(fn)
+    def run(batches: Batches) -> Batches:
+        def fed() -> Batches:
+            for batch in batches:
+                yield batch
+                del batch
+                release()
+
+        yield from fn(fed())
+        release()
+
+    return run
+
+
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(all bytes, offsets of len + 1) of a string column without nulls."""
     column = column.cast(pa.large_binary())
