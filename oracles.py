@@ -278,6 +278,21 @@ ORDER_WIDE_COLUMNS = """
 
 PAGE_COLUMNS = "event_id, mid, page_id, vc, ch, ar, is_new"
 
+MOVING = """
+o AS (SELECT o_orderkey AS k, o_orderstatus AS s, o_orderkey * 7919 % 1000 + 1 AS place FROM orders),
+moved AS (
+    SELECT k, 'insert' AS type, s, place AS ts FROM o WHERE k % 5 = 0
+    UNION ALL SELECT k, 'update', 'U', place FROM o WHERE k % 5 = 1
+    UNION ALL SELECT k, 'update', 'V', place + 1000 FROM o WHERE k % 5 < 2 AND k % 2 = 0
+    UNION ALL SELECT k, 'delete', NULL, place FROM o WHERE k % 5 = 2
+)"""
+# A key's last change left the row that its next one takes out.
+RETRACTED = f"""
+WITH {MOVING},
+followed AS (SELECT *, lag(s) OVER (PARTITION BY k ORDER BY ts) AS old FROM moved)
+SELECT ts, false AS is_add, k AS o_orderkey, old AS o_orderstatus FROM followed WHERE old IS NOT NULL
+UNION ALL SELECT ts, true, k, s FROM followed WHERE s IS NOT NULL"""
+
 NEW_VISITORS = f"""
 WITH {PAGES}
 SELECT event_id, mid, is_new AS was_new,
@@ -518,6 +533,19 @@ FROM changes WHERE type <> 'insert'
 UNION ALL
 SELECT ts, true, k, CASE WHEN n = 0 THEN c END, CASE WHEN n = 1 THEN 'X' ELSE s END
 FROM changes WHERE type <> 'delete'""",
+    "cdc_retract_stateful": RETRACTED,
+    "cdc_retract_stateful_stream": RETRACTED,
+    "cdc_chunked_snapshot": f"""
+WITH {MOVING},
+high AS (SELECT k, s, place, k // 5000 * 100 % 1500 + 200 AS high FROM o),
+later AS (SELECT m.k, count(*) AS n FROM moved m JOIN high USING (k) WHERE m.ts > high GROUP BY m.k),
+there AS (  -- the row was in the table when its chunk's high mark was passed
+    SELECT k, CASE k % 5 WHEN 0 THEN place <= high WHEN 2 THEN place > high ELSE true END AS here FROM high),
+counted AS (SELECT k, CAST(here AS BIGINT) + coalesce(n, 0) AS events FROM there LEFT JOIN later USING (k))
+SELECT k AS o_orderkey, events,
+       CASE WHEN k % 5 = 2 THEN NULL WHEN k % 5 < 2 AND k % 2 = 0 THEN 'V' WHEN k % 5 = 1 THEN 'U' ELSE s END AS o_orderstatus
+FROM counted JOIN o USING (k) WHERE events > 0""",
+    "chained_topics_stream": "SELECT event_id, concat('event_', event_type) AS topic FROM events",
     "cdc_envelope": """
 SELECT CASE o_orderkey % 4 WHEN 0 THEN 'delete' WHEN 1 THEN 'update' WHEN 2 THEN 'insert'
             ELSE 'read' END AS operation,

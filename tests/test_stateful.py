@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from test_jobs import Bench, ms, page
+from test_jobs import Bench, ms, page, rerun_last_batch
 
 from tradewind.streaming import jobs
 from tradewind.streaming.sinks import finish
@@ -41,3 +41,52 @@ def test_a_batch_looks_up_its_own_devices_only(bench):
     state = query.recentProgress[-1].stateOperators[0]
     assert state.numRowsTotal == 30
     assert [f for f in flags(bench) if f[2] == "1"] == sorted((f"d{i}", ms(0), "1") for i in range(30))
+
+
+def test_a_reader_past_a_batch_does_not_meet_it_again(bench):
+    bench.send("raw_log", *(page(f"m{i}", i) for i in range(20)), "{bad")
+    job = lambda: finish(jobs.separate_logs(bench.w))
+    job()
+    finish(jobs.unique_visits(bench.w))  # a reader, now past the first batch
+    assert len(bench.got("unique_visit")) == 20
+    for _ in range(2):
+        rerun_last_batch(bench.w, "separate_logs")
+        job()
+        bench.send("page_log", page("late", 1))
+        finish(jobs.unique_visits(bench.w))
+        assert sorted(v["ts"] for v in bench.got("unique_visit")) == sorted([*(ms(i) for i in range(20)), ms(1)])
+        assert len(bench.got("page_log")) >= 21
+
+
+def test_a_batch_that_died_while_its_files_moved_goes_on(bench, monkeypatch):
+    topics = bench.topics
+    rows = bench.spark.createDataFrame([(str(i),) for i in range(12)], "value string").repartition(4)
+    publish = topics._publish
+
+    def dies(lines):
+        publish(lines[:2])
+        raise OSError("the driver died")
+
+    monkeypatch.setattr(topics, "_publish", dies)
+    with pytest.raises(OSError):
+        topics.write(rows, "t", 7, "job")
+    half = {r.value for r in topics.read("t").collect()}
+    assert 0 < len(half) < 12
+    monkeypatch.undo()
+    other = bench.spark.createDataFrame([("not the first write",)], "value string")
+    for _ in range(2):
+        topics.write(other, "t", 7, "job")
+        assert sorted(int(r.value) for r in topics.read("t").collect()) == list(range(12))
+    topics.write(other, "t", 8, "job")
+    topics.write(other, "t", job="job")
+    topics.write(other, "t", job="job")
+    assert topics.read("t").count() == 15
+
+
+def test_a_job_without_its_checkpoint_is_not_taken_for_a_rerun(bench):
+    raw = bench.topics.stream("in")
+    bench.send("in", {"a": 1})
+    finish(bench.w.text_to_topic(raw, "out", "copy"))
+    bench.w.root += "/moved"
+    finish(bench.w.text_to_topic(raw, "out", "copy"))
+    assert bench.topics.read("out").count() == 2

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tradewind.operators.snapshots import key_text
+
 
 def image_columns(image: str, columns: Mapping[str, str]) -> list[Column]:
     """Typed columns out of a row image; ``columns`` maps name -> type."""
@@ -58,6 +60,39 @@ def retract_stream(
     )
 
 
+def retract_by_key(
+    changes: DataFrame, key: str, columns: Mapping[str, str], order: Sequence[str] = ("ts",)
+) -> DataFrame:
+    """As :func:`retract_stream`, for a feed whose changes need not tell the old image.
+
+    The row that leaves is the one the same key's last change left behind: by a window over
+    the key's changes on a table, in keyed state on a stream (where it goes on from batch to
+    batch). ``order`` must tell all changes of a key apart; changes without a key are left
+    out. A delete may name its key in either image. A new image stands for the whole row.
+    """
+    kept = changes.select(
+        key_text(key).alias("_key"), *order,
+        F.when(~F.col("type").eqNullSafe("delete"), F.transform_values("after", lambda _, v: v.cast("string"))).alias("_new"),
+    ).filter("_key IS NOT NULL")
+    if changes.isStreaming:
+        from tradewind.streaming.stateful import streaming_last_images
+
+        pairs = streaming_last_images(kept, order)
+    else:
+        before = F.lag("_new").over(Window.partitionBy("_key").orderBy(*order))
+        pairs = kept.withColumn("_old", before)
+    pair = F.array(
+        F.struct(F.lit(False).alias("is_add"), F.col("_old").alias("image")),
+        F.struct(F.lit(True).alias("is_add"), F.col("_new").alias("image")),
+    )
+    return (
+        pairs.select(*order, F.explode(pair).alias("_c"))
+        .filter(F.col("_c.image").isNotNull())
+        .select(*order, "_c.is_add", "_c.image")
+        .select(*order, "is_add", *image_columns("image", columns))
+    )
+
+
 def upserted(
     changes: DataFrame,
     pk: str,

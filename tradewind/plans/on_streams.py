@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.config import span
+from tradewind.config import Settings, span
+from tradewind.operators.changes import current_state, retract_by_key
+from tradewind.operators.parse import parse_records, snapshot_changes
+from tradewind.operators.snapshots import number_chunk, whole_feed
 from tradewind.operators.visits import repair_new_visitor
 from tradewind.operators.windows import tumbling
 from tradewind.plans import stats
 from tradewind.plans import on_tables as B
 from tradewind.session import run_dir
 from tradewind.sources import shop
+from tradewind.sources.topics import FolderTopics
+from tradewind.streaming import jobs
 from tradewind.streaming.heartbeats import LateRows, with_heartbeat
 from tradewind.streaming.sinks import finish, run_available, table_writer
 
@@ -86,3 +91,114 @@ def new_visitor_repair_stream(spark: SparkSession, sf: str) -> DataFrame:
     fixed = repair_new_visitor(pages.withColumn("was_new", F.col("common.is_new")), tiebreak=B.TIEBREAK)
     done = run_available(fixed, "new-visitor")
     return done.select("event_id", "common.mid", "was_new", "common.is_new")
+
+
+# ---- change feeds ----------------------------------------------------------------
+
+_CHUNK = 5000
+
+
+def _moving_orders(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Orders as a table at its start, and the changes made to it, at places 1 to 2000."""
+    o = shop.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    key, kind = F.col("o_orderkey"), F.col("o_orderkey") % 5
+    at = key * 7919 % 1000 + 1
+    image = lambda status: F.create_map(F.lit("o_orderkey"), key.cast("string"), F.lit("o_orderstatus"), status)
+    nothing = F.lit(None).cast("map<string,string>")
+
+    def change(when, type_, status, place):
+        known = image(F.lit("?"))
+        return o.filter(when).select(
+            F.lit("shop").alias("database"), F.lit("order_info").alias("table"), F.lit(type_).alias("type"),
+            (known if type_ == "delete" else nothing).alias("before"),
+            (nothing if type_ == "delete" else image(status)).alias("after"), place.alias("ts"),
+        )
+
+    changes = change(kind == 0, "insert", F.col("o_orderstatus"), at)
+    changes = changes.unionByName(change(kind == 1, "update", F.lit("U"), at))
+    changes = changes.unionByName(change((kind < 2) & (key % 2 == 0), "update", F.lit("V"), at + 1000))
+    changes = changes.unionByName(change(kind == 2, "delete", None, at))
+    return o.filter(kind != 0), changes
+
+
+@_query
+def cdc_chunked_snapshot(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders read in chunks while they change: the feed's state, and its events by key.
+
+    Chunk c is read at place 100 c + 100 (modulo 1500) of the log, between marks 100 before
+    and 100 after it.
+    """
+    start, changes = _moving_orders(spark, sf)
+    columns = {"o_orderkey": "bigint", "o_orderstatus": "string"}
+    chunk = number_chunk("o_orderkey", _CHUNK)
+    low = lambda c: c * 100 % 1500
+    opening = snapshot_changes(start, "shop", "order_info")
+    past = opening.unionByName(changes.filter(F.col("ts") <= low(chunk) + 100))
+    read = snapshot_changes(current_state(past, "o_orderkey", columns), "shop", "order_info")
+    chunks = shop.table(spark, sf, "orders").select(F.floor(F.col("o_orderkey") / _CHUNK).alias("chunk")).distinct()
+    marks = chunks.select("chunk", low(F.col("chunk")).alias("low"), (low(F.col("chunk")) + 200).alias("high"))
+    feed = B._kept(whole_feed(read.withColumn("chunk", chunk), marks, changes, "o_orderkey", chunk), "snapshot-feed")
+    state = current_state(feed, "o_orderkey", columns)
+    image = F.coalesce("after", "before")
+    events = feed.groupBy(image["o_orderkey"].cast("bigint").alias("o_orderkey")).agg(F.count("*").alias("events"))
+    return events.join(state, "o_orderkey", "left").select("o_orderkey", "o_orderstatus", "events")
+
+
+@_query
+def cdc_retract_stateful(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows leaving and entering the table, from changes that do not tell the old image."""
+    _, changes = _moving_orders(spark, sf)
+    return retract_by_key(changes, "o_orderkey", {"o_orderkey": "bigint", "o_orderstatus": "string"})
+
+
+@_query
+def cdc_retract_stateful_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from two loads of a stream: the last image of a key is its state."""
+    _, changes = _moving_orders(spark, sf)
+    base = run_dir(spark, "retract")
+    changes.filter("false").write.parquet(f"{base}/in")
+    stream = spark.readStream.schema(changes.schema).parquet(f"{base}/in")
+    rows = retract_by_key(stream, "o_orderkey", {"o_orderkey": "bigint", "o_orderstatus": "string"})
+    for condition in ("ts <= 1200", "ts > 1200"):
+        changes.filter(condition).write.mode("append").parquet(f"{base}/in")
+        finish(table_writer(rows, f"{base}/out", f"{base}/checkpoint").trigger(availableNow=True).start())
+    return spark.read.schema(rows.schema).parquet(f"{base}/out")
+
+
+# ---- topics ----------------------------------------------------------------------
+
+
+def _forget_last_batch(w: jobs.Warehouse, job: str) -> None:
+    """Let a job run its last batch again, as after a crash before the batch was noted."""
+    files = w.topics._files()
+    folder = w.topics._path(f"{w.checkpoint(job)}/commits")
+    names = [f.getPath().getName() for f in files.listStatus(folder)]
+    last = max(int(n) for n in names if n.isdigit())
+    files.delete(w.topics._path(f"{folder.toString()}/{last}"), False)
+
+
+@_query
+def chained_topics_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Two jobs chained by a topic, the first of which runs its batch again after the second
+    has read it: every event arrives once, in the topic that its type names."""
+    base = run_dir(spark, "chained")
+    w = jobs.Warehouse(spark, FolderTopics(spark, f"{base}/topics"), base, Settings(business_tz="UTC"), once=True)
+    events = shop.stream_table(spark, sf, "events").select("event_id", "event_type")
+
+    def ingest() -> None:
+        finish(w.to_topic(events, "raw_events", "ingest"))
+
+    def separate() -> None:
+        schema = events.schema
+        rows = parse_records(w.topics.stream("raw_events"), schema)
+        rows = rows.select(F.concat(F.lit("event_"), "event_type").alias("topic"), F.to_json(F.struct("event_id")).alias("value"))
+        finish(w.each_batch(rows, "separate", lambda batch, b: w.topics.write(batch, None, b, "separate")))
+
+    ingest()
+    separate()
+    for job, run in (("ingest", ingest), ("separate", separate)):
+        _forget_last_batch(w, job)
+        run()
+        separate()
+    read = spark.read.option("basePath", f"{base}/topics").text(f"{base}/topics/topic=event_*")
+    return read.select(F.get_json_object("value", "$.event_id").cast("bigint").alias("event_id"), "topic")

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from datetime import timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -25,12 +25,13 @@ from tradewind.operators.parse import (
     with_create_times,
 )
 from tradewind.operators.route import explode_displays, fact_topic_rows
+from tradewind.operators.snapshots import MARKS, opened
 from tradewind.operators.windows import label_window
 from tradewind.plans import changes as C
 from tradewind.plans import logs, orders, stats
 from tradewind.sources.dims import DimTable, upsert_all
 from tradewind.streaming.heartbeats import newest_times, parse_heartbeats, with_heartbeat
-from tradewind.streaming.sinks import RefinedTable, console, table_writer, write_routes
+from tradewind.streaming.sinks import RefinedTable, console, stored, table_writer, write_routes
 
 # Pieces of a phrase, and those of them that a vocabulary cuts into words.
 CUT_SCRIPT = r"\p{IsHan}"
@@ -209,6 +210,33 @@ def seed_feed(w: Warehouse, table: DataFrame, database: str, name: str) -> None:
     w.topics.write(to_topic_rows(first), TOPICS["raw_changes"], -1, f"seed_{database}_{name}")
 
 
+def seed_in_chunks(
+    w: Warehouse, database: str, name: str, key: str, chunk: Column, chunks: Sequence[int],
+    read: Callable[[int], DataFrame], position: Callable[[], int], log: Callable[[], DataFrame],
+) -> DataFrame:
+    """Open a change feed with a table that goes on changing, read chunk by chunk.
+
+    ``read`` gives the rows of a chunk, ``position`` the log's present end and ``log`` its
+    changes so far. A chunk's rows go to the topic as of its high mark, and the marks
+    (``MARKS``) to the table ``marks_<database>_<name>``, which is returned; readers of the
+    log drop what the snapshot holds by :func:`~tradewind.operators.snapshots.changes_after`.
+    Chunks that have their marks are not read again, so a run that broke off goes on.
+    """
+    path = w.table(f"marks_{database}_{name}")
+    w.spark.createDataFrame([], MARKS).write.mode("ignore").parquet(f"{path}/part=-1")
+    marks = w.spark.read.schema(MARKS)
+    done = {r.chunk for r in marks.parquet(path).select("chunk").collect()}
+    for number in (c for c in chunks if c not in done):
+        low = position()
+        rows = snapshot_changes(read(number), database, name).withColumn("chunk", F.lit(number).cast("bigint"))
+        rows = stored(rows, f"{path}_rows/chunk={number}")
+        mark = w.spark.createDataFrame([(number, low, position())], MARKS)
+        feed = opened(rows, mark, log(), key, chunk)
+        w.topics.write(to_topic_rows(feed), TOPICS["raw_changes"], number, f"seed_{database}_{name}")
+        mark.coalesce(1).write.mode("overwrite").parquet(f"{path}/part={number}")
+    return marks.parquet(path)
+
+
 def dim_sinks(routes: DataFrame) -> list[tuple[str, list[str], str]]:
     """The dimension tables a route table names: (name, columns, primary key).
 

@@ -84,6 +84,12 @@ class RefinedTable:
         )
 
 
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """Write rows to a folder, in place of what a run before this left there, and read them."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def console(df: DataFrame, checkpoint: str) -> DataStreamWriter:
     """Print rows; for looking at a job, not for keeping its result."""
     return (

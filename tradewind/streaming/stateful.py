@@ -178,3 +178,53 @@ def streaming_new_visitors(
     fixed = F.when(F.col("is_first"), F.col(flag)).otherwise(F.lit("0"))
     repaired = replaced(found, flag, fixed).select(*logs.columns)
     return logs.filter(~flagged_new(mid, flag)).unionByName(repaired)
+
+
+def _last_images(order: Sequence[str]):
+    """The processor that gives each change of a key the image before it."""
+    from pyspark.sql.streaming import StatefulProcessor
+
+    order = list(order)
+
+    class LastImage(StatefulProcessor):
+        def init(self, handle):
+            self.last = handle.getValueState("image", "image string")
+
+        def handleInputRows(self, key, rows, timerValues):
+            import pandas as pd
+
+            # One key's changes of one batch, in order.
+            mine = pd.concat(list(rows)).sort_values(order)
+            before = self.last.get()[0] if self.last.exists() else None
+            new = [None if pd.isna(x) else x for x in mine["new"]]
+            mine["old"] = [before, *new[:-1]]
+            if new[-1] is None:
+                self.last.clear()
+            else:
+                self.last.update((new[-1],))
+            yield mine[[*order, "old", "new"]]
+
+        def close(self):
+            pass
+
+    return LastImage()
+
+
+def streaming_last_images(changes: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Changes (_key, order columns, _new) with the key's image before each, as ``_old``.
+
+    A key's last image is a value of keyed state; a deleted key has none. ``order`` names
+    whole-number columns. A key's changes of one batch are held together while they are
+    put in order.
+    """
+    need_rocksdb(changes.sparkSession)
+    image = "map<string,string>"
+    rows = changes.select("_key", *(F.col(c).cast("bigint") for c in order), F.to_json("_new").alias("new"))
+    kinds = ", ".join(f"`{c}` bigint" for c in order)
+    told = rows.groupBy("_key").transformWithStateInPandas(
+        _last_images(order), f"{kinds}, old string, new string", "Append", "None"
+    )
+    return told.select(
+        *(F.col(c).cast(changes.schema[c].dataType) for c in order),
+        F.from_json("old", image).alias("_old"), F.from_json("new", image).alias("_new"),
+    )
