@@ -370,3 +370,28 @@ def test_cutting_pieces_takes_the_longest_word_first(spark):
     known = spark.createDataFrame([("手机",), ("手机壳",), ("",)], "word string")
     assert cut_pieces(long, known).first().words == ["手机壳", "手机"]
     assert cut_pieces(long, known.filter("false")).first().words == list("手机壳手机")
+
+
+def test_cutting_a_piece_takes_time_in_proportion_to_its_length(spark):
+    import random
+    import re
+    import time
+
+    from tradewind.operators.keywords import cut_pieces
+
+    rnd = random.Random(6)
+    words = sorted({"".join(rnd.choices("ab漢😀", k=rnd.randint(2, 90))) for _ in range(60)} | {"ab", "漢😀a"})
+    vocabulary = spark.createDataFrame([(w,) for w in words], "word string")
+
+    def run(n):
+        text = "".join(rnd.choices([*words, "a", "b", "漢", "😀"], k=n))[:n]
+        df = spark.createDataFrame([(text,)], "piece string")
+        begin = time.time()
+        got = cut_pieces(df, vocabulary).first().words
+        spent = time.time() - begin
+        pattern = "|".join([*sorted(words, key=len, reverse=True), "."])
+        assert got == re.findall(pattern, text)
+        return spent
+
+    run(1000)
+    assert run(64_000) < 12 * run(8_000) + 5
