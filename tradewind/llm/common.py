@@ -109,6 +109,11 @@ def components(edges: DataFrame, purpose: str) -> DataFrame:
         lowest = lowest.select("a", F.least("a", "m").alias("m"))
         return both.join(lowest, "a")
 
+    def each_of(links: DataFrame, *ends: tuple[str, str]) -> DataFrame:
+        """Several links (a, b) out of every row, in one pass."""
+        made = F.array(*(F.struct(F.col(x).alias("a"), F.col(y).alias("b")) for x, y in ends))
+        return links.select(F.inline(made))
+
     def kept(links: DataFrame) -> tuple[DataFrame, dict]:
         """Distinct links, stored, with what tells one state from another."""
         seen = Observation()
@@ -120,11 +125,9 @@ def components(edges: DataFrame, purpose: str) -> DataFrame:
     before = None
     while state != before and state["n"]:
         before = state
-        flipped = pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))
-        large = stars(pairs.unionByName(flipped)).where("b > a AND b <> m")
+        large = stars(each_of(pairs, ("a", "b"), ("b", "a"))).where("b > a AND b <> m")
         starred = stars(large.select(F.col("b").alias("a"), F.col("m").alias("b")))
-        small = starred.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        small = small.unionByName(starred.select("a", F.col("m").alias("b")))
+        small = each_of(starred, ("b", "m"), ("a", "m"))
         pairs, state = kept(small)
     heads = pairs.select(F.col("b").alias("node"), F.col("b").alias("component"))
     return (

@@ -43,7 +43,7 @@ from tradewind.llm import words as W
 from tradewind.llm.common import components, id_out, maybe_in, stored, texts
 
 SLOTS, ROWS, WIDTH = 128, 4, 5
-PIVOT_ROUNDS = 2
+PIVOT_ROUNDS = 1
 #: Most outer nodes and members (on average) that a closing block compares.
 BLOCK_OUTER, BLOCK_MEMBERS = 1024, 4096
 AGREE = SLOTS // 2
@@ -152,36 +152,43 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @W.steady
 def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keep pairs (a, b, x, y) whose signatures x and y agree in enough slots."""
+    """Keep pairs (a, b, ca, cb, x, y) whose signatures x and y agree in enough slots."""
     for batch in batches:
         if batch.num_rows:
             x, y = (
                 W.flat(batch.column(i))[0].reshape(batch.num_rows, 2 * SLOTS).view("<u2")
-                for i in (2, 3)
+                for i in (4, 5)
             )
             mask = pa.array((x == y).sum(axis=1) >= AGREE)
-            yield batch.select([0, 1]).filter(mask)
+            yield batch.select([0, 1, 2, 3]).filter(mask)
 
 
 def _confirmed(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             linked = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+            for x, y in zip(batch.column(4), batch.column(5), strict=True):
                 x = np.frombuffer(x.as_buffer(), np.uint64)
                 y = np.frombuffer(y.as_buffer(), np.uint64)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 linked.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.select([0, 1]).filter(pa.array(linked, pa.bool_()))
+            links = batch.select([2, 3]).filter(pa.array(linked, pa.bool_()))
+            yield links.rename_columns(["a", "b"])
 
     return W.steady(run)
 
 
+#: Two nodes, and the components they are in.
+PAIR = ["a", "b", "ca", "cb"]
+PAIR_DDL = "a long, b long, ca long, cb long"
+
+
 def _joined(pairs: DataFrame, values: DataFrame, value: str) -> DataFrame:
-    """Pairs (a, b) with each side's value, as a, b, x, y."""
+    """Pairs (a, b) of nodes with their components and each side's value: a, b, ca, cb, x, y."""
     left = values.select(F.col("node").alias("a"), F.col(value).alias("x"))
     right = values.select(F.col("node").alias("b"), F.col(value).alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
+    # b is often one node of very many pairs: it is joined while the rows are narrow.
+    return pairs.join(right, "b").join(left, "a").select(*PAIR, "x", "y")
 
 
 @W.steady
@@ -217,15 +224,12 @@ def text_groups(docs: DataFrame, percent: int = 75) -> DataFrame:
     rows = texts(docs, F.xxhash64("text").alias("h"))
     signed = stored(rows.mapInArrow(_signed, SIGNED), "near-signed")
     full = signed.where("n > 0")
-    classes = full.groupBy("key").agg(F.min(F.struct("doc_id", "h")).alias("row"))
     # Numbered once and stored, so a number stands for one set in all that follows.
-    classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "near-classes")
-    named_row = classes.select("key", "node", F.col("row.doc_id").alias("doc_id"), F.col("row.h").alias("h"))
-    heads = (
-        full.join(named_row, ["key", "doc_id", "h"])
-        .select("node", "n", "bands", "signature")
-        .dropDuplicates(["node"])
+    first_row = F.struct("doc_id", "h")
+    heads = full.groupBy("key").agg(
+        F.min(first_row).alias("row"), F.min_by(F.struct("n", "bands", "signature"), first_row).alias("of")
     )
+    heads = heads.withColumn("node", F.monotonically_increasing_id()).select("node", "key", "row.*", "of.*")
     heads = stored(heads, "near-heads")
     bands = heads.select("node", "n", F.explode("bands").alias("band"))
     # Stored, so that the join has two plain shuffles and a hot bucket's members can be split.
@@ -236,7 +240,7 @@ def text_groups(docs: DataFrame, percent: int = 75) -> DataFrame:
         "near-buckets",
     )
     members = stored(bands.join(buckets, "band").select("band", "node", "n", "low", "m"), "near-members")
-    wanted = named_row.join(members.select("node").distinct(), "node")
+    wanted = heads.select("key", "node", "doc_id", "h").join(members.select("node").distinct(), "node")
     sets = stored(
         maybe_in(rows, F.xxhash64("doc_id", "h"), wanted, F.xxhash64("doc_id", "h"))
         .mapInArrow(_sets, "key binary, elements binary")
@@ -246,33 +250,28 @@ def text_groups(docs: DataFrame, percent: int = 75) -> DataFrame:
         "near-sets",
     )
 
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        likely = _joined(pairs, heads, "signature").mapInArrow(_agreeing, "a long, b long")
-        return stored(
-            _joined(likely, sets, "elements").mapInArrow(_confirmed(percent), "a long, b long"),
-            "near-links",
-        )
+    def joined(pairs: DataFrame) -> DataFrame:
+        """(node, component) of the components that confirmed pairs join."""
+        likely = _joined(pairs, heads, "signature").mapInArrow(_agreeing, PAIR_DDL)
+        links = _joined(likely, sets, "elements").mapInArrow(_confirmed(percent), "a long, b long")
+        links = stored(links, "near-links").mapInArrow(_forests, "a long, b long")
+        return stored(components(links, "near"), "near-joined")
 
     twos = members.where("m = 2 AND node > low").select(F.col("node").alias("a"), F.col("low").alias("b"))
-    members = members.where("m > 2")
-    first = members.groupBy("node").agg(F.min("low").alias("b")).where("b < node")
+    left = members.where("m > 2").select("band", "node", "n", F.col("node").alias("c"))
+    first = members.where("m > 2").groupBy("node").agg(F.min("low").alias("b")).where("b < node")
     pairs = first.select(F.col("node").alias("a"), "b").unionByName(twos).distinct()
-    groups = stored(components(confirmed(pairs).mapInArrow(_forests, "a long, b long"), "near"), "near-groups")
-    left = _open_members(members, groups)
+    groups = joined(pairs.select("a", "b", F.col("a").alias("ca"), F.col("b").alias("cb")))
+    moved = groups
     for turn in range(PIVOT_ROUNDS + 1):
+        left = _open_members(left, moved)
         if left.isEmpty():
             break
         pairs = _pivot_pairs(left, turn, percent) if turn < PIVOT_ROUNDS else _closing_pairs(left, sets, percent)
-        links = _between_groups(confirmed(pairs), left).mapInArrow(_forests, "a long, b long")
-        joined = components(links, "near")
-        if joined.isEmpty():
-            continue  # nothing new: the same buckets stay open
-        joined = stored(joined, "near-joined")
-        groups = _regrouped(groups, joined)
-        if turn < PIVOT_ROUNDS:
-            left = _open_members(members, groups)
-
-    named = classes.select("key", "node").join(groups, "node", "left").select(
+        moved = joined(pairs)
+        groups = _regrouped(groups, moved)
+
+    named = heads.select("key", "node").join(groups, "node", "left").select(
         "key", F.coalesce("component", "node").alias("group")
     )
     own = signed.select("doc_id", "sha", "n", F.when(F.col("n") > 0, F.col("key")).alias("key"))
@@ -290,12 +289,16 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     """
     rows = text_groups(docs, percent)
     ids = stored(rows.where("n > 0").select("doc_id", "group").distinct(), "near-ids")
-    ties = ids.groupBy("doc_id").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low < high")
-    ties = ids.join(ties, "doc_id").where("group > low").select(F.col("group").alias("a"), F.col("low").alias("b"))
-    tied = ids.join(components(ties, "near-ties").withColumnRenamed("node", "group"), "group", "left")
-    tied = tied.select("doc_id", F.coalesce("component", "group").alias("tied"))
+    several = ids.groupBy("doc_id").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low < high")
+    ties = stored(
+        ids.join(several, "doc_id").where("group > low").select(F.col("group").alias("a"), F.col("low").alias("b")), "near-ties"
+    )
+    tied = ids.withColumnRenamed("group", "tied")
+    if not ties.isEmpty():  # an id in two groups makes them one
+        into = components(ties, "near-ties").select(F.col("node").alias("tied"), F.col("component").alias("into"))
+        tied = tied.join(into, "tied", "left").select("doc_id", F.coalesce("into", "tied").alias("tied")).distinct()
     lows = tied.groupBy("tied").agg(F.min("doc_id").alias("component"))
-    by_id = stored(tied.distinct().join(lows, "tied").select("doc_id", "component"), "near-by-id")
+    by_id = tied.join(lows, "tied").select("doc_id", "component")
     return (
         rows.join(by_id, "doc_id", "left")
         .withColumn("component", F.coalesce("component", "doc_id"))
@@ -308,18 +311,6 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     )
 
 
-def _between_groups(links: DataFrame, left: DataFrame) -> DataFrame:
-    """Links of nodes as links (a, b) of the components of those nodes."""
-    own = left.select("node", "c").distinct()
-    return (
-        links.join(own.withColumnsRenamed({"node": "a", "c": "x"}), "a")
-        .join(own.withColumnsRenamed({"node": "b", "c": "y"}), "b")
-        .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))
-        .where("a <> b")
-        .distinct()
-    )
-
-
 def _regrouped(groups: DataFrame, joined: DataFrame) -> DataFrame:
     """Groups (node, component) after their components were joined."""
     moved = joined.select(F.col("node").alias("component"), F.col("component").alias("into"))
@@ -327,11 +318,11 @@ def _regrouped(groups: DataFrame, joined: DataFrame) -> DataFrame:
     return stored(old.unionByName(joined.join(groups, "node", "left_anti")), "near-groups")
 
 
-def _open_members(members: DataFrame, groups: DataFrame) -> DataFrame:
-    """Members (band, node, n, c) of buckets that hold more than one component."""
-    labelled = members.join(groups, "node", "left").select(
-        "band", "node", "n", F.coalesce("component", "node").alias("c")
-    )
+def _open_members(members: DataFrame, moved: DataFrame) -> DataFrame:
+    """Members (band, node, n, c) of buckets that hold more than one component, after the
+    components ``moved`` (node, component) were joined."""
+    into = moved.select(F.col("node").alias("c"), F.col("component").alias("into"))
+    labelled = members.join(into, "c", "left").select("band", "node", "n", F.coalesce("into", "c").alias("c"))
     several = labelled.groupBy("band").agg(F.min("c").alias("low"), F.max("c").alias("high"))
     several = stored(several.where("low < high").select("band"), "near-several")
     return stored(labelled.join(several, "band"), "near-open")
@@ -350,7 +341,7 @@ def _pivot_pairs(members: DataFrame, turn: int, percent: int) -> DataFrame:
     return (
         members.join(pivots, "band")
         .where((F.col("c") != F.col("p.c")) & F.expr(_fits("n", "p.n", percent)))
-        .select(F.greatest("node", "p.node").alias("a"), F.least("node", "p.node").alias("b"))
+        .select(F.col("node").alias("a"), F.col("p.node").alias("b"), F.col("c").alias("ca"), F.col("p.c").alias("cb"))
         .distinct()
     )
 
@@ -384,7 +375,7 @@ def _closing_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFra
     )
     short = sets.mapInArrow(_shortened, "node long, short binary")
     return (
-        rows.join(short, "node").groupBy("band", "i", "j").applyInArrow(_block_links(percent), "a long, b long").distinct()
+        rows.join(short, "node").groupBy("band", "i", "j").applyInArrow(_block_links(percent), PAIR_DDL).distinct()
     )
 
 
@@ -422,13 +413,10 @@ def _block_links(percent: int, most: int = 4_000_000):
                 i, j = i[best], j[best]
                 new = np.ones(len(i), bool)
                 new[1:] = (j[1:] != j[:-1]) | (c[own[i[1:]]] != c[own[i[:-1]]])
-                pairs += zip(node[own[i[new]]].tolist(), node[x[j[new]]].tolist(), strict=True)
+                one, two = own[i[new]], x[j[new]]
+                pairs.append(np.stack([node[one], node[two], c[one], c[two]]))
                 at = end
-        return pa.table(
-            {
-                "a": pa.array([max(p) for p in pairs], pa.int64()),
-                "b": pa.array([min(p) for p in pairs], pa.int64()),
-            }
-        )
+        found = np.concatenate([np.zeros((4, 0), np.int64), *pairs], axis=1)
+        return pa.table(dict(zip(PAIR, found, strict=True)))
 
     return run
