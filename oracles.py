@@ -293,6 +293,20 @@ followed AS (SELECT *, lag(s) OVER (PARTITION BY k ORDER BY ts) AS old FROM move
 SELECT ts, false AS is_add, k AS o_orderkey, old AS o_orderstatus FROM followed WHERE old IS NOT NULL
 UNION ALL SELECT ts, true, k, s FROM followed WHERE s IS NOT NULL"""
 
+# Two further entry pages within the time make the pattern; its first page is the bounce.
+BOUNCE_THREE = f"""
+WITH {PAGES},
+followed AS (
+    SELECT *, last_page_id IS NULL AS entry, ts + INTERVAL '6' HOUR AS until,
+           lead(ts, 1) OVER w AS t1, lead(last_page_id IS NULL, 1) OVER w AS e1,
+           lead(ts, 2) OVER w AS t2, lead(last_page_id IS NULL, 2) OVER w AS e2
+    FROM pages_log WINDOW w AS (PARTITION BY mid ORDER BY ts, event_id)),
+judged AS (
+    SELECT *, CASE WHEN t1 IS NULL OR t1 >= until THEN 'timeout' WHEN NOT e1 THEN NULL
+                   WHEN t2 IS NULL OR t2 >= until THEN 'timeout' WHEN e2 THEN 'matched' END AS reason
+    FROM followed WHERE entry)
+SELECT {PAGE_COLUMNS}, reason FROM judged WHERE reason IS NOT NULL"""
+
 NEW_VISITORS = f"""
 WITH {PAGES}
 SELECT event_id, mid, is_new AS was_new,
@@ -385,6 +399,8 @@ WITH {PAGES},{VISITS} SELECT mid, CAST(CAST(ts AS DATE) AS VARCHAR) AS day FROM
     "bounce_detail_stream": f"""
 WITH {PAGES},{BOUNCES}
 SELECT {PAGE_COLUMNS}, reason FROM bounced""",
+    "bounce_three": BOUNCE_THREE,
+    "bounce_three_stream": BOUNCE_THREE,
     "new_visitor_repair": NEW_VISITORS,
     "new_visitor_repair_stream": NEW_VISITORS,
     "page_entries": f"""
@@ -579,6 +595,14 @@ WITH {CHANGES}, last AS (
 SELECT CAST(k AS VARCHAR) AS o_orderkey, CAST(c AS VARCHAR) AS o_custkey,
        CASE WHEN n = 1 THEN 'X' ELSE s END AS o_orderstatus
 FROM last WHERE rn = 1""",
+    "dim_written_then_read": f"""
+WITH {CHANGES}, named AS (
+    -- a second change names its status only; batches apply in the order of ts modulo 3
+    SELECT k, ts, ts % 3 AS batch, CASE WHEN n = 0 THEN c END AS c, n, CASE WHEN n = 1 THEN 'X' ELSE s END AS s
+    FROM changes WHERE type <> 'delete')
+SELECT CAST(k AS VARCHAR) AS o_orderkey, CAST(max(c) AS VARCHAR) AS o_custkey,
+       arg_max(s, batch * 1000000000 + ts) AS o_orderstatus
+FROM named WHERE k IN (SELECT l_orderkey FROM lineitem WHERE l_linenumber = 1) GROUP BY k""",
     "time_functions": f"""
 SELECT o_orderkey, epoch_ms(o_orderdate) - 28800000 AS ms_plus8,
        strftime(o_orderdate, {TIME}) AS as_text,

@@ -170,7 +170,7 @@ def test_change_routing_job(bench, tmp_path):
     table = DimTable(bench.spark, dims, "dim_user_info", ["id", "name", "phone"])
     users = {r.id: (r.name, r.phone) for r in table.read().collect()}
     assert users == {"1": ("eve", "1"), "2": ("bob", "2")}
-    fresh = table.compact(f"{tmp_path}/dims2")
+    fresh = table.copy(f"{tmp_path}/dims2")
     assert {r.id: (r.name, r.phone) for r in fresh.read().collect()} == users
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,10 +13,11 @@ from tradewind.operators.parse import parse_records, snapshot_changes
 from tradewind.operators.snapshots import number_chunk, whole_feed
 from tradewind.operators.visits import repair_new_visitor
 from tradewind.operators.windows import tumbling
-from tradewind.plans import stats
+from tradewind.plans import logs, stats
 from tradewind.plans import on_tables as B
 from tradewind.session import run_dir
 from tradewind.sources import shop
+from tradewind.sources.dims import DimTable
 from tradewind.sources.topics import FolderTopics
 from tradewind.streaming import jobs
 from tradewind.streaming.heartbeats import LateRows, with_heartbeat
@@ -93,6 +96,24 @@ def new_visitor_repair_stream(spark: SparkSession, sf: str) -> DataFrame:
     return done.select("event_id", "common.mid", "was_new", "common.is_new")
 
 
+_THREE = replace(B.SETTINGS, bounce_times=3)
+
+
+@_query
+def bounce_three(spark: SparkSession, sf: str) -> DataFrame:
+    """Bounces of a pattern of three entry pages."""
+    found = logs.bounce_detail(B._pages(spark, sf), _THREE, tiebreak=B.TIEBREAK)
+    return B._page_report(found, "reason")
+
+
+@_query
+def bounce_three_stream(spark: SparkSession, sf: str) -> DataFrame:
+    pages = shop.page_log(shop.stream_table(spark, sf, "events"))
+    pages = B._ended(pages, common='{"mid": "end"}', event_id="-1")
+    found = logs.bounce_detail(pages, _THREE, tiebreak=B.TIEBREAK)
+    return B._page_report(run_available(found, "bounce-three"), "reason")
+
+
 # ---- change feeds ----------------------------------------------------------------
 
 _CHUNK = 5000
@@ -202,3 +223,19 @@ def chained_topics_stream(spark: SparkSession, sf: str) -> DataFrame:
         separate()
     read = spark.read.option("basePath", f"{base}/topics").text(f"{base}/topics/topic=event_*")
     return read.select(F.get_json_object("value", "$.event_id").cast("bigint").alias("event_id"), "topic")
+
+
+# ---- dimensions ------------------------------------------------------------------
+
+
+@_query
+def dim_written_then_read(spark: SparkSession, sf: str) -> DataFrame:
+    """A dimension folded in place from three batches of changes, then looked up for the
+    keys of the order details."""
+    root, columns = run_dir(spark, "dims"), ["o_orderkey", "o_custkey", "o_orderstatus"]
+    table = DimTable(spark, root, "dim_order", columns, "o_orderkey").create()
+    live = B._kept(B._changes(spark, sf).filter("type <> 'delete'"), "dim-changes")
+    for batch in range(3):
+        table.upsert(live.filter(F.col("ts") % 3 == batch), batch, ["ts"])
+    details = shop.table(spark, sf, "lineitem").filter("l_linenumber = 1").select(F.col("l_orderkey").alias("key"))
+    return table.read(only=details)

@@ -29,7 +29,7 @@ from tradewind.operators.snapshots import MARKS, opened
 from tradewind.operators.windows import label_window
 from tradewind.plans import changes as C
 from tradewind.plans import logs, orders, stats
-from tradewind.sources.dims import DimTable, upsert_all
+from tradewind.sources.dims import DimTable, StoredDims
 from tradewind.streaming.heartbeats import newest_times, parse_heartbeats, with_heartbeat
 from tradewind.streaming.sinks import RefinedTable, console, stored, table_writer, write_routes
 
@@ -40,6 +40,11 @@ VOCABULARY_PIECES = rf"{CUT_SCRIPT}+|[\p{{L}}\p{{M}}\p{{N}}&&[^{CUT_SCRIPT}]]+"
 Dims = Callable[[], Mapping[str, DataFrame]]
 
 
+def _dims_for(dims: Dims, batch: DataFrame) -> Mapping[str, DataFrame]:
+    """The dimension tables as they are now; stored ones for the keys of the batch only."""
+    return dims(batch) if isinstance(dims, StoredDims) else dims()
+
+
 @dataclass
 class Warehouse:
     """Where the jobs read and write, and their parameters.
@@ -190,8 +195,8 @@ def route_changes(
 
         def dims(df: DataFrame, b: int) -> None:
             for sink, columns, pk in dim_sinks(routes):
-                DimTable(w.spark, dims_root, sink, columns, pk).create()
-            upsert_all(df, dims_root, b, ("ts", "_id"))
+                table = DimTable(w.spark, dims_root, sink, columns, pk).create()
+                table.upsert(df.filter(F.col("sink_table") == sink), b, ("ts", "_id"))
 
         merged = routed.withColumn(
             "route",
@@ -285,10 +290,14 @@ def order_wide(w: Warehouse, dims: Dims) -> StreamingQuery:
     )
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        wide = orders.enrich_orders(batch, dims(), w.settings)
-        w.topics.write(
-            to_topic_rows(wide.drop("rowtime")), TOPICS["order_wide"], batch_id, "order_wide"
-        )
+        batch = batch.persist()
+        try:
+            wide = orders.enrich_orders(batch, _dims_for(dims, batch), w.settings)
+            w.topics.write(
+                to_topic_rows(wide.drop("rowtime")), TOPICS["order_wide"], batch_id, "order_wide"
+            )
+        finally:
+            batch.unpersist()
 
     return w.each_batch(joined, "order_wide", each)
 
@@ -376,10 +385,14 @@ def product_stats(w: Warehouse, dims: Dims) -> StreamingQuery:
     )
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        final = stats.stamp(stats.with_products(batch, dims()))
-        final.select(*schemas.PRODUCT_STATS_COLUMNS).write.mode("overwrite").parquet(
-            f"{w.table('product_stats')}/batch_id={batch_id}"
-        )
+        batch = batch.persist()
+        try:
+            final = stats.stamp(stats.with_products(batch, _dims_for(dims, batch)))
+            final.select(*schemas.PRODUCT_STATS_COLUMNS).write.mode("overwrite").parquet(
+                f"{w.table('product_stats')}/batch_id={batch_id}"
+            )
+        finally:
+            batch.unpersist()
 
     return w.each_batch(rows, "product_stats", each)
 
