@@ -418,6 +418,7 @@ UNION ALL SELECT 'bounce', vc, ch, ar, is_new, strftime(ts, {TIME}), 0, 0, 0, 1,
 FROM bounced""",
     "visitor_stats": _visitor(),
     "visitor_stats_stream": _visitor(),
+    "visitor_stats_refined_stream": _visitor(),
     "product_metric_rows": f"""
 WITH {PRODUCT_ROWS}
 SELECT strftime(ts, {TIME}) AS at, sku_id,

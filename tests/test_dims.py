@@ -87,3 +87,31 @@ def test_a_job_reads_the_tables_for_its_batch(spark, tmp_path):
     rows = lookup_join(batch, found["user"], {"user_id": "id"}, {"user_name": "name"}).collect()
     assert {(r.user_id, r.user_name) for r in rows} == {(3, "n3"), (4, "n4"), (999, None)}
     assert dims()["user"].count() == 50
+
+
+def test_refined_table_folds_open_rows_only(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from tradewind.streaming.sinks import RefinedTable
+
+    table = RefinedTable(spark, str(tmp_path / "t"), ["w", "k"])
+    frame = lambda *rows: spark.createDataFrame(rows, "w int, k string, n int")
+    rows = lambda **kw: sorted((tuple(r) for r in table.read(**kw).collect()), key=str)
+    with pytest.raises(ValueError):
+        table.read()
+    table.write(frame((1, "a", 1), (2, "a", 1)), 0, F.col("w") < 1)
+    table.write(frame((1, "a", 2), (2, None, 7), (3, "a", 1)), 1, F.col("w") < 2)
+    assert rows(only_closed=True) == [(1, "a", 2)]
+    assert rows() == [(1, "a", 2), (2, "a", 1), (2, None, 7), (3, "a", 1)]
+    # Run again with more closed than before, and dying while the closed rows move.
+    finish = table._finish
+    monkeypatch.setattr(table, "_finish", lambda part, replaced: None if part == table._state()[2] and replaced else finish(part, replaced))
+    table.write(frame((1, "a", 3), (2, None, 7)), 1, F.col("w") < 3)
+    monkeypatch.undo()
+    assert rows(only_closed=True) == [(1, "a", 3), (2, "a", 1), (2, None, 7)]
+    table.write(frame((3, "a", 5)), 2, F.col("w") < 3)
+    assert rows(only_closed=True) == [(1, "a", 3), (2, "a", 1), (2, None, 7)]
+    assert rows()[-1] == (3, "a", 5)
+    part = table._state()[2]
+    assert [tuple(r) for r in spark.read.parquet(f"{table.path}/_parts/{part}/closed=false").collect()] == [(3, "a", 5)]
+    assert len(os.listdir(f"{table.path}/_parts")) <= 2

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.config import Settings, span
+from tradewind.operators import metrics as M
 from tradewind.operators.changes import current_state, retract_by_key
 from tradewind.operators.parse import parse_records, snapshot_changes
 from tradewind.operators.snapshots import number_chunk, whole_feed
@@ -84,6 +85,34 @@ def late_rows_stream(spark: SparkSession, sf: str) -> DataFrame:
     return kept.unionByName(dropped.select(F.lit("late").alias("day"), F.lit(None).cast("string").alias("mid"), "n"))
 
 
+@_query
+def visitor_stats_refined_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Visitor statistics in update mode from three loads in time order, the windows at the
+    seams refined by the next load: the closed rows are those of the append mode."""
+    base = run_dir(spark, "refined")
+    sources = {"page_log": B._pages(spark, sf), "unique_visit": B._visits(spark, sf), "bounce": B._bounced(spark, sf)}
+    sources = {name: B._kept(df, f"refined-{name}") for name, df in sources.items()}
+    streams = {}
+    for name, df in sources.items():
+        df.filter("false").write.parquet(f"{base}/{name}")
+        streams[name] = spark.readStream.schema(df.schema).parquet(f"{base}/{name}")
+    w = jobs.Warehouse(spark, None, base, B.SETTINGS, once=True)
+    rows = stats.visitor_stats(*streams.values(), w.settings)
+    first = sources["page_log"].select(F.min("rowtime"), F.max("rowtime")).first()
+    third = (first[1] - first[0]) / 3
+    for part in range(3):
+        until = [F.lit(first[0] + third * k) for k in (part, part + 1)]
+        here = (F.col("rowtime") >= until[0]) & ((F.col("rowtime") < until[1]) if part < 2 else F.lit(True))
+        for name, df in sources.items():
+            if part == 2:  # one record far in the future closes all windows but its own
+                end = (F.lit("2100-01-01" if f.name == "rowtime" else None).cast(f.dataType).alias(f.name) for f in df.schema)
+                df = df.unionByName(spark.range(1).select(*end))
+            df.filter(here).write.mode("append").parquet(f"{base}/{name}")
+        query, table = jobs.refined_table(w, rows, "refined", M.VISITOR_KEYS, ["stt", "edt", *M.VISITOR_KEYS, *M.VISITOR_SUMS])
+        finish(query)
+    return table.read(only_closed=True)
+
+
 # ---- visits ----------------------------------------------------------------------
 
 

@@ -31,7 +31,7 @@ from tradewind.plans import changes as C
 from tradewind.plans import logs, orders, stats
 from tradewind.sources.dims import DimTable, StoredDims
 from tradewind.streaming.heartbeats import newest_times, parse_heartbeats, with_heartbeat
-from tradewind.streaming.sinks import RefinedTable, console, stored, table_writer, write_routes
+from tradewind.streaming.sinks import RefinedTable, batch_watermark, console, stored, table_writer, write_routes
 
 # Pieces of a phrase, and those of them that a vocabulary cuts into words.
 CUT_SCRIPT = r"\p{IsHan}"
@@ -326,21 +326,27 @@ def visitor_stats(w: Warehouse) -> StreamingQuery:
 
 
 def visitor_stats_refined(w: Warehouse) -> tuple[StreamingQuery, RefinedTable]:
-    """Emit windows as they fill and again when late rows refine them (update mode)."""
-    table = RefinedTable(
-        w.spark, w.table("visitor_stats_refined"), ["stt", "edt", "vc", "ch", "ar", "is_new"]
-    )
-    rows = visitor_rows(w)
+    """Emit windows as they fill and again when late rows refine them (update mode). Windows
+    that the watermark has passed are final and are folded away from the open ones."""
+    return refined_table(w, visitor_rows(w), "visitor_stats_refined", ["vc", "ch", "ar", "is_new"], schemas.VISITOR_STATS_COLUMNS)
+
+
+def refined_table(
+    w: Warehouse, rows: DataFrame, name: str, keys: Sequence[str], columns: Sequence[str]
+) -> tuple[StreamingQuery, RefinedTable]:
+    """Windowed rows (``stt``, ``edt``, keys, values) in update mode, kept as a refined table."""
+    table = RefinedTable(w.spark, w.table(name), ["stt", "edt", *keys])
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        table.write(
-            stats.stamp(batch).select(*schemas.VISITOR_STATS_COLUMNS), batch_id
-        )
+        seen = batch_watermark(w.spark, w.checkpoint(name), batch_id)
+        closed = times.parse_time(F.col("edt"), w.settings.business_tz) <= F.lit(seen)
+        table.write(stats.stamp(batch).select(*columns), batch_id, closed)
 
     query = w.start(
         rows.writeStream.outputMode("update")
         .foreachBatch(each)
-        .option("checkpointLocation", w.checkpoint("visitor_stats_refined"))
+        .option("checkpointLocation", w.checkpoint(name))
+        .queryName(name)
     )
     return query, table
 

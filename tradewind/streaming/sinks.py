@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import json
 import time
+import uuid
 from collections.abc import Callable, Mapping, Sequence
+from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -60,28 +64,122 @@ def jdbc_writer(
 
 
 class RefinedTable:
-    """A statistics table whose rows may be refined by late data (update mode).
-
-    Every batch's rows go to the batch's own folder; reading takes the newest row per
-    key, so a refined row replaces its earlier state and a re-run batch replaces itself.
+    """A statistics table whose rows late data may refine (update mode), folded as it grows.
+
+    Rows that can still be refined are kept in one open part; a batch folds its refinements
+    into it, the newest state of a key standing for it. Rows that the batch says are closed
+    move to the final part and are never looked at again, so neither a batch nor the folding
+    costs more than the open rows. A small state file, made by a rename, names the batch, its
+    part and the one before; a batch run again starts from that one and replaces itself, and
+    a move that a crash cut short is finished by the next batch.
     """
 
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str]):
         self.spark = spark
-        self.path = path
+        self.path = path.rstrip("/")
         self.keys = list(keys)
 
-    def write(self, batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+    def _path(self, path: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
+
+    def _files(self):
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        return self._path(self.path).getFileSystem(conf)
+
+    def _state(self) -> tuple[int, str, str, str, str]:
+        """(version, the batch that made it, its part, the part before, the part it replaced)."""
+        files, folder = self._files(), self._path(f"{self.path}/_states")
+        found = files.listStatus(folder) if files.exists(folder) else []
+        names = [f.getPath().getName() for f in found]
+        version = max((int(n) for n in names if n.isdigit()), default=-1)
+        if version < 0:
+            return -1, "", "", "", ""
+        return version, *read_text(self.spark, f"{self.path}/_states/{version}").split("\n")
+
+    def write(self, batch: DataFrame, batch_id: int, closed: Column | None = None) -> None:
+        """Fold a batch in; ``closed`` tells which rows no later batch can refine."""
+        query = self.spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+        version, last, part, before, replaced = self._state()
+        self._finish(part, replaced)
+        again = last == f"{query}/{batch_id}"
+        base = before if again else part
+        rows = batch.withColumn("_new", F.lit(True))
+        held = self._existing(f"{self.path}/_parts/{base}/closed=false") if base else None
+        if held is not None:
+            rows = rows.unionByName(held.withColumn("_new", F.lit(False)))
+        values = [c for c in batch.columns if c not in self.keys]
+        newest = rows.groupBy(*self.keys).agg(F.max_by(F.struct(*values), "_new").alias("_row"))
+        newest = newest.select(*self.keys, "_row.*").select(*batch.columns)
+        done = F.lit(False) if closed is None else F.coalesce(closed, F.lit(False))
+        made, gone = f"p{uuid.uuid4().hex}", part if again else ""
+        newest.withColumn("closed", done).write.partitionBy("closed").parquet(f"{self.path}/_parts/{made}")
+        state = "\n".join([f"{query}/{batch_id}", made, base, gone])
+        write_text(self.spark, f"{self.path}/_states/{version + 1}", state)
+        self._finish(made, gone)
+        for old in {part, before} - {base, ""}:
+            self._files().delete(self._path(f"{self.path}/_parts/{old}"), True)
+        if version >= 0:
+            self._files().delete(self._path(f"{self.path}/_states/{version}"), False)
+
+    def _finish(self, part: str, replaced: str) -> None:
+        """Move a named part's closed rows to the final part, in place of those it replaced."""
+        files = self._files()
+        if replaced:
+            files.delete(self._path(f"{self.path}/final/part={replaced}"), True)
+        staged = self._path(f"{self.path}/_parts/{part}/closed=true")
+        if part and files.exists(staged):
+            files.mkdirs(self._path(f"{self.path}/final"))
+            if not files.rename(staged, self._path(f"{self.path}/final/part={part}")):
+                raise OSError(f"{staged.toString()} was not moved")
+
+    def _existing(self, folder: str) -> DataFrame | None:
+        if not self._files().exists(self._path(folder)):
+            return None
+        return self.spark.read.parquet(folder)
+
+    def read(self, only_closed: bool = False) -> DataFrame:
+        """The table's rows: the closed ones, and those still open unless ``only_closed``."""
+        _, _, part, _, replaced = self._state()
+        final = self._existing(f"{self.path}/final")
+        if final is not None:
+            final = final.filter(F.col("part").cast("string") != replaced).drop("part")
+        kinds = ["true"] if only_closed else ["true", "false"]  # closed rows that were not moved yet
+        parts = [final, *(self._existing(f"{self.path}/_parts/{part}/closed={k}") for k in kinds if part)]
+        found = [df for df in parts if df is not None]
+        if not found:
+            raise ValueError(f"{self.path} holds no such rows yet")
+        return reduce(DataFrame.unionByName, found)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file of the shared folder."""
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(file)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
-    def read(self) -> DataFrame:
-        newest = Window.partitionBy(*self.keys).orderBy(F.desc("batch_id"))
-        return (
-            self.spark.read.parquet(self.path)
-            .withColumn("_rn", F.row_number().over(newest))
-            .filter("_rn = 1")
-            .drop("_rn", "batch_id")
-        )
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file that appears whole, by a rename; it must not be there yet."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    made = spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), f"_{uuid.uuid4().hex}")
+    out = files.create(made, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if not files.rename(made, target):
+        raise OSError(f"{path} was not made")
+
+
+def batch_watermark(spark: SparkSession, checkpoint: str, batch_id: int) -> datetime:
+    """The watermark that a query's batch runs under, out of its offset log; rows of windows
+    that end by it can come no more."""
+    lines = read_text(spark, f"{checkpoint}/offsets/{batch_id}").split("\n")
+    return datetime.fromtimestamp(json.loads(lines[1])["batchWatermarkMs"] / 1000, timezone.utc)
 
 
 def stored(df: DataFrame, path: str) -> DataFrame:
