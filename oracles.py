@@ -596,6 +596,12 @@ WITH {CHANGES}, last AS (
 SELECT CAST(k AS VARCHAR) AS o_orderkey, CAST(c AS VARCHAR) AS o_custkey,
        CASE WHEN n = 1 THEN 'X' ELSE s END AS o_orderstatus
 FROM last WHERE rn = 1""",
+    "hot_user_lookup": f"""
+SELECT o_orderkey AS order_id, CASE WHEN o_orderkey % 2 = 0 THEN 7 ELSE o_custkey END AS user_id,
+       CASE WHEN c_custkey % 2 = 0 THEN 'M' WHEN c_custkey IS NOT NULL THEN 'F' END AS user_gender,
+       CAST(floor((epoch_ms({AS_OF}) - epoch_ms(CAST(DATE '1960-01-01'
+            + CAST(c_custkey % 14000 AS INT) AS TIMESTAMP))) / 31536000000.0) AS INTEGER) AS user_age
+FROM orders LEFT JOIN customer ON c_custkey = CASE WHEN o_orderkey % 2 = 0 THEN 7 ELSE o_custkey END""",
     "dim_written_then_read": f"""
 WITH {CHANGES}, named AS (
     -- a second change names its status only; batches apply in the order of ts modulo 3

@@ -232,3 +232,29 @@ def test_hot_lookup_key_is_split_by_adaptive_execution(spark, eager_skew):
     rows = found.collect()
     assert len(rows) == n and all(r.name == f"name-{r.key}" for r in rows)
     assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_keys_of_a_lookup_are_dealt_out(spark):
+    """Half the rows on one key, a tenth on none: same rows as without, and no full task."""
+    from statistics import median
+
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k) for k in conf}
+    facts = spark.range(20000).select(
+        "id", F.when(F.col("id") % 2 == 0, 7).when(F.col("id") % 10 == 1, None).otherwise(F.col("id")).alias("user")
+    )
+    dim = spark.range(0, 20000, 3).select(F.col("id").cast("string").alias("key"), (-F.col("id")).alias("v"))
+    dim = dim.unionByName(spark.createDataFrame([("7", -1), ("7", -2), (None, 0)], "key string, v bigint"))
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        dealt = lookup_join(facts, dim, {"user": "key"}, {"found": "v"}, spread=64)
+        assert dealt.columns == ["id", "user", "found"]
+        sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+        plain = lookup_join(facts, dim, {"user": "key"}, {"found": "v"})
+        assert sorted(map(tuple, dealt.collect())) == sorted(map(tuple, plain.collect()))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(sizes) == 8 and max(sizes) < 2 * median(sizes)
+    assert lookup_join(facts.limit(0), dim, {"user": "key"}, {"found": "v"}, spread=8).count() == 0

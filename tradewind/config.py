@@ -75,6 +75,9 @@ class Settings:
     # How many ways a hot device is split before the streaming de-duplication.
     dedup_salts: int = 8
 
+    # How many ways the rows of a hot key are dealt in a stream's lookups.
+    lookup_ways: int = 64
+
     # The tokens of a search phrase, in any script: runs of letters, marks and digits;
     # Han, which is written without spaces, character by character.
     keyword_pattern: str = r"\p{IsHan}|[\p{L}\p{M}\p{N}&&[^\p{IsHan}]]+"

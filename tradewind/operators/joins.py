@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -75,6 +76,7 @@ def lookup_join(
     columns: Mapping[str, str],
     *,
     unique: bool = False,
+    spread: int = 0,
 ) -> DataFrame:
     """Left-join dimension columns onto facts by any conjunction of keys.
 
@@ -84,7 +86,9 @@ def lookup_join(
 
     A text key column in the dimension is compared as text. No broadcast is forced: a
     user dimension grows with the business, so the planner decides by measured size,
-    and a hot fact key in the sort-merge case is split by the adaptive skew join.
+    and a hot fact key in the sort-merge case is split by the adaptive skew join. Where
+    that is not at hand, as in the batches of a stateful stream, ``spread`` deals the rows
+    of each hot key over so many ways (see :func:`spread_hot`); a table only.
     """
     if not on:
         raise ValueError("a dimension lookup needs at least one key")
@@ -98,14 +102,46 @@ def lookup_join(
     if not unique:
         picked = F.min(F.struct(*columns)).alias("_row")
         side = side.groupBy(*keys).agg(picked).select(*keys, "_row.*")
-    condition = None
+    fact_keys = []
     for k, fact_key in zip(keys, on, strict=True):
-        f = facts[fact_key]
+        f = F.col(fact_key)
         if isinstance(side.schema[k].dataType, T.StringType):
             f = f.cast("string")
-        term = f == side[k]
-        condition = term if condition is None else condition & term
-    return facts.join(side, condition, "left").drop(*keys)
+        fact_keys.append(f)
+    kinds = [(facts.select(f).schema[0].dataType, side.schema[k].dataType) for f, k in zip(fact_keys, keys, strict=True)]
+    alike = all(a == b or {a, b} <= {T.LongType(), T.IntegerType()} for a, b in kinds)  # equal means equal as text
+    if spread > 1 and alike and not facts.isStreaming:
+        facts, side = spread_hot(facts, fact_keys, side, list(keys), spread)
+        fact_keys.append(F.col("_way"))
+        keys = {**keys, "_dim_way": ""}
+    terms = [f == side[k] for f, k in zip(fact_keys, keys, strict=True)]
+    return facts.join(side, reduce(Column.__and__, terms), "left").drop(*keys, "_way")
+
+
+def spread_hot(
+    facts: DataFrame, fact_keys: list[Column], side: DataFrame, keys: list[str], ways: int
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of hot keys dealt over ``_way`` 0.., and side rows of those keys once for each
+    ``_dim_way``; all other rows have way 0.
+
+    A key is hot from one part in 4 x ways of the rows on. There are 4 x ways of them at
+    most, found by a sketch that combines on the map side, so joining their list by a
+    broadcast is bounded by that number. What the sketch overrates is dealt out needlessly,
+    with the same result.
+    """
+    most = 4 * ways
+    own = F.xxhash64(*(f.cast("string") for f in fact_keys))
+    facts = facts.withColumn("_hash", own)
+    top = facts.agg(F.expr(f"approx_top_k(_hash, {most}, {16 * most})").alias("top"), F.count("*").alias("n"))
+    hot = top.select("n", F.inline("top")).filter(F.col("count") * most > F.col("n")).select(F.col("item").alias("_hot"))
+    hot = F.broadcast(hot)
+    is_hot = F.col("_hot").isNotNull()
+    way = F.when(is_hot, F.pmod(F.monotonically_increasing_id(), F.lit(ways)).cast("int")).otherwise(0)
+    facts = facts.join(hot, F.col("_hash") == F.col("_hot"), "left").withColumn("_way", way).drop("_hash", "_hot")
+    side = side.withColumn("_hash", F.xxhash64(*(F.col(k).cast("string") for k in keys)))
+    each = F.when(is_hot, F.sequence(F.lit(0), F.lit(ways - 1))).otherwise(F.array(F.lit(0)))
+    side = side.join(hot, F.col("_hash") == F.col("_hot"), "left").withColumn("_dim_way", F.explode(each))
+    return facts, side.drop("_hash", "_hot")
 
 
 def lookup_first(dim: DataFrame, **equals) -> DataFrame:

@@ -14,7 +14,7 @@ from tradewind.operators.parse import parse_records, snapshot_changes
 from tradewind.operators.snapshots import number_chunk, whole_feed
 from tradewind.operators.visits import repair_new_visitor
 from tradewind.operators.windows import tumbling
-from tradewind.plans import logs, stats
+from tradewind.plans import logs, orders, stats
 from tradewind.plans import on_tables as B
 from tradewind.session import run_dir
 from tradewind.sources import shop
@@ -268,3 +268,13 @@ def dim_written_then_read(spark: SparkSession, sf: str) -> DataFrame:
         table.upsert(live.filter(F.col("ts") % 3 == batch), batch, ["ts"])
     details = shop.table(spark, sf, "lineitem").filter("l_linenumber = 1").select(F.col("l_orderkey").alias("key"))
     return table.read(only=details)
+
+
+@_query
+def hot_user_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """The user lookup where half of the orders are one user's, whose rows are dealt out."""
+    o = shop.table(spark, sf, "orders")
+    user = F.when(F.col("o_orderkey") % 2 == 0, 7).otherwise(F.col("o_custkey"))
+    facts = o.select(F.col("o_orderkey").alias("order_id"), user.cast("bigint").alias("user_id"))
+    dims = shop.dims(spark, sf)
+    return orders.add_user(facts, dims["user"], B.SETTINGS, B._as_of(), spread=B.SETTINGS.lookup_ways)

@@ -51,7 +51,7 @@ def join_orders(
 
 def add_user(
     wide: DataFrame, user: DataFrame, settings: Settings, as_of: Column | None = None,
-    *, unique: bool = False,
+    *, unique: bool = False, spread: int = 0,
 ) -> DataFrame:
     """Gender, and age at ``as_of`` (by default now)."""
     at = F.current_timestamp() if as_of is None else as_of
@@ -61,7 +61,7 @@ def add_user(
     )
     return lookup_join(
         wide, aged, {"user_id": "ID"}, {"user_age": "AGE", "user_gender": "GENDER"},
-        unique=unique,
+        unique=unique, spread=spread,
     )
 
 
@@ -77,7 +77,7 @@ def add_province(wide: DataFrame, province: DataFrame, *, unique: bool = False)
 
 
 def add_product(
-    wide: DataFrame, dims: Mapping[str, DataFrame], *, unique: bool = False
+    wide: DataFrame, dims: Mapping[str, DataFrame], *, unique: bool = False, spread: int = 0
 ) -> DataFrame:
     sku = flatten_sku(
         dims["sku"], dims["spu"], dims["trademark"], dims["category3"], unique=unique
@@ -89,7 +89,7 @@ def add_product(
             "tm_id": "TM_ID", "spu_name": "SPU_NAME", "tm_name": "TM_NAME",
             "category3_name": "CATEGORY3_NAME",
         },
-        unique=unique,
+        unique=unique, spread=spread,
     )
 
 
@@ -100,11 +100,15 @@ def enrich_orders(
     as_of: Column | None = None,
     *,
     unique_dims: bool = False,
+    spread: int = 0,
 ) -> DataFrame:
-    """Add user, province and product attributes to order rows."""
-    wide = add_user(wide, dims["user"], settings, as_of, unique=unique_dims)
+    """Add user, province and product attributes to order rows.
+
+    ``spread`` deals the rows of a hot user or product over so many ways.
+    """
+    wide = add_user(wide, dims["user"], settings, as_of, unique=unique_dims, spread=spread)
     wide = add_province(wide, dims["province"], unique=unique_dims)
-    return add_product(wide, dims, unique=unique_dims)
+    return add_product(wide, dims, unique=unique_dims, spread=spread)
 
 
 def order_wide(

@@ -292,7 +292,10 @@ def order_wide(w: Warehouse, dims: Dims) -> StreamingQuery:
     def each(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            wide = orders.enrich_orders(batch, _dims_for(dims, batch), w.settings)
+            # A stateful stream's batches are planned without the adaptive skew join.
+            wide = orders.enrich_orders(
+                batch, _dims_for(dims, batch), w.settings, spread=w.settings.lookup_ways
+            )
             w.topics.write(
                 to_topic_rows(wide.drop("rowtime")), TOPICS["order_wide"], batch_id, "order_wide"
             )
