@@ -137,6 +137,31 @@ def op8_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     return judge_urls(table(spark, sf, "pages"), rules)
 
 
+#: For pages that name no other urls, as those of the tables: aliases are then the urls that
+#: differ in scheme, fragment, default port or the host's case only.
+ORACLE["op8_url_filter"] = f"""
+WITH rests AS (
+  SELECT page_id, row_number() OVER () AS uid,
+         CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+split AS (
+  SELECT page_id, uid, translate(regexp_extract(rest, '^[^/?#]*'), '{UPPER}', '{LOWER}') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, regexp_extract(rest, '^[^/?#]*([^#]*)', 1) AS after FROM rests),
+rules(action, rule_host, rule_path) AS (VALUES {", ".join(str(r) for r in URL_RULES)}),
+fits AS (
+  SELECT uid, action, rule_host || rule_path AS rule,
+         row_number() OVER (PARTITION BY uid ORDER BY length(rule_host || rule_path) DESC, action) AS place
+  FROM split JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)),
+judged AS (
+  SELECT s.*, rule, action, regexp_replace(host, ':(80|443)$', '') || after AS node
+  FROM split s LEFT JOIN fits f ON f.uid = s.uid AND place = 1),
+blocked AS (
+  SELECT node FROM judged WHERE node <> '' GROUP BY node
+  HAVING coalesce(bool_or(action = 'block'), false) AND NOT coalesce(bool_or(action = 'allow'), false))
+SELECT page_id, host, path, rule,
+       coalesce(action, CASE WHEN node IN (SELECT node FROM blocked) THEN 'block' END, 'allow') AS verdict FROM judged
+"""
+
+
 @_query
 def op9_mix(spark: SparkSession, sf: str) -> DataFrame:
     return mix_sources(table(spark, sf, "documents"))
