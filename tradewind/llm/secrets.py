@@ -39,7 +39,11 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 
 TOKEN = re.compile(r"(?<![A-Za-z0-9_-])e[wy][A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
-ARMOUR = re.compile(r"-----BEGIN ([A-Z ]*)PRIVATE KEY-----((?:[A-Za-z0-9+/=\s]|\\+[nrt])+)-----END \1PRIVATE KEY-----")
+#: Armour; header lines (as of traditional encrypted keys) may come before the body.
+ARMOUR = re.compile(
+    r"-----BEGIN ([A-Z ]*)PRIVATE KEY-----((?:\s|\\+[nrt])*(?:[A-Z][A-Za-z-]{1,30}: [\x20-\x5b\x5d-\x7e]{1,200}(?:\\+[nr]|\r?\n)+)*)"
+    r"((?:[A-Za-z0-9+/=\s]|\\+[nrt])+)-----END \1PRIVATE KEY-----"
+)
 BARE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}")
 #: Line breaks, real or escaped.
 BREAK = re.compile(r"(?:\\+[nrt]|\s)+")
@@ -101,6 +105,8 @@ def der_items(data: bytes) -> list[tuple[int, bytes]] | None:
     return items
 
 
+#: The encoded object ids of password-based encryption (PKCS#5, PKCS#12).
+ENCRYPTIONS = (bytes.fromhex("2a864886f70d0105"), bytes.fromhex("2a864886f70d010c01"))
 #: ASN.1 tags.
 INTEGER, OCTETS, OBJECT_ID, SEQUENCE = 0x02, 0x04, 0x06, 0x30
 
@@ -123,9 +129,12 @@ def is_private_key(data: bytes | None) -> bool:
     if not outer or len(outer) != 1:
         return False
     inner = der_items(outer[0][1])
+    tags = [tag for tag, _ in inner or ()]
+    if tags == [SEQUENCE, OCTETS]:  # an encrypted key: the way of encryption, then the bytes
+        way = der_items(inner[0][1])
+        return bool(way) and way[0][0] == OBJECT_ID and way[0][1].startswith(ENCRYPTIONS) and len(inner[1][1]) >= 16
     if not inner or inner[0][0] != INTEGER or len(inner[0][1]) != 1:
         return False
-    tags = [tag for tag, _ in inner]
     if len(tags) >= 9 and set(tags[:9]) == {INTEGER}:
         return True
     if tags == [INTEGER] * 6 and inner[0][1] == b"\0":  # DSA: version, p, q, g, public, private
@@ -150,15 +159,7 @@ def _is_encoded_key(run: str) -> bool:
 
 
 def _size_of(data: bytes) -> int:
-    """Bytes that the key which begins here says it has, 0 where none begins."""
-    if data.startswith(MAGIC):
-        at, left, fields = len(MAGIC), 4, 0
-        while fields < left and at + 4 <= len(data):
-            size = int.from_bytes(data[at : at + 4], "big")
-            if fields == 3:  # a number of public keys; one block of private keys follows them
-                left, size = left + size + 1, 0
-            at, fields = at + 4 + size, fields + 1
-        return at if fields == left else 0
+    """Bytes that the DER key which begins here says it has, 0 where none begins."""
     if len(data) < 6 or data[0] != SEQUENCE:
         return 0
     if data[1] < 0x80:
@@ -189,20 +190,51 @@ def _wrapped_keys(text: str) -> Iterator[tuple[int, int]]:
 
 
 def _key_end(text: str, lines: list[tuple[int, int]], i: int) -> int | None:
-    """The line that ends the key beginning with line i, if one does and takes several."""
+    """The line that ends the key beginning with line i, if one does and takes several.
+
+    Lines are joined only as far as the key's own sizes ask for.
+    """
     first = text[slice(*lines[i])]
-    start = first[:16]
-    if OPENSSH.startswith(start):
-        start = "".join(text[a:b] for a, b in lines[i:]).rstrip("=")
-        start = start[: len(start) // 4 * 4]
-    elif not first.startswith("M"):
+    if not first.startswith(("M", OPENSSH[:16])):
         return None
-    need = -(-_size_of(_decoded(start) or b"") * 4 // 3)
-    joined, size, k = [], 0, i
-    while need and k < len(lines) and size < need:
-        joined.append(text[slice(*lines[k])])
-        size, k = size + len(joined[-1].rstrip("=")), k + 1
-    return k - 1 if len(joined) > 1 and is_private_key(_decoded("".join(joined))) else None
+    left = lines[-1][1] - lines[i][0]
+    joined, size, k, need = [], 0, i, 32
+    while True:
+        while k < len(lines) and size < need:
+            joined.append(text[slice(*lines[k])])
+            size, k = size + len(joined[-1].rstrip("=")), k + 1
+        start = "".join(joined).rstrip("=")
+        if not start.startswith(("M", OPENSSH)):
+            return None
+        asked, known = _asked(_decoded(start[: len(start) // 4 * 4]) or b"")
+        if not 0 < asked * 4 // 3 <= left:
+            return None
+        if known:
+            break
+        if k == len(lines):
+            return None
+        need = max(2 * size, -(-asked * 4 // 3))
+    need, size, k = -(-asked * 4 // 3), 0, i
+    while k < len(lines) and size < need:
+        size, k = size + len(text[slice(*lines[k])].rstrip("=")), k + 1
+    whole = "".join(text[x:y] for x, y in lines[i:k])
+    return k - 1 if k - i > 1 and is_private_key(_decoded(whole)) else None
+
+
+def _asked(data: bytes) -> tuple[int, bool]:
+    """Bytes that the beginning of a key asks for by the sizes it holds, and whether that is
+    all of the key."""
+    if not data.startswith(MAGIC):
+        return _size_of(data), True
+    at, left, fields = len(MAGIC), 4, 0
+    while fields < left:
+        if at + 4 > len(data):
+            return at + 4, False
+        size = int.from_bytes(data[at : at + 4], "big")
+        if fields == 3:  # a number of public keys; one block of private keys follows them
+            left, size = left + size + 1, 0
+        at, fields = at + 4 + size, fields + 1
+    return at, True
 
 
 def find_spans(text: str) -> list[Span]:
@@ -217,7 +249,10 @@ def find_spans(text: str) -> list[Span]:
     armoured: list[Span] = []
     if "-----BEGIN" in text:
         for m in ARMOUR.finditer(text):
-            if is_private_key(_decoded(BREAK.sub("", m[2]))):
+            body = _decoded(BREAK.sub("", m[3]))
+            # A traditional encrypted key tells its cipher in a header; its body is whole blocks.
+            ciphered = "ENCRYPTED" in m[2] and "DEK-Info:" in m[2] and bool(body) and len(body) % 8 == 0
+            if ciphered or is_private_key(body):
                 armoured.append((*m.span(), "key"))
     spans += armoured
     held = list(armoured)
