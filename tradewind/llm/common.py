@@ -146,8 +146,34 @@ def maybe_in(df: DataFrame, key: Column, members: DataFrame, member: Column, bit
     (1 MB of rows at 22 bits). It saves the shuffle of rows that cannot match. More members
     than places make it pass more rows, never fewer; callers confirm what passes.
     """
-    place = F.shiftrightunsigned(F.xxhash64(F.lit("place"), member), 64 - bits)
-    words = (
+    kept = df.withColumn("_place", _place(key, bits))
+    kept = kept.join(
+        F.broadcast(_bit_map(members, member, bits)), F.shiftright(F.col("_place"), 6) == F.col("_word"), "inner"
+    ).where(_bit_is_set())
+    return kept.drop("_place", "_word", "_set")
+
+
+def maybe_marked(df: DataFrame, key: Column, members: DataFrame, member: Column, bits: int = 22) -> DataFrame:
+    """All rows, with ``_maybe``: false only where the key is surely none of the members."""
+    marked = df.withColumn("_place", _place(key, bits))
+    marked = marked.join(
+        F.broadcast(_bit_map(members, member, bits)), F.shiftright(F.col("_place"), 6) == F.col("_word"), "left"
+    )
+    return marked.withColumn("_maybe", F.coalesce(_bit_is_set(), F.lit(False))).drop("_place", "_word", "_set")
+
+
+def _place(key: Column, bits: int) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(F.lit("place"), key), 64 - bits)
+
+
+def _bit_is_set() -> Column:
+    return F.call_function("shiftright", F.col("_set"), (F.col("_place") % 64).cast("int")) % 2 != 0
+
+
+def _bit_map(members: DataFrame, member: Column, bits: int) -> DataFrame:
+    """(_word, _set): 64 places a row, at most 2**bits / 64 rows."""
+    place = _place(member, bits)
+    return (
         members.select(
             F.shiftright(place, 6).alias("_word"),
             F.expr("1L").alias("_one"),
@@ -156,9 +182,3 @@ def maybe_in(df: DataFrame, key: Column, members: DataFrame, member: Column, bit
         .groupBy("_word")
         .agg(F.bit_or(F.call_function("shiftleft", F.col("_one"), F.col("_bit"))).alias("_set"))
     )
-    own = F.shiftrightunsigned(F.xxhash64(F.lit("place"), key), 64 - bits)
-    kept = df.withColumn("_place", own)
-    kept = kept.join(
-        F.broadcast(words), F.shiftright(F.col("_place"), 6) == F.col("_word"), "inner"
-    ).where(F.call_function("shiftright", F.col("_set"), (F.col("_place") % 64).cast("int")) % 2 != 0)
-    return kept.drop("_place", "_word", "_set")
