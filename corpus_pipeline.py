@@ -14,7 +14,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import id_in, maybe_in, stored, table
+from tradewind.llm.common import id_in, maybe_in, maybe_marked, stored, table
 from tradewind.llm.exact_dedup import exact_duplicates
 from tradewind.llm.mixing import mix_sources
 from tradewind.llm.near_dedup import text_groups
@@ -40,9 +40,15 @@ def _judged(docs: DataFrame, rows: DataFrame) -> DataFrame:
     fates = stored(fates.where("NOT kept OR m > 1"), "pipeline-fates")
     keyed = docs.withColumns({"_id": id_in(), "_sha": _text_hash()})
     repeated = fates.where("kept").select(*keys)
-    single = keyed.join(fates.select(*keys), keys, "left_anti")
+    # Only texts that may be among those with a fate are shuffled.
+    marked = maybe_marked(keyed, F.xxhash64(*keys), fates, F.xxhash64(*keys))
+    some = marked.where("_maybe").drop("_maybe")
     several = maybe_in(keyed, F.xxhash64(*keys), repeated, F.xxhash64(*keys)).join(repeated, keys)
-    return single.unionByName(several.dropDuplicates(keys)).select(*docs.columns)
+    return (
+        marked.where("NOT _maybe").select(*docs.columns)
+        .unionByName(some.join(fates.select(*keys), keys, "left_anti").select(*docs.columns))
+        .unionByName(several.dropDuplicates(keys).select(*docs.columns))
+    )
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
