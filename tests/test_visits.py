@@ -137,6 +137,26 @@ def test_streaming_bounces_equal_batch(spark, tmp_path):
     assert got == sorted(want.items())
     assert found.filter("rowtime is null or mid is null").count() == 0
 
+def test_devices_share_buckets_of_streaming_state(spark, tmp_path):
+    from tradewind.operators.windows import watermarked
+    from tradewind.streaming.sinks import table_writer
+
+    rnd = random.Random(7)
+    rows = [(f"m{rnd.randrange(90)}", rnd.randrange(0, 1000) / 2, None if rnd.random() < 0.7 else "home", "0") for _ in range(400)]
+    rows.append(entry("end", 100_000))
+    everything = pages(spark, rows)
+    everything.write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(everything.schema).parquet(f"{tmp_path}/in")
+    settings = Settings(state_buckets=5)
+    found = bounces(watermarked(stream, "rowtime", settings.bounce_delay), settings, **NAMES)
+    query = table_writer(found, f"{tmp_path}/out", f"{tmp_path}/ck").trigger(availableNow=True).start()
+    query.awaitTermination()
+    want = brute_bounces(rows, 10, 2)
+    del want[len(rows) - 1]  # still open
+    assert {r.id: r.reason for r in spark.read.parquet(f"{tmp_path}/out").collect()} == want
+    # The states of two tiles and of the end are buckets; there are 91 devices.
+    assert query.recentProgress[0].stateOperators[0].numRowsTotal <= 2 * 5 + 1
+
 
 def flags(df):
     return {r.id: r.flag for r in df.collect()}

@@ -75,6 +75,10 @@ class Settings:
     # How many ways a hot device is split before the streaming de-duplication.
     dedup_salts: int = 8
 
+    # How many buckets the keys of a stream's Python state are dealt into; a bucket is one
+    # call, so its keys should be some hundreds to thousands.
+    state_buckets: int = 4096
+
     # How many ways the rows of a hot key are dealt in a stream's lookups.
     lookup_ways: int = 64
 

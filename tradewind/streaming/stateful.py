@@ -16,7 +16,7 @@ _JSON_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
 def _decider(steps: int, within: int):
-    """The per-(device, tile) function; self-contained, so it ships by value."""
+    """The per-(bucket of devices, tile) function; self-contained, so it ships by value."""
 
     def verdict(pending, at):
         """What becomes of the entry page at ``at``, and the time that settles it."""
@@ -29,31 +29,37 @@ def _decider(steps: int, within: int):
         return "matched", pending[at + steps][0]
 
     def decide(key, frames, state):
+        from itertools import groupby
+
         import pandas as pd
 
         pending = list(zip(*state.get, strict=True)) if state.exists else []
         for pdf in frames:
-            columns = [pdf[c].tolist() for c in ("t", "k", "e", "head", "row")]
-            columns[1] = [[int(i) for i in ids] for ids in columns[1]]
+            columns = [pdf[c].tolist() for c in ("m", "t", "k", "e", "head", "row")]
+            columns[2] = [[int(i) for i in ids] for ids in columns[2]]
             pending += zip(*columns, strict=True)
-        pending.sort(key=lambda p: (p[0], list(p[1])))
+        pending.sort(key=lambda p: (p[0], p[1], list(p[2])))
         watermark = state.getCurrentWatermarkMs()
 
-        rows, reasons, done, due = [], [], 0, None
-        for at, (t, _, _, head, row) in enumerate(pending):
-            outcome, due = verdict(pending, at) if head else (None, t)
-            if due > watermark * 1000:
-                break
-            if outcome:
-                rows.append(row)
-                reasons.append(outcome)
-            done = at + 1
-
-        pending = pending[done:]
-        if pending:
-            state.update(tuple(list(column) for column in zip(*pending, strict=True)))
+        rows, reasons, left, next_due = [], [], [], None
+        for _, group in groupby(pending, key=lambda p: p[0]):
+            whole = list(group)
+            mine, done = [p[1:] for p in whole], 0
+            for at, (t, _, _, head, row) in enumerate(mine):
+                outcome, due = verdict(mine, at) if head else (None, t)
+                if due > watermark * 1000:
+                    next_due = due if next_due is None else min(due, next_due)
+                    break
+                if outcome:
+                    rows.append(row)
+                    reasons.append(outcome)
+                done = at + 1
+            left += whole[done:]
+
+        if left:
+            state.update(tuple(list(column) for column in zip(*left, strict=True)))
             # A timer fires once the watermark is above it, in whole milliseconds.
-            state.setTimeoutTimestamp(max((due - 1) // 1000, watermark, 1))
+            state.setTimeoutTimestamp(max((next_due - 1) // 1000, watermark, 1))
         elif state.exists:
             state.remove()
         if rows:
@@ -74,9 +80,10 @@ def streaming_bounces(
 ) -> DataFrame:
     """Bounces on a watermarked stream, decided as soon as the watermark allows.
 
-    State is kept per device and time tile and is gone once the tile is past, so it is
-    bounded by the watermark delay and a busy device's history is never held together.
-    ``tiebreak`` columns must be integers.
+    State is kept per time tile and bucket of devices and is gone once the tile is past, so
+    it is bounded by the watermark delay and a busy device's history is never held together.
+    Buckets (``settings.state_buckets`` by hash) bound the calls, each of which costs
+    milliseconds however few rows it has. ``tiebreak`` columns must be integers.
     """
     head = entry_page(last_page) & ~F.col("_probe")
     ids = F.array(*(F.col(c).cast("bigint") for c in tiebreak)).cast("array<bigint>")
@@ -86,8 +93,9 @@ def streaming_bounces(
         .withColumn("_mid", F.col(mid))
         .filter(F.col("_mid").isNotNull())
         .select(
-            "_mid",
+            F.pmod(F.xxhash64("_mid"), F.lit(settings.state_buckets)).alias("_bucket"),
             "_tile",
+            F.col("_mid").cast("string").alias("m"),
             F.col(time).alias("rowtime"),
             F.unix_micros(time).alias("t"),
             ids.alias("k"),
@@ -96,10 +104,10 @@ def streaming_bounces(
             F.when(head, row).alias("row"),
         )
     )
-    decided = keyed.groupBy("_mid", "_tile").applyInPandasWithState(
+    decided = keyed.groupBy("_bucket", "_tile").applyInPandasWithState(
         _decider(settings.bounce_times - 1, micros(settings.bounce_within)),
         "row string, reason string",
-        "t array<bigint>, k array<array<bigint>>, e array<boolean>, "
+        "m array<string>, t array<bigint>, k array<array<bigint>>, e array<boolean>, "
         "head array<boolean>, row array<string>",
         "append",
         "EventTimeTimeout",
