@@ -138,3 +138,20 @@ def test_rows_leave_as_the_last_change_left_them(spark, tmp_path):
         writer = table_writer(retract_by_key(stream, "id", COLUMNS), out, f"{tmp_path}/checkpoint")
         finish(writer.trigger(availableNow=True).start())
     assert sorted(map(tuple, spark.read.parquet(out).collect()), key=str) == sorted(want, key=str)
+
+
+def test_keys_share_buckets_of_last_images(spark, tmp_path):
+    from tradewind.streaming.stateful import streaming_last_images
+
+    changes = spark.range(300).selectExpr(
+        "cast(id % 100 as string) _key", "id ts", "case when id % 7 > 0 then map('v', cast(id as string)) end _new"
+    )
+    changes.write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(changes.schema).parquet(f"{tmp_path}/in")
+    pairs = streaming_last_images(stream, ["ts"], buckets=3)
+    query = table_writer(pairs, f"{tmp_path}/out", f"{tmp_path}/ck").trigger(availableNow=True).start()
+    finish(query)
+    image = lambda i: {"v": str(i)} if i >= 0 and i % 7 else None
+    got = spark.read.parquet(f"{tmp_path}/out").orderBy("ts").collect()
+    assert [(r.ts, r._old, r._new) for r in got] == [(i, image(i - 100), image(i)) for i in range(300)]
+    assert query.recentProgress[0].stateOperators[0].numRowsTotal == 3

@@ -189,48 +189,58 @@ def streaming_new_visitors(
 
 
 def _last_images(order: Sequence[str]):
-    """The processor that gives each change of a key the image before it."""
-    from pyspark.sql.streaming import StatefulProcessor
-
+    """The per-bucket function that gives each change of a key the image before it."""
     order = list(order)
 
-    class LastImage(StatefulProcessor):
-        def init(self, handle):
-            self.last = handle.getValueState("image", "image string")
-
-        def handleInputRows(self, key, rows, timerValues):
-            import pandas as pd
+    def follow(key, frames, state):
+        import pandas as pd
 
-            # One key's changes of one batch, in order.
-            mine = pd.concat(list(rows)).sort_values(order)
-            before = self.last.get()[0] if self.last.exists() else None
-            new = [None if pd.isna(x) else x for x in mine["new"]]
-            mine["old"] = [before, *new[:-1]]
-            if new[-1] is None:
-                self.last.clear()
+        images = dict(zip(*state.get, strict=True)) if state.exists else {}
+        changes = {}
+        for pdf in frames:
+            columns = [pdf[c].tolist() for c in ("_key", "new", *order)]
+            for k, new, *place in zip(*columns, strict=True):
+                changes.setdefault(k, []).append((place, None if pd.isna(new) else new))
+        told = []
+        for k, mine in changes.items():
+            mine.sort(key=lambda c: [(pd.isna(p), 0 if pd.isna(p) else p) for p in c[0]])
+            before = images.get(k)
+            for place, new in mine:
+                told.append((*place, before, new))
+                before = new
+            if before is None:
+                images.pop(k, None)
             else:
-                self.last.update((new[-1],))
-            yield mine[[*order, "old", "new"]]
-
-        def close(self):
-            pass
+                images[k] = before
+        if images:
+            state.update((list(images), list(images.values())))
+        elif state.exists:
+            state.remove()
+        yield pd.DataFrame(told, columns=[*order, "old", "new"])
 
-    return LastImage()
+    return follow
 
 
-def streaming_last_images(changes: DataFrame, order: Sequence[str]) -> DataFrame:
+def streaming_last_images(
+    changes: DataFrame, order: Sequence[str], buckets: int = Settings.state_buckets
+) -> DataFrame:
     """Changes (_key, order columns, _new) with the key's image before each, as ``_old``.
 
-    A key's last image is a value of keyed state; a deleted key has none. ``order`` names
-    whole-number columns. A key's changes of one batch are held together while they are
-    put in order.
+    Last images are keyed state, held by hash buckets of keys: a call costs milliseconds
+    however few keys it has, and a batch reads and writes the buckets of its keys. A deleted
+    key has no image. ``order`` names whole-number columns. A bucket's changes of one batch
+    are held together while each key's are put in order.
     """
     need_rocksdb(changes.sparkSession)
     image = "map<string,string>"
-    rows = changes.select("_key", *(F.col(c).cast("bigint") for c in order), F.to_json("_new").alias("new"))
+    rows = changes.select(
+        F.pmod(F.xxhash64("_key"), F.lit(buckets)).alias("_bucket"), "_key",
+        *(F.col(c).cast("bigint") for c in order), F.to_json("_new").alias("new"),
+    )
     kinds = ", ".join(f"`{c}` bigint" for c in order)
-    told = rows.groupBy("_key").transformWithStateInPandas(
-        _last_images(order), f"{kinds}, old string, new string", "Append", "None"
+    told = rows.groupBy("_bucket").applyInPandasWithState(
+        _last_images(order), f"{kinds}, old string, new string",
+        "keys array<string>, images array<string>", "append", "NoTimeout",
     )
     return told.select(
         *(F.col(c).cast(changes.schema[c].dataType) for c in order),
