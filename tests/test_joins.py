@@ -258,3 +258,28 @@ def test_hot_keys_of_a_lookup_are_dealt_out(spark):
             spark.conf.set(k, v)
     assert len(sizes) == 8 and max(sizes) < 2 * median(sizes)
     assert lookup_join(facts.limit(0), dim, {"user": "key"}, {"found": "v"}, spread=8).count() == 0
+
+
+def test_a_replay_in_time_order_keeps_the_state_small(spark, tmp_path):
+    from tradewind.operators.windows import watermarked
+    from tradewind.sources.shop import replayed
+    from tradewind.streaming.sinks import finish, table_writer
+
+    # Newest first, many rows of one time, times between two milliseconds, and none.
+    time = "CASE WHEN id % 50 > 0 THEN timestamp_micros((5000 - id div 4) * 900) END"
+    left = spark.range(2000).selectExpr("id", f"{time} rowtime")
+    right = spark.range(2000).selectExpr("id order_id", f"{time} + INTERVAL '0.001' SECOND rowtime", "id v")
+    span = timedelta(milliseconds=2)
+    pairs = lambda a, b: interval_join(
+        a, b, {"id": "order_id"}, "rowtime", "rowtime", -span, span
+    ).select("l.id", "r.v")
+    want = sorted(map(tuple, pairs(left, right).collect()))
+    assert len(want) == 1960
+    streams = replayed({"l": (left, F.col("rowtime")), "r": (right, F.col("rowtime"))}, 400)
+    a, b = (watermarked(streams[n], "rowtime", timedelta(0)) for n in "lr")
+    query = table_writer(pairs(a, b), f"{tmp_path}/out", f"{tmp_path}/ck").trigger(availableNow=True).start()
+    finish(query)
+    assert sorted(map(tuple, spark.read.parquet(f"{tmp_path}/out").collect())) == want
+    states = [p.stateOperators[0] for p in query.recentProgress]
+    assert len(states) >= 10 and max(s.numRowsTotal for s in states) < 1500
+    assert all(s.numRowsDroppedByWatermark == 0 for s in states)

@@ -6,7 +6,7 @@ tables are sparse in time, so bounds and windows are wider than the production d
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import replace
 from datetime import timedelta
 
@@ -133,6 +133,22 @@ def _bounced(spark: SparkSession, sf: str) -> DataFrame:
     return logs.bounce_detail(_pages(spark, sf), SETTINGS, tiebreak=TIEBREAK)
 
 
+# Rows of a slice of a replayed table: facts, and texts.
+FACT_ROWS, TEXT_ROWS = 2_000_000, 10_000
+
+
+def _order_streams(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """Both fact tables as streams in the order of their times."""
+    columns = {
+        "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate",
+        "lineitem": "l_orderkey l_linenumber l_partkey l_quantity l_extendedprice l_discount l_shipdate",
+    }
+    rows = {name: shop.table(spark, sf, name).select(*c.split()) for name, c in columns.items()}
+    return shop.replayed(
+        {name: (df, F.col(df.columns[-1]).cast("timestamp")) for name, df in rows.items()}, FACT_ROWS
+    )
+
+
 def _as_stream(df: DataFrame, purpose: str) -> DataFrame:
     """A job's output as the next job receives it: written out, then read as a stream."""
     path = run_dir(df.sparkSession, purpose)
@@ -148,7 +164,12 @@ def _ended(stream: DataFrame, **values: str) -> DataFrame:
     run before the watermark is taken, so it has to pass those of the job.
     """
     spark, path = stream.sparkSession, run_dir(stream.sparkSession, "end")
+    _end_record(spark, stream.schema, values).write.parquet(path)
+    nullable = T.StructType([T.StructField(f.name, f.dataType) for f in stream.schema])
+    return stream.unionByName(spark.readStream.schema(nullable).parquet(path))
+
 
+def _end_record(spark: SparkSession, schema: T.StructType, values: Mapping[str, str]) -> DataFrame:
     def value(f: T.StructField):
         if f.name == "rowtime":
             return F.lit("2100-01-01").cast(f.dataType)
@@ -157,9 +178,7 @@ def _ended(stream: DataFrame, **values: str) -> DataFrame:
             return F.from_json(given, f.dataType)
         return given.cast(f.dataType)
 
-    spark.range(1).select(*(value(f).alias(f.name) for f in stream.schema)).write.parquet(path)
-    nullable = T.StructType([T.StructField(f.name, f.dataType) for f in stream.schema])
-    return stream.unionByName(spark.readStream.schema(nullable).parquet(path))
+    return spark.range(1).select(*(value(f).alias(f.name) for f in schema))
 
 
 # ---- orders and payments ---------------------------------------------------------
@@ -199,10 +218,10 @@ def _order_wide_report(wide: DataFrame) -> DataFrame:
 @_query
 def order_wide_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The order job on streams of both fact tables, dimensions read as tables."""
-    source = shop.stream_table
+    source = _order_streams(spark, sf)
     wide = orders.order_wide(
-        shop.order_info(source(spark, sf, "orders"), shop.table(spark, sf, "customer")),
-        shop.order_detail(source(spark, sf, "lineitem")),
+        shop.order_info(source["orders"], shop.table(spark, sf, "customer")),
+        shop.order_detail(source["lineitem"]),
         shop.dims(spark, sf), SETTINGS, _as_of(), unique_dims=True,
     )
     return _order_wide_report(run_available(wide, "order-wide"))
@@ -223,9 +242,9 @@ def interval_join_exclusive(spark: SparkSession, sf: str) -> DataFrame:
 @_query
 def interval_join_exclusive_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The same join with both sides as streams."""
-    source = shop.stream_table
-    orders_in = shop.order_info(source(spark, sf, "orders"), shop.table(spark, sf, "customer"))
-    details_in = shop.order_detail(source(spark, sf, "lineitem"))
+    source = _order_streams(spark, sf)
+    orders_in = shop.order_info(source["orders"], shop.table(spark, sf, "customer"))
+    details_in = shop.order_detail(source["lineitem"])
     joined = interval_join(
         orders_in.withWatermark("rowtime", "0 seconds"),
         details_in.withWatermark("rowtime", "0 seconds"),

@@ -6,10 +6,14 @@ Each function gives the record shape that the job of the same name consumes, wit
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.config import TIME_FORMAT
+from tradewind.session import run_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +29,62 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
 
 
+def _slice_of(at: Column, cuts: list[int], low: int, high: int) -> Column:
+    """How many of ``cuts`` are at or below ``at``, by halving; a null counts as past them."""
+    if low == high:
+        return F.lit(low)
+    mid = (low + high) // 2
+    return F.when(at < cuts[mid], _slice_of(at, cuts, low, mid)).otherwise(_slice_of(at, cuts, mid + 1, high))
+
+
+def replayed(
+    tables: Mapping[str, tuple[DataFrame, Column]], rows: int, most: int = 48
+) -> dict[str, DataFrame]:
+    """Tables replayed as streams in the order of their event times, a slice of time a batch.
+
+    A stream that gets a whole table as one batch holds all of it in state before its
+    watermark first moves. Here each batch brings the next slice of every table, so state
+    holds the open part of time and one slice: about ``rows`` rows, all tables taken together.
+    It is more where many have one time, and from ``most`` slices on, as each batch reads the
+    dimensions of its job anew. Slices are cut at whole milliseconds, the unit of
+    watermarks, at the same places in all tables; so no row is late, whatever the order of a
+    table is. ``tables`` maps a name to rows and their event time.
+    """
+    spark = next(iter(tables.values()))[0].sparkSession
+    parts = min(most, max(1, -(-sum(df.count() for df, _ in tables.values()) // rows)))
+    cuts = []
+    if parts > 1:
+        each = [df.select(F.unix_millis(time).alias("at")) for df, time in tables.values()]
+        shares = [k / parts for k in range(1, parts)]
+        every = reduce(DataFrame.unionAll, each)
+        found = every.agg(F.percentile_approx("at", shares, 100 * parts)).first()[0]
+        cuts = sorted(set(found or []))
+    return {name: _replay(spark, name, df, time, cuts) for name, (df, time) in tables.items()}
+
+
+def _replay(spark: SparkSession, name: str, df: DataFrame, time: Column, cuts: list[int]) -> DataFrame:
+    path = run_dir(spark, f"replay-{name}")
+    part = _slice_of(F.unix_millis(time), cuts, 0, len(cuts))
+    sliced = df.withColumn("slice", part)
+    # One file a slice: a batch takes whole files, so it never cuts a slice.
+    sliced.repartition(len(cuts) + 1, "slice").write.option("maxRecordsPerFile", 0).partitionBy("slice").parquet(path)
+    # The file source goes by times of change.
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    made = {}
+    for status in files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/slice=*/*.parquet")):
+        at = status.getPath()
+        made[int(at.getParent().getName().split("=")[1])] = (at, status.getModificationTime())
+    last = max((t for _, t in made.values()), default=0)
+    for k, (at, _) in made.items():
+        files.setTimes(at, last - (len(cuts) - k) * 1000, -1)
+    times = [files.getFileStatus(made[k][0]).getModificationTime() for k in sorted(made)]
+    if any(a >= b for a, b in zip(times, times[1:], strict=False)):
+        raise OSError(f"{path}: this file system does not take the times of a replay")
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1)
+    return stream.parquet(f"{path}/slice=*/*.parquet")
+
+
 def _ts(column: str) -> Column:
     return F.col(column).cast("timestamp")
 
