@@ -296,3 +296,12 @@ def test_failed_query_is_started_again(spark, tmp_path):
     with pytest.raises(StreamingQueryException):
         with_restarts(lambda: start(9), restarts=1, pause=0)
     assert len(starts) == 2
+
+
+def test_the_product_job_joins_its_orders_once(spark, monkeypatch):
+    from tradewind.plans import on_tables, orders
+
+    calls, join = [], orders.order_wide
+    monkeypatch.setattr(orders, "order_wide", lambda *a, **k: calls.append(1) or join(*a, **k))
+    assert on_tables.product_stats_stream(spark, "/root/testdata/sf0.001").count() > 0
+    assert len(calls) == 1

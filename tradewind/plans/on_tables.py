@@ -509,10 +509,13 @@ def product_stats(spark: SparkSession, sf: str) -> DataFrame:
 @_query
 def product_stats_stream(spark: SparkSession, sf: str) -> DataFrame:
     events = shop.stream_table(spark, sf, "events")
+    # Read twice: as the order job's stream and, joined to payments, as paid orders.
+    wide = _kept(_wide(spark, sf), "order-wide")
+    paid = orders.payment_wide(_payments(spark, sf), wide, SETTINGS)
     sources = {
         "page": shop.page_log(events),
-        "order_wide": _as_stream(_wide(spark, sf), "order-wide"),
-        "payment_wide": _as_stream(_paid(spark, sf), "payment-wide"),
+        "order_wide": _as_stream(wide, "order-wide"),
+        "payment_wide": _as_stream(paid, "payment-wide"),
         "cart": shop.cart_info(events),
         "favor": shop.favor_info(events),
         "refund": shop.refund_info(events),
