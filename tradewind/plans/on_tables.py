@@ -134,7 +134,7 @@ def _bounced(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # Rows of a slice of a replayed table: facts, and texts.
-FACT_ROWS, TEXT_ROWS = 2_000_000, 10_000
+FACT_ROWS, TEXT_ROWS = 2_000_000, 40_000
 
 
 def _order_streams(spark: SparkSession, sf: str) -> dict[str, DataFrame]:

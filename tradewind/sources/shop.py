@@ -66,8 +66,10 @@ def _replay(spark: SparkSession, name: str, df: DataFrame, time: Column, cuts: l
     path = run_dir(spark, f"replay-{name}")
     part = _slice_of(F.unix_millis(time), cuts, 0, len(cuts))
     sliced = df.withColumn("slice", part)
-    # One file a slice: a batch takes whole files, so it never cuts a slice.
-    sliced.repartition(len(cuts) + 1, "slice").write.option("maxRecordsPerFile", 0).partitionBy("slice").parquet(path)
+    # One file a slice: a batch takes whole files, so it never cuts a slice. Its row groups are
+    # small, as tasks read a file by these.
+    writer = sliced.repartition(len(cuts) + 1, "slice").write.partitionBy("slice")
+    writer.option("maxRecordsPerFile", 0).option("parquet.block.size", 2 << 20).parquet(path)
     # The file source goes by times of change.
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
