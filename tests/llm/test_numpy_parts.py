@@ -156,6 +156,39 @@ def test_piece_cache_starts_afresh_when_full():
         assert ids.tolist() == tokenizer.tokenizer.encode(texts[0], add_special_tokens=False).ids
 
 
+class Counting:
+    """A library tokenizer that counts the texts it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.texts = tokenizer, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += len(texts)
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_pieces_go_to_the_library_together(name):
+    tokenizer = PieceTokenizer(public_tokenizers.path(name))
+    rng = random.Random(12)
+    words = ["".join(rng.choice("abcdeéß") for _ in range(8)) for _ in range(5000)]
+    texts = [" ".join(words), "Ab'll it's 12 345!?\n\n  x", "", "\t -- ", "\nnew\rlines "]
+    library, tokenizer.tokenizer = tokenizer.tokenizer, Counting(tokenizer.tokenizer)
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    ids, first = tokenizer.encode(batch_of(texts))
+    assert [ids[a:b].tolist() for a, b in zip(first, first[1:], strict=False)] == want
+    assert tokenizer.tokenizer.texts < 20
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_joined_pieces_that_cannot_be_told_apart_are_encoded_alone(name):
+    tokenizer = PieceTokenizer(public_tokenizers.path(name))
+    tokenizer.edge[:] = False
+    text = "some words, 12 of them it's"
+    ids, _ = tokenizer.encode(batch_of([text]))
+    assert ids.tolist() == tokenizer.tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_pfair_stays_within_one_block():
     rng = random.Random(5)
     for _ in range(30):

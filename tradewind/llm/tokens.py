@@ -2,10 +2,10 @@
 
 A BPE tokenizer first cuts a text into pieces (words with their space, digits, runs of
 signs) and encodes every piece on its own. The pieces of a batch are found and hashed with
-numpy, and only pieces this worker has not met lately are given to the library; the ids of
-a text are put together from the pieces' ids. Texts with characters for which the cut is
-not this simple (beyond Latin letters and common signs, or that could hold a special
-token) go to the library whole. Either way the ids are those of the library.
+numpy, and only pieces this worker has not met lately are given to the library, many in
+one text; the ids of a text are put together from the pieces' ids. Texts with characters
+for which the cut is not this simple (beyond Latin letters and common signs, or that could
+hold a special token) go to the library whole. Either way the ids are those of the library.
 """
 
 from __future__ import annotations
@@ -44,6 +44,8 @@ for _c in range(LIMIT):
         SIMPLE[_c] = False
 #: Pieces given to the library at once.
 ENCODE = 4096
+#: The bytes 0x20 and 0x0A as tokens of byte-level files write them.
+SPACE_BYTE, LINE_END = "\u0120", "\u010a"
 VALUE = np.random.default_rng(7041).integers(1, 2**63, LIMIT + 1, dtype=np.uint64)
 
 
@@ -97,20 +99,17 @@ class PieceCache:
             wanted, slots = wanted[going], (slots[going] + 1) & (len(self.keys) - 1)
         return out
 
-    def add(self, hashes: np.ndarray, ids: list[list[int]]) -> None:
-        """New distinct pieces with their ids."""
-        self._grow(self.n_pieces + len(ids))
-        counts = np.array([len(x) for x in ids], np.int64)
-        total = int(counts.sum())
+    def add(self, hashes: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> None:
+        """New distinct pieces with their numbers of ids and these, end to end."""
+        self._grow(self.n_pieces + len(counts))
+        total = len(ids)
         while self.n_ids + total > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        self.ids[self.n_ids : self.n_ids + total] = np.concatenate(
-            [np.asarray(x, np.uint32) for x in ids]
-        )
-        own = np.arange(self.n_pieces, self.n_pieces + len(ids))
+        self.ids[self.n_ids : self.n_ids + total] = ids
+        own = np.arange(self.n_pieces, self.n_pieces + len(counts))
         self.begins[own] = self.n_ids + np.cumsum(counts) - counts
         self.counts[own] = counts
-        self.n_pieces += len(ids)
+        self.n_pieces += len(counts)
         self.n_ids += total
         self._place(hashes, own)
 
@@ -148,6 +147,14 @@ class PieceTokenizer:
             first = cut["pretokenizers"][0]
             if first["type"] == "Split" and first["pattern"]["Regex"] == PLAIN_CUT and first["invert"]:
                 self.kind = "plain"
+        vocab, suffix = self.tokenizer.get_vocab(), config["model"].get("end_of_word_suffix")
+        #: Whether an id opens (``spaced``) or closes (``plain``) a piece in joined pieces.
+        self.edge = np.zeros(max(vocab.values(), default=0) + 1, bool)
+        self.line_end = vocab.get(LINE_END, -1)
+        if self.kind == "spaced":
+            self.edge[[i for token, i in vocab.items() if token.startswith((SPACE_BYTE, LINE_END))]] = True
+        elif suffix:
+            self.edge[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
         self.cache = PieceCache()
 
     def encode(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -159,9 +166,9 @@ class PieceTokenizer:
         code = np.minimum(code, LIMIT)
         odd = ~SIMPLE[code]
         odd[:-1] |= (code[:-1] == 60) & (code[1:] == 124)
-        whole = np.diff(np.concatenate([[0], np.cumsum(odd)])[at]) > 0
-        if not self.kind:
-            whole[:] = True
+        whole = np.full(len(at) - 1, not self.kind)
+        if self.kind and odd.any():
+            whole = np.diff(np.concatenate([[0], np.cumsum(odd)])[at]) > 0
         if not whole.any():
             return self._pieces(code, at)
         simple = np.flatnonzero(~whole)
@@ -190,21 +197,63 @@ class PieceTokenizer:
                 self.cache.clear()
                 fresh, first = np.unique(hashes, return_index=True)
                 new = np.arange(len(hashes))
-            text = code.astype("<u4").tobytes().decode("utf-32-le")
             places = new[first]
-            strings = [text[a:b] for a, b in zip(begins[places].tolist(), ends[places].tolist(), strict=True)]
-            ids: list[list[int]] = []
-            for at_once in range(0, len(strings), ENCODE):  # an encoding holds much besides its ids
-                some = strings[at_once : at_once + ENCODE]
-                ids += (e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False))
-            self.cache.add(fresh, ids)
-            found = self.cache.find(hashes)
+            blank = CLASS[code[ends[places] - 1]] == SPACE
+            for some, encoded in ((~blank, self._joined), (blank, self._single)):
+                own = places[some]
+                if len(own):
+                    self.cache.add(fresh[some], *encoded(code, begins[own], ends[own]))
+            found[new] = self.cache.find(hashes[new])
         counts = self.cache.counts[found].astype(np.int64)
         stops = np.cumsum(counts)
         shift = self.cache.begins[found] - (stops - counts)
         ids = self.cache.ids[np.repeat(shift, counts) + np.arange(int(stops[-1]) if len(stops) else 0)]
         return ids, np.concatenate([[0], stops])[np.searchsorted(begins, at)]
 
+    def _single(self, code: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers of ids, all ids end to end) of pieces, each a text for the library."""
+        text = code.astype("<u4").tobytes().decode("utf-32-le")
+        strings = [text[a:b] for a, b in zip(begins.tolist(), ends.tolist(), strict=True)]
+        ids: list[list[int]] = []
+        for at_once in range(0, len(strings), ENCODE):  # an encoding holds much besides its ids
+            some = strings[at_once : at_once + ENCODE]
+            ids += (e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False))
+        counts = np.array([len(x) for x in ids], np.int64)
+        return counts, np.concatenate([np.asarray(x, np.uint32) for x in ids])
+
+    def _joined(self, code: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same as ``_single`` of pieces that do not end in white space, many in one text.
+
+        The library cuts before a space and on both sides of a line end, so pieces may follow
+        each other, those without a leading space after a line end. Their ids are told apart
+        by the vocabulary; a text whose ids do not come out as its pieces is encoded piece by piece.
+        """
+        all_counts, all_ids = [], []
+        for at_once in range(0, len(begins), ENCODE):
+            begin, end = begins[at_once : at_once + ENCODE], ends[at_once : at_once + ENCODE]
+            apart = code[begin] != 32
+            size = end - begin + apart
+            at = np.cumsum(size) - size
+            line = code[np.repeat(begin - apart - at, size) + np.arange(int(size.sum()))]
+            line[at[apart]] = 10
+            text = line.astype("<u4").tobytes().decode("utf-32-le")
+            ids = np.asarray(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+            edges = np.flatnonzero(self.edge[ids])
+            if self.kind == "spaced":
+                whole = len(edges) == len(begin) and edges[0] == 0 and np.array_equal(ids[edges] == self.line_end, apart)
+                if whole:
+                    counts = np.diff(edges, append=len(ids)) - apart
+                    ids = np.delete(ids, edges[apart])
+            else:
+                whole = len(edges) == len(begin) and edges[-1] == len(ids) - 1
+                if whole:
+                    counts = np.diff(edges, prepend=-1)
+            if not whole:
+                counts, ids = self._single(code, begin, end)
+            all_counts.append(counts)
+            all_ids.append(ids)
+        return np.concatenate(all_counts), np.concatenate(all_ids)
+
 
 #: Fixed value: the cut of the ``plain`` tokenizer files.
 PLAIN_CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
